@@ -10,10 +10,10 @@ from pyspark.sql import types as T
 
 
 def infer_batch(df: DataFrame, make_predict_fn: Callable, inputs: Sequence[Column | str], output_col: str,
-                return_type: T.DataType, batch_size: int = 64) -> DataFrame:
+                return_type: T.DataType, batch_size: int = 64, **kw) -> DataFrame:
     """Adds ``output_col``: ``make_predict_fn()`` loads the model and returns a function on numpy batches.
 
-    Generation settings (new tokens, temperature, nucleus share) belong to the caller's function.
+    Array inputs need their ``input_tensor_shapes``. Generation settings (new tokens, temperature, nucleus share) belong to the caller's function.
     """
-    predict = predict_batch_udf(make_predict_fn, return_type=return_type, batch_size=batch_size)
+    predict = predict_batch_udf(make_predict_fn, return_type=return_type, batch_size=batch_size, **kw)
     return df.withColumn(output_col, predict(*inputs))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RUN_METRICS = "kind string, key string, value string, run_id string"
@@ -30,9 +30,10 @@ def write_results(df: DataFrame, model_dir: str, training_type: str, mode: str =
 
 
 def log_run(rows: DataFrame, run_id: str, table: str, kind: str = "metric") -> None:
-    """Append ``(key, value)`` rows of a run to the ``run_metrics`` table.
-
-    Each run and kind has its own partition, written in overwrite mode: a retried job leaves one copy.
-    """
+    """Append ``(key, value)`` rows of a run to the ``run_metrics`` table, partitioned by run and kind."""
     out = rows.select(F.col("key").cast("string"), F.col("value").cast("string"), F.lit(run_id).alias("run_id"), F.lit(kind).alias("kind"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "kind").parquet(table))
+    out.write.mode("append").partitionBy("run_id", "kind").parquet(table)
+
+
+def read_runs(spark: SparkSession, table: str) -> DataFrame:
+    return spark.read.schema(RUN_METRICS).parquet(table)
