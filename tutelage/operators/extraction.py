@@ -49,9 +49,13 @@ def validate_json(df: DataFrame, col: str, schema: Mapping[str, Any] = INVOICE_S
 
     The schema is read once on the driver and becomes part of the plan.
     """
+    return _checked(df, col, schema, out).drop("__json")
+
+
+def _checked(df: DataFrame, col: str, schema: Mapping[str, Any], out: str) -> DataFrame:
     value = F.try_parse_json(F.col("__json"))
     checked = F.when(value.isNull(), F.array(F.lit("$: not JSON"))).otherwise(violations(value, schema))
-    return df.withColumn("__json", canonical_json(F.col(col))).withColumn(out, checked).drop("__json")
+    return df.withColumn("__json", canonical_json(F.col(col))).withColumn(out, checked)
 
 
 def schema_type(schema: Mapping[str, Any]) -> T.DataType:
@@ -66,8 +70,9 @@ def schema_type(schema: Mapping[str, Any]) -> T.DataType:
 
 def to_records(df: DataFrame, col: str, schema: Mapping[str, Any] = INVOICE_SCHEMA) -> DataFrame:
     """Rows whose JSON conforms, with the typed fields as columns."""
-    good = validate_json(df, col, schema, "__bad").filter(F.size("__bad") == 0).drop("__bad")
-    return good.withColumn("__r", F.from_json(F.col(col), schema_type(schema))).select("*", "__r.*").drop("__r")
+    good = _checked(df, col, schema, "__bad").filter(F.size("__bad") == 0)
+    return (good.withColumn("__r", F.from_json(F.col("__json"), schema_type(schema)))
+            .select("*", "__r.*").drop("__bad", "__json", "__r"))
 
 
 # Where the invoice layouts put each field; the first that matches wins.

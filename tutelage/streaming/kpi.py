@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 
 def kpis(scored: DataFrame, window: str = "1 hour", keys: Sequence[str] = ("prediction",), ts_col: str = "ts",
@@ -24,3 +25,20 @@ def kpis(scored: DataFrame, window: str = "1 hour", keys: Sequence[str] = ("pred
 def kpi_stream(scored: DataFrame, watermark: str = "10 minutes", ts_col: str = "ts", **kw) -> DataFrame:
     """``kpis`` over a stream; rows later than the watermark are let go and closed windows leave the state."""
     return kpis(scored.withWatermark(ts_col, watermark), ts_col=ts_col, **kw)
+
+
+def write_kpis(kpi: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Write what each micro-batch changed to its own ``batch_id`` partition; a batch run again replaces itself."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    return (kpi.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def current_kpis(spark: SparkSession, out: str, keys: Sequence[str] = ("prediction",)) -> DataFrame:
+    """The latest state of every window and key."""
+    rows = spark.read.parquet(out)
+    values = [c for c in rows.columns if c not in ("window_start", "batch_id", *keys)]
+    latest = rows.groupBy("window_start", *keys).agg(F.max_by(F.struct(*values), "batch_id").alias("v"))
+    return latest.select("window_start", *keys, "v.*")
