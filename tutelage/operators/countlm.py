@@ -19,8 +19,8 @@ from tutelage.functions.constants import LABELS, MAX_LEN
 from tutelage.functions.text import tokens
 from tutelage.operators.joins import join_skewed
 
-# A broadcast row is a token, one long per label and hash table overhead: about 100 bytes.
-BROADCAST_TOKENS = 1_000_000
+# A broadcast row is a token, one long per label and hash table overhead: about 100 bytes, so at most some 200 MB.
+BROADCAST_TOKENS = 2_000_000
 
 
 @dataclass
@@ -70,20 +70,18 @@ def count_lm_scores(df: DataFrame, lm: CountLM, text_col: str = "prompt", keys:
                     skip: int = 0, max_len: int | None = None, broadcast_tokens: int = BROADCAST_TOKENS) -> DataFrame:
     """``raw`` (mean log-probability per label, in label order) and ``n_tokens`` per row of ``df``.
 
-    Tokens meet the counts once, with all labels side by side, and are summed per example before
-    they are shuffled. Counts are broadcast up to ``broadcast_tokens`` distinct tokens; a larger
-    vocabulary is joined by shuffle with its hot tokens kept out. A text without tokens scores null.
+    Tokens meet the counts once, with all labels side by side, and are summed per example on the map
+    side. Counts are broadcast up to ``broadcast_tokens`` distinct tokens. With a larger vocabulary the
+    most frequent tokens, which are most of a text, still are; only rare tokens are shuffled. A text without
+    tokens scores null.
     """
     toks = tokens(text_col)
     if skip or max_len is not None:
         toks = F.slice(toks, skip + 1, max(0, (max_len if max_len is not None else 2**31 - 1) - skip))
-    rows = df.select(*keys, F.explode_outer(toks).alias("token")).withColumn("tf", F.col("token").isNotNull().cast("long"))
-    if lm.v > broadcast_tokens:
-        # A token repeated inside a text crosses the shuffle once, with its frequency.
-        rows = rows.groupBy(*keys, "token").agg(F.sum("tf").alias("tf"))
+    rows = df.select(*keys, F.explode_outer(toks).alias("token"))
     scored = _with_counts(rows, lm, broadcast_tokens).withColumn("lp", lm.logprobs(F.col("c")))
-    sums = [F.sum(F.element_at("lp", i + 1) * F.col("tf")).alias(f"s{i}") for i in range(len(lm.labels))]
-    agg = scored.groupBy(*keys).agg(F.sum("tf").alias("n_tokens"), *sums)
+    sums = [F.sum(F.when(F.col("token").isNotNull(), F.element_at("lp", i + 1))).alias(f"s{i}") for i in range(len(lm.labels))]
+    agg = scored.groupBy(*keys).agg(F.count("token").alias("n_tokens"), *sums)
     raw = F.array(*[F.col(f"s{i}") / F.col("n_tokens") for i in range(len(lm.labels))])
     return agg.select(*keys, "n_tokens", F.when(F.col("n_tokens") > 0, raw).alias("raw"))
 

@@ -14,34 +14,41 @@ from tutelage.functions.jsontext import canonical_json
 from tutelage.functions.text import norm_date, py_strip
 
 _NUMBER = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"
-_TYPES = {"string": "^STRING", "number": _NUMBER, "boolean": "^BOOLEAN", "array": "^ARRAY", "object": "^OBJECT", "null": "^VOID"}
+_SCALARS = {"string": "^STRING", "number": _NUMBER, "boolean": "^BOOLEAN", "null": "^VOID"}
+
+
+def _is_a(value: Column, kind: str) -> Column:
+    if kind == "object":
+        return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+    if kind == "array":
+        return F.try_variant_get(value, "$", "array<variant>").isNotNull()
+    if kind == "integer":
+        number = F.try_variant_get(value, "$", "double")
+        return F.schema_of_variant(value).rlike(_NUMBER) & F.coalesce(number == F.floor(number), F.lit(False))
+    return F.schema_of_variant(value).rlike(_SCALARS[kind])
 
 
 def violations(value: Column, schema: Mapping[str, Any], path: Column | None = None) -> Column:
     """What a variant breaks of a JSON Schema (types, required keys, array items), as texts."""
     here = F.lit("$") if path is None else path
-    found = []
-    kind = schema.get("type")
-    if kind is not None:
-        if kind == "integer":
-            number = F.try_variant_get(value, "$", "double")
-            good = F.schema_of_variant(value).rlike(_NUMBER) & (number == F.floor(number))
-        else:
-            good = F.schema_of_variant(value).rlike(_TYPES[kind])
-        found.append(F.when(~F.coalesce(good, F.lit(False)), F.array(F.concat(here, F.lit(f": not {kind}")))))
+    single, nested = [], []
+    if "type" in schema:
+        single.append(F.when(~_is_a(value, schema["type"]), F.concat(here, F.lit(f": not {schema['type']}"))))
     for key in schema.get("required", ()):
-        found.append(F.when(F.try_variant_get(value, f"$.{key}", "variant").isNull(),
-                            F.array(F.concat(here, F.lit(f".{key}: missing")))))
+        single.append(F.when(F.try_variant_get(value, f"$.{key}", "variant").isNull(), F.concat(here, F.lit(f".{key}: missing"))))
     for key, sub in schema.get("properties", {}).items():
         part = F.try_variant_get(value, f"$.{key}", "variant")
-        found.append(F.when(part.isNotNull(), violations(part, sub, F.concat(here, F.lit(f".{key}")))))
+        at = F.concat(here, F.lit(f".{key}"))
+        if {"properties", "required", "items"} & set(sub):
+            nested.append(F.when(part.isNotNull(), violations(part, sub, at)))
+        elif "type" in sub:
+            single.append(F.when(part.isNotNull() & ~_is_a(part, sub["type"]), F.concat(at, F.lit(f": not {sub['type']}"))))
     if "items" in schema:
         parts = F.try_variant_get(value, "$", "array<variant>")
-        each = F.transform(parts, lambda v, i: violations(v, schema["items"], F.concat(here, F.lit("["), i.cast("string"), F.lit("]"))))
-        found.append(F.flatten(each))
-    if not found:
-        return F.array().cast("array<string>")
-    return F.flatten(F.array(*[F.coalesce(f, F.array().cast("array<string>")) for f in found]))
+        nested.append(F.flatten(F.transform(parts, lambda v, i: violations(
+            v, schema["items"], F.concat(here, F.lit("["), i.cast("string"), F.lit("]"))))))
+    none = F.array().cast("array<string>")
+    return F.concat(F.array_compact(F.array(*single)) if single else none, *[F.coalesce(n, none) for n in nested])
 
 
 def validate_json(df: DataFrame, col: str, schema: Mapping[str, Any] = INVOICE_SCHEMA, out: str = "violations") -> DataFrame:
@@ -53,9 +60,12 @@ def validate_json(df: DataFrame, col: str, schema: Mapping[str, Any] = INVOICE_S
 
 
 def _checked(df: DataFrame, col: str, schema: Mapping[str, Any], out: str) -> DataFrame:
-    value = F.try_parse_json(F.col("__json"))
+    """``validate_json`` that leaves the parsed text in ``__json``. Text and variant are columns of
+    their own, so each is worked out once however often the checks look at it."""
+    parsed = df.withColumn("__json", canonical_json(F.col(col))).withColumn("__v", F.try_parse_json("__json"))
+    value = F.col("__v")
     checked = F.when(value.isNull(), F.array(F.lit("$: not JSON"))).otherwise(violations(value, schema))
-    return df.withColumn("__json", canonical_json(F.col(col))).withColumn(out, checked)
+    return parsed.withColumn(out, checked).drop("__v")
 
 
 def schema_type(schema: Mapping[str, Any]) -> T.DataType:

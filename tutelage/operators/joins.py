@@ -13,13 +13,14 @@ HOT_KEYS = 2_000
 
 def join_lookup(left: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left",
                 max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Join to a table that should be small (a registry, priors): counted first, then broadcast.
+    """Join to a table that should be small (a registry, priors): fetched up to ``max_rows``, then broadcast.
 
-    Beyond ``max_rows`` it is a shuffle join in which hot keys are split off (``join_skewed``).
+    A larger one is never fetched whole: it is joined by shuffle, hot keys apart (``join_skewed``).
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if lookup.limit(max_rows + 1).count() <= max_rows:
-        return left.join(F.broadcast(lookup), keys, how)
+    rows = lookup.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return left.join(F.broadcast(lookup.sparkSession.createDataFrame(rows, lookup.schema)), keys, how)
     return join_skewed(left, lookup, keys, how)
 
 

@@ -22,7 +22,15 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float], by: str
                       accuracy: int = 10_000) -> DataFrame:
     """``(by, prob, value)`` with linear interpolation between neighbours; nulls are left out."""
     group = F.lit("all") if by is None else F.col(by)
-    rows = df.filter(F.col(value).isNotNull()).select(group.alias("g"), F.col(value).cast("double").alias("v"))
+    rows = df.filter(F.col(value).isNotNull()).select(group.alias("g"), F.col(value).cast("double").alias("v")).persist()
+    try:
+        found = _percentiles(rows, probs, by, accuracy)
+    finally:
+        rows.unpersist()
+    return df.sparkSession.createDataFrame(found, f"{by or 'grp'} string, prob double, value double")
+
+
+def _percentiles(rows: DataFrame, probs: Sequence[float], by: str | None, accuracy: int) -> list[tuple]:
     slack = 2.0 / accuracy
     lo = [max(0.0, p - slack) for p in probs]
     hi = [min(1.0, p + slack) for p in probs]
@@ -42,7 +50,7 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float], by: str
             high = r["max"] if small or hi[i] == 1.0 else r["q"][len(probs) + i]
             wanted.append((r["g"], i, low, high, math.floor(at), math.ceil(at), at - math.floor(at)))
     if not wanted:
-        return df.sparkSession.createDataFrame([], f"{by or 'grp'} string, prob double, value double")
+        return []
 
     cells = [F.struct(F.lit(i).alias("i"), F.lit(low).alias("low"), F.lit(high).alias("high"), F.lit(g).alias("wg"))
              for g, i, low, high, *_ in wanted]
@@ -71,4 +79,4 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float], by: str
         if v0 is None or v1 is None:
             raise ArithmeticError("rank fell outside its bracket; raise the accuracy")
         out.append((g, float(probs[i]), v0 + (v1 - v0) * part))
-    return df.sparkSession.createDataFrame(out, f"{by or 'grp'} string, prob double, value double")
+    return out

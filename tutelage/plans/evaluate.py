@@ -15,7 +15,7 @@ from tutelage.plans import tables as T
 from tutelage.plans.prepare import STRIPPED_ANSWER, sql_tokens
 from tutelage.plans.rank import CAL, rounded, scored, sql_full_report, sql_report, LABEL_VALUES
 from tutelage.plans.registry import query, sql_render
-from tutelage.session import fresh_path
+from tutelage.session import fresh_path, materialise
 from tutelage.sources import sinks
 
 # --- classification metrics --------------------------------------------------------------------
@@ -179,7 +179,7 @@ def f10_lm_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 def sft_results(spark: SparkSession, d: str) -> DataFrame:
     """Result rows of invoice extraction: the document is the input, the answer follows it."""
-    inv = T.invoice_answers(spark, d)
+    inv = materialise(T.invoice_answers(spark, d), "answers")
     lm = countlm.fit_count_lm(inv, "reference", None)
     examples = inv.select("id", F.col("text").alias("input"), F.col("reference").alias("output"), F.concat("text", F.lit("\n"), "answer").alias("generated"))
     return E.eval_rows(examples, "sft", lm=lm)

@@ -137,7 +137,7 @@ REQUEST_KEYS = ("event_id", "ts", "latency_ms")
 
 def scored_stream(spark: SparkSession, d: str) -> str:
     """Run the request stream to its end and give the folder of its answers."""
-    scorer = CountScorer.fit(T.credit_orders(spark, d))
+    scorer = CountScorer.fit(T.spread(T.credit_orders(spark, d), "id"))
     customer = T.table(spark, d, "customer")
     events = spark.readStream.schema(EVENT_COLUMNS).option("pathGlobFilter", "events*.parquet").parquet(d)
     out, state = fresh_path(spark, "scored"), fresh_path(spark, "scored-state")
@@ -177,5 +177,5 @@ def i2_kpi_stream(spark: SparkSession, d: str) -> DataFrame:
 
 @query("i2_kpi_batch", KPIS)
 def i2_kpi_batch(spark: SparkSession, d: str) -> DataFrame:
-    scorer = CountScorer.fit(T.credit_orders(spark, d))
-    return _kpi_columns(kpis(scorer.respond(T.requests(spark, d), "features", REQUEST_KEYS), window="6 hours"))
+    scorer = CountScorer.fit(T.spread(T.credit_orders(spark, d), "id"))
+    return _kpi_columns(kpis(scorer.respond(T.spread(T.requests(spark, d), "event_id"), "features", REQUEST_KEYS), window="6 hours"))

@@ -174,7 +174,7 @@ def e13_fit_count_lm(spark: SparkSession, d: str) -> DataFrame:
 @query("e13_count_lm_scores", f"""WITH {T.SQL_CREDIT}, {sql_lm('credit_orders')}
 SELECT id, label, round(raw, 6) AS raw FROM {sql_score('credit_orders', 'id', sql_chat('question'))}""")
 def e13_count_lm_scores(spark: SparkSession, d: str) -> DataFrame:
-    orders = T.credit_orders(spark, d)
+    orders = T.spread(T.credit_orders(spark, d), "id")
     scorer = CountScorer.fit(orders)
     return R.by_label(scorer.raw(orders, "question", ("id",)).select("id", "raw"), {"raw": "raw"}).withColumn("raw", F.round("raw", 6))
 
@@ -182,7 +182,7 @@ def e13_count_lm_scores(spark: SparkSession, d: str) -> DataFrame:
 @query("e13_token_scores", f"""WITH {T.SQL_LABELLED}, {sql_lm('labelled_docs')}
 SELECT id AS example_id, label, 0 AS variant, round(raw, 6) AS score FROM {sql_score('labelled_docs', 'id', 'question')}""")
 def e13_token_scores(spark: SparkSession, d: str) -> DataFrame:
-    docs = T.labelled_docs(spark, d)
+    docs = T.spread(T.labelled_docs(spark, d), "id")
     ts = countlm.token_scores(docs, countlm.fit_count_lm(docs), "question", "id")
     return R.sequence_score(ts).select("example_id", "label", "variant", F.round("score", 6).alias("score"))
 
@@ -223,7 +223,7 @@ def e12_infer_batch(spark: SparkSession, d: str) -> DataFrame:
 
 def evaluated(spark: SparkSession, d: str) -> DataFrame:
     """``(id, answer, prediction)`` on balanced validation documents, scored by counts of all the others."""
-    docs = T.labelled_docs(spark, d)
+    docs = T.spread(T.labelled_docs(spark, d), "id")
     val = sampling.balanced_val(docs)
     scorer = CountScorer.fit(sampling.remainder(docs, val))
     return scorer.predict(val, "question", ("id", "answer"))
