@@ -30,10 +30,10 @@ def brute():
     return {i: [sum(lp(t, lab) for t in text.split()) / len(text.split()) for lab in C.LABELS] if text.split() else None for i, text in SCORED}
 
 
-@pytest.mark.parametrize("broadcast_tokens", [10**6, 0])
-def test_scores(spark, lm, broadcast_tokens):
+@pytest.mark.parametrize("broadcast_bytes", [10**6, 0])
+def test_scores(spark, lm, broadcast_bytes):
     df = spark.createDataFrame(SCORED, "example_id long, prompt string")
-    got = {r["example_id"]: r["raw"] for r in C.count_lm_scores(df, lm, broadcast_tokens=broadcast_tokens).collect()}
+    got = {r["example_id"]: r["raw"] for r in C.count_lm_scores(df, lm, broadcast_bytes=broadcast_bytes).collect()}
     want = brute()
     assert got.keys() == want.keys()
     for i, w in want.items():
@@ -43,11 +43,20 @@ def test_scores(spark, lm, broadcast_tokens):
 def test_long_form_agrees(spark, lm):
     df = spark.createDataFrame(SCORED, "example_id long, prompt string")
     for b in (10**6, 0):
-        rows = C.token_scores(df, lm, broadcast_tokens=b).groupBy("example_id", "label").agg(F.avg("logprob").alias("s")).collect()
+        rows = C.token_scores(df, lm, broadcast_bytes=b).groupBy("example_id", "label").agg(F.avg("logprob").alias("s")).collect()
         for r in rows:
             assert r["s"] == pytest.approx(brute()[r["example_id"]][C.LABELS.index(r["label"])], abs=1e-12)
 
 
+def test_saved_counts_score_the_same(spark, lm, tmp_path):
+    lm.save(str(tmp_path / "lm"))
+    again = C.load_count_lm(spark, str(tmp_path / "lm"))
+    assert (again.n, again.v, again.size) == (lm.n, lm.v, lm.size)
+    df = spark.createDataFrame(SCORED, "example_id long, prompt string")
+    score = lambda m: sorted((r["example_id"], r["n_tokens"]) for r in C.count_lm_scores(df, m).collect())
+    assert score(lm) == score(again)
+
+
 def test_perplexity(spark):
     texts = [(1, "a a b"), (2, "b"), (3, ""), (4, "c a a a")]
     df = spark.createDataFrame(texts, "id long, text string")
@@ -55,7 +64,7 @@ def test_perplexity(spark):
     n, v, c = 8, 3, {"a": 5, "b": 2, "c": 1}
     nll = lambda ts: math.exp(-sum(math.log((c[t] + 1) / (n + v)) for t in ts) / len(ts))
     for b in (10**6, 0):
-        got = {r["id"]: r["perplexity"] for r in C.count_perplexity(df, lm, max_len=3, broadcast_tokens=b).collect()}
+        got = {r["id"]: r["perplexity"] for r in C.count_perplexity(df, lm, max_len=3, broadcast_bytes=b).collect()}
         assert got[1] == pytest.approx(nll(["a", "b"])) and got[4] == pytest.approx(nll(["a", "a"]))
         assert got[2] is None and got[3] is None
     stored = spark.createDataFrame([(1, 0, -5.0), (1, 1, -1.0), (1, 2, -2.0), (2, 0, -1.0)], "example_id long, pos int, logprob double")

@@ -71,14 +71,14 @@ def test_drift(spark):
     assert got == {"Good": (.5, .5, 0), "Bad": (.25, 0, -.25), "Old": (.25, 0, -.25), "Standard": (0, .5, .5)}
 
 
-@pytest.mark.parametrize("accuracy", [50, 10_000])
-def test_exact_percentiles(spark, accuracy):
+@pytest.mark.parametrize("accuracy, max_inside", [(50, 10), (1000, 100), (10_000, 10**6)])
+def test_exact_percentiles(spark, accuracy, max_inside):
     rng = random.Random(3)
     groups = {"even": [rng.random() for _ in range(4000)], "same": [1.5] * 3000, "third": [0.0] * 1000 + [rng.gauss(0, 1e6) for _ in range(2000)],
               "tiny": [3.0, 1.0], "single": [7.0]}
     df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs] + [("tiny", None)], "g string, v double").repartition(4)
     probs = (0.0, 0.05, 0.5, 0.95, 1.0)
-    got = {(r["g"], r["prob"]): r["value"] for r in exact_percentiles(df, "v", probs, "g", accuracy).collect()}
+    got = {(r["g"], r["prob"]): r["value"] for r in exact_percentiles(df, "v", probs, "g", accuracy, max_inside).collect()}
     for g, vs in groups.items():
         assert [got[g, p] for p in probs] == pytest.approx(list(np.quantile(vs, probs)), rel=1e-12)
     assert exact_percentiles(df.filter("false"), "v", probs).count() == 0

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tutelage.functions import scores as S
@@ -19,24 +19,43 @@ from tutelage.functions.constants import LABELS, MAX_LEN
 from tutelage.functions.text import tokens
 from tutelage.operators.joins import join_skewed
 
-# A broadcast row is a token, one long per label and hash table overhead: about 100 bytes, so at most some 200 MB.
-BROADCAST_TOKENS = 2_000_000
+# A broadcast row is the token, one long per label, and some 100 bytes of row and hash table.
+BROADCAST_BYTES = 200 << 20
+ROW_BYTES = 100
 
 
 @dataclass
 class CountLM:
-    """``counts(token, c)``: ``c`` has one count per label. ``n`` tokens per label, ``v`` distinct tokens."""
+    """``counts(token, c)``: ``c`` has one count per label. ``n`` tokens per label, ``v`` distinct tokens
+    of ``token_bytes`` bytes altogether."""
 
     counts: DataFrame
     labels: tuple[str, ...]
     n: tuple[int, ...]
     v: int
+    token_bytes: int
+
+    @property
+    def size(self) -> int:
+        """Bytes of the counts as a broadcast table, known from the fit."""
+        return self.token_bytes + self.v * (ROW_BYTES + 8 * len(self.labels))
 
     def logprobs(self, c: Column) -> Column:
         """Log-probability per label from a counts array; null (unknown token) counts as zeros."""
         cell = lambda i: F.coalesce(F.element_at(c, i + 1), F.lit(0))
         return F.array(*[F.log((cell(i) + 1) / F.lit(float(self.n[i] + self.v))) for i in range(len(self.labels))])
 
+    def save(self, path: str) -> None:
+        """Write the counts for other jobs."""
+        self.counts.write.parquet(path)
+
+    def unpersist(self) -> None:
+        self.counts.unpersist()
+
+
+def load_count_lm(spark: SparkSession, path: str, labels: Sequence[str] = LABELS) -> CountLM:
+    return _measured(spark.read.schema("token string, c array<bigint>").parquet(path), tuple(labels))
+
 
 def fit_count_lm(df: DataFrame, text_col: str = "question", label_col: str | None = "answer",
                  labels: Sequence[str] = LABELS, max_len: int | None = None) -> CountLM:
@@ -45,33 +64,37 @@ def fit_count_lm(df: DataFrame, text_col: str = "question", label_col: str | Non
     label = F.col(label_col) if label_col is not None else F.lit("all")
     toks = tokens(text_col) if max_len is None else F.slice(tokens(text_col), 1, max_len)
     rows = df.select(label.alias("label"), F.explode(toks).alias("token"))
-    counts = (rows.groupBy("token").agg(F.array(*[F.count_if(F.col("label") == lab) for lab in labels]).alias("c"))
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    total = counts.agg(F.count("*").alias("v"), *[F.sum(F.element_at("c", i + 1)).alias(f"n{i}") for i in range(len(labels))]).first()
-    return CountLM(counts, labels, tuple(int(total[f"n{i}"] or 0) for i in range(len(labels))), int(total["v"]))
+    counts = rows.groupBy("token").agg(F.array(*[F.count_if(F.col("label") == lab) for lab in labels]).alias("c"))
+    return _measured(counts.persist(StorageLevel.MEMORY_AND_DISK), labels)
+
+
+def _measured(counts: DataFrame, labels: tuple[str, ...]) -> CountLM:
+    sums = [F.sum(F.element_at("c", i + 1)).alias(f"n{i}") for i in range(len(labels))]
+    total = counts.agg(F.count("*").alias("v"), F.sum(F.octet_length("token")).alias("bytes"), *sums).first()
+    return CountLM(counts, labels, tuple(int(total[f"n{i}"] or 0) for i in range(len(labels))), int(total["v"]), int(total["bytes"] or 0))
 
 
-def _with_counts(rows: DataFrame, lm: CountLM, broadcast_tokens: int) -> DataFrame:
-    if lm.v <= broadcast_tokens:
+def _with_counts(rows: DataFrame, lm: CountLM, broadcast_bytes: int) -> DataFrame:
+    if lm.size <= broadcast_bytes:
         return rows.join(F.broadcast(lm.counts), "token", "left")
     return join_skewed(rows, lm.counts, ["token"], "left")
 
 
 def token_scores(df: DataFrame, lm: CountLM, text_col: str = "prompt", id_col: str = "example_id",
-                 broadcast_tokens: int = BROADCAST_TOKENS) -> DataFrame:
+                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The long form ``token_scores(example_id, label, variant, pos, logprob)``."""
     rows = df.select(F.col(id_col).alias("example_id"), F.posexplode(tokens(text_col)).alias("pos", "token"))
-    scored = _with_counts(rows, lm, broadcast_tokens).withColumn("lp", lm.logprobs(F.col("c")))
+    scored = _with_counts(rows, lm, broadcast_bytes).withColumn("lp", lm.logprobs(F.col("c")))
     cells = [F.struct(F.lit(lab).alias("label"), F.element_at("lp", i + 1).alias("logprob")) for i, lab in enumerate(lm.labels)]
     return scored.select("example_id", F.lit(0).alias("variant"), "pos", F.inline(F.array(*cells)))
 
 
 def count_lm_scores(df: DataFrame, lm: CountLM, text_col: str = "prompt", keys: Sequence[str] = ("example_id",),
-                    skip: int = 0, max_len: int | None = None, broadcast_tokens: int = BROADCAST_TOKENS) -> DataFrame:
+                    skip: int = 0, max_len: int | None = None, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``raw`` (mean log-probability per label, in label order) and ``n_tokens`` per row of ``df``.
 
     Tokens meet the counts once, with all labels side by side, and are summed per example on the map
-    side. Counts are broadcast up to ``broadcast_tokens`` distinct tokens. With a larger vocabulary the
+    side. Counts of up to ``broadcast_bytes`` are broadcast. With a larger vocabulary the
     most frequent tokens, which are most of a text, still are; only rare tokens are shuffled. A text without
     tokens scores null.
     """
@@ -79,7 +102,7 @@ def count_lm_scores(df: DataFrame, lm: CountLM, text_col: str = "prompt", keys:
     if skip or max_len is not None:
         toks = F.slice(toks, skip + 1, max(0, (max_len if max_len is not None else 2**31 - 1) - skip))
     rows = df.select(*keys, F.explode_outer(toks).alias("token"))
-    scored = _with_counts(rows, lm, broadcast_tokens).withColumn("lp", lm.logprobs(F.col("c")))
+    scored = _with_counts(rows, lm, broadcast_bytes).withColumn("lp", lm.logprobs(F.col("c")))
     sums = [F.sum(F.when(F.col("token").isNotNull(), F.element_at("lp", i + 1))).alias(f"s{i}") for i in range(len(lm.labels))]
     agg = scored.groupBy(*keys).agg(F.count("token").alias("n_tokens"), *sums)
     raw = F.array(*[F.col(f"s{i}") / F.col("n_tokens") for i in range(len(lm.labels))])
@@ -95,11 +118,11 @@ def perplexity(token_lp: DataFrame, id_col: str = "example_id", pos_col: str = "
 
 
 def count_perplexity(df: DataFrame, lm: CountLM, text_col: str = "text", id_col: str = "id", max_len: int = MAX_LEN,
-                     broadcast_tokens: int = BROADCAST_TOKENS) -> DataFrame:
+                     broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Perplexity under a one-class count model of the first ``max_len`` tokens, the length limit of the evaluator.
 
     Texts of fewer than two tokens have none and come back null.
     """
-    scored = count_lm_scores(df, lm, text_col, (id_col,), 1, max_len, broadcast_tokens)
+    scored = count_lm_scores(df, lm, text_col, (id_col,), 1, max_len, broadcast_bytes)
     n = F.col("n_tokens")
     return scored.select(id_col, n.alias("n_predicted"), S.perplexity_of(F.element_at("raw", 1) * n, n).alias("perplexity"))

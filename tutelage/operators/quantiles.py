@@ -1,82 +1,103 @@
 """Exact percentiles of a continuous column.
 
-``percentile`` keeps every distinct value of a group in one task. Here a mergeable sketch first
-brackets the wanted ranks; only the values inside the bracket, a share of about ``4 / accuracy``
-of the rows, are then counted and ordered. The sketch's error bound is checked against the counts, so the
-result is the exact one or an error, never an estimate.
+``percentile`` keeps every distinct value of a group in one task. Here a mergeable sketch brackets
+each wanted rank, the rows below and inside the bracket are counted, and the bracket is narrowed in
+the same way until it is small; only the values left in it are ordered. The counts are exact, so the result is the
+exact percentile or an error, never an estimate.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_GROUPS = 1000
+MAX_GROUPS = 100
+MAX_INSIDE = 1_000_000
+
+
+@dataclass
+class _Target:
+    group: str
+    prob: float
+    first: int  # ranks of the two neighbours, from 0
+    second: int
+    part: float
+    low: float
+    high: float
+    below: int = 0
+    inside: int = 0
+
+    def row(self) -> Column:
+        return (F.col("g") == F.lit(self.group)) & F.col("v").between(F.lit(self.low), F.lit(self.high))
 
 
 def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float], by: str | None = None,
-                      accuracy: int = 10_000) -> DataFrame:
+                      accuracy: int = 10_000, max_inside: int = MAX_INSIDE) -> DataFrame:
     """``(by, prob, value)`` with linear interpolation between neighbours; nulls are left out."""
     group = F.lit("all") if by is None else F.col(by)
     rows = df.filter(F.col(value).isNotNull()).select(group.alias("g"), F.col(value).cast("double").alias("v")).persist()
     try:
-        found = _percentiles(rows, probs, by, accuracy)
+        found = _percentiles(rows, probs, by, accuracy, max_inside)
     finally:
         rows.unpersist()
     return df.sparkSession.createDataFrame(found, f"{by or 'grp'} string, prob double, value double")
 
 
-def _percentiles(rows: DataFrame, probs: Sequence[float], by: str | None, accuracy: int) -> list[tuple]:
-    slack = 2.0 / accuracy
-    lo = [max(0.0, p - slack) for p in probs]
-    hi = [min(1.0, p + slack) for p in probs]
-    sketch = rows.groupBy("g").agg(
-        F.count("*").alias("n"), F.min("v").alias("min"), F.max("v").alias("max"),
-        F.percentile_approx("v", [*lo, *hi], accuracy).alias("q")).limit(MAX_GROUPS + 1).collect()
-    if len(sketch) > MAX_GROUPS:
+def _percentiles(rows: DataFrame, probs: Sequence[float], by: str | None, accuracy: int, max_inside: int) -> list[tuple]:
+    groups = rows.groupBy("g").agg(F.count("*").alias("n"), F.min("v").alias("min"), F.max("v").alias("max")).limit(MAX_GROUPS + 1).collect()
+    if len(groups) > MAX_GROUPS:
         raise ValueError(f"more than {MAX_GROUPS} groups in {by}")
-
-    wanted = []
-    for r in sketch:
-        for i, p in enumerate(probs):
+    targets = []
+    for r in groups:
+        for p in probs:
             at = (r["n"] - 1) * p
-            # In a small group the slack is less than one place, so the bracket is everything.
-            small = r["n"] <= accuracy
-            low = r["min"] if small or lo[i] == 0.0 else r["q"][i]
-            high = r["max"] if small or hi[i] == 1.0 else r["q"][len(probs) + i]
-            wanted.append((r["g"], i, low, high, math.floor(at), math.ceil(at), at - math.floor(at)))
-    if not wanted:
+            targets.append(_Target(r["g"], float(p), math.floor(at), math.ceil(at), at - math.floor(at), r["min"], r["max"], 0, r["n"]))
+    if not targets:
         return []
 
-    cells = [F.struct(F.lit(i).alias("i"), F.lit(low).alias("low"), F.lit(high).alias("high"), F.lit(g).alias("wg"))
-             for g, i, low, high, *_ in wanted]
-    below = rows.groupBy("g").agg(*[F.count_if((F.col("g") == F.lit(g)) & (F.col("v") < low)).alias(f"b{k}")
-                                    for k, (g, _, low, *_) in enumerate(wanted)]).collect()
-    n_below = [sum(r[f"b{k}"] for r in below) for k in range(len(wanted))]
+    wide = [t for t in targets if t.inside > max_inside]
+    while wide:
+        _narrow(rows, wide, accuracy)
+        wide = [t for t in wide if t.inside > max_inside]
+    return _pick(rows, targets)
 
-    inside = (rows.select("g", "v", F.explode(F.array(*cells)).alias("c"))
-              .filter((F.col("g") == F.col("c.wg")) & F.col("v").between(F.col("c.low"), F.col("c.high")))
-              .groupBy("g", F.col("c.i").alias("i"), "v").agg(F.count("*").alias("m")))
-    upto = F.sum("m").over(W.partitionBy("g", "i").orderBy("v"))
 
-    def rank(place: int) -> Column:
-        out = F.lit(None).cast("long")
-        for k, (g, i, _, _, *ranks) in enumerate(wanted):
-            out = F.when((F.col("g") == F.lit(g)) & (F.col("i") == i), F.lit(ranks[place] - n_below[k])).otherwise(out)
-        return out
+def _narrow(rows: DataFrame, wide: list[_Target], accuracy: int) -> None:
+    """One sketch and one count over the rows; a bracket that gets no smaller is done (it is all copies)."""
+    slack = 2.0 / accuracy
+    sketches = []
+    for i, t in enumerate(wide):
+        span = max(t.inside - 1, 1)
+        ends = [max(0.0, (t.first - t.below) / span - slack), min(1.0, (t.second - t.below) / span + slack)]
+        sketches.append(F.percentile_approx(F.when(t.row(), F.col("v")), ends, accuracy).alias(f"q{i}"))
+    ends = rows.agg(*sketches).first()
+    for i, t in enumerate(wide):
+        t.low, t.high = ends[f"q{i}"]
+    counts = []
+    for i, t in enumerate(wide):
+        counts += [F.count_if((F.col("g") == F.lit(t.group)) & (F.col("v") < t.low)).alias(f"b{i}"), F.count_if(t.row()).alias(f"n{i}")]
+    got = rows.agg(*counts).first()
+    for i, t in enumerate(wide):
+        smaller = got[f"n{i}"] < t.inside
+        t.below, t.inside = got[f"b{i}"], got[f"n{i}"] if smaller else 0
+        if not t.below <= t.first <= t.second < t.below + got[f"n{i}"]:
+            raise ArithmeticError("rank fell outside its bracket; raise the accuracy")
+
 
-    ordered = inside.withColumn("upto", upto).withColumn("r0", rank(0)).withColumn("r1", rank(1))
+def _pick(rows: DataFrame, targets: list[_Target]) -> list[tuple]:
+    """Order the distinct values inside each bracket by running count and read off the ranks."""
+    cells = [F.struct(F.lit(i).alias("i"), F.lit(t.group).alias("g"), F.lit(t.low).alias("low"), F.lit(t.high).alias("high"),
+                      F.lit(t.first - t.below).alias("r0"), F.lit(t.second - t.below).alias("r1")) for i, t in enumerate(targets)]
+    inside = (rows.select("g", "v", F.explode(F.array(*cells)).alias("c"))
+              .filter((F.col("g") == F.col("c.g")) & F.col("v").between(F.col("c.low"), F.col("c.high")))
+              .groupBy("c", "v").agg(F.count("*").alias("m")))
+    upto = F.sum("m").over(W.partitionBy("c").orderBy("v"))
     hit = lambda r: F.max(F.when((F.col(r) >= F.col("upto") - F.col("m")) & (F.col(r) < F.col("upto")), F.col("v")))
-    found = {(r["g"], r["i"]): (r["v0"], r["v1"]) for r in
-             ordered.groupBy("g", "i").agg(hit("r0").alias("v0"), hit("r1").alias("v1")).collect()}
-    out = []
-    for g, i, _, _, _, _, part in wanted:
-        v0, v1 = found.get((g, i), (None, None))
-        if v0 is None or v1 is None:
-            raise ArithmeticError("rank fell outside its bracket; raise the accuracy")
-        out.append((g, float(probs[i]), v0 + (v1 - v0) * part))
-    return out
+    ordered = inside.select("c.i", "c.r0", "c.r1", "v", "m", upto.alias("upto"))
+    found = {r["i"]: (r["v0"], r["v1"]) for r in ordered.groupBy("i").agg(hit("r0").alias("v0"), hit("r1").alias("v1")).collect()}
+    return [(t.group, t.prob, found[i][0] + (found[i][1] - found[i][0]) * t.part) for i, t in enumerate(targets)]
