@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -17,3 +18,16 @@ def infer_batch(df: DataFrame, make_predict_fn: Callable, inputs: Sequence[Colum
     """
     predict = predict_batch_udf(make_predict_fn, return_type=return_type, batch_size=batch_size, **kw)
     return df.withColumn(output_col, predict(*inputs))
+
+
+def score_candidates(df: DataFrame, make_score_fn: Callable, prompt_col: str = "prompt", candidate_col: str = "candidate",
+                     batch_size: int = 64) -> DataFrame:
+    """Adds ``score`` and ``n_tokens``: the mean log-probability of a candidate after its prompt.
+
+    ``make_score_fn()`` loads a model and returns a function of two numpy string arrays giving
+    ``{"sum_logprob": floats, "n_tokens": ints}``. A candidate of no tokens has no score.
+    """
+    kind = T.StructType([T.StructField("sum_logprob", T.DoubleType()), T.StructField("n_tokens", T.LongType())])
+    scored = infer_batch(df, make_score_fn, [prompt_col, candidate_col], "__s", kind, batch_size)
+    n = F.col("__s.n_tokens")
+    return scored.withColumn("n_tokens", n).withColumn("score", F.when(n > 0, F.col("__s.sum_logprob") / n)).drop("__s")

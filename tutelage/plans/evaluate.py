@@ -196,6 +196,13 @@ def f11_eval_sft(spark: SparkSession, d: str) -> DataFrame:
                                         "json_eval.valid_json", F.round("json_eval.field_match", 6).alias("field_match"))
 
 
+@query("f11_eval_metrics", f"""WITH {SFT_RESULTS} SELECT count(*) AS num_examples, round(avg(perplexity), 3) AS avg_perplexity, round(avg(CASE WHEN valid_json THEN 1.0 ELSE 0.0 END), 6) AS valid_json_ratio,
+round(coalesce(avg(field_match) FILTER (valid_json), 0), 6) AS avg_field_match FROM ppl JOIN je USING (id)""")
+def f11_eval_metrics(spark: SparkSession, d: str) -> DataFrame:
+    out = E.eval_metrics(sft_results(spark, d), "sft")
+    return rounded(out, "valid_json_ratio", "avg_field_match").withColumn("avg_perplexity", F.round("avg_perplexity", 3))
+
+
 _KD_PROMPT = sql_render(K.KD_CODE_PROMPT, "input")
 
 

@@ -14,7 +14,7 @@ from tutelage.operators.metrics import full_report
 from tutelage.plans import tables as T
 from tutelage.plans.prepare import NULLS_SQL, sql_chat, sql_tokens
 from tutelage.plans.registry import query, quote
-from tutelage.plans.scorer import CountScorer
+from tutelage.plans.scorer import CountScorer, ModelScorer
 
 LABEL_VALUES = "(VALUES ('Good', 1), ('Standard', 2), ('Bad', 3)) AS lab(label, place)"
 
@@ -219,6 +219,31 @@ def e12_infer_batch(spark: SparkSession, d: str) -> DataFrame:
     return out.select("vec_id", F.round("output", 4).alias("output"))
 
 
+def _length_model():
+    """Stands in for a language model: a score from the lengths of prompt and candidate, one token per word."""
+    import numpy as np
+
+    def score(prompts, candidates):
+        p = np.array([len(t) for t in prompts], dtype="int64")
+        c = np.array([len(t) for t in candidates], dtype="int64")
+        return {"sum_logprob": -((p * 31 + c * 17) % 101) / 7.0, "n_tokens": np.array([len(t.split()) for t in candidates], dtype="int64")}
+
+    return score
+
+
+_LENGTH_RAW = f"""SELECT {{key}}, label, max(-((length(prompt) * 31 + length(CASE variant WHEN 0 THEN ' ' ELSE '' END || label) * 17) % 101) / 7.0) AS raw
+  FROM {{source}}, {LABEL_VALUES}, (VALUES (0), (1)) AS v(variant) GROUP BY ALL"""
+
+
+@query("e12_model_scorer", f"""WITH {T.SQL_CREDIT}, prompts AS (SELECT id, {sql_chat('question')} AS prompt FROM credit_orders), nulls AS (SELECT null_id, {sql_chat('features')} AS prompt FROM {NULLS_SQL}),
+prior AS (SELECT label, avg(raw) AS prior FROM ({_LENGTH_RAW.format(key='null_id', source='nulls')}) GROUP BY label)
+SELECT id, label, round(raw - prior, 6) AS score FROM ({_LENGTH_RAW.format(key='id', source='prompts')}) JOIN prior USING (label)""")
+def e12_model_scorer(spark: SparkSession, d: str) -> DataFrame:
+    scorer = ModelScorer.load(spark, _length_model)
+    raw = scorer.raw(T.credit_orders(spark, d), "question", ("id",))
+    return R.by_label(R.calibrate(raw, scorer.prior).select("id", "scores"), {"scores": "score"}).withColumn("score", F.round("score", 6))
+
+
 # --- flagship ----------------------------------------------------------------------------------
 
 def evaluated(spark: SparkSession, d: str) -> DataFrame:

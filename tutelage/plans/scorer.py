@@ -1,39 +1,82 @@
-"""The count scorer with its null prior: fitted once, then used by batch and stream alike."""
+"""Scorers with their null prior: made once, then used by batch and stream alike.
+
+A scorer turns feature texts into ``raw`` scores per label; what follows is the same for all:
+calibrate, predict, respond.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tutelage.functions.constants import LABELS
 from tutelage.functions.templates import credit_chat_prompt
 from tutelage.operators import ranking as R
 from tutelage.operators.countlm import CountLM, count_lm_scores, fit_count_lm
+from tutelage.operators.inference import score_candidates
+
+
+class Scorer:
+    """``prior`` and ``raw`` are what a kind of scorer brings along."""
+
+    prior: dict[str, float]
+    labels: Sequence[str]
+
+    def raw(self, df: DataFrame, features_col: str, keys: Sequence[str]) -> DataFrame:
+        """``raw`` per row of ``df``; ``keys`` identify a row and are kept."""
+        raise NotImplementedError
+
+    def respond(self, df: DataFrame, features_col: str, keys: Sequence[str]) -> DataFrame:
+        return R.score_response(self.raw(df, features_col, keys), self.prior, labels=self.labels)
+
+    def predict(self, df: DataFrame, features_col: str, keys: Sequence[str], bias: Mapping[str, float] | None = None) -> DataFrame:
+        return R.predict(R.calibrate(self.raw(df, features_col, keys), self.prior, labels=self.labels), bias, self.labels)
+
+    def _fit_prior(self, spark: SparkSession) -> dict[str, float]:
+        """Seven prompts make one row: it fits the driver, and is kept like the model it belongs to."""
+        nulls = R.null_features(spark.range(1).select(F.lit("scorer").alias("model")))
+        raw = self.raw(nulls.select("null_id", "features"), "features", ("null_id",))
+        return dict(zip(self.labels, R.null_prior(raw, self.labels).first()["prior"], strict=True))
 
 
 @dataclass
-class CountScorer:
+class CountScorer(Scorer):
+    """Scores by token counts; needs no model."""
+
     lm: CountLM
-    prior: dict[str, float]
+    labels: Sequence[str] = LABELS
+    prior: dict[str, float] = field(default_factory=dict)
 
     @classmethod
     def fit(cls, train: DataFrame, labels: Sequence[str] = LABELS) -> CountScorer:
-        lm = fit_count_lm(train, labels=labels)
-        one = train.sparkSession.range(1).select(F.lit("count").alias("model"))
-        nulls = count_lm_scores(R.null_features(one), lm, keys=("null_id",))
-        prior = R.null_prior(nulls, labels).first()["prior"]
-        return cls(lm, dict(zip(labels, prior, strict=True)))
+        made = cls(fit_count_lm(train, labels=labels), labels)
+        made.prior = made._fit_prior(train.sparkSession)
+        return made
 
     def raw(self, df: DataFrame, features_col: str, keys: Sequence[str]) -> DataFrame:
-        """``raw`` per row of ``df``; ``keys`` identify a row and are kept."""
         prompts = df.select(*keys, credit_chat_prompt(features_col).alias("prompt"))
         return count_lm_scores(prompts, self.lm, keys=keys)
 
-    def respond(self, df: DataFrame, features_col: str, keys: Sequence[str]) -> DataFrame:
-        return R.score_response(self.raw(df, features_col, keys), self.prior)
 
-    def predict(self, df: DataFrame, features_col: str, keys: Sequence[str]) -> DataFrame:
-        return R.predict(R.calibrate(self.raw(df, features_col, keys), self.prior))
+@dataclass
+class ModelScorer(Scorer):
+    """Scores by a Python model, loaded once per worker (see ``score_candidates``)."""
+
+    make_score_fn: Callable
+    labels: Sequence[str] = LABELS
+    batch_size: int = 64
+    prior: dict[str, float] = field(default_factory=dict)
+
+    @classmethod
+    def load(cls, spark: SparkSession, make_score_fn: Callable, labels: Sequence[str] = LABELS, batch_size: int = 64) -> ModelScorer:
+        made = cls(make_score_fn, labels, batch_size)
+        made.prior = made._fit_prior(spark)
+        return made
+
+    def raw(self, df: DataFrame, features_col: str, keys: Sequence[str]) -> DataFrame:
+        prompts = df.select(*keys, credit_chat_prompt(features_col).alias("prompt"))
+        candidates = score_candidates(R.expand_candidates(prompts, self.labels), self.make_score_fn, batch_size=self.batch_size)
+        return R.best_variant(candidates, labels=self.labels, keys=keys)
