@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tutelage.functions.constants import SAMPLE_SEED
 from tutelage.operators.datasets import decode_label, encode_label
-from tutelage.operators.metrics import accuracy, class_report, macro_avg
+from tutelage.operators.metrics import summary
 from tutelage.operators.sampling import split_column
 
 
@@ -49,5 +49,4 @@ def student_report(predicted: DataFrame) -> DataFrame:
         *[F.struct(F.lit(name).alias("compared"), F.col(t).alias("answer"), F.col(p).alias("prediction"))
           for name, t, p in (("student vs teacher", "teacher_label", "prediction"), ("student vs gold", "answer", "prediction"),
                              ("teacher vs gold", "answer", "teacher_label"))])))
-    macro = macro_avg(class_report(rows, by=("compared",)), ("compared",)).select("compared", F.col("f1").alias("macro_f1"))
-    return accuracy(rows, by=("compared",)).join(macro, "compared")
+    return summary(rows, by=("compared",)).select("compared", "accuracy", "n", "macro_f1")

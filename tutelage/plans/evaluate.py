@@ -126,7 +126,7 @@ SELECT label, round(b, 6) AS baseline_share, round(c, 6) AS current_share, round
 def f16_class_drift(spark: SparkSession, d: str) -> DataFrame:
     days = T.table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), (F.year("o_orderdate") < 1999).alias("early"))
     rows = predicted(spark, d).join(days, "id")
-    return rounded(M.class_drift(rows.filter("early"), rows.filter("NOT early")), "baseline_share", "current_share", "drift")
+    return rounded(M.slice_drift(rows, ~F.col("early")), "baseline_share", "current_share", "drift")
 
 
 # --- generated text ----------------------------------------------------------------------------
