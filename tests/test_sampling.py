@@ -116,3 +116,5 @@ def test_few_shot(df):
     text = few_shot_prompt(picked).first()["system_prompt"]
     labels = [line.split('"label": "')[1].split('"')[0] for line in text.splitlines() if "Brief reasoning" in line]
     assert labels == ["Good", "Good", "Bad", "Bad", "Standard", "Standard"]
+    with pytest.raises(ValueError, match="Standard"):
+        S.few_shot_sample(df.filter("answer <> 'Standard'"))

@@ -72,3 +72,44 @@ def test_annotation_requests_keep_exemplars_apart(spark):
     system = out[0]["system_prompt"]
     assert system.count("Brief reasoning") == 6 and not any(r["question"] + "\n" in system for r in out)
     assert all(r["user_prompt"] == "Customer Data:\n" + r["question"] for r in out)
+
+
+def test_generation_with_a_model(spark, tmp_path):
+    def load():
+        import numpy as np
+
+        return lambda prompts: np.array([p + ' {"a": 1}' for p in prompts], dtype=object)
+
+    df = spark.createDataFrame([(i, f"task {i}", f'{{"a": {i}, "b": 2}}') for i in range(6)], "id long, input string, output string")
+    lm = countlm.fit_count_lm(df, "input", None)
+    rows, found = W.evaluate_generation(df, "sft", str(tmp_path / "m"), lm=lm, make_generate_fn=load)
+    assert {r["generated"] for r in rows.collect()} == {'{"a": 1}'} and found.first()["avg_field_match"] == 0.5
+    kd = df.select("id", "input", "output").withColumnRenamed("output", "teacher_output")
+    rows, found = W.evaluate_generation(kd, "kd", str(tmp_path / "m"), lm=lm, make_generate_fn=load)
+    assert rows.columns == ["id", "input", "teacher_output", "generated", "perplexity"] and found.first()["num_examples"] == 6
+
+
+def test_answer_requests(spark):
+    def load():
+        import numpy as np
+
+        return lambda keys, prompts: np.array([f"{p} by {k}\n" for k, p in zip(keys, prompts)], dtype=object)
+
+    reg = spark.createDataFrame([("idp_sft_aaaaaaaa", "idp", 1)], "model_key string, flow string, load_order int")
+    req = spark.createDataFrame([(1, "idp", "sft", "aaaaaaaabbbb", "doc"), (2, "idp", "kd", None, "doc"), (3, "codegen", "kd", None, "code")],
+                                "id int, flow string, method string, run_id string, text string")
+    got = {r["id"]: r["response"] for r in W.answer_requests(req, reg, load).collect()}
+    assert got == {1: "by idp_sft_aaaaaaaa", 2: "by idp_sft_aaaaaaaa", 3: None}
+
+
+def test_extract_documents(spark, tmp_path):
+    def load():
+        import numpy as np
+
+        return lambda prompts: np.array(['{"n": "x"}' if "bad" in p else 'Here: {"n": 1}' for p in prompts], dtype=object)
+
+    (tmp_path / "schema.json").write_text('{"type": "object",\n "properties": {"n": {"type": "number"}}, "required": ["n"]}')
+    schema = readers.read_schema(spark, str(tmp_path / "schema.json"))
+    df = spark.createDataFrame([(1, "good"), (2, "bad")], "id int, text string")
+    got = {r["id"]: (r["json"], r["violations"]) for r in W.extract_documents(df, schema, load).collect()}
+    assert got == {1: ('{"n": 1}', []), 2: ('{"n": "x"}', ["$.n: not number"])}

@@ -155,13 +155,19 @@ def remainder(pool: DataFrame, sample: DataFrame, id_col: str = "id") -> DataFra
 def few_shot_sample(df: DataFrame, k: int = 2, seed: int = SAMPLE_SEED, classes: Sequence[str] = FEW_SHOT_ORDER,
                     label_col: str = "answer", id_col: str = "id") -> DataFrame:
     """k exemplars per class with their ``draw`` key, for ``few_shot_prompt``."""
-    picked = lowest(df.filter(F.col(label_col).isin(*classes)), lambda sizes: {c: k for c in classes}, seed, label_col, id_col)
+    def quotas(sizes: dict[str, int]) -> dict[str, int]:
+        short = [c for c in classes if sizes.get(c, 0) < k]
+        if short:
+            raise ValueError(f"fewer than {k} examples for {', '.join(short)}")
+        return {c: k for c in classes}
+
+    picked = lowest(df.filter(F.col(label_col).isin(*classes)), quotas, seed, label_col, id_col)
     return picked.withColumn("draw", draw_key(id_col, seed))
 
 
 def split_column(df: DataFrame, test_frac: float, seed: int = SAMPLE_SEED, id_col: str = "id") -> DataFrame:
     """``df`` with a column ``split``: exactly ``ceil(test_frac * n)`` rows are test, the rest train."""
-    test = drawn(df, lambda sizes: {"all": math.ceil(round(test_frac * sizes.get("all", 0), 9))}, seed, None, id_col)
+    test = drawn(df, lambda sizes: {"all": math.ceil(test_frac * sizes.get("all", 0))}, seed, None, id_col)
     return df.withColumn("split", F.when(test, "test").otherwise("train"))
 
 

@@ -240,7 +240,7 @@ prior AS (SELECT label, avg(raw) AS prior FROM ({_LENGTH_RAW.format(key='null_id
 SELECT id, label, round(raw - prior, 6) AS score FROM ({_LENGTH_RAW.format(key='id', source='prompts')}) JOIN prior USING (label)""")
 def e12_model_scorer(spark: SparkSession, d: str) -> DataFrame:
     scorer = ModelScorer.load(spark, _length_model)
-    raw = scorer.raw(T.credit_orders(spark, d), "question", ("id",))
+    raw = scorer.raw(T.spread(T.credit_orders(spark, d), "id"), "question", ("id",))
     return R.by_label(R.calibrate(raw, scorer.prior).select("id", "scores"), {"scores": "score"}).withColumn("score", F.round("score", 6))
 
 

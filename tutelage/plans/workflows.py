@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tutelage.functions import constants as K
 from tutelage.functions import templates as P
-from tutelage.operators import datasets, evaluation, metrics, sampling
+from tutelage.functions.jsontext import extract_json
+from tutelage.functions.text import strip_prompt
+from tutelage.operators import datasets, evaluation, metrics, routing, sampling
 from tutelage.operators.countlm import CountLM
+from tutelage.operators.extraction import validate_json
+from tutelage.operators.inference import infer_batch
 from tutelage.plans.scorer import Scorer
 from tutelage.session import materialise
 from tutelage.sources import readers, sinks
@@ -49,13 +55,19 @@ def evaluate_classifier(df: DataFrame, scorer: Scorer, frac: float = 0.1, per_cl
 
 
 def evaluate_generation(df: DataFrame, training_type: str, model_dir: str, idp_mode: bool = False, limit: int = 0, lm: CountLM | None = None,
-                        run_id: str | None = None, runs: str | None = None, params: dict[str, object] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Results and metrics of one training method from examples with their ``generated`` text.
+                        make_generate_fn: Callable | None = None, run_id: str | None = None, runs: str | None = None,
+                        params: dict[str, object] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Results and metrics of one training method.
 
-    Results are written next to the model and read back; metrics (and parameters) go to the run table if one is
-    named. ``limit`` is the evaluator's plain first-n.
+    The model's text comes from ``make_generate_fn`` (prompts in, prompt and continuation out), or is already there
+    as ``generated``. Results are written next to the model and read back, so no text is generated twice; metrics
+    (and parameters) go to the run table if one is named. ``limit`` is the evaluator's plain first-n.
     """
-    rows = evaluation.eval_rows(sampling.head_n(df, limit), training_type, idp_mode, lm)
+    examples = sampling.head_n(df, limit)
+    if make_generate_fn is not None:
+        prompts = examples.withColumn("__p", P.format_prompt(evaluation.INPUT_COL[training_type], training_type, idp_mode))
+        examples = materialise(infer_batch(prompts, make_generate_fn, ["__p"], "generated", T.StringType()).drop("__p"), "generated")
+    rows = evaluation.eval_rows(examples, training_type, idp_mode, lm)
     path = sinks.write_results(rows, model_dir, training_type)
     stored = df.sparkSession.read.schema(rows.schema).json(path)
     found = evaluation.eval_metrics(stored, training_type)
@@ -67,6 +79,26 @@ def evaluate_generation(df: DataFrame, training_type: str, model_dir: str, idp_m
     return stored, found
 
 
+def answer_requests(requests: DataFrame, registry: DataFrame, make_generate_fn: Callable, text_col: str = "text") -> DataFrame:
+    """Served answers of ``requests(flow, method, run_id, text, ...)``: route, prompt, generate, take the prompt off.
+
+    ``make_generate_fn()`` gives a function of two arrays, model keys and prompts, so that it can hold several models. A request without
+    a model gets a null answer.
+    """
+    routed = routing.route_models(requests, registry).withColumn("__p", P.served_prompt(text_col, F.col("flow")))
+    answered = infer_batch(routed.filter(F.col("model_key").isNotNull()), make_generate_fn, ["model_key", "__p"], "__g", T.StringType())
+    answered = answered.withColumn("response", strip_prompt("__g", "__p")).drop("__g", "__p")
+    unanswered = routed.filter(F.col("model_key").isNull()).drop("__p").withColumn("response", F.lit(None).cast("string"))
+    return answered.unionByName(unanswered)
+
+
+def extract_documents(df: DataFrame, schema: Mapping[str, Any], make_generate_fn: Callable, text_col: str = "text") -> DataFrame:
+    """Documents through an extraction model: adds ``generated``, its JSON (``json``) and what that breaks of the schema."""
+    prompts = df.withColumn("__p", P.idp_infer_prompt(text_col))
+    out = infer_batch(prompts, make_generate_fn, ["__p"], "generated", T.StringType()).drop("__p")
+    return validate_json(out.withColumn("json", extract_json("generated")), "generated", schema)
+
+
 def annotation_requests(df: DataFrame, per_class: int, shots: int = 2, seed: int = K.SAMPLE_SEED,
                         classes: Sequence[str] = K.FEW_SHOT_ORDER) -> DataFrame:
     """``(id, question, answer, system_prompt, user_prompt)`` for a teacher: ``per_class`` rows of each class, and

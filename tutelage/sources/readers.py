@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,4 +39,9 @@ def read_dpo(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.schema(DPO).json(path)
 
 
+def read_schema(spark: SparkSession, path: str) -> dict:
+    """A JSON Schema file: one small document, wanted on the driver because checks are planned from it."""
+    return json.loads(spark.read.text(path, wholetext=True).first()["value"])
+
+
 READERS = {"sft": read_sft, "kd": read_kd, "dpo": read_dpo}
