@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tutelage.functions.constants import BALANCE_SEED, LABEL_IDS, LABELS
 from tutelage.functions.templates import credit_train_prompt
 from tutelage.operators.sampling import balance, draw_key
+from tutelage.session import materialise
 
 BLOCK = 1024
 
@@ -71,13 +72,16 @@ def dpo_rows(df: DataFrame, seed: int = BALANCE_SEED, labels: Sequence[str] = LA
                      negative_label("answer", "id", seed, labels).alias("rejected"))
 
 
-def build_sets(df: DataFrame, per_class: int | None = None, seed: int = BALANCE_SEED,
-               labels: Sequence[str] = LABELS) -> dict[str, DataFrame]:
+def build_sets(df: DataFrame, per_class: int | None = None, seed: int = BALANCE_SEED, labels: Sequence[str] = LABELS,
+               written: bool = False) -> dict[str, DataFrame]:
     """The three training sets of one balanced selection.
 
-    The selection is a fixed filter (see ``sampling``), so the sets agree without being cached.
+    The selection is a fixed filter (see ``sampling``), so the sets agree without being cached. ``written``
+    puts it in the shared folder first: worth it when ``df`` is dear to read three times (JSON, joins).
     """
-    kept = balance(df, per_class, seed, labels)
+    kept = balance(df, per_class, seed, labels).select("id", "question", "answer")
+    if written:
+        kept = materialise(kept, "selection")
     return {"sft": sft_rows(kept), "kd": kd_rows(kept), "dpo": dpo_rows(kept, seed, labels)}
 
 

@@ -65,7 +65,7 @@ SELECT 'sft' AS method, md5({TRAIN_PROMPT}) AS prompt_md5, answer AS target FROM
 UNION ALL SELECT 'kd', md5({TRAIN_PROMPT}), answer FROM kept
 UNION ALL SELECT 'dpo', md5({TRAIN_PROMPT}), answer || '/' || {REJECTED} FROM kept""")
 def a5_write_distill_sets(spark: SparkSession, d: str) -> DataFrame:
-    paths = sinks.write_distill_sets(D.build_sets(T.credit_orders(spark, d)), fresh_path(spark, "sets"))
+    paths = sinks.write_distill_sets(D.build_sets(T.credit_orders(spark, d), written=True), fresh_path(spark, "sets"))
     out = [(readers.read_sft(spark, paths["sft"]), "sft", "input", F.col("output")),
            (readers.read_kd(spark, paths["kd"]), "kd", "input", F.col("teacher_output")),
            (readers.read_dpo(spark, paths["dpo"]), "dpo", "prompt", F.concat_ws("/", "chosen", "rejected"))]

@@ -30,7 +30,7 @@ def prepare(spark: SparkSession, src: str, outdir: str, per_class: int | None =
     if id_col is None:
         # Ids by file position: written down once, so that all passes see the same.
         rows = materialise(rows, "labelled")
-    return sinks.write_distill_sets(datasets.build_sets(rows, per_class, seed), outdir, name)
+    return sinks.write_distill_sets(datasets.build_sets(rows, per_class, seed, written=True), outdir, name)
 
 
 @dataclass
