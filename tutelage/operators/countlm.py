@@ -63,7 +63,8 @@ def fit_count_lm(df: DataFrame, text_col: str = "question", label_col: str | Non
     labels = tuple(labels) if label_col is not None else ("all",)
     label = F.col(label_col) if label_col is not None else F.lit("all")
     toks = tokens(text_col) if max_len is None else F.slice(tokens(text_col), 1, max_len)
-    rows = df.select(label.alias("label"), F.explode(toks).alias("token"))
+    known = df.filter(label.isin(*labels)) if label_col is not None else df
+    rows = known.select(label.alias("label"), F.explode(toks).alias("token"))
     counts = rows.groupBy("token").agg(F.array(*[F.count_if(F.col("label") == lab) for lab in labels]).alias("c"))
     return _measured(counts.persist(StorageLevel.MEMORY_AND_DISK), labels)
 

@@ -30,7 +30,7 @@ def join_skewed(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
 
     The ``hot_keys`` most frequent left keys, at most that many rows, are joined by broadcast. A key
     outside that list holds less than ``1 / hot_keys`` of the left rows, so the shuffle that
-    joins the rest has no hot partition. Every left row takes exactly one of the two ways.
+    joins the rest has no hot partition. Every left row takes exactly one of these ways.
     """
     if how not in ("left", "inner"):
         raise ValueError(how)
@@ -40,7 +40,12 @@ def join_skewed(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
         known = known & F.col(k).isNotNull()
     hot = (left.filter(known).groupBy(*keys).agg(F.count("*").alias("__n")).orderBy(F.desc("__n"), *keys).limit(hot_keys)
            .select(*keys))
-    hot_right = hot.join(right, keys, how).withColumn("__hot", F.lit(True))
-    by_hot = left.join(F.broadcast(hot_right), keys, "inner").drop("__hot")
-    cold = left.join(F.broadcast(hot), keys, "left_anti").join(right, keys, how)
-    return by_hot.unionByName(cold)
+    hot_right = hot.join(right, keys, how)
+    by_hot = left.join(F.broadcast(hot_right), keys, "inner")
+    cold = left.filter(known).join(F.broadcast(hot), keys, "left_anti").join(right, keys, how)
+    parts = by_hot.unionByName(cold)
+    if how == "inner":
+        return parts
+    # Null keys match nothing; in the shuffle they would all meet in one partition.
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in right.schema if f.name not in keys}
+    return parts.unionByName(left.filter(~known).withColumns(missing))
