@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tutelage.llm import packing, simhash
+from tutelage.llm import decontamination, packing, secrets, simhash
 from tutelage.llm.frames import table
+from tutelage.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,3 +36,37 @@ def op1(spark: SparkSession, d: str) -> DataFrame:
 @query("op2_simhash_near_dedup")
 def op2(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, d, "documents"), width=4, max_bits=4)
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op7_benchmark_decontamination", rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+pos AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS (SELECT DISTINCT doc_id, item_id, i, n FROM pos JOIN win USING (n, s)),
+h AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hit) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""")
+def op7(spark: SparkSession, d: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"), window=10, keep=["doc_id"])
+    c = F.col("contamination")
+    return found.select("doc_id", c["n_words"].alias("n_words"), c["n_hit"].alias("n_hit"), F.size(c["items"]).cast("bigint").alias("n_items"),
+                        F.sha2(F.concat_ws(",", F.array_sort(c["items"])), 256).alias("items_sha256"), (c["n_hit"] > 0).alias("contaminated"))
+
+
+@query("op9_secret_scan_ledger")
+def op9(spark: SparkSession, d: str) -> DataFrame:
+    docs, ledger = table(spark, d, "documents").select("doc_id", "text"), fresh_path(spark, "ledger")
+    secrets.scan(docs, ledger)
+    found = secrets.findings(docs, ledger, ("doc_id",))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
