@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tutelage.llm import decontamination, packing, secrets, simhash
+from tutelage.llm import decontamination, packing, quality, secrets, simhash, toxicity
 from tutelage.llm.frames import table
 from tutelage.session import fresh_path
 
@@ -70,3 +70,16 @@ def op9(spark: SparkSession, d: str) -> DataFrame:
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
     base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, d, "labels"), "toxic"))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, d: str) -> DataFrame:
+    scored = quality.classify(table(spark, d, "documents"), table(spark, d, "labels"), "quality")
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
