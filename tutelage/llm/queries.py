@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tutelage.llm import decontamination, packing, quality, secrets, simhash, toxicity
+from tutelage.llm import decontamination, html, packing, quality, sampling, secrets, simhash, toxicity, warc
 from tutelage.llm.frames import table
 from tutelage.session import fresh_path
 
@@ -83,3 +83,26 @@ def op8(spark: SparkSession, d: str) -> DataFrame:
 def op4(spark: SparkSession, d: str) -> DataFrame:
     scored = quality.classify(table(spark, d, "documents"), table(spark, d, "labels"), "quality")
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op3_weighted_fingerprints")
+def op3(spark: SparkSession, d: str) -> DataFrame:
+    return sampling.edits(table(spark, d, "documents"))
+
+
+@query("op5_warc_bundles", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT page_id, html, h, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + CAST((CAST('0x' || substr(h, CAST(1 + 5 * (k // 4) AS INT), 5) AS BIGINT) >> (5 * (3 - k % 4))) & 31 AS INT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM f""")
+def op5(spark: SparkSession, d: str) -> DataFrame:
+    index = warc.write(table(spark, d, "pages"), fresh_path(spark, "warc"))
+    return warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_html_extraction")
+def op10(spark: SparkSession, d: str) -> DataFrame:
+    return html.extract(table(spark, d, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
