@@ -49,7 +49,11 @@ class Lines(HTMLParser):
         self.lines: list[tuple[str, int, int, bool]] = []
         self.open: list[tuple[str, int, bool, bool]] = []  # tag, region, silent, set apart
         self.text: list[str] = []
-        self.tags = self.regions = 0
+        self.tags = self.regions = self.articles = 0
+
+    def updatepos(self, i: int, j: int) -> int:
+        """Line numbers are not wanted."""
+        return j
 
     def state(self) -> tuple[str, int, bool, bool]:
         return self.open[-1] if self.open else ("", 0, False, False)
@@ -63,8 +67,7 @@ class Lines(HTMLParser):
         self.text = []
 
     def aside(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        inside = any(t in ("article", "main") for t, *_ in self.open)
-        if tag in APART_BY_NAME or (tag == "header" and not inside):
+        if tag in APART_BY_NAME or (tag == "header" and not self.articles):
             return True
         for name, value in attrs:
             value = (value or "").strip()
@@ -88,15 +91,16 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         if tag in ("body", "article", "main"):
-            while self.open and (self.open[-1][2] or self.open[-1][3]) and not any(t in ("article", "main") for t, *_ in self.open):
+            while self.open and (self.open[-1][2] or self.open[-1][3]) and not self.articles:
                 self.open.pop()
         self.push(tag, tag in SILENT, self.aside(tag, attrs))
 
     def push(self, tag: str, silent: bool = False, aside: bool = False) -> None:
         _, region, was_silent, was_aside = self.state()
-        if tag in CONTAINERS and not any(t in ("article", "main") for t, *_ in self.open):
+        if tag in CONTAINERS and not self.articles:
             self.regions += 1
             region = self.regions
+        self.articles += tag in ("article", "main")
         self.open.append((tag, region, silent or was_silent, aside or was_aside))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -111,6 +115,7 @@ class Lines(HTMLParser):
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
                 self.end_line()
+                self.articles -= sum(t[0] in ("article", "main") for t in self.open[i:])
                 del self.open[i:]
                 return
 
@@ -132,13 +137,13 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 
 def threshold(ratios: np.ndarray) -> float:
     """Half-way between the centres of two clusters of the logarithms; zero if these are not apart."""
-    x = np.log1p(ratios)
-    low, high = float(x.min()), float(x.max())
-    for _ in range(20):
-        upper = x > (low + high) / 2
-        if upper.all() or not upper.any():
+    x = np.sort(np.log1p(ratios))
+    sums, low, high, at = np.cumsum(x), float(x[0]), float(x[-1]), 0
+    while low < high:
+        cut = int(x.searchsorted((low + high) / 2, side="right"))
+        if cut in (0, at, len(x)):
             break
-        low, high = float(x[~upper].mean()), float(x[upper].mean())
+        at, low, high = cut, float(sums[cut - 1]) / cut, float(sums[-1] - sums[cut - 1]) / (len(x) - cut)
     return float(np.expm1((low + high) / 2)) if high - low > np.log(APART) else 0.0
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tutelage.llm import decontamination, html, packing, quality, sampling, secrets, simhash, toxicity, warc
+from tutelage.llm import decontamination, html, packing, privacy, quality, sampling, secrets, simhash, toxicity, warc
 from tutelage.llm.frames import table
 from tutelage.session import fresh_path
 
@@ -106,3 +106,10 @@ def op5(spark: SparkSession, d: str) -> DataFrame:
 @query("op10_html_extraction")
 def op10(spark: SparkSession, d: str) -> DataFrame:
     return html.extract(table(spark, d, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query("op6_pii_surrogates")
+def op6(spark: SparkSession, d: str) -> DataFrame:
+    found = privacy.replace(table(spark, d, "documents").select("doc_id", "text"), privacy.SECRET)
+    spans = F.transform("entities", lambda e: F.concat_ws(":", e["kind"], e["start"].cast("string"), e["end"].cast("string"), e["surrogate"]))
+    return found.select("doc_id", "text", F.size("entities").cast("bigint").alias("n_entities"), F.array_join(spans, ",").alias("entities"))

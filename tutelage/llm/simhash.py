@@ -17,13 +17,13 @@ table gives an empty result; other columns are left out.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,15 +72,17 @@ def fingerprint(text: bytes, width: int = 4, lanes: int = 1) -> np.ndarray:
     return np.packbits(total * 2 > len(spans), axis=1, bitorder="little").view(np.uint64).reshape(lanes)
 
 
-def fingerprints(docs: DataFrame, width: int = 4, lanes: int = 1) -> DataFrame:
-    """``(doc_id, l0, l1, ...)``: the lanes of each text's fingerprint as signed 64-bit numbers."""
-    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType)] + [T.StructField(f"l{i}", T.LongType()) for i in range(lanes)])
+def fingerprints(docs: DataFrame, width: int = 4, lanes: int = 1, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``keep`` and ``_l0``, ``_l1``, ...: the lanes of each text's fingerprint as signed 64-bit numbers."""
+    names = [f"_l{i}" for i in range(lanes)]
+    keep = [c for c in keep if c not in names]
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(n, T.LongType()) for n in names])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        marks = np.array([fingerprint(t, width, lanes) for t in batch.column(1).to_pylist()], dtype=np.uint64).reshape(-1, lanes).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(np.ascontiguousarray(marks[:, i])) for i in range(lanes)]], names=schema.fieldNames())
+        marks = np.array([fingerprint(t, width, lanes) for t in batch.column("_text").to_pylist()], dtype=np.uint64).reshape(-1, lanes).view(np.int64)
+        return pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *[pa.array(np.ascontiguousarray(marks[:, i])) for i in range(lanes)]], names=schema.fieldNames())
 
-    return batched(docs.select("doc_id", utf8("text").alias("text")), run, schema)
+    return batched(docs.select(*[F.col(f"`{c}`") for c in keep], utf8("text").alias("_text")), run, schema)
 
 
 def covering(shared: int) -> list[tuple[int, ...]]:
@@ -178,9 +180,27 @@ def _links(key: np.ndarray, node: np.ndarray, marks: np.ndarray, max_bits: int,
 
 def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` of every row; fingerprints of 64 bits link at ``max_bits`` or fewer differing ones."""
-    marks = materialise(fingerprints(docs, width).withColumnRenamed("l0", "node"), "fingerprints")
+    marks = materialise(fingerprints(docs, width).withColumnRenamed("_l0", "node"), "fingerprints")
     nodes = materialise(marks.groupBy("node").agg(F.min("doc_id").alias("least")), "nodes")
     roots = components(near_links(nodes.select("node", F.col("node").alias("l0")), max_bits))
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id")
     return marks.join(named, "node").select("doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, width: int = 5, lanes: int = 4, max_bits: int = 40, shared: int = 3) -> DataFrame:
+    """``docs`` with one row of each group of near copies: that of the least id (null last), once if the row is repeated.
+
+    Fingerprints of 256 bits over shingles of five words tell a similarity of 0.8 (some 33 differing bits) from unrelated texts
+    (128) well; candidates are pairs that share ``shared`` positional bytes of the first 64 bits. All columns pass.
+    """
+    marks = fingerprints(docs, width, lanes, keep=docs.columns)
+    names = [f"_l{i}" for i in range(lanes)]
+    marks = materialise(marks.withColumn("_node", F.xxhash64(*names)), "marked")
+    nodes = materialise(marks.groupBy("_node").agg(F.min("doc_id").alias("least"), *[F.first(c).alias(c.removeprefix("_")) for c in names]).withColumnRenamed("_node", "node"), "nodes")
+    roots = components(near_links(nodes.drop("least"), max_bits, shared))
+    rooted = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("w")).select("w.least", F.col("w.node").alias("_winner"))
+    kept = marks.join(first, F.col("doc_id").eqNullSafe(F.col("least")) & (F.col("_node") == F.col("_winner")))
+    once = Window.partitionBy("doc_id", "_node").orderBy(*names)
+    return kept.withColumn("_row", F.row_number().over(once)).filter("_row = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
