@@ -2,8 +2,8 @@
 
 The standard library's parser streams events; every block of text is a line with the number of tags met since the last one.
 The ratios of characters to tags are smoothed by a Gaussian over neighbouring lines and split by a threshold
-between two clusters. A region (an article, or else the innermost container) with a line above the threshold is content, and
-all of its lines are kept, short ones too. Elements that by name, role, class or id are not part of an article
+between two clusters. A region (an article, or else the innermost container) with a line above the threshold that is not mostly
+links is content, and all of its lines are kept, short ones too. Elements that by name, role, class or id are not part of an article
 (menus, headers, footers, asides, forms, adverts, notices, comments, scripts) never are; an article that
 starts while such an element is still open ends it.
 
@@ -42,14 +42,15 @@ _TOKENS = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
 
 
 class Lines(HTMLParser):
-    """The lines of a page: text, tags before and in it, region, and whether it is set apart."""
+    """The lines of a page: text, tags before and in it, region, whether it is set apart, and whether most of it is links."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool]] = []
+        self.lines: list[tuple[str, int, int, bool, bool]] = []
         self.open: list[tuple[str, int, bool, bool]] = []  # tag, region, silent, set apart
         self.text: list[str] = []
-        self.tags = self.regions = self.articles = 0
+        self.tags = self.regions = self.articles = self.linked = 0
+        self.link = False
 
     def updatepos(self, i: int, j: int) -> int:
         """Line numbers are not wanted."""
@@ -62,9 +63,9 @@ class Lines(HTMLParser):
         text = " ".join("".join(self.text).split())
         if text:
             _, region, _, aside = self.state()
-            self.lines.append((text, self.tags, region, aside))
+            self.lines.append((text, self.tags, region, aside, 2 * self.linked > len(text)))
             self.tags = 0
-        self.text = []
+        self.text, self.linked = [], 0
 
     def aside(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in APART_BY_NAME or (tag == "header" and not self.articles):
@@ -83,6 +84,8 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag == "br":
             self.text.append(" ")
+        elif tag == "a":
+            self.link = True
         if tag not in BLOCKS and tag not in SILENT:
             if tag not in VOID and self.aside(tag, attrs):
                 self.push(tag, aside=True)
@@ -110,6 +113,8 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
+        if tag == "a":
+            self.link = False
         if tag in BLOCKS:
             self.end_line()
         for i in range(len(self.open) - 1, -1, -1):
@@ -122,6 +127,7 @@ class Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.state()[2]:
             self.text.append(data)
+            self.linked += len(data) if self.link else 0
 
     def close(self) -> None:
         super().close()
@@ -154,16 +160,18 @@ def main_text(page: str) -> str:
     lines = parser.lines
     if not lines:
         return ""
-    ratios = smoothed(np.array([len(t) / max(1, tags) for t, tags, _, _ in lines]))
+    ratios = smoothed(np.array([len(text) / max(1, tags) for text, tags, *_ in lines]))
     least = threshold(ratios)
-    wanted = {region for (_, _, region, aside), r in zip(lines, ratios, strict=True) if not aside and r >= least}
-    if not wanted:
-        sizes: dict[int, int] = {}
-        for text, _, region, aside in lines:
-            if not aside:
-                sizes[region] = sizes.get(region, 0) + len(text)
-        wanted = {max(sizes, key=sizes.get)} if sizes else set()
-    return "\n\n".join(text for text, _, region, aside in lines if region in wanted and not aside)
+    sizes: dict[int, int] = {}
+    wanted = set()
+    for (text, _, region, aside, linked), r in zip(lines, ratios, strict=True):
+        if not aside:
+            sizes[region] = sizes.get(region, 0) + len(text)
+            if r >= least and not linked:
+                wanted.add(region)
+    if not wanted and sizes:
+        wanted = {max(sizes, key=sizes.get)}
+    return "\n\n".join(text for text, _, region, aside, _ in lines if region in wanted and not aside)
 
 
 def extract(pages: DataFrame) -> DataFrame:

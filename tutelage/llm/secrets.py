@@ -19,6 +19,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tutelage.llm.frames import materialise
+
 SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
@@ -103,6 +105,6 @@ def findings(versions: DataFrame, ledger: str, paths: tuple[str, ...], rules: tu
     scans = read_ledger(versions.sparkSession, ledger).withColumn("rules", F.filter("rules", lambda r: r.isin(*current)))
     kinds = F.transform("rules", lambda r: F.substring_index(r, "@", 1))
     scans = scans.filter(F.size("spans") > 0).select("blob", F.filter("spans", lambda s: F.array_contains(kinds, s["kind"])).alias("spans"))
-    held = scans.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    held = materialise(scans.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans")), "held")  # so that a hot blob can be split
     blobs = addressed(versions).select(*paths, "blob")
     return blobs.join(held, "blob", "left").select(*paths, "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
