@@ -160,8 +160,9 @@ def write(pages: DataFrame, folder: str, revisit_bytes: int = 0) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), utf8("html").alias("payload"))
     marked = rows.withColumn("mark", F.sha1("payload"))
     alike = marked.filter(F.length("payload") >= revisit_bytes).groupBy("mark").agg(F.count(F.lit(1)).alias("n"), F.min("page_id").alias("first")).filter("n > 1")
+    alike = materialise(alike.select("mark", "first"), "alike")  # its size is then known: a small one is broadcast, and no page is moved
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    typed = marked.join(alike.select("mark", "first"), "mark", "left").select("page_id", "url", "payload", refers.alias("refers_to"))
+    typed = marked.join(alike, "mark", "left").select("page_id", "url", "payload", refers.alias("refers_to"))
     schema = T._parse_datatype_string(INDEX)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,6 +184,7 @@ def write(pages: DataFrame, folder: str, revisit_bytes: int = 0) -> DataFrame:
 def read(index: DataFrame) -> DataFrame:
     """All records of the archives that ``index`` names, by their seek tables, in the columns of ``RECORD``."""
     archives = index.select("archive").distinct()
+    archives = archives.repartition(max(1, archives.count()), "archive")
     schema = T._parse_datatype_string(RECORD)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
