@@ -1,7 +1,7 @@
 from datetime import datetime
 
 from tutelage.plans.scorer import CountScorer
-from tutelage.streaming.kpi import current_kpis, kpi_stream, kpis, write_kpis
+from tutelage.streaming.kpi import current_kpis, kpi_stream, kpis, late_rows, latest_kpis, write_kpis, write_partials
 from tutelage.streaming.scoring import score_stream
 
 ROWS = "id long, ts timestamp, features string, latency_ms double"
@@ -36,19 +36,25 @@ KPI = "ts timestamp, prediction string, top2_margin double, latency_ms double"
 
 
 def test_kpis_across_batches_and_late_rows(spark, tmp_path):
-    src, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    src, out, state, late = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state"), []
 
     def feed(name, rows):
         spark.createDataFrame(rows, KPI).coalesce(1).write.parquet(f"{src}/{name}")
         stream = spark.readStream.schema(KPI).option("recursiveFileLookup", True).parquet(src)
-        write_kpis(kpi_stream(stream, watermark="30 minutes", window="1 hour"), out, state).awaitTermination()
+        query = write_kpis(kpi_stream(stream, watermark="30 minutes", window="1 hour"), out, state)
+        query.awaitTermination()
+        late.append(late_rows(query))
+        write_partials(stream, out + "2", state + "2", window="1 hour").awaitTermination()
 
     feed("a", [(at(1, 5), "Good", 1.0, 10.0), (at(1, 50), "Good", 2.0, 30.0), (at(1, 7), "Bad", 0.5, 5.0)])
     feed("b", [(at(1, 55), "Good", 3.0, 20.0), (at(4), "Good", 1.0, 1.0)])
     feed("c", [(at(1, 59), "Good", 100.0, 100.0), (at(4, 10), "Good", 3.0, 3.0)])
-    got = {(r["window_start"].hour, r["prediction"]): (r["n"], r["mean_margin"], r["latency_p50"], r["latency_p95"]) for r in current_kpis(spark, out).collect()}
-    # The row of 01:59 came after its window had closed.
-    assert got == {(1, "Good"): (3, 2.0, 20.0, 30.0), (1, "Bad"): (1, 0.5, 5.0, 5.0), (4, "Good"): (2, 2.0, 1.0, 3.0)}
+    values = lambda df: {(r["window_start"].hour, r["prediction"]): (r["n"], r["mean_margin"], r["latency_p50"], r["latency_p95"]) for r in df.collect()}
+    # The row of 01:59 came after its window had closed: the watermark lets it go and says so, the partial sums keep it.
+    assert values(latest_kpis(spark, out)) == {(1, "Good"): (3, 2.0, 20.0, 30.0), (1, "Bad"): (1, 0.5, 5.0, 5.0), (4, "Good"): (2, 2.0, 1.0, 3.0)}
+    assert sum(late) == 1
+    assert values(current_kpis(spark, out + "2")) == {(1, "Good"): (4, 26.5, 20.0, 100.0), (1, "Bad"): (1, 0.5, 5.0, 5.0), (4, "Good"): (2, 2.0, 1.0, 3.0)}
+    assert values(current_kpis(spark, out + "2")) == values(kpis(spark.read.schema(KPI).option("recursiveFileLookup", True).parquet(src), window="1 hour"))
     batch = kpis(spark.read.schema(KPI).parquet(f"{src}/a"), window="1 hour").count()
     assert batch == 2
 

@@ -26,7 +26,9 @@ def prior_array(prior: Mapping[str, float], labels: Sequence[str] = LABELS) -> C
 
 
 def calibrated(raw: Column, prior: Column) -> Column:
-    return F.zip_with(raw, prior, lambda r, p: r - p)
+    """Scores less priors. A label without a score stays at minus infinity whatever its prior; so does one whose score is not a number."""
+    none = F.lit(NEG_INF)
+    return F.zip_with(raw, prior, lambda r, p: F.when(r.isNull(), None).when(F.isnan(r) | (r == none), none).otherwise(r - F.when(p == none, F.lit(0.0)).otherwise(p)))
 
 
 def with_bias(scores: Column, bias: Mapping[str, float], labels: Sequence[str] = LABELS) -> Column:

@@ -109,9 +109,19 @@ def decode_label(col: Column | str) -> Column:
     return F.create_map(*[F.lit(x) for name, i in LABEL_IDS.items() for x in (i, name)])[c]
 
 
+def class_ids(df: DataFrame, col: str, out: str = "labels") -> DataFrame:
+    """``(value, id)`` of every value found, numbered from 0 in sorted order, without a global window.
+
+    The values are sorted by range; each task numbers its own from the count of those before, one number per range.
+    """
+    values = df.select(col).filter(F.col(col).isNotNull()).distinct().orderBy(col).withColumn("part", F.spark_partition_id())
+    values = materialise(values, "classes")
+    before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    ranges = values.groupBy("part").agg(F.count("*").alias("n")).select("part", before.alias("before"))
+    within = F.row_number().over(W.partitionBy("part").orderBy(col))
+    return values.withColumn("within", within).join(ranges, "part").select(col, (F.col("before") + F.col("within") - 1).cast("int").alias(out))
+
+
 def class_encode(df: DataFrame, col: str, out: str = "labels") -> DataFrame:
-    """Values to consecutive ids in sorted order; the distinct values (classes) are few and become literals."""
-    values = [r[0] for r in df.select(col).filter(F.col(col).isNotNull()).distinct().orderBy(col).limit(1001).collect()]
-    if len(values) > 1000:
-        raise ValueError(f"{col} has more than 1000 classes")
-    return df.withColumn(out, F.array_position(F.array(*[F.lit(v) for v in values]), F.col(col)).cast("int") - 1)
+    """Values to consecutive ids in sorted order, for any number of values; null stays null."""
+    return df.join(class_ids(df, col, out), col, "left").select(*df.columns, out)

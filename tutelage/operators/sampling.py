@@ -9,7 +9,8 @@ slices of the md5 prefix:
 2. find the one slice per class in which the n-th row falls, and rank only that slice;
 3. the n-th key is now a literal, and the sample a plain filter on the scan. Nothing is shuffled.
 
-Ids must be unique; classes are few (their cut-offs become literals, so there is a check).
+Ids must be unique. For a few known classes the cut-offs are literals; for classes found in the data they are a table, joined
+on the class (``lowest_n``).
 """
 
 from __future__ import annotations
@@ -25,7 +26,6 @@ from tutelage.functions.constants import BALANCE_SEED, FEW_SHOT_ORDER, LABELS, S
 from tutelage.functions.text import py_strip
 
 PREFIX = 4
-MAX_CLASSES = 1000
 
 
 def draw_key(id_col: Column | str, seed: int | str) -> Column:
@@ -47,17 +47,43 @@ def class_distribution(df: DataFrame, label_col: str = "answer", labels: Sequenc
     return counts.select(F.inline(F.array(*cells)))
 
 
-def drawn(df: DataFrame, quotas: Callable[[dict[str, int]], Mapping[str, int]], seed: int | str,
-          class_col: str | None = None, id_col: str = "id", prefix: int = PREFIX) -> Column:
-    """A row predicate: is this row among the ``quotas(class sizes)[class]`` lowest draws of its class?"""
-    cls = F.lit("all") if class_col is None else F.col(class_col)
-    keyed = df.select(cls.alias("cls"), draw_key(id_col, seed).alias("draw"), F.col(id_col).alias("id"))
+def _cuts(keyed: DataFrame, wanted: DataFrame, prefix: int) -> DataFrame:
+    """``(cls, quota, cut_draw, cut_id)`` per class wanted: the ``quota``-th lowest draw, null where the whole class is.
+
+    ``keyed`` has ``cls``, ``draw`` and ``id``. All classes go together, as rows: nothing here grows with their number but tables.
+    """
     slice_of = F.substring("draw", 1, prefix)
-    hist = keyed.groupBy("cls", slice_of.alias("slice")).agg(F.count("*").alias("n")).persist()
+    hist = keyed.groupBy("cls", slice_of.alias("slice")).agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(W.partitionBy("cls").orderBy("slice"))
+    edges = (hist.withColumn("upto", upto).join(wanted, "cls")
+             .filter((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("n") < F.col("quota")))
+             .select("cls", "slice", (F.col("quota") - F.col("upto") + F.col("n")).alias("nth")))
+    ranked = keyed.withColumn("slice", slice_of).join(edges, ["cls", "slice"])
+    nth = ranked.withColumn("rn", F.row_number().over(W.partitionBy("cls").orderBy("draw", "id"))).filter(F.col("rn") == F.col("nth"))
+    return wanted.join(nth.select("cls", F.col("draw").alias("cut_draw"), F.col("id").alias("cut_id")), "cls", "left")
+
+
+def _inside(draw: Column, ident: Column) -> Column:
+    return F.col("cut_draw").isNull() | (draw < F.col("cut_draw")) | ((draw == F.col("cut_draw")) & (ident <= F.col("cut_id")))
+
+
+def _keyed(df: DataFrame, seed: int | str, class_col: str | None, id_col: str) -> DataFrame:
+    cls = F.lit("all") if class_col is None else F.col(class_col)
+    return df.select(cls.alias("cls"), draw_key(id_col, seed).alias("draw"), F.col(id_col).alias("id")).filter(F.col("cls").isNotNull())
+
+
+def drawn(df: DataFrame, quotas: Callable[[dict[str, int]], Mapping[str, int]], seed: int | str,
+          class_col: str | None = None, id_col: str = "id", prefix: int = PREFIX, classes: Sequence[str] | None = None) -> Column:
+    """A row predicate for few, known classes: is this row among the ``quotas(class sizes)[class]`` lowest draws of its class?
+
+    The cut-offs become literals, so that the sample is a filter on the scan; ``lowest_n`` takes any number of classes.
+    """
+    keyed = _keyed(df, seed, class_col, id_col)
+    if classes is not None:
+        keyed = keyed.filter(F.col("cls").isin(*classes))
+    hist = keyed.groupBy("cls", F.substring("draw", 1, prefix).alias("slice")).agg(F.count("*").alias("n")).persist()
     try:
-        sizes = {r["cls"]: r["n"] for r in hist.groupBy("cls").agg(F.sum("n").alias("n")).limit(MAX_CLASSES + 1).collect()}
-        if len(sizes) > MAX_CLASSES:
-            raise ValueError(f"more than {MAX_CLASSES} classes in {class_col}")
+        sizes = {r["cls"]: r["n"] for r in hist.groupBy("cls").agg(F.sum("n").alias("n")).collect()}
         wanted = dict(quotas(sizes))
         partial = {c: n for c, n in wanted.items() if 0 < n < sizes.get(c, 0)}
         edges = {}
@@ -72,6 +98,7 @@ def drawn(df: DataFrame, quotas: Callable[[dict[str, int]], Mapping[str, int]],
 
     cuts = {}
     if edges:
+        slice_of = F.substring("draw", 1, prefix)
         at_edge = F.lit(False)
         nth = F.lit(None).cast("long")
         for c, (s, k) in edges.items():
@@ -80,6 +107,7 @@ def drawn(df: DataFrame, quotas: Callable[[dict[str, int]], Mapping[str, int]],
         ranked = keyed.filter(at_edge).withColumn("rn", F.row_number().over(W.partitionBy("cls").orderBy("draw", "id")))
         cuts = {r["cls"]: (r["draw"], r["id"]) for r in ranked.filter(F.col("rn") == nth).collect()}
 
+    cls = F.lit("all") if class_col is None else F.col(class_col)
     draw = draw_key(id_col, seed)
     keep = F.lit(False)
     for c, n in wanted.items():
@@ -94,9 +122,20 @@ def drawn(df: DataFrame, quotas: Callable[[dict[str, int]], Mapping[str, int]],
 
 
 def lowest(df: DataFrame, quotas: Callable[[dict[str, int]], Mapping[str, int]], seed: int | str,
-           class_col: str | None = None, id_col: str = "id", prefix: int = PREFIX) -> DataFrame:
+           class_col: str | None = None, id_col: str = "id", prefix: int = PREFIX, classes: Sequence[str] | None = None) -> DataFrame:
     """The drawn rows: a filter on the scan of ``df``."""
-    return df.filter(drawn(df, quotas, seed, class_col, id_col, prefix))
+    return df.filter(drawn(df, quotas, seed, class_col, id_col, prefix, classes))
+
+
+def lowest_n(df: DataFrame, n: int, seed: int | str, class_col: str, id_col: str = "id", prefix: int = PREFIX) -> DataFrame:
+    """The n lowest draws of every class, however many classes there are; rows without a class are left out.
+
+    The cut-offs are a table joined to ``df`` on the class.
+    """
+    keyed = _keyed(df, seed, class_col, id_col)
+    cuts = _cuts(keyed, keyed.select("cls").distinct().withColumn("quota", F.lit(n).cast("long")), prefix)
+    return (df.join(cuts, F.col(class_col) == F.col("cls")).filter(_inside(draw_key(id_col, seed), F.col(id_col)))
+            .select(*[df[c] for c in df.columns]))
 
 
 def balance(df: DataFrame, per_class: int | None = None, seed: int = BALANCE_SEED,
@@ -112,7 +151,7 @@ def balance(df: DataFrame, per_class: int | None = None, seed: int = BALANCE_SEE
             raise ValueError(f"fewer than {n} examples for {', '.join(short)}")
         return {lab: n for lab in labels}
 
-    return lowest(valid_labels(df, labels, label_col), quotas, seed, label_col, id_col)
+    return lowest(valid_labels(df, labels, label_col), quotas, seed, label_col, id_col, classes=labels)
 
 
 def balanced_val(df: DataFrame, frac: float = 0.1, per_class: int | None = None, seed: int = BALANCE_SEED,
@@ -133,18 +172,16 @@ def balanced_val(df: DataFrame, frac: float = 0.1, per_class: int | None = None,
     pool = valid_labels(df, labels, label_col)
     if exclude is not None:
         pool = remainder(pool, exclude, id_col)
-    return lowest(pool, quotas, seed, label_col, id_col)
+    return lowest(pool, quotas, seed, label_col, id_col, classes=labels)
 
 
 def stratified_n(df: DataFrame, n: int, seed: int = SAMPLE_SEED, label_col: str = "answer", id_col: str = "id") -> DataFrame:
-    """n rows of every class found; an error if a class has fewer."""
-    def quotas(sizes: dict[str, int]) -> dict[str, int]:
-        short = [str(c) for c, size in sizes.items() if size < n]
-        if short:
-            raise ValueError(f"fewer than {n} examples for {', '.join(sorted(short))}")
-        return {c: n for c in sizes}
-
-    return lowest(df, quotas, seed, label_col, id_col)
+    """n rows of every class found, of any number of classes; an error if a class has fewer. Null is no class."""
+    short = (df.filter(F.col(label_col).isNotNull()).groupBy(label_col).agg(F.count("*").alias("n")).filter(F.col("n") < n)
+             .orderBy(label_col).limit(10).collect())
+    if short:
+        raise ValueError(f"fewer than {n} examples for {', '.join(str(r[0]) for r in short)}")
+    return lowest_n(df, n, seed, label_col, id_col)
 
 
 def remainder(pool: DataFrame, sample: DataFrame, id_col: str = "id") -> DataFrame:
@@ -161,7 +198,7 @@ def few_shot_sample(df: DataFrame, k: int = 2, seed: int = SAMPLE_SEED, classes:
             raise ValueError(f"fewer than {k} examples for {', '.join(short)}")
         return {c: k for c in classes}
 
-    picked = lowest(df.filter(F.col(label_col).isin(*classes)), quotas, seed, label_col, id_col)
+    picked = lowest(df.filter(F.col(label_col).isin(*classes)), quotas, seed, label_col, id_col, classes=classes)
     return picked.withColumn("draw", draw_key(id_col, seed))
 
 

@@ -16,7 +16,7 @@ from tutelage.plans.rank import LABEL_VALUES, rounded, sql_lm, sql_score
 from tutelage.plans.registry import query, sql_render
 from tutelage.plans.scorer import CountScorer
 from tutelage.session import fresh_path
-from tutelage.streaming.kpi import current_kpis, kpi_stream, kpis, write_kpis
+from tutelage.streaming.kpi import current_kpis, kpis, write_partials
 from tutelage.streaming.scoring import score_stream
 
 # --- structured extraction ---------------------------------------------------------------------
@@ -168,10 +168,12 @@ def _kpi_columns(df: DataFrame) -> DataFrame:
 
 @query("i2_kpi_stream", KPIS)
 def i2_kpi_stream(spark: SparkSession, d: str) -> DataFrame:
-    folder = scored_stream(spark, d)
-    answers = spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
+    """The answers in eight files of no order in time, a file to a micro-batch."""
+    folder = fresh_path(spark, "answers")
+    spark.read.parquet(scored_stream(spark, d)).repartition(8, "event_id").write.parquet(folder)
+    answers = spark.readStream.schema(spark.read.parquet(folder).schema).option("maxFilesPerTrigger", 1).parquet(folder)
     out, state = fresh_path(spark, "kpis"), fresh_path(spark, "kpis-state")
-    write_kpis(kpi_stream(answers, window="6 hours"), out, state).awaitTermination()
+    write_partials(answers, out, state, window="6 hours").awaitTermination()
     return _kpi_columns(current_kpis(spark, out))
 
 

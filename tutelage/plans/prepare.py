@@ -195,6 +195,12 @@ def b14_encode_label(spark: SparkSession, d: str) -> DataFrame:
     return coded.select("id", "label_id", "class_id", D.decode_label("label_id").alias("decoded"))
 
 
+@query("b14_class_encode_parts", """SELECT l_orderkey, l_linenumber, CAST(dense_rank() OVER (ORDER BY l_partkey) - 1 AS INT) AS part_id FROM lineitem""")
+def b14_class_encode_parts(spark: SparkSession, d: str) -> DataFrame:
+    lines = T.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return D.class_encode(lines, "l_partkey", "part_id").select("l_orderkey", "l_linenumber", "part_id")
+
+
 @query("b15_prune_rename", f"WITH {T.SQL_LABELLED} SELECT question AS text, CASE answer WHEN 'Bad' THEN 0 WHEN 'Standard' THEN 1 ELSE 2 END AS labels FROM labelled_docs")
 def b15_prune_rename(spark: SparkSession, d: str) -> DataFrame:
     return (T.labelled_docs(spark, d).withColumn("labels", D.encode_label("answer")).withColumnRenamed("question", "text").drop("id", "answer"))
@@ -283,6 +289,13 @@ def c4_stratified_n(spark: SparkSession, d: str) -> DataFrame:
     return sampling.stratified_n(T.credit_orders(spark, d), 100).select("id", "answer", "question")
 
 
+@query("c4_stratified_parts", """SELECT l_partkey, id FROM (SELECT l_partkey, id, row_number() OVER (PARTITION BY l_partkey ORDER BY md5('42:' || id), id) AS rn
+  FROM (SELECT l_partkey, l_orderkey * 10 + l_linenumber AS id FROM lineitem)) WHERE rn <= 1""")
+def c4_stratified_parts(spark: SparkSession, d: str) -> DataFrame:
+    lines = T.table(spark, d, "lineitem").select("l_partkey", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"))
+    return sampling.stratified_n(lines, 1, label_col="l_partkey").select("l_partkey", "id")
+
+
 @query("c5_remainder", f"""WITH {T.SQL_CREDIT} SELECT id, answer, question FROM (
   SELECT *, row_number() OVER (PARTITION BY answer ORDER BY md5('42:' || id), id) AS rn FROM credit_orders) WHERE rn > 100""")
 def c5_remainder(spark: SparkSession, d: str) -> DataFrame:

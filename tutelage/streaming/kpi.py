@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,10 +24,18 @@ def kpis(scored: DataFrame, window: str = "1 hour", keys: Sequence[str] = ("pred
 
 
 def kpi_stream(scored: DataFrame, watermark: str = "10 minutes", ts_col: str = "ts", **kw) -> DataFrame:
-    """``kpis`` over a stream; rows later than the watermark are let go and closed windows leave the state."""
+    """``kpis`` as streaming state: closed windows leave it, and rows later than the watermark are let go.
+
+    Only for sources that keep to the watermark; ``late_rows`` says how many rows did not. ``write_partials`` loses none.
+    """
     return kpis(scored.withWatermark(ts_col, watermark), ts_col=ts_col, **kw)
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a query's state has let go, over the progress it still remembers."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
 def write_kpis(kpi: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Write what each micro-batch changed to its own ``batch_id`` partition; a batch run again replaces itself."""
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -36,9 +45,47 @@ def write_kpis(kpi: DataFrame, out: str, checkpoint: str, trigger: dict | None =
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def current_kpis(spark: SparkSession, out: str, keys: Sequence[str] = ("prediction",)) -> DataFrame:
-    """The latest state of every window and key."""
+def latest_kpis(spark: SparkSession, out: str, keys: Sequence[str] = ("prediction",)) -> DataFrame:
+    """The latest state of every window and key that ``write_kpis`` wrote."""
     rows = spark.read.parquet(out)
     values = [c for c in rows.columns if c not in ("window_start", "batch_id", *keys)]
     latest = rows.groupBy("window_start", *keys).agg(F.max_by(F.struct(*values), "batch_id").alias("v"))
     return latest.select("window_start", *keys, "v.*")
+
+
+def partials(scored: DataFrame, window: str = "1 hour", keys: Sequence[str] = ("prediction",), ts_col: str = "ts", margin_col: str = "top2_margin",
+             latency_col: str = "latency_ms", step: float | None = None) -> DataFrame:
+    """What can be added up over micro-batches: per window, key and latency the rows and the sum of margins.
+
+    ``step`` rounds latencies to its multiples, which bounds the rows of a window; without it they stay exact.
+    """
+    latency = F.col(latency_col).cast("double")
+    latency = latency if step is None else F.round(latency / step) * step
+    rows = scored.select(F.window(ts_col, window)["start"].alias("window_start"), *keys, latency.alias("latency"), F.col(margin_col).cast("double").alias("margin"))
+    return rows.groupBy("window_start", *keys, "latency").agg(F.count("*").alias("n"), F.count("margin").alias("margins"), F.sum("margin").alias("margin"))
+
+
+def write_partials(scored: DataFrame, out: str, checkpoint: str, trigger: dict | None = None, **kw) -> StreamingQuery:
+    """Write each micro-batch's ``partials`` to its own ``batch_id`` partition; a batch run again replaces itself.
+
+    There is neither state nor watermark, so a row counts in its window however late it comes.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        partials(batch, **kw).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    return (scored.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def current_kpis(spark: SparkSession, out: str, keys: Sequence[str] = ("prediction",)) -> DataFrame:
+    """The indicators over all ``partials`` written so far; the percentiles are those of the counted latencies."""
+    group = ["window_start", *keys]
+    rows = spark.read.parquet(out).groupBy(*group, "latency").agg(*[F.sum(c).alias(c) for c in ("n", "margins", "margin")])
+    known = F.when(F.col("latency").isNotNull(), F.col("n")).otherwise(0)
+    whole = W.partitionBy(*[F.col(c) for c in group])
+    placed = rows.withColumn("upto", F.sum(known).over(whole.orderBy("latency").rowsBetween(W.unboundedPreceding, 0))).withColumn("of", F.sum(known).over(whole))
+
+    def at(share: float) -> Column:
+        return F.min(F.when(F.col("upto") >= F.greatest(F.ceil(F.col("of") * share), F.lit(1)), F.col("latency")))
+
+    return placed.groupBy(*group).agg(F.sum("n").alias("n"), F.try_divide(F.sum("margin"), F.sum("margins")).alias("mean_margin"), at(0.5).alias("latency_p50"), at(0.95).alias("latency_p95"))
