@@ -70,7 +70,7 @@ def test_misspellings_share_n_grams():
             words[rng.randrange(40)] = rng.choice(["scumbag", "worthless"])
         texts.append(" ".join(words).encode())
         y.append(int(i % 4 == 0))
-    model = toxicity.train(texts, np.array(y))
+    model = toxicity.train_texts(texts, np.array(y))
     clean = " ".join(plain).encode()
     assert model.score(clean) < 0.5 < min(model.score(clean + b" " + w) for w in (b"scumbag", b"SCUMBAGS!", b"w0rthless"))
 

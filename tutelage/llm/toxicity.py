@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tutelage.llm.frames import batched, utf8
+from tutelage.llm.frames import batched, materialise, utf8
 
 BUCKETS, DIM = 1 << 18, 8
 #: Standard errors by which a row's share of documents must differ between the classes to be trained.
@@ -31,6 +31,8 @@ CONTRAST = 5.0
 #: The sample trained on has at most so many documents of each class.
 TRAIN_PER_CLASS = 2500
 CACHE_WORDS = 1_000_000
+#: Rows of the embedding table trained at most.
+MOST_ROWS = 4096
 _TABLE = bytes(b if b > 127 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 
@@ -68,54 +70,58 @@ class Model:
         return {"weight": self.weight, "bias": self.bias, "known": {}}
 
 
-def contrasting(bags: list[dict[int, float]], labels: np.ndarray, least: float = CONTRAST) -> list[int]:
-    """Rows that occur in one class's documents more often than in the other's by ``least`` standard errors."""
-    many, held = np.bincount(labels, minlength=2), [Counter(), Counter()]
-    for bag, y in zip(bags, labels, strict=True):
-        held[y].update(bag.keys())
-    chosen = []
-    for row in held[0].keys() | held[1].keys():
-        n = np.array([held[0][row], held[1][row]])
-        share = n.sum() / many.sum()
-        error = np.sqrt(share * (1 - share) * (1 / many).sum()) + 1e-12
-        if n.sum() >= 3 and abs(n[1] / many[1] - n[0] / many[0]) >= least * error:
-            chosen.append(row)
-    return sorted(chosen)
-
-
-def train(texts: list[bytes], labels: np.ndarray, epochs: int = 12, batch: int = 128, rate: float = 0.01, decay: float = 0.01, seed: int = 1) -> Model:
-    """Embeddings and softmax fitted jointly by Adam; classes weigh the same.
-
-    Only rows that contrast the classes are trained, the others stay at zero: with more n-grams than documents,
-    the rest would be learnt by heart.
+def bag(text: bytes) -> dict[int, float]:
+    """The rows of a text with their shares: the mean over its words of the mean over their subwords."""
+    out: dict[int, float] = {}
+    count = Counter(words(text))
+    total = sum(count.values())
+    for w, n in count.items():
+        rows = subwords(w)
+        share = n / (total * len(rows))
+        for row in rows:
+            out[row] = out.get(row, 0.0) + share
+    return out
+
+
+def held(texts: list[bytes], labels: np.ndarray) -> np.ndarray:
+    """By class and row: how many texts have it."""
+    out = np.zeros((2, BUCKETS), np.int64)
+    for text, y in zip(texts, labels, strict=True):
+        out[y, list(bag(text))] += 1
+    return out
+
+
+def contrasting(counts: np.ndarray, many: np.ndarray, least: float = CONTRAST, most: int = MOST_ROWS) -> np.ndarray:
+    """Rows that occur in one class's documents more often than in the other's by ``least`` standard errors, the ``most`` clearest."""
+    share = counts.sum(axis=0) / many.sum()
+    error = np.sqrt(share * (1 - share) * (1 / many).sum()) + 1e-12
+    clear = np.abs(counts[1] / many[1] - counts[0] / many[0]) / error
+    clear[counts.sum(axis=0) < 3] = 0
+    chosen = np.argsort(-clear, kind="stable")[:most]
+    return np.sort(chosen[clear[chosen] >= least])
+
+
+def vectors(texts: list[bytes], chosen: np.ndarray) -> np.ndarray:
+    """The shares of the chosen rows in each text."""
+    place = {row: k for k, row in enumerate(chosen.tolist())}
+    out = np.zeros((len(texts), len(chosen)), np.float32)
+    for i, text in enumerate(texts):
+        own = bag(text)
+        for row in own.keys() & place.keys():
+            out[i, place[row]] = own[row]
+    return out
+
+
+def train(x: np.ndarray, labels: np.ndarray, chosen: np.ndarray, epochs: int = 12, batch: int = 128, rate: float = 0.01, decay: float = 0.01, seed: int = 1) -> Model:
+    """Embeddings of the chosen rows and softmax fitted jointly by Adam; classes weigh the same.
+
+    The other rows stay at zero: with more n-grams than documents, they would only be learnt by heart.
     """
-    labels = np.asarray(labels, dtype=np.int64)
     weight = np.zeros(BUCKETS, np.float32)
-    if len(set(labels.tolist())) < 2:
-        return Model(weight, 0.0)
-    vocabulary: dict[bytes, list[int]] = {}
-    bags: list[dict[int, float]] = []
-    for text in texts:
-        bag: dict[int, float] = {}
-        count = Counter(words(text))
-        total = sum(count.values())
-        for w, n in count.items():
-            rows = vocabulary.setdefault(w, []) or vocabulary[w]
-            if not rows:
-                rows.extend(subwords(w))
-            share = n / (total * len(rows))
-            for row in rows:
-                bag[row] = bag.get(row, 0.0) + share
-        bags.append(bag)
-    chosen = contrasting(bags, labels)
-    if not chosen:
+    if not len(chosen):
         return Model(weight, 0.0)
-    place = {row: k for k, row in enumerate(chosen)}
-    unit = np.float32(500.0 / np.sqrt(len(chosen)))  # brings shares of a document to about one
-    x = np.zeros((len(bags), len(chosen)), np.float32)
-    for i, bag in enumerate(bags):
-        for row in bag.keys() & place.keys():
-            x[i, place[row]] = bag[row] * unit
+    unit = np.float32(500.0 / np.sqrt(len(chosen)))  # brings the shares of a document to about one
+    x = x * unit
     rng = np.random.default_rng(seed)
     params = [rng.normal(0, 0.1, (len(chosen), DIM)).astype(np.float32), rng.normal(0, 0.5, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)]
     table, soft, bias = params
@@ -155,15 +161,53 @@ def held_out(key: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = TRAIN_PER_CLASS, make: Callable = train) -> Model:
-    """Train on the ``per_class`` documents of each class whose hashed ids are lowest."""
+def train_texts(texts: list[bytes], labels: np.ndarray) -> Model:
+    """``fit`` for a handful of texts at hand."""
+    labels = np.asarray(labels, dtype=np.int64)
+    many = np.bincount(labels, minlength=2)
+    chosen = contrasting(held(texts, labels), many) if many.all() else np.empty(0, np.int64)
+    return train(vectors(texts, chosen), labels, chosen)
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = TRAIN_PER_CLASS) -> Model:
+    """Train on the ``per_class`` documents of each class whose hashed ids are lowest.
+
+    Their bags are made in tasks; the driver gets a count for each row and class, then a vector of the chosen rows for each document.
+    """
     known = learnable(labels, label)
     def lowest(y: int) -> DataFrame:
         return known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
-    chosen = lowest(0).union(lowest(1))
-    rows = docs.select("doc_id", utf8("text").alias("text")).join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * per_class)
-    sample = rows.select("text", "y").toArrow()
-    return make([bytes(t) for t in sample.column("text").to_pylist()], sample.column("y").to_numpy())
+    picked = F.broadcast(materialise(lowest(0).union(lowest(1)), "picked"))
+    sample = materialise(docs.select("doc_id", utf8("text").alias("text")).join(picked, "doc_id").select("text", "y"), "sample")
+    sample = sample.repartition(max(1, min(64, sample.count() // 100)), F.xxhash64("text"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, BUCKETS), np.int64)
+        for b in batches:
+            total += held(b.column(0).to_pylist(), b.column(1).to_numpy())
+        y, row = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(y.astype(np.int32)), pa.array(row.astype(np.int32)), pa.array(total[y, row])], names=["y", "row", "n"])
+
+    many = np.zeros(2, np.int64)
+    for r in sample.groupBy("y").count().collect():
+        many[r["y"]] = r["count"]
+    counts = np.zeros((2, BUCKETS), np.int64)
+    if many.all():
+        found = sample.mapInArrow(count, "y int, row int, n bigint").groupBy("y", "row").agg(F.sum("n").alias("n")).toArrow()
+        counts[found.column("y").to_numpy(), found.column("row").to_numpy()] = found.column("n").to_numpy()
+    chosen = contrasting(counts, many) if many.all() else np.empty(0, np.int64)
+
+    def vector(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = vectors(batch.column(0).to_pylist(), chosen)
+        return pa.RecordBatch.from_arrays([pa.array(list(rows), pa.list_(pa.float32())), batch.column(1)], names=["x", "y"])
+
+    if not len(chosen):
+        return train(np.empty((0, 0), np.float32), np.empty(0, np.int64), chosen)
+    got = batched(sample, vector, "x array<float>, y int").toArrow()
+    x = got.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(chosen))
+    y = got.column("y").to_numpy().astype(np.int64)
+    order = np.lexsort((*x.T[:8], y))  # the same order however the rows came
+    return train(x[order], y[order], chosen)
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), out: str = "score") -> DataFrame:
