@@ -162,7 +162,8 @@ def _ranges(docs: DataFrame) -> tuple[DataFrame, dict[int, int], int]:
     Returns the rows with ``_range`` and ``_extra``, and for each range the one whose first row follows its last.
     """
     spark = docs.sparkSession
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = 4 * parts  # several ranges to a task, so that two that meet in one weigh less
     ids = docs.select("doc_id").filter(F.col("doc_id").isNotNull())
     cuts = ids.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (4 * n)) if n > 1 else []
     edges = F.array(*[F.lit(int(c)).cast("bigint") for c in sorted(set(cuts), reverse=True)]).cast("array<bigint>")
@@ -177,7 +178,7 @@ def _ranges(docs: DataFrame) -> tuple[DataFrame, dict[int, int], int]:
     copies = F.array(F.struct(F.col("_range").alias("r"), F.lit(False).alias("extra")))
     both = F.concat(copies, F.array(F.struct(known[F.col("_range")].alias("r"), F.lit(True).alias("extra"))))
     rows = placed.withColumn("_to", F.explode(F.when(leads, both).otherwise(copies)))
-    return rows.select("doc_id", "text", F.col("_to.r").alias("_range"), F.col("_to.extra").alias("_extra")), before, n
+    return rows.select("doc_id", "text", F.col("_to.r").alias("_range"), F.col("_to.extra").alias("_extra")), before, parts
 
 
 def edits(docs: DataFrame) -> DataFrame:
