@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -10,14 +13,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tutelage.functions.constants import INVOICE_SCHEMA
-from tutelage.functions.jsontext import canonical_json
+from tutelage.functions.jsontext import standard_json
 from tutelage.functions.text import norm_date, py_strip
 
 _NUMBER = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"
 _SCALARS = {"string": "^STRING", "number": _NUMBER, "boolean": "^BOOLEAN", "null": "^VOID"}
 
 
-def _is_a(value: Column, kind: str) -> Column:
+#: Keywords that are checked, and those that state nothing to check.
+CHECKED = {"type", "required", "properties", "items", "enum", "minimum", "maximum", "additionalProperties"}
+NOTES = {"$schema", "$id", "$comment", "title", "description", "default", "examples"}
+
+
+def _key(key: str) -> str:
+    """A path to one key, whatever characters it has."""
+    return "$['" + key.replace("\\", "\\\\").replace("'", "\\'") + "']"
+
+
+def _named(at: Column, key: str) -> Column:
+    return F.concat(at, F.lit(f".{key}" if re.fullmatch(r"\w+", key) else f"[{key!r}]"))
+
+
+def _is_a(value: Column, kind: str | Sequence[str]) -> Column:
+    if not isinstance(kind, str):
+        return reduce(lambda a, b: a | b, [_is_a(value, k) for k in kind])
     if kind == "object":
         return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
     if kind == "array":
@@ -30,19 +49,34 @@ def _is_a(value: Column, kind: str) -> Column:
 
 def violations(value: Column, schema: Mapping[str, Any], path: Column | None = None) -> Column:
     """What a variant breaks of a JSON Schema (types, required keys, array items), as texts."""
+    unknown = set(schema) - CHECKED - NOTES
+    if unknown or isinstance(schema.get("additionalProperties", False), Mapping):
+        raise ValueError(f"schema keywords that are not checked: {', '.join(sorted(unknown)) or 'additionalProperties with a schema'}")
     here = F.lit("$") if path is None else path
     single, nested = [], []
     if "type" in schema:
-        single.append(F.when(~_is_a(value, schema["type"]), F.concat(here, F.lit(f": not {schema['type']}"))))
+        kinds = schema["type"] if isinstance(schema["type"], str) else " or ".join(schema["type"])
+        single.append(F.when(~_is_a(value, schema["type"]), F.concat(here, F.lit(f": not {kinds}"))))
+    if "enum" in schema:
+        allowed = [F.to_json(value) == F.lit(json.dumps(v, separators=(",", ":"), ensure_ascii=False)) for v in schema["enum"]]
+        single.append(F.when(~reduce(lambda a, b: a | b, allowed), F.concat(here, F.lit(": not in enum"))))
+    number = F.try_variant_get(value, "$", "double")
+    for keyword, wrong in (("minimum", number < schema.get("minimum", 0)), ("maximum", number > schema.get("maximum", 0))):
+        if keyword in schema:
+            single.append(F.when(_is_a(value, "number") & wrong, F.concat(here, F.lit(f": beyond {keyword}"))))
+    if schema.get("additionalProperties", True) is False:
+        keys = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
+        extra = F.array_except(keys, F.array(*[F.lit(k) for k in schema.get("properties", {})]).cast("array<string>"))
+        nested.append(F.transform(extra, lambda k: F.concat(here, F.lit("."), k, F.lit(": not allowed"))))
     for key in schema.get("required", ()):
-        single.append(F.when(F.try_variant_get(value, f"$.{key}", "variant").isNull(), F.concat(here, F.lit(f".{key}: missing"))))
+        single.append(F.when(F.try_variant_get(value, _key(key), "variant").isNull(), F.concat(_named(here, key), F.lit(": missing"))))
     for key, sub in schema.get("properties", {}).items():
-        part = F.try_variant_get(value, f"$.{key}", "variant")
-        at = F.concat(here, F.lit(f".{key}"))
-        if {"properties", "required", "items"} & set(sub):
+        part, at = F.try_variant_get(value, _key(key), "variant"), _named(here, key)
+        if set(sub) - {"type"} - NOTES:
             nested.append(F.when(part.isNotNull(), violations(part, sub, at)))
         elif "type" in sub:
-            single.append(F.when(part.isNotNull() & ~_is_a(part, sub["type"]), F.concat(at, F.lit(f": not {sub['type']}"))))
+            kinds = sub["type"] if isinstance(sub["type"], str) else " or ".join(sub["type"])
+            single.append(F.when(part.isNotNull() & ~_is_a(part, sub["type"]), F.concat(at, F.lit(f": not {kinds}"))))
     if "items" in schema:
         parts = F.try_variant_get(value, "$", "array<variant>")
         nested.append(F.flatten(F.transform(parts, lambda v, i: violations(
@@ -60,12 +94,16 @@ def validate_json(df: DataFrame, col: str, schema: Mapping[str, Any] = INVOICE_S
 
 
 def _checked(df: DataFrame, col: str, schema: Mapping[str, Any], out: str) -> DataFrame:
-    """``validate_json`` that leaves the parsed text in ``__json``. Text and variant are columns of
-    their own, so each is worked out once however often the checks look at it."""
-    parsed = df.withColumn("__json", canonical_json(F.col(col))).withColumn("__v", F.try_parse_json("__json"))
+    """``validate_json`` that leaves the parsed text in ``__json``.
+
+    Text and variant come out of a generator, behind which no filter or projection can write their expressions again: each text is
+    parsed once, however often the checks look at it.
+    """
+    parsed = df.withColumn("__json", F.explode(F.array(standard_json(F.col(col)))))
+    parsed = parsed.select("*", F.explode(F.array(F.try_parse_json("__json"))).alias("__v"))
     value = F.col("__v")
     checked = F.when(value.isNull(), F.array(F.lit("$: not JSON"))).otherwise(violations(value, schema))
-    return parsed.withColumn(out, checked).drop("__v")
+    return parsed.select("*", F.explode(F.array(checked)).alias(out)).drop("__v")
 
 
 def schema_type(schema: Mapping[str, Any]) -> T.DataType:
@@ -107,15 +145,20 @@ def invoice_fields(text: Column) -> dict[str, Column]:
 
 
 def invoice_items(text: Column) -> Column:
-    """``array<struct<description, qty, unit_price, amount>>`` in text order, amount recomputed in decimals."""
+    """``array<struct<description, qty, unit_price, amount>>`` in text order, amount recomputed in decimals at the printed scale.
+
+    Numbers beyond 19 digits are doubles; nothing overflows.
+    """
     group = lambda i: F.regexp_extract_all(text, F.lit(ITEM_PATTERN), F.lit(i))
     rows = F.arrays_zip(group(1).alias("d"), group(2).alias("q"), group(3).alias("u"))
 
     def item(r: Column) -> Column:
-        qty = r["q"].cast("decimal(12,0)")
-        price = r["u"].cast("decimal(16,2)")
-        return F.struct(r["d"].alias("description"), qty.cast("double").alias("qty"), price.cast("double").alias("unit_price"),
-                        (qty * price).cast("decimal(18,2)").cast("double").alias("amount"))
+        qty = r["q"].try_cast("decimal(19,0)")
+        price = r["u"].try_cast("decimal(19,6)")
+        amount = F.try_multiply(qty, price)
+        return F.struct(r["d"].alias("description"), F.coalesce(qty.cast("double"), r["q"].try_cast("double")).alias("qty"),
+                        F.coalesce(price.cast("double"), r["u"].try_cast("double")).alias("unit_price"),
+                        F.coalesce(amount.cast("double"), r["q"].try_cast("double") * r["u"].try_cast("double")).alias("amount"))
 
     return F.transform(rows, item)
 
@@ -144,9 +187,9 @@ def line_items(df: DataFrame, text_col: str = "text", id_col: str = "id") -> Dat
 
 def reconcile(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds ``items_total``, ``difference`` (stated minus items) and ``balanced``; all in the row, no shuffle."""
-    money = lambda c: c.cast("decimal(18,2)")
-    items = F.aggregate(invoice_items(F.col(text_col)), F.lit(0).cast("decimal(18,2)"),
-                        lambda acc, x: money(acc + money(x["amount"])))
+    money = lambda c: c.try_cast("decimal(18,2)")
+    items = money(F.aggregate(invoice_items(F.col(text_col)), F.lit(0).cast("decimal(38,6)"),
+                              lambda acc, x: F.try_add(acc, x["amount"].try_cast("decimal(38,6)")).try_cast("decimal(38,6)")))
     stated = money(invoice_fields(F.col(text_col))["total_amount"])
     return (df.withColumn("stated_total", stated).withColumn("items_total", items)
             .withColumn("difference", F.col("stated_total") - F.col("items_total"))
@@ -164,7 +207,7 @@ def why_coverage(df: DataFrame, col: str = "output", fields: Sequence[str] = tup
 
 def pair_quality(df: DataFrame, schema: Mapping[str, Any] = INVOICE_SCHEMA) -> DataFrame:
     """Adds, for a preference pair, whether the sides differ, which of them conform, and the verdict."""
-    checked = validate_json(validate_json(df, "chosen", schema, "__c"), "rejected", schema, "__r")
+    checked = validate_json(validate_json(df, "chosen", schema, "__c"), "rejected", schema, "__r").drop("__json")
     differ = ~F.col("chosen").eqNullSafe(F.col("rejected"))
     good_c, good_r = F.size("__c") == 0, F.size("__r") == 0
     verdict = (F.when(~differ, "same").when(good_c & ~good_r, "clear").when(good_c & good_r, "both conform")

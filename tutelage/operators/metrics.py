@@ -18,7 +18,7 @@ from tutelage.operators.quantiles import exact_percentiles
 
 
 def accuracy(df: DataFrame, true_col: str = "answer", pred_col: str = "prediction", by: Sequence[str] = ()) -> DataFrame:
-    hit = F.col(true_col).eqNullSafe(F.col(pred_col)).cast("double")
+    hit = F.coalesce(F.col(true_col) == F.col(pred_col), F.lit(False)).cast("double")
     return df.groupBy(*by).agg(F.avg(hit).alias("accuracy"), F.count("*").alias("n"))
 
 
@@ -29,7 +29,7 @@ class _Counts:
         self.labels, self.by = tuple(labels), tuple(by)
         t, p = F.col(true_col), F.col(pred_col)
         cells = [F.count_if((t == a) & (p == b)).alias(f"c{i}_{j}") for i, a in enumerate(labels) for j, b in enumerate(labels)]
-        hits = F.count_if(t.eqNullSafe(p)).alias("hits")
+        hits = F.count_if(t == p).alias("hits")
         self.rows = df.groupBy(*by).agg(F.count("*").alias("total"), hits, *cells)
 
     def cell(self, i: int, j: int) -> Column:
