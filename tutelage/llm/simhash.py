@@ -200,7 +200,7 @@ def representatives(docs: DataFrame, width: int = 5, lanes: int = 4, max_bits: i
     nodes = materialise(marks.groupBy("_node").agg(F.min("doc_id").alias("least"), *[F.first(c).alias(c.removeprefix("_")) for c in names]).withColumnRenamed("_node", "node"), "nodes")
     roots = components(near_links(nodes.drop("least"), max_bits, shared))
     rooted = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("w")).select("w.least", F.col("w.node").alias("_winner"))
-    kept = marks.join(first, F.col("doc_id").eqNullSafe(F.col("least")) & (F.col("_node") == F.col("_winner")))
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("w")).select(F.col("w.least").alias("_least"), F.col("w.node").alias("_winner"))
+    kept = marks.join(first, F.col("doc_id").eqNullSafe(F.col("_least")) & (F.col("_node") == F.col("_winner")))
     once = Window.partitionBy("doc_id", "_node").orderBy(*names)
     return kept.withColumn("_row", F.row_number().over(once)).filter("_row = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
