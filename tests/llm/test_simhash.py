@@ -38,6 +38,31 @@ def test_positions_cover_every_choice():
     assert len(simhash.covering(4)) == 20
 
 
+def test_dealt_triples_use_all_positions_alike():
+    lists = simhash.dealt_triples(32, 96)
+    held = [sum(p in t for t in lists) for p in range(32)]
+    assert len(set(lists)) == 96 and sum(held) == 288 and max(held) <= 10
+
+
+def test_wide_links_against_brute_force(spark):
+    rng = random.Random(4)
+    nodes = []
+    for _ in range(60):
+        base = rng.getrandbits(256)
+        nodes += [base] + [base ^ sum(1 << b for b in rng.sample(range(256), n)) for n in (3, 9, 20, 30, 38, 60)]
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    rows = [(i, *[signed(v >> 64 * k & (1 << 64) - 1) for k in range(4)]) for i, v in enumerate(nodes)]
+    frame = spark.createDataFrame(rows, "node long, l0 long, l1 long, l2 long, l3 long")
+    found = {tuple(sorted(r)) for r in simhash.near_links(frame, 40, simhash.dealt_triples(32, 96)).collect()}
+    bits = lambda a, b: bin(nodes[a] ^ nodes[b]).count("1")
+    root = {r["node"]: r["root"] for r in components(spark.createDataFrame(sorted(found), "a long, b long")).collect()}
+    near = [(a, b) for a, b in combinations(range(len(nodes)), 2) if bits(a, b) <= 40]
+    joined = [bits(a, b) for a, b in near if root.get(a, a) == root.get(b, b)]
+    missed = [bits(a, b) for a, b in near if root.get(a, a) != root.get(b, b)]
+    assert all(n > 9 for n in missed) and len(joined) >= 0.95 * len(near)
+    assert {a // 7 for a, _ in found} == {b // 7 for _, b in found} and all(a // 7 == b // 7 for a, b in found)
+
+
 def test_fingerprints_and_components_against_brute_force(spark):
     rng = random.Random(5)
     words = [f"w{i}" for i in range(400)]

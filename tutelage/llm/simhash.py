@@ -17,6 +17,7 @@ table gives an empty result; other columns are left out.
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator, Sequence
 from itertools import accumulate, combinations
 
@@ -97,13 +98,25 @@ def covering(shared: int) -> list[tuple[int, ...]]:
     return list(combinations(range(8), max(1, shared)))
 
 
-def postings(nodes: DataFrame, shared: int) -> DataFrame:
-    """``nodes`` once for each posting list that the first lane belongs to."""
+def dealt_triples(positions: int, many: int) -> list[tuple[int, ...]]:
+    """``many`` (at most 127) different triples of positions, cut from shuffles of all of them: every position is in about as many."""
+    rng, queue, out = random.Random(0), [], []
+    while len(out) < many:
+        if len(queue) < 3:
+            queue += rng.sample(range(positions), positions)
+        triple, queue = tuple(sorted(queue[:3])), queue[3:]
+        if len(set(triple)) == 3 and triple not in out:
+            out.append(triple)
+    return out
+
+
+def postings(nodes: DataFrame, lists: Sequence[tuple[int, ...]]) -> DataFrame:
+    """``nodes`` once for each of ``lists`` (its positions: 0 to 7 in the first lane, 8 to 15 in the second, ...)."""
     def byte(i: int) -> Column:
-        return F.shiftrightunsigned("l0", 8 * i).bitwiseAND(255)
+        return F.shiftrightunsigned(f"l{i // 8}", 8 * (i % 8)).bitwiseAND(255)
 
     keys = []
-    for number, positions in enumerate(covering(shared)):
+    for number, positions in enumerate(lists):
         key = F.lit(number)
         for p in positions:
             key = F.shiftleft(key, 8).bitwiseOR(byte(p).cast("int"))
@@ -122,15 +135,16 @@ def _deal(lists: DataFrame, keys: DataFrame) -> DataFrame:
     return dealt.drop("blocks")
 
 
-def near_links(nodes: DataFrame, max_bits: int = 4, shared: int | None = None) -> DataFrame:
-    """``(a, b)``: links that connect all pairs of ``nodes`` (``node``, lanes) with at most ``max_bits`` differing bits over all lanes.
+def near_links(nodes: DataFrame, max_bits: int = 4, lists: Sequence[tuple[int, ...]] | None = None) -> DataFrame:
+    """``(a, b)``: links that connect all pairs of ``nodes`` (``node``, lanes ``l0``, ``l1``, ...) with at most ``max_bits`` differing bits.
 
-    Whole for pairs that agree in ``shared`` positional bytes of the first lane; with one lane and the default,
-    8 - ``max_bits``, that is every pair.
+    Without ``lists``, whole for every pair of one lane: all choices of the guaranteed 8 - ``max_bits`` positional bytes are
+    covered. With ``lists`` of positions, whole for the pairs that agree in all positions of one of them.
     """
-    shared = max(1, 8 - max_bits) if shared is None else shared
     lanes = [c for c in nodes.columns if c != "node"]
-    dealt = _deal(postings(nodes, shared), postings(nodes.select("node", "l0"), shared).select("key"))
+    shared = max(1, 8 - max_bits) if lists is None else min(map(len, lists))
+    lists = covering(shared) if lists is None else lists
+    dealt = _deal(postings(nodes, lists), postings(nodes, lists).select("node", "key"))
     spread = dealt.select("key", "pair", "node", *lanes).repartition("key", "pair").sortWithinPartitions("key", "pair", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,8 +165,8 @@ def near_links(nodes: DataFrame, max_bits: int = 4, shared: int | None = None) -
 
 
 def _near(x: np.ndarray, max_bits: int, shared: int) -> np.ndarray:
-    """Of differences by row: those with enough equal bytes in the first lane, then with few enough differing bits."""
-    ok = (np.ascontiguousarray(x[:, 0]).view(np.uint8).reshape(-1, 8) == 0).sum(axis=1) >= shared
+    """Of differences by row: those with enough equal positional bytes, then with few enough differing bits."""
+    ok = (np.ascontiguousarray(x).view(np.uint8).reshape(len(x), 8 * x.shape[1]) == 0).sum(axis=1) >= shared
     ok[ok] = np.bitwise_count(x[ok]).sum(axis=1) <= max_bits
     return ok
 
@@ -188,17 +202,18 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataF
     return marks.join(named, "node").select("doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def representatives(docs: DataFrame, width: int = 5, lanes: int = 4, max_bits: int = 40, shared: int = 3) -> DataFrame:
+def representatives(docs: DataFrame, width: int = 5, lanes: int = 4, max_bits: int = 40, lists: int = 96) -> DataFrame:
     """``docs`` with one row of each group of near copies: that of the least id (null last), once if the row is repeated.
 
     Fingerprints of 256 bits over shingles of five words tell a similarity of 0.8 (some 33 differing bits) from unrelated texts
-    (128) well; candidates are pairs that share ``shared`` positional bytes of the first 64 bits. All columns pass.
+    (128) well. Candidates are pairs that share the bytes of one of ``lists`` triples dealt over all 32 positions: certain at up to
+    nine differing bits, since a position is in ten triples at most, and likely up to ``max_bits``. All columns pass.
     """
     marks = fingerprints(docs, width, lanes, keep=docs.columns)
     names = [f"_l{i}" for i in range(lanes)]
     marks = materialise(marks.withColumn("_node", F.xxhash64(*names)), "marked")
     nodes = materialise(marks.groupBy("_node").agg(F.min("doc_id").alias("least"), *[F.first(c).alias(c.removeprefix("_")) for c in names]).withColumnRenamed("_node", "node"), "nodes")
-    roots = components(near_links(nodes.drop("least"), max_bits, shared))
+    roots = components(near_links(nodes.drop("least"), max_bits, dealt_triples(8 * lanes, lists)))
     rooted = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("w")).select(F.col("w.least").alias("_least"), F.col("w.node").alias("_winner"))
     kept = marks.join(first, F.col("doc_id").eqNullSafe(F.col("_least")) & (F.col("_node") == F.col("_winner")))
