@@ -92,3 +92,11 @@ def test_pair_quality(spark):
     good, bad = json.dumps(GOOD), '{"invoice":"77"}'
     df = spark.createDataFrame([(good, bad), (bad, good), (good, good), (bad, "x"), (good, good + " ")], "chosen string, rejected string")
     assert [r["verdict"] for r in X.pair_quality(df).collect()] == ["clear", "inverted", "same", "neither conforms", "both conform"]
+
+
+def test_schema_rate_counts_each_kind_once_a_row(spark):
+    rows = [(["$.items[0].qty: missing", "$.items[12].qty: missing"],), ([],), ([],), (["$: not JSON"],)]
+    out = X.schema_rate(spark.createDataFrame(rows, "violations array<string>")).collect()
+    assert {r["violation"]: (r["n"], r["share"]) for r in out} == {
+        "all": (4, 1.0), "conforms": (2, 0.5), "$.items[].qty: missing": (1, 0.25), "$: not JSON": (1, 0.25)}
+    assert X.schema_rate(spark.createDataFrame([], "violations array<string>")).count() == 0

@@ -29,3 +29,10 @@ def test_infer_batch_loads_once_and_keeps_order(spark):
     df = spark.range(100, numPartitions=4).select("id", F.col("id").cast("string").alias("t"))
     rows = infer_batch(df, load, ["t"], "out", T.StringType(), batch_size=7).collect()
     assert all(r["out"] == f"{r['id']}!" for r in rows) and len(rows) == 100
+
+
+def test_inputs_are_cut_and_split(spark):
+    df = spark.createDataFrame([(i, f" a\t\nb{i}  c d ", "Good" if i else "unknown") for i in range(11)], "id long, question string, teacher_label string")
+    rows = student.student_inputs(df, max_len=3).collect()
+    assert sorted(r["id"] for r in rows) == list(range(1, 11)) and sum(r["split"] == "test" for r in rows) == 2
+    assert {r["question"] for r in rows} == {f"a b{i} c" for i in range(1, 11)}

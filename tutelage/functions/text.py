@@ -64,3 +64,9 @@ def norm_date(col: Column | str) -> Column:
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
+
+
+def first_words(col: Column | str, n: int) -> Column:
+    """The first ``n`` words between spaces, tabs and line ends, joined by single spaces."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.array_join(F.slice(F.filter(F.split(c, r"[ \t\r\n]+"), lambda w: w != ""), 1, n), " ")

@@ -9,6 +9,7 @@ from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,6 +94,18 @@ def validate_json(df: DataFrame, col: str, schema: Mapping[str, Any] = INVOICE_S
     return _checked(df, col, schema, out).drop("__json")
 
 
+def schema_rate(checked: DataFrame, col: str = "violations") -> DataFrame:
+    """``(violation, n, share)`` over lists of violations: ``all`` rows, those that conform, and those with each kind of violation.
+
+    Places in arrays are told apart no further (``[]``), so the kinds are as few as the schema has; a row counts once for a kind.
+    """
+    kinds = F.array_distinct(F.transform(col, lambda v: F.regexp_replace(v, r"\[\d+\]", "[]")))
+    named = F.when(F.size(col) == 0, F.array(F.lit("conforms"))).otherwise(kinds)
+    counts = checked.select(F.explode(F.concat(F.array(F.lit("all")), named)).alias("violation")).groupBy("violation").agg(F.count("*").alias("n"))
+    total = F.max(F.when(F.col("violation") == "all", F.col("n"))).over(W.partitionBy(F.lit(0)))
+    return counts.withColumn("share", F.col("n") / total)
+
+
 def _checked(df: DataFrame, col: str, schema: Mapping[str, Any], out: str) -> DataFrame:
     """``validate_json`` that leaves the parsed text in ``__json``.
 

@@ -31,6 +31,13 @@ def g1_validate_json(spark: SparkSession, d: str) -> DataFrame:
     return checked.select("id", F.array_join("violations", "; ").alias("violations"))
 
 
+@query("f15_schema_rate", f"""WITH {T.SQL_ANSWERS}, v AS (SELECT {_VIOLATION} AS v FROM answers)
+SELECT CASE WHEN v = '' THEN 'conforms' ELSE v END AS violation, count(*) AS n, round(count(*) / (SELECT count(*) FROM v), 6) AS share FROM v GROUP BY 1
+UNION ALL SELECT 'all', count(*), 1.0::DOUBLE FROM v""")
+def f15_schema_rate(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(X.schema_rate(X.validate_json(T.invoice_answers(spark, d).select("id", "answer"), "answer")), "share")
+
+
 @query("g2_to_records", f"""WITH {T.SQL_ANSWERS}, n AS (SELECT id, count(*) AS n_items, sum(q) AS total_qty FROM lines GROUP BY id)
 SELECT id, number AS invoice_number, strftime(day, '%Y-%m-%d') AS invoice_date, vendor AS vendor_name, total_cents / 100 AS total_amount, currency, n_items, CAST(total_qty AS DOUBLE) AS total_qty
 FROM answers JOIN n USING (id) WHERE h < '8' OR (h >= 'a' AND h < 'c')""")
@@ -112,10 +119,32 @@ def h2_kd_rows(spark: SparkSession, d: str) -> DataFrame:
     return D.kd_rows(T.credit_orders(spark, d).join(ann, "id", "left"), "teacher_label")
 
 
+def taught_docs(spark: SparkSession, d: str) -> DataFrame:
+    return D.join_teacher(T.labelled_docs(spark, d), T.teacher(T.labelled_docs(spark, d).select("id", "answer")))
+
+
+_HELD_OUT = f"""{T.SQL_LABELLED}, {T.sql_teacher('labelled_docs')},
+held AS (SELECT id, answer, label AS teacher_label, array_to_string(list_filter(string_split_regex(question, '[ \\t\\r\\n]+'), lambda w: w <> '')[1:{K.STUDENT_MAX_LEN}], ' ') AS question,
+  CASE WHEN row_number() OVER (ORDER BY md5('42:' || id), id) <= (SELECT ceil(count(*) / 5) FROM labelled_docs) THEN 'test' ELSE 'train' END AS split
+  FROM labelled_docs JOIN teacher USING (id))"""
+
+
+@query("h3_held_out", f"WITH {_HELD_OUT} SELECT id, answer, teacher_label, split, md5(question) AS question_md5 FROM held")
+def h3_held_out(spark: SparkSession, d: str) -> DataFrame:
+    return student.student_inputs(taught_docs(spark, d)).select("id", "answer", "teacher_label", "split", F.md5("question").alias("question_md5"))
+
+
+@query("h4_teacher_vs_gold", f"""WITH {_HELD_OUT} SELECT 'teacher vs gold' AS compared, round(avg(CASE WHEN answer = teacher_label THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+count(*) AS n FROM held WHERE split = 'test'""")
+def h4_teacher_vs_gold(spark: SparkSession, d: str) -> DataFrame:
+    held_out = student.student_inputs(taught_docs(spark, d)).filter(F.col("split") == "test").select("answer", "teacher_label")
+    report = student.student_report(held_out.withColumn("prediction", F.col("teacher_label")))
+    return rounded(report.filter(F.col("compared") == "teacher vs gold").select("compared", "accuracy", "n"), "accuracy")
+
+
 def student_rows(spark: SparkSession, d: str) -> DataFrame:
     """``(id, answer, teacher_label, prediction)`` of the rows the student was not shown."""
-    docs = D.join_teacher(T.labelled_docs(spark, d), T.teacher(T.labelled_docs(spark, d).select("id", "answer")))
-    model, held_out = student.train_student(docs)
+    model, held_out = student.train_student(taught_docs(spark, d))
     return student.student_predict(model, held_out).select("id", "answer", "teacher_label", "prediction")
 
 

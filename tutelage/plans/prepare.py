@@ -41,6 +41,15 @@ def a1_read_labeled(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_labeled(spark, path, id_col="id", lines=True)
 
 
+@query("a1_read_labeled_array", f"WITH {T.SQL_CREDIT} SELECT id, question, answer FROM credit_orders")
+def a1_read_labeled_array(spark: SparkSession, d: str) -> DataFrame:
+    """Files of one array each, of the labelled orders of 10,000 ids."""
+    path = fresh_path(spark, "arrays")
+    arrays = T.credit_orders(spark, d).groupBy(F.floor(F.col("id") / 10_000)).agg(F.to_json(F.collect_list(F.struct("id", "question", "answer"))).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return readers.read_labeled(spark, path, id_col="id")
+
+
 def _written(spark: SparkSession, d: str, method: str) -> str:
     return sinks.write_distill_sets({method: D.build_sets(T.labelled_docs(spark, d))[method]}, fresh_path(spark, "sets"))[method]
 
