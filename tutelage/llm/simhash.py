@@ -24,7 +24,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,9 +37,7 @@ HEAVY = 1024
 #: Heavy lists known by broadcast up to so many (16 bytes each); beyond, they are joined.
 HEAVY_BROADCAST = 50_000
 #: Shingles of one text hashed at a time.
-CHUNK = 1 << 16
-
-_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
+CHUNK = 1 << 13
 
 
 def _mix(h: np.ndarray, lane: int) -> np.ndarray:
@@ -64,13 +62,12 @@ def fingerprint(text: bytes, width: int = 4, lanes: int = 1) -> np.ndarray:
         spans = [(0, len(joined))]
     else:
         spans = list(zip([0, *[e + 1 for e in ends[:len(words) - width]]], ends[width - 1:], strict=True))
-    digest, total = xxhash.xxh64_intdigest, np.zeros((lanes, 64), np.int64)
+    digest, total = xxhash.xxh64_intdigest, np.zeros(64 * lanes, np.int64)
     for at in range(0, len(spans), CHUNK):
         h = np.array([digest(joined[a:b], SEED) for a, b in spans[at:at + CHUNK]], dtype=np.uint64)
-        for lane in range(lanes):
-            places = (_mix(h, lane) if lane else h).view(np.uint8).reshape(-1, 8) + np.arange(0, 2048, 256)
-            total[lane] += (np.bincount(places.ravel(), minlength=2048).reshape(8, 256) @ _BITS).reshape(64)
-    return np.packbits(total * 2 > len(spans), axis=1, bitorder="little").view(np.uint64).reshape(lanes)
+        hashes = np.stack([_mix(h, lane) if lane else h for lane in range(lanes)], axis=1)
+        total += np.unpackbits(hashes.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits((total * 2 > len(spans)).reshape(lanes, 64), axis=1, bitorder="little").view(np.uint64).reshape(lanes)
 
 
 def fingerprints(docs: DataFrame, width: int = 4, lanes: int = 1, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -99,7 +96,7 @@ def covering(shared: int) -> list[tuple[int, ...]]:
 
 
 def dealt_triples(positions: int, many: int) -> list[tuple[int, ...]]:
-    """``many`` (at most 127) different triples of positions, cut from shuffles of all of them: every position is in about as many."""
+    """``many`` different triples of positions, cut from shuffles of all of them: every position is in about as many."""
     rng, queue, out = random.Random(0), [], []
     while len(out) < many:
         if len(queue) < 3:
@@ -111,17 +108,14 @@ def dealt_triples(positions: int, many: int) -> list[tuple[int, ...]]:
 
 
 def postings(nodes: DataFrame, lists: Sequence[tuple[int, ...]]) -> DataFrame:
-    """``nodes`` once for each of ``lists`` (its positions: 0 to 7 in the first lane, 8 to 15 in the second, ...)."""
-    def byte(i: int) -> Column:
-        return F.shiftrightunsigned(f"l{i // 8}", 8 * (i % 8)).bitwiseAND(255)
-
-    keys = []
-    for number, positions in enumerate(lists):
-        key = F.lit(number)
-        for p in positions:
-            key = F.shiftleft(key, 8).bitwiseOR(byte(p).cast("int"))
-        keys.append(key)
-    return nodes.select("*", F.explode(F.array(*keys)).alias("key"))
+    """``nodes`` once for each of ``lists`` of so many positions each (0 to 7 in the first lane, 8 to 15 in the second, ...)."""
+    lanes = [c for c in nodes.columns if c != "node"]
+    parts = F.array(*[F.shiftrightunsigned(lane, 8 * i).bitwiseAND(255) for lane in lanes for i in range(8)])
+    dealt = nodes.select("*", parts.alias("bytes")).select("*", F.posexplode(F.array(*[F.lit(list(p)) for p in lists])).alias("key", "at"))
+    key = F.col("key").cast("long")
+    for i in range(len(lists[0])):
+        key = F.shiftleft(key, 8).bitwiseOR(F.col("bytes")[F.col("at")[i]])
+    return dealt.select("node", *lanes, key.alias("key"))
 
 
 def _deal(lists: DataFrame, keys: DataFrame) -> DataFrame:
@@ -150,12 +144,12 @@ def near_links(nodes: DataFrame, max_bits: int = 4, lists: Sequence[tuple[int, .
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None
         for batch in batches:
-            key = batch.column("key").to_numpy().astype(np.int64) << 32 | batch.column("pair").to_numpy().astype(np.int64)
+            key = np.stack([batch.column("key").to_numpy(), batch.column("pair").to_numpy()], axis=1)
             node = batch.column("node").to_numpy()
             marks = np.stack([batch.column(c).to_numpy() for c in lanes], axis=1).view(np.uint64)
             if kept is not None:
                 key, node, marks = np.concatenate([kept[0], key]), np.concatenate([kept[1], node]), np.concatenate([kept[2], marks])
-            cut = int(np.searchsorted(key, key[-1])) if len(key) else 0
+            cut = int(_starts(key)[-1]) if len(key) else 0
             kept = key[cut:], node[cut:], marks[cut:]
             yield from _links(key[:cut], node[:cut], marks[:cut], max_bits, shared)
         if kept is not None:
@@ -171,10 +165,15 @@ def _near(x: np.ndarray, max_bits: int, shared: int) -> np.ndarray:
     return ok
 
 
+def _starts(key: np.ndarray) -> np.ndarray:
+    """Where in sorted keys another one begins."""
+    return np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)])
+
+
 def _links(key: np.ndarray, node: np.ndarray, marks: np.ndarray, max_bits: int, shared: int) -> Iterator[pa.RecordBatch]:
     if not len(key):
         return
-    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    starts = _starts(key)
     sizes = np.diff(np.r_[starts, len(key)])
     two = starts[sizes == 2]
     two = two[_near(marks[two] ^ marks[two + 1], max_bits, shared)]
@@ -202,20 +201,28 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataF
     return marks.join(named, "node").select("doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def representatives(docs: DataFrame, width: int = 5, lanes: int = 4, max_bits: int = 40, lists: int = 96) -> DataFrame:
+def representatives(docs: DataFrame, width: int = 5, lanes: int = 4, max_bits: int = 42, lists: int = 192) -> DataFrame:
     """``docs`` with one row of each group of near copies: that of the least id (null last), once if the row is repeated.
 
-    Fingerprints of 256 bits over shingles of five words tell a similarity of 0.8 (some 33 differing bits) from unrelated texts
+    Fingerprints of 256 bits over shingles of five words tell a similarity of 0.8 (some 39 differing bits) from unrelated texts
     (128) well. Candidates are pairs that share the bytes of one of ``lists`` triples dealt over all 32 positions: certain at up to
-    nine differing bits, since a position is in ten triples at most, and likely up to ``max_bits``. All columns pass.
+    ten differing bits, since with 192 lists a position is in 19 triples at most, and likely up to ``max_bits``. All columns pass.
+
+    Only ids, hashes and fingerprints are written and shuffled, but for the one join that brings the texts of the rows that stay;
+    ``docs`` is read twice and must give the same rows both times.
     """
-    marks = fingerprints(docs, width, lanes, keep=docs.columns)
+    row = "_row"
+    while any(c.lower().startswith(row) for c in docs.columns):
+        row += "_"
+    own = {row: F.xxhash64("doc_id", "text"), f"{row}2": F.xxhash64("text", "doc_id")}  # 128 bits tell rows apart
     names = [f"_l{i}" for i in range(lanes)]
+    marks = fingerprints(docs.select("doc_id", "text", own[row].alias("_own"), own[f"{row}2"].alias("_own2")), width, lanes, keep=("doc_id", "_own", "_own2"))
     marks = materialise(marks.withColumn("_node", F.xxhash64(*names)), "marked")
-    nodes = materialise(marks.groupBy("_node").agg(F.min("doc_id").alias("least"), *[F.first(c).alias(c.removeprefix("_")) for c in names]).withColumnRenamed("_node", "node"), "nodes")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_own", "_own2")).alias("least")
+    nodes = materialise(marks.groupBy("_node").agg(least, *[F.first(c).alias(c.removeprefix("_")) for c in names]).withColumnRenamed("_node", "node"), "nodes")
     roots = components(near_links(nodes.drop("least"), max_bits, dealt_triples(8 * lanes, lists)))
     rooted = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("w")).select(F.col("w.least").alias("_least"), F.col("w.node").alias("_winner"))
-    kept = marks.join(first, F.col("doc_id").eqNullSafe(F.col("_least")) & (F.col("_node") == F.col("_winner")))
-    once = Window.partitionBy("doc_id", "_node").orderBy(*names)
-    return kept.withColumn("_row", F.row_number().over(once)).filter("_row = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    first = rooted.groupBy("root").agg(F.min("least").alias("w")).select(F.col("w._own").alias(row), F.col("w._own2").alias(f"{row}2"))
+    kept = docs.withColumns(own).join(first, list(own))
+    once, number = Window.partitionBy(*own).orderBy(row), f"{row}_number"
+    return kept.withColumn(number, F.row_number().over(once)).filter(F.col(number) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
