@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from tutelage.plans import evaluate, extract, prepare, rank  # noqa: F401
+from tutelage.plans import evaluate, extract, hard, prepare, rank  # noqa: F401
 from tutelage.plans.registry import ORACLE, QUERIES  # noqa: F401
