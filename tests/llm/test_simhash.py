@@ -120,3 +120,29 @@ def test_representatives_keep_one_of_each_group(spark):
     assert sorted((r["doc_id"] or -1, r["least"]) for r in out.collect()) == [(-1, 11), (5, 5), (7, 3), (8, 2)]
     assert simhash.representatives(docs.limit(0)).count() == 0
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_a_repeated_line_links_no_clean_documents(spark):
+    rng = random.Random(8)
+    line = [f"line{i}" for i in range(14)]
+    texts = [" ".join(line * 40 + [f"own{rng.randint(0, 10 ** 6)}" for _ in range(600)]) for _ in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert simhash.representatives(docs).count() == 12
+
+
+def test_representatives_are_decided_by_exact_similarity(spark, monkeypatch):
+    rng = random.Random(9)
+    base = [f"w{rng.randint(0, 10 ** 6)}" for _ in range(304)]  # 300 shingles
+    texts = [" ".join([*base[:-k], *[f"{k}x{i}" for i in range(k)]]) if k else " ".join(base) for k in (0, 33, 34)]  # 267 / 333 = 0.802, 266 / 334 = 0.796
+    sets = [simhash.shingles(t.encode(), 5) for t in texts]
+    assert simhash.similarity(sets[0], sets[1]) >= 0.8 > simhash.similarity(sets[0], sets[2])
+    pairs = spark.createDataFrame([(0, 1), (0, 2)], "a long, b long")
+    rows = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "node long, text binary")
+    assert [tuple(r) for r in simhash.similar(pairs, rows, 5, 0.8).collect()] == [(0, 1)]
+    group = [list(base) for _ in range(40)]
+    for k, words in enumerate(group):
+        words[7 * k] = f"other{k}"
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(group)] + [(99, texts[2])], "doc_id long, text string")
+    for known in (200_000, 0):
+        monkeypatch.setattr(simhash, "TEXTS_BROADCAST", known)
+        assert sorted(r["doc_id"] for r in simhash.representatives(docs).collect()) == [0, 99]

@@ -18,7 +18,7 @@ table gives an empty result; other columns are left out.
 from __future__ import annotations
 
 import random
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -38,6 +38,10 @@ HEAVY = 1024
 HEAVY_BROADCAST = 50_000
 #: Shingles of one text hashed at a time.
 CHUNK = 1 << 13
+#: Of a list of at most so many fingerprints all pairs are verified at once; of a longer one, those of 1, 2, 4, ... members a round.
+SMALL = 8
+#: Texts to verify are looked up by broadcast up to so many (some 40 bytes each); beyond, they are joined.
+TEXTS_BROADCAST = 200_000
 
 
 def _mix(h: np.ndarray, lane: int) -> np.ndarray:
@@ -48,26 +52,46 @@ def _mix(h: np.ndarray, lane: int) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def fingerprint(text: bytes, width: int = 4, lanes: int = 1) -> np.ndarray:
-    """``lanes`` words of 64 bits: a bit is set where over half of the shingles' hashes have it.
-
-    The first lane is of XXH64 itself; further lanes are mixed from it.
-    """
+def _spans(text: bytes, width: int) -> tuple[bytes, list[tuple[int, int]]]:
+    """The words of a text joined by one space, and where its shingles are in them."""
     words = text.lower().split()
-    if not words:
-        return np.zeros(lanes, np.uint64)
     joined = b" ".join(words)
     ends = list(accumulate(map(len, words), lambda a, n: a + n + 1))
     if len(words) <= width:
-        spans = [(0, len(joined))]
-    else:
-        spans = list(zip([0, *[e + 1 for e in ends[:len(words) - width]]], ends[width - 1:], strict=True))
-    digest, total = xxhash.xxh64_intdigest, np.zeros(64 * lanes, np.int64)
-    for at in range(0, len(spans), CHUNK):
-        h = np.array([digest(joined[a:b], SEED) for a, b in spans[at:at + CHUNK]], dtype=np.uint64)
-        hashes = np.stack([_mix(h, lane) if lane else h for lane in range(lanes)], axis=1)
-        total += np.unpackbits(hashes.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits((total * 2 > len(spans)).reshape(lanes, 64), axis=1, bitorder="little").view(np.uint64).reshape(lanes)
+        return joined, [(0, len(joined))] if words else []
+    return joined, list(zip([0, *[e + 1 for e in ends[:len(words) - width]]], ends[width - 1:], strict=True))
+
+
+def hashes(text: bytes, width: int) -> np.ndarray:
+    """XXH64 of each shingle."""
+    joined, spans = _spans(text, width)
+    return np.array([xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in spans], dtype=np.uint64)
+
+
+def majority(own: np.ndarray, lanes: int) -> np.ndarray:
+    """``lanes`` words of 64 bits: a bit is set where over half of the hashes have it; further lanes are mixed from the first."""
+    total = np.zeros(64 * lanes, np.int64)
+    for at in range(0, len(own), CHUNK):
+        h = own[at:at + CHUNK]
+        mixed = np.stack([_mix(h, lane) if lane else h for lane in range(lanes)], axis=1)
+        total += np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits((total * 2 > len(own)).reshape(lanes, 64), axis=1, bitorder="little").view(np.uint64).reshape(lanes)
+
+
+def fingerprint(text: bytes, width: int = 4, lanes: int = 1) -> np.ndarray:
+    """``majority`` of the hashes of all shingles, repeated ones by count."""
+    return majority(hashes(text, width), lanes)
+
+
+def shingles(text: bytes, width: int) -> set[bytes]:
+    joined, spans = _spans(text, width)
+    return {joined[a:b] for a, b in spans}
+
+
+def similarity(a: set[bytes], b: set[bytes]) -> float:
+    """Shingles of both among those of either; of two empty sets one."""
+    both = len(a & b)
+    return both / (len(a) + len(b) - both) if a or b else 1.0
 
 
 def fingerprints(docs: DataFrame, width: int = 4, lanes: int = 1, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -201,26 +225,124 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataF
     return marks.join(named, "node").select("doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def representatives(docs: DataFrame, width: int = 5, lanes: int = 4, max_bits: int = 42, lists: int = 192) -> DataFrame:
+def distinct_marks(docs: DataFrame, width: int, lanes: int, keep: Sequence[str]) -> DataFrame:
+    """``keep``, ``_node`` (a hash of the set of distinct shingles) and ``_l0``, ``_l1``, ...: the fingerprint, to which each distinct shingle counts once."""
+    names = ["_node", *[f"_l{i}" for i in range(lanes)]]
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(n, T.LongType()) for n in names])
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for t in batch.column("_text").to_pylist():
+            own = np.unique(hashes(t, width))
+            rows.append(np.r_[np.uint64(xxhash.xxh64_intdigest(own.tobytes(), SEED)), majority(own, lanes)])
+        marks = np.array(rows, dtype=np.uint64).reshape(-1, len(names)).view(np.int64)
+        return pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *[pa.array(np.ascontiguousarray(marks[:, i])) for i in range(len(names))]], names=schema.fieldNames())
+
+    return batched(docs.select(*[F.col(f"`{c}`") for c in keep], utf8("text").alias("_text")), run, schema)
+
+
+def _pairs(key: np.ndarray, node: np.ndarray, root: np.ndarray, marks: np.ndarray, max_bits: int, done: int, upto: int) -> pa.RecordBatch:
+    """Pairs of different roots within ``max_bits``: of small lists all, of others those of the members from ``done`` to ``upto``; and the keys of lists with pairs beyond."""
+    starts = _starts(key) if len(key) else np.empty(0, np.int64)
+    sizes = np.diff(np.r_[starts, len(key)])
+    two = starts[sizes == 2]
+    two = two[(np.bitwise_count(marks[two] ^ marks[two + 1]).sum(axis=1) <= max_bits) & (root[two] != root[two + 1])]
+    a, b, left = [node[two]], [node[two + 1]], []
+    for s, n in zip(starts[sizes > 2], sizes[sizes > 2], strict=True):
+        own, ids, roots = marks[s:s + n], node[s:s + n], root[s:s + n]
+        for i in range(0 if n <= SMALL else done, n - 1):
+            near = np.flatnonzero((np.bitwise_count(own[i + 1:] ^ own[i]).sum(axis=1) <= max_bits) & (roots[i + 1:] != roots[i]))
+            if len(near) and n > SMALL and i >= upto:
+                left.append(key[s])
+                break
+            a.append(np.full(len(near), ids[i])), b.append(ids[i + 1:][near])
+    a, b, left = np.concatenate(a), np.concatenate(b), np.array(left, np.int64).reshape(-1, 2)
+    none = [None] * len(left)
+    return pa.RecordBatch.from_arrays([pa.array([*[None] * len(a), *left[:, 0].tolist()], pa.int64()), pa.array([*[None] * len(a), *left[:, 1].tolist()], pa.int64()),
+                                       pa.array([*a.tolist(), *none], pa.int64()), pa.array([*b.tolist(), *none], pa.int64())], names=["key", "pair", "a", "b"])
+
+
+def near_pairs(lists: DataFrame, max_bits: int, done: int, upto: int) -> DataFrame:
+    """``(a, b)`` as ``_pairs`` finds them in ``lists`` (``key``, ``pair``, ``node``, ``root``, lanes), or ``(key, pair)`` of a list with more of them."""
+    lanes = [c for c in lists.columns if c not in ("key", "pair", "node", "root")]
+    spread = lists.select("key", F.col("pair").cast("bigint").alias("pair"), "node", "root", *lanes).repartition("key", "pair").sortWithinPartitions("key", "pair", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for batch in batches:
+            columns = [np.stack([batch.column(c).to_numpy() for c in ("key", "pair")], axis=1), batch.column("node").to_numpy(), batch.column("root").to_numpy(),
+                       np.stack([batch.column(c).to_numpy() for c in lanes], axis=1).view(np.uint64)]
+            columns = columns if kept is None else [np.concatenate(x) for x in zip(kept, columns, strict=True)]
+            cut = int(_starts(columns[0])[-1]) if len(columns[0]) else 0
+            kept = [x[cut:] for x in columns]
+            yield _pairs(*[x[:cut] for x in columns], max_bits, done, upto)
+        if kept is not None:
+            yield _pairs(*kept, max_bits, done, upto)
+
+    return spread.mapInArrow(run, "key bigint, pair bigint, a bigint, b bigint")
+
+
+def similar(pairs: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
+    """Of ``pairs`` (``a``, ``b``) those whose ``texts`` (``node``, ``text``) have a similarity of ``least`` or more."""
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ok = [similarity(shingles(x, width), shingles(y, width)) >= least for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return batched(both.select("a", "b", "ta", "tb"), run, "a bigint, b bigint")
+
+
+def verified_links(lists: DataFrame, texts: Callable[[DataFrame], DataFrame], width: int, max_bits: int, least: float) -> DataFrame:
+    """``(a, b)``: links of a similarity of ``least`` or more that connect all such pairs which meet in one of ``lists`` within ``max_bits``.
+
+    ``texts`` gives ``(node, text)`` for a table of nodes. A long list is taken in rounds: a few members against all others, and
+    then only pairs that the links so far leave apart, so that a large group of near copies costs about one link for each of them.
+    """
+    state, links, done, step = lists.withColumn("root", F.col("node")), None, 0, 1
+    while True:
+        found = materialise(near_pairs(state, max_bits, done, done + step), "near-pairs")
+        pairs = materialise(found.filter(F.col("a").isNotNull()).select("a", "b").distinct(), "pairs")
+        own = texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+        new = materialise(similar(pairs, own, width, least), "similar")
+        links = new if links is None else links.union(new)
+        left = found.filter(F.col("a").isNull()).select("key", F.col("pair").cast("int").alias("pair")).distinct()
+        if left.isEmpty():
+            return links
+        lists = materialise(lists.join(left, ["key", "pair"], "left_semi"), "lists")
+        state = lists.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        done, step = done + step, 2 * step
+
+
+def representatives(docs: DataFrame, width: int = 5, lanes: int = 4, max_bits: int = 42, lists: int = 192, least: float = 0.8) -> DataFrame:
     """``docs`` with one row of each group of near copies: that of the least id (null last), once if the row is repeated.
 
-    Fingerprints of 256 bits over shingles of five words tell a similarity of 0.8 (some 39 differing bits) from unrelated texts
-    (128) well. Candidates are pairs that share the bytes of one of ``lists`` triples dealt over all 32 positions: certain at up to
-    ten differing bits, since with 192 lists a position is in 19 triples at most, and likely up to ``max_bits``. All columns pass.
+    Near copies have a similarity of ``least`` or more between their sets of shingles of ``width`` words, counted on the texts;
+    a group is what such pairs connect. Fingerprints of 256 bits over the distinct shingles only find the candidates: pairs within ``max_bits``
+    that share the bytes of one of ``lists`` triples dealt over all 32 positions. All columns pass.
 
-    Only ids, hashes and fingerprints are written and shuffled, but for the one join that brings the texts of the rows that stay;
-    ``docs`` is read twice and must give the same rows both times.
+    Only ids, hashes and fingerprints are written and shuffled, but for the texts of candidates and the one join that brings the rows that stay;
+    ``docs`` is read several times and must give the same rows each time.
     """
     row = "_row"
     while any(c.lower().startswith(row) for c in docs.columns):
         row += "_"
     own = {row: F.xxhash64("doc_id", "text"), f"{row}2": F.xxhash64("text", "doc_id")}  # 128 bits tell rows apart
     names = [f"_l{i}" for i in range(lanes)]
-    marks = fingerprints(docs.select("doc_id", "text", own[row].alias("_own"), own[f"{row}2"].alias("_own2")), width, lanes, keep=("doc_id", "_own", "_own2"))
-    marks = materialise(marks.withColumn("_node", F.xxhash64(*names)), "marked")
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_own", "_own2")).alias("least")
-    nodes = materialise(marks.groupBy("_node").agg(least, *[F.first(c).alias(c.removeprefix("_")) for c in names]).withColumnRenamed("_node", "node"), "nodes")
-    roots = components(near_links(nodes.drop("least"), max_bits, dealt_triples(8 * lanes, lists)))
+    marks = distinct_marks(docs.select("doc_id", "text", own[row].alias("_own"), own[f"{row}2"].alias("_own2")), width, lanes, keep=("doc_id", "_own", "_own2"))
+    marks = materialise(marks, "marked")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_own", "_own2")).alias("least")
+    nodes = materialise(marks.groupBy("_node").agg(first, *[F.first(c).alias(c.removeprefix("_")) for c in names]).withColumnRenamed("_node", "node"), "nodes")
+
+    def texts(wanted: DataFrame) -> DataFrame:
+        rows = materialise(nodes.join(wanted, "node", "left_semi").select("node", F.col("least._own").alias("_own"), F.col("least._own2").alias("_own2")), "wanted")
+        rows = F.broadcast(rows) if rows.count() <= TEXTS_BROADCAST else rows
+        found = docs.select(own[row].alias("_own"), own[f"{row}2"].alias("_own2"), utf8("text").alias("text")).join(rows, ["_own", "_own2"])
+        return materialise(found.select("node", "text").dropDuplicates(["node"]), "texts")
+
+    keyed = postings(nodes.drop("least"), dealt_triples(8 * lanes, lists))
+    dealt = _deal(keyed, keyed.select("node", "key"))
+    roots = components(verified_links(dealt, texts, width, max_bits, least))
     rooted = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = rooted.groupBy("root").agg(F.min("least").alias("w")).select(F.col("w._own").alias(row), F.col("w._own2").alias(f"{row}2"))
     kept = docs.withColumns(own).join(first, list(own))
