@@ -146,3 +146,14 @@ def test_representatives_are_decided_by_exact_similarity(spark, monkeypatch):
     for known in (200_000, 0):
         monkeypatch.setattr(simhash, "TEXTS_BROADCAST", known)
         assert sorted(r["doc_id"] for r in simhash.representatives(docs).collect()) == [0, 99]
+
+
+def test_pairs_just_above_the_bound_are_all_found(spark):
+    rng = random.Random(10)
+    rows = []
+    for n in range(60):
+        base = [f"w{rng.randint(0, 10 ** 6)}" for _ in range(304)]
+        other = [*base[:-33], *[f"x{rng.randint(0, 10 ** 6)}" for _ in range(33)]]  # 267 / 333 = 0.802
+        rows += [(2 * n, " ".join(base)), (2 * n + 1, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.representatives(docs).collect()) == list(range(0, 120, 2))
