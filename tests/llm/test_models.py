@@ -2,6 +2,7 @@
 
 import random
 import zlib
+import zlib
 
 import numpy as np
 
@@ -83,3 +84,33 @@ def test_toxicity_edges(spark):
     assert len(rows) == 4 and all(r["score"] == 0.5 for r in rows)
     assert toxicity.score(docs.limit(0), model).count() == 0
     assert toxicity.score(docs, model, keep=("doc_id", "score"), out="t").columns == ["doc_id", "score", "t"]
+
+
+def test_rare_subwords_share_no_row_with_clean_ones():
+    rng = random.Random(6)
+    vocabulary = [f"{''.join(rng.choice('abcdefghijklmnopqrstuvwxyz') for _ in range(9))}" for _ in range(30_000)]
+    grams = lambda w: {f"<{w}>"[i:i + n] for n in (3, 4, 5) for i in range(len(w) + 3 - n)}
+    known = set().union(*map(grams, vocabulary))
+    new = {g for a in ("qzjk", "vkqj", "zzqx") for b in ("wvqk", "jjzq", "kxvz") for g in grams(f"{a}x{b}")} - known
+    row = lambda g: zlib.crc32(g.encode()) & (toxicity.BUCKETS - 1)
+    taken = set(map(row, known))
+    assert len(new) > 30 and sum(row(g) in taken for g in new) < 0.25 * len(new)  # with 2^18 rows over half are taken
+
+
+def test_contrast_is_chosen_on_folds():
+    rng = random.Random(7)
+    texts, y = [], []
+    for i in range(1200):
+        words = [f"plain{rng.randrange(300)}" for _ in range(30)]
+        if i % 4 == 0:
+            words[rng.randrange(30)] = f"{'abcdefghijklmnopqrst'[rng.randrange(20)] * 4}vile"[:rng.choice([4, 8])]
+        texts.append(" ".join(words).encode())
+        y.append(int(i % 4 == 0))
+    labels, folds = np.array(y), np.array([toxicity.fold(t) for t in texts])
+    found = toxicity.held(texts, labels)
+    keys, many = np.array(list(found)), np.zeros((toxicity.FOLDS, 2), np.int64)
+    np.add.at(many, (folds, labels), 1)
+    sets = toxicity.candidates(*toxicity.table_of(*keys.T, np.array(list(found.values()))), many)
+    assert set(sets) == {(f, c) for f in (-1, 0, 1, 2) for c in toxicity.CONTRASTS}
+    model = toxicity.train_texts(texts, labels)
+    assert set(model.weight) in [set(sets[-1, c].tolist()) for c in toxicity.CONTRASTS]

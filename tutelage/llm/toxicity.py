@@ -25,9 +25,12 @@ from pyspark.sql import types as T
 
 from tutelage.llm.frames import batched, materialise, utf8
 
-BUCKETS, DIM = 1 << 18, 8
-#: Standard errors by which a row's share of documents must differ between the classes to be trained.
-CONTRAST = 5.0
+BUCKETS, DIM = 1 << 22, 8
+#: Standard errors by which a row's share of documents must differ between the classes to be trained: the first, or what does best over ``FOLDS`` of the sample.
+CONTRASTS = (5.0, 4.0, 3.5, 3.0)
+FOLDS = 3
+#: Documents of a class needed to choose between contrasts.
+LEAST_TO_CHOOSE = 150
 #: The sample trained on has at most so many documents of each class.
 TRAIN_PER_CLASS = 2500
 CACHE_WORDS = 1_000_000
@@ -49,8 +52,8 @@ def subwords(word: bytes) -> list[int]:
 
 @dataclass
 class Model:
-    """Log-odds of a document: ``bias`` and the mean over its words of the mean of ``weight`` over their subwords."""
-    weight: np.ndarray
+    """Log-odds of a document: ``bias`` and the mean over its words of the mean of ``weight`` (zero for rows not in it) over their subwords."""
+    weight: dict[int, float]
     bias: float
     known: dict[bytes, float] = field(default_factory=dict, repr=False)
 
@@ -62,7 +65,8 @@ class Model:
         for w in found:
             s = known.get(w)
             if s is None:
-                s = known[w] = float(self.weight[subwords(w)].mean())
+                rows = subwords(w)
+                s = known[w] = sum(self.weight.get(r, 0.0) for r in rows) / len(rows)
             total += s
         return 1.0 / (1.0 + np.exp(-np.clip(self.bias + total / max(1, len(found)), -30.0, 30.0)))
 
@@ -83,16 +87,31 @@ def bag(text: bytes) -> dict[int, float]:
     return out
 
 
-def held(texts: list[bytes], labels: np.ndarray) -> np.ndarray:
-    """By class and row: how many texts have it."""
-    out = np.zeros((2, BUCKETS), np.int64)
+def fold(text: bytes) -> int:
+    return zlib.crc32(text) % FOLDS
+
+
+def held(texts: list[bytes], labels: np.ndarray) -> Counter:
+    """By fold, class and row: how many texts have it."""
+    out: Counter = Counter()
     for text, y in zip(texts, labels, strict=True):
-        out[y, list(bag(text))] += 1
+        f = fold(text)
+        out.update((f, int(y), row) for row in bag(text))
     return out
 
 
-def contrasting(counts: np.ndarray, many: np.ndarray, least: float = CONTRAST, most: int = MOST_ROWS) -> np.ndarray:
+def table_of(fold: np.ndarray, y: np.ndarray, row: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The occupied rows, and their counts by fold and class."""
+    rows, at = np.unique(row, return_inverse=True)
+    counts = np.zeros((FOLDS, 2, len(rows)), np.int64)
+    counts[fold, y, at] = n
+    return rows, counts
+
+
+def contrasting(counts: np.ndarray, many: np.ndarray, least: float = CONTRASTS[0], most: int = MOST_ROWS) -> np.ndarray:
     """Rows that occur in one class's documents more often than in the other's by ``least`` standard errors, the ``most`` clearest."""
+    if not many.all():
+        return np.empty(0, np.int64)
     share = counts.sum(axis=0) / many.sum()
     error = np.sqrt(share * (1 - share) * (1 / many).sum()) + 1e-12
     clear = np.abs(counts[1] / many[1] - counts[0] / many[0]) / error
@@ -101,6 +120,31 @@ def contrasting(counts: np.ndarray, many: np.ndarray, least: float = CONTRAST, m
     return np.sort(chosen[clear[chosen] >= least])
 
 
+def candidates(rows: np.ndarray, counts: np.ndarray, many: np.ndarray) -> dict[tuple[int, float], np.ndarray]:
+    """The contrasting rows by contrast, of the whole sample (fold -1) and without each fold; ``many``: documents by fold and class."""
+    some = CONTRASTS if many.sum(axis=0).min() >= LEAST_TO_CHOOSE else CONTRASTS[:1]
+    whole, sizes = counts.sum(axis=0), many.sum(axis=0)
+    out = {(-1, c): rows[contrasting(whole, sizes, c)] for c in some}
+    return out | {(f, c): rows[contrasting(whole - counts[f], sizes - many[f], c)] for f in range(FOLDS) for c in some if len(some) > 1}
+
+
+def chosen_model(x: np.ndarray, labels: np.ndarray, folds: np.ndarray, rows: np.ndarray, sets: dict[tuple[int, float], np.ndarray]) -> Model:
+    """Trained on the whole sample under the contrast of the least loss, classes weighing the same, on folds not trained on. ``x``: the shares of ``rows``."""
+    losses = {}
+    for c in {c for _, c in sets} if len(sets) > 1 else ():
+        loss = np.zeros(len(labels))
+        for f in range(FOLDS):
+            inside, own = folds != f, sets[f, c]
+            at = np.searchsorted(rows, own)
+            model = train(x[inside][:, at], labels[inside], own)
+            odds = x[~inside][:, at] @ np.array([model.weight[r] for r in own.tolist()], np.float32) + model.bias if len(own) else np.full((~inside).sum(), model.bias)
+            loss[~inside] = np.logaddexp(0, np.where(labels[~inside] == 1, -odds, odds))
+        losses[c] = loss[labels == 1].mean() + loss[labels == 0].mean()
+    best = min(losses, key=lambda c: (losses[c], -c)) if losses else CONTRASTS[0]
+    own = sets[-1, best]
+    return train(x[:, np.searchsorted(rows, own)], labels, own)
+
+
 def vectors(texts: list[bytes], chosen: np.ndarray) -> np.ndarray:
     """The shares of the chosen rows in each text."""
     place = {row: k for k, row in enumerate(chosen.tolist())}
@@ -117,9 +161,8 @@ def train(x: np.ndarray, labels: np.ndarray, chosen: np.ndarray, epochs: int = 1
 
     The other rows stay at zero: with more n-grams than documents, they would only be learnt by heart.
     """
-    weight = np.zeros(BUCKETS, np.float32)
     if not len(chosen):
-        return Model(weight, 0.0)
+        return Model({}, 0.0)
     unit = np.float32(500.0 / np.sqrt(len(chosen)))  # brings the shares of a document to about one
     x = x * unit
     rng = np.random.default_rng(seed)
@@ -147,8 +190,8 @@ def train(x: np.ndarray, labels: np.ndarray, chosen: np.ndarray, epochs: int = 1
                 v += 0.001 * g * g
                 q -= (size * m / (np.sqrt(v) + 1e-8)).astype(np.float32)
             table *= 1 - decay
-    weight[chosen] = unit * (table @ (soft[:, 1] - soft[:, 0]))
-    return Model(weight, float(bias[1] - bias[0]))
+    weight = unit * (table @ (soft[:, 1] - soft[:, 0]))
+    return Model(dict(zip(chosen.tolist(), weight.tolist(), strict=True)), float(bias[1] - bias[0]))
 
 
 def learnable(labels: DataFrame, label: str) -> DataFrame:
@@ -163,10 +206,14 @@ def held_out(key: str = "doc_id"):
 
 def train_texts(texts: list[bytes], labels: np.ndarray) -> Model:
     """``fit`` for a handful of texts at hand."""
-    labels = np.asarray(labels, dtype=np.int64)
-    many = np.bincount(labels, minlength=2)
-    chosen = contrasting(held(texts, labels), many) if many.all() else np.empty(0, np.int64)
-    return train(vectors(texts, chosen), labels, chosen)
+    labels, folds = np.asarray(labels, dtype=np.int64), np.array([fold(t) for t in texts])
+    found = held(texts, labels)
+    keys = np.array(list(found), np.int64).reshape(-1, 3)
+    many = np.zeros((FOLDS, 2), np.int64)
+    np.add.at(many, (folds, labels), 1)
+    sets = candidates(*table_of(*keys.T, np.fromiter(found.values(), np.int64)), many)
+    rows = np.unique(np.concatenate(list(sets.values())))
+    return chosen_model(vectors(texts, rows), labels, folds, rows, sets)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = TRAIN_PER_CLASS) -> Model:
@@ -182,32 +229,32 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     sample = sample.repartition(max(1, min(64, sample.count() // 100)), F.xxhash64("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, BUCKETS), np.int64)
+        total: Counter = Counter()
         for b in batches:
-            total += held(b.column(0).to_pylist(), b.column(1).to_numpy())
-        y, row = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(y.astype(np.int32)), pa.array(row.astype(np.int32)), pa.array(total[y, row])], names=["y", "row", "n"])
-
-    many = np.zeros(2, np.int64)
-    for r in sample.groupBy("y").count().collect():
-        many[r["y"]] = r["count"]
-    counts = np.zeros((2, BUCKETS), np.int64)
-    if many.all():
-        found = sample.mapInArrow(count, "y int, row int, n bigint").groupBy("y", "row").agg(F.sum("n").alias("n")).toArrow()
-        counts[found.column("y").to_numpy(), found.column("row").to_numpy()] = found.column("n").to_numpy()
-    chosen = contrasting(counts, many) if many.all() else np.empty(0, np.int64)
+            total.update(held(b.column(0).to_pylist(), b.column(1).to_numpy()))
+        keys = np.array(list(total), np.int32).reshape(-1, 3)
+        yield pa.RecordBatch.from_arrays([*[pa.array(np.ascontiguousarray(k)) for k in keys.T], pa.array(np.fromiter(total.values(), np.int64))], names=["fold", "y", "row", "n"])
+
+    many = np.zeros((FOLDS, 2), np.int64)
+    for r in sample.groupBy((F.crc32("text") % FOLDS).cast("int").alias("fold"), "y").count().collect():
+        many[r["fold"], r["y"]] = r["count"]
+    if not many.sum(axis=0).all():
+        return Model({}, 0.0)
+    found = sample.mapInArrow(count, "fold int, y int, row int, n bigint").groupBy("fold", "y", "row").agg(F.sum("n").alias("n")).toArrow()
+    sets = candidates(*table_of(*[found.column(c).to_numpy() for c in ("fold", "y", "row", "n")]), many)
+    rows = np.unique(np.concatenate(list(sets.values())))
+    if not len(rows):
+        return Model({}, 0.0)
 
     def vector(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = vectors(batch.column(0).to_pylist(), chosen)
-        return pa.RecordBatch.from_arrays([pa.array(list(rows), pa.list_(pa.float32())), batch.column(1)], names=["x", "y"])
-
-    if not len(chosen):
-        return train(np.empty((0, 0), np.float32), np.empty(0, np.int64), chosen)
-    got = batched(sample, vector, "x array<float>, y int").toArrow()
-    x = got.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(chosen))
-    y = got.column("y").to_numpy().astype(np.int64)
-    order = np.lexsort((*x.T[:8], y))  # the same order however the rows came
-    return train(x[order], y[order], chosen)
+        texts = batch.column(0).to_pylist()
+        return pa.RecordBatch.from_arrays([pa.array(list(vectors(texts, rows)), pa.list_(pa.float32())), batch.column(1), pa.array([fold(t) for t in texts], pa.int32())], names=["x", "y", "fold"])
+
+    got = batched(sample, vector, "x array<float>, y int, fold int").toArrow()
+    x = got.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(rows))
+    y, folds = got.column("y").to_numpy().astype(np.int64), got.column("fold").to_numpy()
+    order = np.lexsort((*x.T[:8], folds, y))  # the same order however the rows came
+    return chosen_model(x[order], y[order], folds[order], rows, sets)
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), out: str = "score") -> DataFrame:
