@@ -163,3 +163,22 @@ def test_pipeline_stages(spark):
     assert {r["doc_id"] for r in packed} == set(kept)
     assert len(pipeline.run(spark, sf).columns) == 7
     assert hashlib.sha256(b"").hexdigest()
+
+
+@pytest.mark.parametrize("text", ["Dr 김철수", "Dr 王小明", "Dr อาทิตย์", "Dr Ռուբեն", "王小明@mail.example", "김철수@mail.example", "Mr John Smith came. John Smith went", "John Smith, that is Mr John Smith"])
+def test_no_entity_stays_in_clear(text):
+    keyed = privacy.Surrogates(privacy.SECRET)
+    found = privacy.detect(text, keyed)
+    assert found and all(new != old and len(new) > 0 for _, _, _, old, new in found)
+    assert all(text[a:b] != new for _, a, b, _, new in found)
+    if "John" in text:
+        assert len(found) == text.count("John Smith") == 2 and len({new for *_, new in found}) == 1
+
+
+def test_large_alphabets_map_one_to_one():
+    keyed = privacy.Surrogates(privacy.SECRET)
+    for start in ("가", "一"):
+        names = [chr(ord(start) + k) + chr(ord(start) + 3 * k) for k in range(500)]
+        new = [keyed.spell(n, "family") for n in names]
+        assert len(set(new)) == 500 and not set(zip(names, new, strict=True)) & {(n, n) for n in names}
+        assert all(privacy.alphabet(c)[0] == start for n in new for c in n)

@@ -1,6 +1,7 @@
 """Personal data replaced by keyed surrogates that keep type, script, gender and format.
 
-Found are e-mail and internet addresses, card and telephone numbers, long hexadecimal keys, and names after a title. A
+Found are e-mail and internet addresses, card and telephone numbers, long hexadecimal keys, and names after a title, the latter
+wherever else they stand in the same document. A
 surrogate is a keyed permutation of the entity's canonical form within the forms of its kind: digits become
 digits, letters become letters of the same script and case, separators stay. A given name of the list becomes another of
 the same gender and script; the title stays.
@@ -11,15 +12,17 @@ its result is not allowed (the entity itself, or a name that the list would trea
 ``collisions`` checks that over a whole corpus.
 
 Defined cases: a null text stays null and an empty one empty; entities that overlap go to the kind listed first, then to the
-earlier one; repeated rows get the same result; a column named as the result is replaced, all others pass; characters of scripts
-without a listed alphabet stay.
+earlier one; repeated rows get the same result; a column named as the result is replaced, all others pass; letters of scripts
+without a listed alphabet become others of their kind from the same 128 code points.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,7 +48,23 @@ TITLES = {"f": "Mrs Ms Miss Frau Señora Sra Madame Mme Госпожа".split(),
 RANGES = [("0", "9"), ("a", "z"), ("A", "Z"), ("а", "я"), ("А", "Я"), ("α", "ω"), ("Α", "Ω"), ("ß", "ö"), ("À", "Ö"), ("ø", "ÿ"), ("Ø", "Þ"),
           ("ā", "ſ"), ("א", "ת"), ("ء", "غ"), ("ぁ", "ゖ"), ("ァ", "ヺ"), ("一", "鿿"), ("가", "힣")]
 _ALPHABETS = ["".join(map(chr, range(ord(a), ord(b) + 1))) for a, b in RANGES]
-_OF = {c: a for a in _ALPHABETS if len(a) < 500 for c in a}
+_OF = {c: a for a in _ALPHABETS for c in a}
+
+
+@cache
+def alphabet(c: str) -> str:
+    """The characters that may replace ``c``: of its listed alphabet, else the decimal digits or the letters of its kind around it; none for others."""
+    if c in _OF:
+        return _OF[c]
+    if c.isdecimal():
+        return "".join(chr(ord(c) - unicodedata.decimal(c) + k) for k in range(10))
+    if not c.isalpha():
+        return ""
+    start, kind = ord(c) & ~127, unicodedata.category(c)
+    near = "".join(x for x in map(chr, range(start, start + 128)) if x not in _OF and unicodedata.category(x) == kind)
+    return near if len(near) > 1 else "".join(x for x in map(chr, range(start, start + 128)) if x not in _OF and x.isalpha())
+
+
 _LOWER_HEX = {c: "0123456789abcdef" for c in "0123456789abcdef"}
 _UPPER_HEX = {c: "0123456789" for c in "0123456789"} | {c: "ABCDEF" for c in "ABCDEF"}
 
@@ -87,13 +106,15 @@ class Surrogates:
                 return value
         return start
 
-    def spell(self, text: str, label: str, alphabets: dict[str, str] = _OF, allowed: Callable[[str], bool] = lambda s: True) -> str:
+    def spell(self, text: str, label: str, alphabets: dict[str, str] | None = None, allowed: Callable[[str], bool] = lambda s: True) -> str:
         """Each character with an alphabet replaced by one of the same alphabet, all of them as one number."""
-        places = [i for i, c in enumerate(text) if c in alphabets]
-        used = [alphabets[text[i]] for i in places]
+        of = [alphabet(c) if alphabets is None else alphabets.get(c, "") for c in text]
+        places = [i for i, letters in enumerate(of) if letters]
+        used = [of[i] for i in places]
         size, value = 1, 0
         for i, letters in zip(places, used, strict=True):
-            size, value = size * len(letters), value * len(letters) + letters.index(text[i])
+            at = ord(text[i]) - ord(letters[0]) if len(letters) > 500 else letters.index(text[i])  # the large ones are whole ranges
+            size, value = size * len(letters), value * len(letters) + at
 
         def back(number: int) -> str:
             out = list(text)
@@ -188,8 +209,14 @@ def detect(text: str, surrogates: Surrogates) -> list[tuple[str, int, int, str,
             digits = re.sub(r"\D", "", m[0])
             if 7 <= len(digits) <= 15:
                 add("phone", *m.span(), digits, _refill(m[0], surrogates.phone(digits)))
+    named: dict[str, str] = {}
     for m in _TITLE.finditer(text):
-        add("name", *m.span(2), m[2], surrogates.name(m[2], _GENDER[m[1]]))
+        new = surrogates.name(m[2], _GENDER[m[1]])
+        named.setdefault(m[2], new)
+        add("name", *m.span(2), m[2], new)
+    if named:  # later and earlier mentions without the title, longer names first
+        for m in re.finditer(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(named, key=lambda n: (-len(n), n))))})(?!\w)", text):
+            add("name", *m.span(), m[0], named[m[0]])
     return sorted(taken, key=lambda x: x[1])
 
 
