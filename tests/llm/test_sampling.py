@@ -69,3 +69,23 @@ def test_edges(spark):
     same = spark.createDataFrame([(1, "x y"), (1, "x y"), (None, "z"), (None, None)], "doc_id long, text string")
     rows = S.edits(same).collect()
     assert len(rows) == 4 and len({r["fingerprint"] for r in rows if r["doc_id"] == 1}) == 1
+
+
+def test_likeness_has_no_step_in_length():
+    rng, near = random.Random(5), []
+    for n in range(18, 30):
+        words = [f"v{rng.randint(0, 10 ** 6)}" for _ in range(n + 1)]
+        shorter, longer = " ".join(words[:-1]), " ".join(words)
+        assert jaccard(weighted(shorter), weighted(longer)) > 0.9
+        near.append(S.likeness(*[S.signature(*S.terms(t.encode())) for t in (shorter, longer)]))
+    assert min(near) > 0.8
+
+
+def test_words_are_drawn_by_their_weight():
+    rng, errors = random.Random(6), []
+    for _ in range(150):
+        words = [f"u{rng.randint(0, 10 ** 6)}" for _ in range(30)]
+        at = rng.randint(0, 29)
+        a, b = " ".join(words), " ".join([*words[:at], *sorted(words[at:])])
+        errors.append(S.likeness(*[S.signature(*S.terms(t.encode())) for t in (a, b)]) - jaccard(weighted(a), weighted(b)))
+    assert abs(np.mean(errors)) < 0.015 and np.std(errors) < 0.09

@@ -1,7 +1,7 @@
 """Document fingerprints by improved consistent weighted sampling.
 
-A text is a set of weighted terms: its shingles of five words, by count (the whole sequence if it has fewer words). A text
-of less than ``SHORT`` words has its single words as terms besides, so that it keeps some likeness when edited.
+A text is a set of weighted terms: its shingles of five words, by count (the whole sequence if it has fewer words), and
+each of its words once at the small weight ``WORD``, so that a short text keeps some likeness when edited.
 
 A sample of a term with weight w draws r and c of Gamma(2, 1) and b uniform from the term's hash alone; with
 t = floor(ln w / r + b) its value is ln a = ln c - r (t - b) - r. The term of the least value is the sample, named by term
@@ -10,7 +10,7 @@ so the share of equal samples estimates it.
 
 The draws start from three independent exponentials, which give the same joint distribution: the value x that the term has at
 weight one, with c = x + y and r (1 - b) = ln(1 + y / x), and r b = z. A term of weight one, as nearly all are, needs
-x alone, and x keeps the order of the hash it is made from.
+x alone, and x keeps the order of the hash it is made from; so does a single word, which never has another weight than ``WORD``: its value is x / ``WORD``.
 
 Defined cases: null and empty texts have no terms and share one fingerprint, as do all texts of white space alone; equal texts
 have equal fingerprints; repeated rows are kept, in the order of their texts; null ids come last; one
@@ -32,7 +32,8 @@ from pyspark.sql import types as T
 from tutelage.llm.frames import materialise, utf8
 
 SAMPLES, WIDTH, SEED = 64, 5, 42
-SHORT = 24
+#: Weight of a single word beside the shingles, in texts of any length.
+WORD = 0.125
 #: Terms drawn at a time; bytes hashed at a time.
 CHUNK, BYTES = 512, 1 << 18
 
@@ -87,11 +88,12 @@ def terms(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     for k in range(width):
         marks = (marks ^ (marks >> np.uint64(31))) * _PLACES[k] + words[k:n - width + 1 + k]
     marks = _mixed(marks)
-    if n < SHORT:
-        marks = np.concatenate([marks, words])
     marks.sort()
     first = np.flatnonzero(np.r_[True, marks[1:] != marks[:-1]])
-    return marks[first], np.diff(np.r_[first, len(marks)]).astype(np.float32)
+    single = np.unique(words)
+    both = np.concatenate([marks[first], single])
+    order = np.argsort(both, kind="stable")
+    return both[order], np.concatenate([np.diff(np.r_[first, len(marks)]), np.full(len(single), WORD)]).astype(np.float32)[order]
 
 
 def _exponential(z: np.ndarray) -> np.ndarray:
@@ -108,12 +110,14 @@ def signature(marks: np.ndarray, weights: np.ndarray) -> np.ndarray:
         value[less], term[less] = a[less], some[less]
         t[less] = number[less] if isinstance(number, np.ndarray) else number
 
-    plain, other = marks[weights == 1], np.flatnonzero(weights != 1)
-    for at in range(0, len(plain), CHUNK):
-        some = plain[at:at + CHUNK]
-        z = _drawn(some)
-        first = z.argmin(axis=1)
-        take(_exponential(z[row, first]), some[first], 0)
+    other = np.flatnonzero((weights != 1) & (weights != WORD))
+    for weight in (1, WORD):
+        plain = marks[weights == weight]
+        for at in range(0, len(plain), CHUNK):
+            some = plain[at:at + CHUNK]
+            z = _drawn(some)
+            first = z.argmin(axis=1)
+            take(_exponential(z[row, first]) / weight, some[first], 0)
     for at in range(0, len(other), CHUNK):
         some, log_w = marks[other[at:at + CHUNK]], np.log(weights[other[at:at + CHUNK]])
         h = _drawn(some)
