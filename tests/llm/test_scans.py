@@ -182,3 +182,14 @@ def test_large_alphabets_map_one_to_one():
         new = [keyed.spell(n, "family") for n in names]
         assert len(set(new)) == 500 and not set(zip(names, new, strict=True)) & {(n, n) for n in names}
         assert all(privacy.alphabet(c)[0] == start for n in new for c in n)
+
+
+def test_private_key_spans_reach_their_end(spark):
+    plain = "-----BEGIN PRIVATE KEY-----\nMIIabc+/=\n-----END PRIVATE KEY-----"
+    locked = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A\n\nQUJD+/=\n-----END RSA PRIVATE KEY-----"
+    cut = "-----BEGIN PRIVATE KEY-----\nMIIabc"
+    text = f"a {locked} b - c\n{plain} - {cut}"
+    docs, ledger = spark.createDataFrame([(1, text)], "doc_id long, text string"), fresh_path(spark, "ledger")
+    secrets.scan(docs, ledger)
+    spans = [s for s in secrets.findings(docs, ledger, ("doc_id",)).first()["spans"] if s["kind"] == "pem"]
+    assert [text[s["start"]:s["end"]] for s in spans] == [locked, plain, cut]

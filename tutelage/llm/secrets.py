@@ -48,7 +48,7 @@ BASE = (
 )
 #: Further kinds, by the public formats of their issuers.
 MORE = (
-    Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*(?:-----END [A-Z ]*PRIVATE KEY-----)?", 0, 0, "PRIVATE KEY-----"),
+    Rule("pem", 2, r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?s:.*?)-----END [A-Z ]*PRIVATE KEY-----|[^-]*)", 0, 0, "PRIVATE KEY-----"),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", 0, 0, "eyJ"),
     Rule("prefixed", 1, r"(?:gh[opsur]_|glpat-|xox[abprs]-|sk_live_)[A-Za-z0-9-]{16,}+", 0, 0, "(?:gh[opsur]_|glpat-|xox[abprs]-|sk_live_)"),
 )
