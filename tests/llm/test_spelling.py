@@ -59,7 +59,7 @@ def test_query_against_sql(spark):
 def test_variants_against_brute_force(spark):
     rng = random.Random(2)
     bases = ["".join(rng.choice("abcdeßé") for _ in range(rng.randint(5, 9))) for _ in range(12)] + ["aaaaaa", "aaaaaaa", "aaaaaaaa", "banana", "bananas"]
-    words = ["kettenb"] * 160 + ["kettenbe"] * 32 + ["kettenbee"] * 6  # a form of a form
+    words = ["kettenb"] * 400 + ["kettenbe"] * 31 + ["kettenbee"] * 6  # a form of a form
     for k, w in enumerate(bases):
         words += [w] * (6 * 5 ** (k % 4))
         for _ in range(6):
