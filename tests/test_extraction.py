@@ -100,3 +100,29 @@ def test_schema_rate_counts_each_kind_once_a_row(spark):
     assert {r["violation"]: (r["n"], r["share"]) for r in out} == {
         "all": (4, 1.0), "conforms": (2, 0.5), "$.items[].qty: missing": (1, 0.25), "$: not JSON": (1, 0.25)}
     assert X.schema_rate(spark.createDataFrame([], "violations array<string>")).count() == 0
+
+
+def test_extra_keys_are_one_kind(spark):
+    schema = {"type": "object", "properties": {"a": {"type": "array", "items": {"type": "object", "properties": {}, "additionalProperties": False}}}, "additionalProperties": False}
+    df = spark.createDataFrame([(json.dumps({f"k{i}.x": 1, f"m: not {i}": 2, "a": [{f"z{i}": 1}]}),) for i in range(50)], "t string")
+    out = {r["violation"]: (r["n"], r["share"]) for r in X.schema_rate(X.validate_json(df, "t", schema)).collect()}
+    assert out == {"all": (50, 1.0), "additional key: not allowed": (50, 1.0)}
+
+
+def test_each_text_is_searched_and_parsed_once(spark):
+    """However often a result is used behind it: counted in the plan that runs."""
+    import re
+
+    from tutelage.operators.datasets import valid_annotations
+
+    def planned(df, what):
+        return len(re.findall(what, df._jdf.queryExecution().optimizedPlan().toString()))
+
+    text = spark.createDataFrame([(1, "x")], "id int, text string").filter("id > 0").repartition(2)
+    out = X.extract_invoice(text).filter("currency = 'USD' and total_amount > 1").select("invoice_date", "vendor_name", "line_items", "currency")
+    assert planned(out, r"regexp_extract\(text") <= 20 and planned(out, r"regexp_extract_all\(") == 1
+    balanced = X.reconcile(text).filter("balanced")
+    assert planned(balanced, r"regexp_extract\(text") <= 4 and planned(balanced, r"regexp_extract_all\(") == 1
+    covered = X.why_coverage(text, "text").filter("size(unexplained) > 0 and size(explained) > 0")
+    assert planned(covered, r"from_json\(") == 2
+    assert planned(valid_annotations(text, "text"), r"from_json\(") == 1

@@ -82,3 +82,18 @@ def test_exact_percentiles(spark, accuracy, max_inside):
     for g, vs in groups.items():
         assert [got[g, p] for p in probs] == pytest.approx(list(np.quantile(vs, probs)), rel=1e-12)
     assert exact_percentiles(df.filter("false"), "v", probs).count() == 0
+
+
+@pytest.mark.parametrize("max_inside", [40, 10**6])
+def test_percentiles_of_many_groups(spark, max_inside):
+    """Thousands of groups, some far larger than others, at plans of the same size."""
+    rng = random.Random(5)
+    groups = {g: [round(rng.gauss(0, 10), 1) for _ in range(1 + g % 7)] for g in range(1500)}
+    groups[7] = [rng.choice([1.0, 2.0, rng.random()]) for _ in range(3000)]
+    groups[8] = [0.0] * 500 + [1e30] * 3 + [-1e30]
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs] + [(None, 5.0), (3, None)], "g int, v double").repartition(4)
+    probs = (0.0, 0.3, 0.5, 1.0)
+    got = {(r["g"], r["prob"]): r["value"] for r in exact_percentiles(df, "v", probs, "g", max_inside=max_inside).collect()}
+    assert len(got) == len(groups) * len(probs)
+    for g, vs in groups.items():
+        assert [got[g, p] for p in probs] == pytest.approx(list(np.quantile(vs, probs)), rel=1e-9)

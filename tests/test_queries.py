@@ -7,7 +7,7 @@ from tests.oracle import compare, connect
 from tutelage.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"h3_train_student", "h4_student_report"}
+ROWS_ONLY = {"h3_train_student"}
 
 
 @pytest.fixture(scope="module")

@@ -36,3 +36,9 @@ def test_length_report(spark):
     r = K.length_report(df, max_len=5).first()
     assert (r["n"], r["min_len"], r["max_len"], r["n_truncated"], r["n_unsupervised"]) == (2, 3, 7, 1, 1)
     assert r["p50_len"] == 5.0
+
+
+def test_pad_cuts_what_is_too_long(spark):
+    df = spark.createDataFrame([(1, [1, 2, 3, 4]), (2, [1]), (3, [])], "id int, input_ids array<int>")
+    got = {r["id"]: (r["input_ids"], r["attention_mask"]) for r in K.pad(df, 3).collect()}
+    assert got == {1: ([1, 2, 3], [1, 1, 1]), 2: ([1, 0, 0], [1, 0, 0]), 3: ([0, 0, 0], [0, 0, 0])}

@@ -66,6 +66,14 @@ def test_evaluate_generation(spark, tmp_path):
     assert logged["metric", "valid_json_ratio"] == "0.5" and logged["param", "max_len"] == "2048" and len(logged) == 8
 
 
+def test_evaluate_a_file(spark, tmp_path):
+    rows = [{"input": f"doc {i}", "output": '{"a": 1}', "generated": f'doc {i} {{"a": {i}}}'} for i in range(7)]
+    (tmp_path / "e.jsonl").write_text("\n".join(map(json.dumps, rows)))
+    lm = countlm.fit_count_lm(spark.createDataFrame([("doc one",)], "t string"), "t", None)
+    stored, found = W.evaluate_file(spark, str(tmp_path / "e.jsonl"), "sft", str(tmp_path / "m"), limit=3, generated=True, lm=lm)
+    assert sorted(r["id"] for r in stored.collect()) == [0, 1, 2] and found.first()["num_examples"] == 3 and found.first()["avg_field_match"] == 1.0
+
+
 def test_annotation_requests_keep_exemplars_apart(spark):
     out = W.annotation_requests(labelled(spark), per_class=5).collect()
     assert len(out) == 15 and len({r["system_prompt"] for r in out}) == 1

@@ -8,7 +8,7 @@ scores the label given the prompt; length normalisation, null prior and argmax a
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from tutelage.functions import scores as S
 from tutelage.functions.constants import LABELS, MAX_LEN
 from tutelage.functions.text import tokens
-from tutelage.operators.joins import join_skewed
+from tutelage.operators.joins import HOT_KEYS
+from tutelage.session import fresh_path
 
 # A broadcast row is the token, one long per label, and some 100 bytes of row and hash table.
 BROADCAST_BYTES = 200 << 20
@@ -46,15 +47,20 @@ class CountLM:
         return F.array(*[F.log((cell(i) + 1) / F.lit(float(self.n[i] + self.v))) for i in range(len(self.labels))])
 
     def save(self, path: str) -> None:
-        """Write the counts for other jobs."""
-        self.counts.write.parquet(path)
+        """Write the counts for other jobs, with the labels they belong to."""
+        self.counts.select("token", "c", F.array(*[F.lit(lab) for lab in self.labels]).alias("labels")).write.parquet(path)
 
     def unpersist(self) -> None:
         self.counts.unpersist()
 
 
 def load_count_lm(spark: SparkSession, path: str, labels: Sequence[str] = LABELS) -> CountLM:
-    return _measured(spark.read.schema("token string, c array<bigint>").parquet(path), tuple(labels))
+    """Counts that were saved for exactly these labels in this order; any others raise, as classes would be swapped."""
+    stored = spark.read.schema("token string, c array<bigint>, labels array<string>").parquet(path)
+    other = stored.filter(~F.col("labels").eqNullSafe(F.array(*[F.lit(lab) for lab in labels]))).select("labels").first()
+    if other is not None:
+        raise ValueError(f"counts were stored for the labels {other['labels']}, asked for {list(labels)}")
+    return _measured(stored.drop("labels"), tuple(labels))
 
 
 def fit_count_lm(df: DataFrame, text_col: str = "question", label_col: str | None = "answer",
@@ -75,17 +81,43 @@ def _measured(counts: DataFrame, labels: tuple[str, ...]) -> CountLM:
     return CountLM(counts, labels, tuple(int(total[f"n{i}"] or 0) for i in range(len(labels))), int(total["v"]), int(total["bytes"] or 0))
 
 
-def _with_counts(rows: DataFrame, lm: CountLM, broadcast_bytes: int) -> DataFrame:
+def bucketed(lm: CountLM, name: str, buckets: int) -> CountLM:
+    """The same with its counts written as a table in ``buckets`` files by token, under ``name`` in the session's catalog.
+
+    Rows that meet it are shuffled by token into as many parts; the counts themselves are not moved again, however many corpora are scored.
+    """
+    spark = lm.counts.sparkSession
+    lm.counts.repartition(buckets, "token").write.bucketBy(buckets, "token").sortBy("token").option("path", fresh_path(spark, name)).saveAsTable(name)
+    return replace(lm, counts=spark.table(name))
+
+
+def frequent(lm: CountLM, n: int = HOT_KEYS) -> DataFrame:
+    """The counts of the ``n`` most frequent tokens: known from the fit, without a look at the rows to score."""
+    total = F.aggregate("c", F.lit(0).cast("bigint"), lambda acc, x: acc + x)
+    return lm.counts.orderBy(F.desc(total), "token").limit(n)
+
+
+def _with_counts(rows: DataFrame, lm: CountLM, broadcast_bytes: int, spread: Sequence[str]) -> DataFrame:
+    """``rows`` (with ``token``) and the counts ``c`` of their tokens.
+
+    Counts too large to broadcast are joined by shuffle in one pass over the rows. Of the frequent tokens, which are most of a text and would each fill a part,
+    a bounded table is broadcast; a row that met it takes a key that no token has, different by ``spread``, through the shuffle.
+    """
     if lm.size <= broadcast_bytes:
         return rows.join(F.broadcast(lm.counts), "token", "left")
-    return join_skewed(rows, lm.counts, ["token"], "left")
+    hot = frequent(lm).select("token", F.col("c").alias("hot"))
+    met = rows.join(F.broadcast(hot), "token", "left")
+    known = F.col("hot").isNotNull() | F.col("token").isNull()
+    met = met.withColumn("key", F.when(known, F.concat(F.lit("  "), F.xxhash64(*spread).cast("string"))).otherwise(F.col("token")))  # tokens hold no space
+    counts = lm.counts.select(F.col("token").alias("key"), "c")
+    return met.join(counts.hint("merge"), "key", "left").withColumn("c", F.coalesce("hot", "c")).drop("key", "hot")
 
 
 def token_scores(df: DataFrame, lm: CountLM, text_col: str = "prompt", id_col: str = "example_id",
                  broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """The long form ``token_scores(example_id, label, variant, pos, logprob)``."""
     rows = df.select(F.col(id_col).alias("example_id"), F.posexplode(tokens(text_col)).alias("pos", "token"))
-    scored = _with_counts(rows, lm, broadcast_bytes).withColumn("lp", lm.logprobs(F.col("c")))
+    scored = _with_counts(rows, lm, broadcast_bytes, ("example_id", "pos")).withColumn("lp", lm.logprobs(F.col("c")))
     cells = [F.struct(F.lit(lab).alias("label"), F.element_at("lp", i + 1).alias("logprob")) for i, lab in enumerate(lm.labels)]
     return scored.select("example_id", F.lit(0).alias("variant"), "pos", F.inline(F.array(*cells)))
 
@@ -94,22 +126,32 @@ def count_lm_scores(df: DataFrame, lm: CountLM, text_col: str = "prompt", keys:
                     skip: int = 0, max_len: int | None = None, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``raw`` (mean log-probability per label, in label order) and ``n_tokens`` per row of ``df``.
 
-    Tokens meet the counts once, with all labels side by side, and are summed per example on the map
-    side. Counts of up to ``broadcast_bytes`` are broadcast. With a larger vocabulary the
-    most frequent tokens, which are most of a text, still are; only rare tokens are shuffled. A text without
-    tokens scores null.
+    Equal tokens of a text are counted before they meet the counts, once, with all labels side by side. Counts of up to
+    ``broadcast_bytes`` are broadcast; larger ones are joined by shuffle in one pass (``_with_counts``). A text without tokens scores null.
     """
     toks = tokens(text_col)
     if skip or max_len is not None:
         toks = F.slice(toks, skip + 1, max(0, (max_len if max_len is not None else 2**31 - 1) - skip))
-    rows = df.select(*keys, F.explode_outer(toks).alias("token"))
-    scored = _with_counts(rows, lm, broadcast_bytes).withColumn("lp", lm.logprobs(F.col("c")))
-    sums = [F.sum(F.when(F.col("token").isNotNull(), F.element_at("lp", i + 1))).alias(f"s{i}") for i in range(len(lm.labels))]
-    agg = scored.groupBy(*keys).agg(F.count("token").alias("n_tokens"), *sums)
+    if lm.size <= broadcast_bytes:
+        rows = df.select(*keys, F.explode_outer(toks).alias("token")).withColumn("m", F.when(F.col("token").isNotNull(), 1))
+    else:
+        rows = df.select(*keys, F.explode_outer(_counted(toks)).alias("t")).select(*keys, F.col("t.token").alias("token"), F.col("t.m").alias("m"))
+    scored = _with_counts(rows, lm, broadcast_bytes, keys).withColumn("lp", lm.logprobs(F.col("c")))
+    sums = [F.sum(F.element_at("lp", i + 1) * F.col("m")).alias(f"s{i}") for i in range(len(lm.labels))]
+    agg = scored.groupBy(*keys).agg(F.coalesce(F.sum("m"), F.lit(0)).cast("bigint").alias("n_tokens"), *sums)
     raw = F.array(*[F.col(f"s{i}") / F.col("n_tokens") for i in range(len(lm.labels))])
     return agg.select(*keys, "n_tokens", F.when(F.col("n_tokens") > 0, raw).alias("raw"))
 
 
+def _counted(toks: Column) -> Column:
+    """The distinct tokens of an array with their numbers, from the sorted array: a token's number is where its run ends less where it starts."""
+    ordered = F.array_sort(toks)
+    starts = F.filter(F.sequence(F.lit(1), F.size(ordered)), lambda i: (i == 1) | (F.try_element_at(ordered, i) != F.try_element_at(ordered, i - 1)))
+    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))), F.array(F.size(ordered) + 1))
+    runs = F.zip_with(starts, ends, lambda a, b: F.struct(F.element_at(ordered, a).alias("token"), (b - a).alias("m")))
+    return F.when(F.size(ordered) > 0, runs)
+
+
 def perplexity(token_lp: DataFrame, id_col: str = "example_id", pos_col: str = "pos") -> DataFrame:
     """exp of the mean token loss per text, from stored token scores; the first token is not predicted."""
     predicted = F.col(pos_col) > 0

@@ -87,8 +87,8 @@ def build_sets(df: DataFrame, per_class: int | None = None, seed: int = BALANCE_
 
 def valid_annotations(df: DataFrame, json_col: str = "annotation", labels: Sequence[str] = LABELS) -> DataFrame:
     """Adds ``reason`` and ``label`` from the teacher's JSON; keeps rows with a reason and a known label."""
-    parsed = F.from_json(F.col(json_col), "reason string, label string")
-    return (df.withColumn("__a", parsed).withColumn("reason", F.col("__a.reason")).withColumn("label", F.col("__a.label"))
+    parsed = df.select("*", F.explode(F.array(F.from_json(F.col(json_col), "reason string, label string"))).alias("__a"))  # parsed once, the filter included
+    return (parsed.withColumn("reason", F.col("__a.reason")).withColumn("label", F.col("__a.label"))
             .drop("__a").filter(F.col("reason").isNotNull() & F.col("label").isin(*labels)))
 
 

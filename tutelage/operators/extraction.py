@@ -97,9 +97,11 @@ def validate_json(df: DataFrame, col: str, schema: Mapping[str, Any] = INVOICE_S
 def schema_rate(checked: DataFrame, col: str = "violations") -> DataFrame:
     """``(violation, n, share)`` over lists of violations: ``all`` rows, those that conform, and those with each kind of violation.
 
-    Places in arrays are told apart no further (``[]``), so the kinds are as few as the schema has; a row counts once for a kind.
+    Places in arrays are told apart no further (``[]``), nor are the keys that a schema does not allow, which come from the data. So the kinds are as
+    few as the schema has; a row counts once for a kind.
     """
-    kinds = F.array_distinct(F.transform(col, lambda v: F.regexp_replace(v, r"\[\d+\]", "[]")))
+    kind = lambda v: F.when(v.endswith(": not allowed"), F.lit("additional key: not allowed")).otherwise(F.regexp_replace(v, r"\[\d+\]", "[]"))
+    kinds = F.array_distinct(F.transform(col, kind))
     named = F.when(F.size(col) == 0, F.array(F.lit("conforms"))).otherwise(kinds)
     counts = checked.select(F.explode(F.concat(F.array(F.lit("all")), named)).alias("violation")).groupBy("violation").agg(F.count("*").alias("n"))
     total = F.max(F.when(F.col("violation") == "all", F.col("n"))).over(W.partitionBy(F.lit(0)))
@@ -150,9 +152,11 @@ ITEM_PATTERN = r"(?m)^(?:\d+[).] )?(.+?) (?:x|qty )?(\d+) @ (?:[A-Z]{3} )?(\d+(?
 
 
 def invoice_fields(text: Column) -> dict[str, Column]:
-    """Raw text of each scalar field; null where no layout matches."""
+    """Raw text of each scalar field; null where no layout matches. Patterns are tried in turn, each at most once."""
     def first(patterns: Sequence[str]) -> Column:
-        return F.coalesce(*[F.nullif(F.regexp_extract(text, p, 1), F.lit("")) for p in patterns])
+        # The match is an array of one, so that the test for "nothing found" does not write the pattern a second time.
+        found = [F.transform(F.array(F.regexp_extract(text, p, 1)), lambda x: F.when(x != "", x))[0] for p in patterns]
+        return F.coalesce(*found)
 
     return {name: py_strip(first(patterns)) for name, patterns in INVOICE_PATTERNS.items()}
 
@@ -160,10 +164,11 @@ def invoice_fields(text: Column) -> dict[str, Column]:
 def invoice_items(text: Column) -> Column:
     """``array<struct<description, qty, unit_price, amount>>`` in text order, amount recomputed in decimals at the printed scale.
 
-    Numbers beyond 19 digits are doubles; nothing overflows.
+    Numbers beyond 19 digits are doubles; nothing overflows. The text is searched once, then only the lines found.
     """
-    group = lambda i: F.regexp_extract_all(text, F.lit(ITEM_PATTERN), F.lit(i))
-    rows = F.arrays_zip(group(1).alias("d"), group(2).alias("q"), group(3).alias("u"))
+    lines = F.regexp_extract_all(text, F.lit(ITEM_PATTERN), F.lit(0))
+    group = lambda line, i: F.regexp_extract(line, ITEM_PATTERN, i)
+    rows = F.transform(lines, lambda line: F.struct(group(line, 1).alias("d"), group(line, 2).alias("q"), group(line, 3).alias("u")))
 
     def item(r: Column) -> Column:
         qty = r["q"].try_cast("decimal(19,0)")
@@ -176,15 +181,22 @@ def invoice_items(text: Column) -> Column:
     return F.transform(rows, item)
 
 
+def _once(df: DataFrame, fields: Mapping[str, Column], out: str) -> DataFrame:
+    """``fields`` as one struct out of a generator, behind which no filter or projection writes their expressions again."""
+    return df.select("*", F.explode(F.array(F.struct(*[c.alias(n) for n, c in fields.items()]))).alias(out))
+
+
 def extract_invoice(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds the schema's fields: strings, ISO date, number, items."""
-    raw = invoice_fields(F.col(text_col))
-    return (df.withColumn("invoice_number", raw["invoice_number"])
+    """Adds the schema's fields: strings, ISO date, number, items. Every text is searched once."""
+    text = F.col(text_col)
+    found = _once(df, {**invoice_fields(text), "line_items": invoice_items(text)}, "__i")
+    raw = F.col("__i")
+    return (found.withColumn("invoice_number", raw["invoice_number"])
             .withColumn("invoice_date", F.date_format(norm_date(raw["invoice_date"]), "yyyy-MM-dd"))
             .withColumn("vendor_name", raw["vendor_name"])
             .withColumn("total_amount", raw["total_amount"].cast("double"))
             .withColumn("currency", raw["currency"])
-            .withColumn("line_items", invoice_items(F.col(text_col))))
+            .withColumn("line_items", raw["line_items"]).drop("__i"))
 
 
 def invoice_json(fields: Sequence[str] = tuple(INVOICE_SCHEMA["properties"])) -> Column:
@@ -201,21 +213,22 @@ def line_items(df: DataFrame, text_col: str = "text", id_col: str = "id") -> Dat
 def reconcile(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds ``items_total``, ``difference`` (stated minus items) and ``balanced``; all in the row, no shuffle."""
     money = lambda c: c.try_cast("decimal(18,2)")
-    items = money(F.aggregate(invoice_items(F.col(text_col)), F.lit(0).cast("decimal(38,6)"),
+    text = F.col(text_col)
+    items = money(F.aggregate(invoice_items(text), F.lit(0).cast("decimal(38,6)"),
                               lambda acc, x: F.try_add(acc, x["amount"].try_cast("decimal(38,6)")).try_cast("decimal(38,6)")))
-    stated = money(invoice_fields(F.col(text_col))["total_amount"])
-    return (df.withColumn("stated_total", stated).withColumn("items_total", items)
+    found = _once(df, {"stated": money(invoice_fields(text)["total_amount"]), "items": items}, "__i")
+    return (found.withColumn("stated_total", F.col("__i.stated")).withColumn("items_total", F.col("__i.items")).drop("__i")
             .withColumn("difference", F.col("stated_total") - F.col("items_total"))
             .withColumn("balanced", F.coalesce(F.col("difference") == 0, F.lit(False))))
 
 
 def why_coverage(df: DataFrame, col: str = "output", fields: Sequence[str] = tuple(INVOICE_SCHEMA["properties"])) -> DataFrame:
-    """Adds which of the extracted fields have a rationale under ``why`` and which do not."""
-    obj = F.from_json(F.col(col), "map<string,string>")
-    present = F.filter(F.array(*[F.lit(f) for f in fields]), lambda f: F.coalesce(F.array_contains(F.map_keys(obj), f), F.lit(False)))
-    why = F.map_keys(F.from_json(obj["why"], "map<string,string>"))
-    explained = F.coalesce(F.array_intersect(present, why), F.array().cast("array<string>"))
-    return (df.withColumn("explained", explained).withColumn("unexplained", F.array_except(present, "explained")))
+    """Adds which of the extracted fields have a rationale under ``why`` and which do not. The text, and what stands under ``why``, is parsed once."""
+    parsed = df.select("*", F.explode(F.array(F.from_json(F.col(col), "map<string,string>"))).alias("__o"))
+    parsed = parsed.select("*", F.explode(F.array(F.from_json(F.col("__o")["why"], "map<string,string>"))).alias("__w"))
+    present = F.filter(F.array(*[F.lit(f) for f in fields]), lambda f: F.coalesce(F.array_contains(F.map_keys("__o"), f), F.lit(False)))
+    explained = F.coalesce(F.array_intersect(present, F.map_keys("__w")), F.array().cast("array<string>"))
+    return parsed.withColumn("explained", explained).withColumn("unexplained", F.array_except(present, "explained")).drop("__o", "__w")
 
 
 def pair_quality(df: DataFrame, schema: Mapping[str, Any] = INVOICE_SCHEMA) -> DataFrame:

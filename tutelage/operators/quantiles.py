@@ -1,103 +1,120 @@
-"""Exact percentiles of a continuous column.
+"""Exact percentiles of a continuous column, for any number of groups.
 
-``percentile`` keeps every distinct value of a group in one task. Here a mergeable sketch brackets
-each wanted rank, the rows below and inside the bracket are counted, and the bracket is narrowed in
-the same way until it is small; only the values left in it are ordered. The counts are exact, so the result is the
-exact percentile or an error, never an estimate.
+``percentile`` keeps every distinct value of a group in one task. Here groups of up to ``max_inside`` rows are
+ranked by one window, whatever their number. A larger group's ranks are found by selection: a bracket table
+``(group, prob, low, high, below, open)`` holds what is known of each rank, a mergeable sketch cuts all open brackets into a grid at once, the
+rows below and between the cuts are counted, and so on until few rows are left between the ends; only those are ordered. The counts are exact, so the
+result is the exact percentile or an error, never an estimate.
+
+All groups go together as rows: neither plan nor driver grows with them. A large group never meets in one task: sketches and
+counts are summed where the rows are, and rows meet the brackets of large groups by broadcast or, beyond a bound, with hot keys apart.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_GROUPS = 100
-MAX_INSIDE = 1_000_000
-
-
-@dataclass
-class _Target:
-    group: str
-    prob: float
-    first: int  # ranks of the two neighbours, from 0
-    second: int
-    part: float
-    low: float
-    high: float
-    below: int = 0
-    inside: int = 0
+from tutelage.operators.joins import join_lookup
+from tutelage.session import materialise
 
-    def row(self) -> Column:
-        return (F.col("g") == F.lit(self.group)) & F.col("v").between(F.lit(self.low), F.lit(self.high))
+MAX_INSIDE = 1_000_000
+#: Cuts of a bracket in one round.
+GRID = 256
 
 
 def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float], by: str | None = None,
                       accuracy: int = 10_000, max_inside: int = MAX_INSIDE) -> DataFrame:
-    """``(by, prob, value)`` with linear interpolation between neighbours; nulls are left out."""
+    """``(by, prob, value)`` with linear interpolation between neighbours, as one written table; null values and null groups are left out."""
     group = F.lit("all") if by is None else F.col(by)
-    rows = df.filter(F.col(value).isNotNull()).select(group.alias("g"), F.col(value).cast("double").alias("v")).persist()
+    rows = df.select(group.alias("g"), F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull() & F.col("g").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        found = _percentiles(rows, probs, by, accuracy, max_inside)
+        found = materialise(_percentiles(rows, [float(p) for p in probs], accuracy, max_inside), "percentiles")
     finally:
         rows.unpersist()
-    return df.sparkSession.createDataFrame(found, f"{by or 'grp'} string, prob double, value double")
-
-
-def _percentiles(rows: DataFrame, probs: Sequence[float], by: str | None, accuracy: int, max_inside: int) -> list[tuple]:
-    groups = rows.groupBy("g").agg(F.count("*").alias("n"), F.min("v").alias("min"), F.max("v").alias("max")).limit(MAX_GROUPS + 1).collect()
-    if len(groups) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups in {by}")
-    targets = []
-    for r in groups:
-        for p in probs:
-            at = (r["n"] - 1) * p
-            targets.append(_Target(r["g"], float(p), math.floor(at), math.ceil(at), at - math.floor(at), r["min"], r["max"], 0, r["n"]))
-    if not targets:
-        return []
-
-    wide = [t for t in targets if t.inside > max_inside]
-    while wide:
-        _narrow(rows, wide, accuracy)
-        wide = [t for t in wide if t.inside > max_inside]
-    return _pick(rows, targets)
-
-
-def _narrow(rows: DataFrame, wide: list[_Target], accuracy: int) -> None:
-    """One sketch and one count over the rows; a bracket that gets no smaller is done (it is all copies)."""
-    slack = 2.0 / accuracy
-    sketches = []
-    for i, t in enumerate(wide):
-        span = max(t.inside - 1, 1)
-        ends = [max(0.0, (t.first - t.below) / span - slack), min(1.0, (t.second - t.below) / span + slack)]
-        sketches.append(F.percentile_approx(F.when(t.row(), F.col("v")), ends, accuracy).alias(f"q{i}"))
-    ends = rows.agg(*sketches).first()
-    for i, t in enumerate(wide):
-        t.low, t.high = ends[f"q{i}"]
-    counts = []
-    for i, t in enumerate(wide):
-        counts += [F.count_if((F.col("g") == F.lit(t.group)) & (F.col("v") < t.low)).alias(f"b{i}"), F.count_if(t.row()).alias(f"n{i}")]
-    got = rows.agg(*counts).first()
-    for i, t in enumerate(wide):
-        smaller = got[f"n{i}"] < t.inside
-        t.below, t.inside = got[f"b{i}"], got[f"n{i}"] if smaller else 0
-        if not t.below <= t.first <= t.second < t.below + got[f"n{i}"]:
+    return found.select(F.col("g").alias(by or "grp"), "prob", "value")
+
+
+def _percentiles(rows: DataFrame, probs: Sequence[float], accuracy: int, max_inside: int) -> DataFrame:
+    sizes = rows.groupBy("g").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    wide = materialise(sizes.filter(F.col("n") > max_inside), "wide-groups")
+    if wide.isEmpty():
+        return _ranked(rows, probs)
+    apart = join_lookup(rows, wide.select("g", F.lit(True).alias("wide")), "g", "left")
+    return _ranked(apart.filter(F.col("wide").isNull()).drop("wide"), probs).union(_selected(rows, wide, probs, accuracy, max_inside))
+
+
+def _targets(probs: Sequence[float]) -> Column:
+    """Per wanted share the ranks of its two neighbours, from 0, and the part of the way between them, from the group's size ``n``."""
+    at = [(F.col("n") - 1) * F.lit(p) for p in probs]
+    return F.array(*[F.struct(F.lit(p).alias("prob"), F.floor(a).alias("first"), F.ceil(a).alias("second"), (a - F.floor(a)).alias("part")) for p, a in zip(probs, at, strict=True)])
+
+
+def _read_off(placed: DataFrame, keys: Sequence[str], prob: Column, first: Column, second: Column, part: Column) -> DataFrame:
+    """Percentiles from ``v``, the rank ``upto`` behind its last copy and its copies ``m``."""
+    hit = lambda r: F.max(F.when((r >= F.col("upto") - F.col("m")) & (r < F.col("upto")), F.col("v")))
+    ends = placed.select(*keys, "v", "upto", "m", prob.alias("prob"), first.alias("first"), second.alias("second"), part.alias("part"))
+    found = ends.groupBy(*keys, "prob", "part").agg(hit(F.col("first")).alias("v0"), hit(F.col("second")).alias("v1"))
+    return found.select("g", "prob", F.when(F.col("v0") == F.col("v1"), F.col("v0")).otherwise(F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("part")).alias("value"))
+
+
+def _ranked(rows: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Of groups that one task may order: running counts over the distinct values."""
+    counts = rows.groupBy("g", "v").agg(F.count("*").alias("m"))
+    whole = W.partitionBy("g")
+    placed = counts.withColumn("upto", F.sum("m").over(whole.orderBy("v").rowsBetween(W.unboundedPreceding, 0))).withColumn("n", F.sum("m").over(whole))
+    # Only the distinct value on a wanted rank goes on, so that no value is copied once per share.
+    t = F.explode(F.filter(_targets(probs), lambda x: (x["second"] >= F.col("upto") - F.col("m")) & (x["first"] < F.col("upto"))))
+    each = placed.select("g", "v", "m", "upto", t.alias("t"))
+    return _read_off(each, ["g"], *[F.col(f"t.{c}") for c in ("prob", "first", "second", "part")])
+
+
+def _inside(rows: DataFrame, brackets: DataFrame, low: str, high: str) -> DataFrame:
+    """``v`` and its bracket ``b`` for every row between the ends of a bracket; the brackets of a group are one row of the looked-up table."""
+    packed = brackets.groupBy("g").agg(F.collect_list(F.struct(*[c for c in brackets.columns if c != "g"])).alias("all"))  # as many as shares
+    met = join_lookup(rows, packed, "g", "inner").select("g", "v", F.explode("all").alias("b"))
+    return met.filter(F.col("v").between(F.col(f"b.{low}"), F.col(f"b.{high}")))
+
+
+def _narrowed(rows: DataFrame, brackets: DataFrame, accuracy: int) -> DataFrame:
+    """``brackets`` with the ends moved in, from one sketch and one count of the rows inside them."""
+    slack = 2.0 / accuracy + 1.0 / GRID / 8
+    grid = F.percentile_approx("v", F.array(*[F.lit(i / GRID) for i in range(GRID + 1)]), F.lit(accuracy)).alias("cuts")
+    sketched = _inside(rows, brackets, "low", "high").groupBy("g", "b").agg(grid)
+    span = F.greatest(F.col("b.inside") - 1, F.lit(1))
+    place = lambda rank, by: (F.col(f"b.{rank}") - F.col("b.below")) / span + by
+    left = F.greatest(F.floor(place("first", -slack) * GRID), F.lit(0)).cast("int")
+    right = F.least(F.ceil(place("second", slack) * GRID), F.lit(GRID)).cast("int")
+    cut = sketched.select("g", "b.*", F.when(left > 0, F.element_at("cuts", left + 1)).otherwise(F.col("b.low")).alias("low2"),
+                          F.when(right < GRID, F.element_at("cuts", right + 1)).otherwise(F.col("b.high")).alias("high2"))
+    cut = materialise(cut, "cuts")
+    v, low, high = F.col("v"), F.col("b.low2"), F.col("b.high2")
+    counted = _inside(rows, cut, "low", "high").groupBy("g", "b").agg(
+        F.count_if(v < low).alias("less"), F.count_if((v >= low) & (v <= high)).alias("inside"), F.count_if((v > low) & (v < high)).alias("open"))
+    return counted.select("g", *[F.col(f"b.{c}") for c in ("prob", "first", "second", "part")], low.alias("low"), high.alias("high"),
+                          (F.col("b.below") + F.col("less")).alias("below"), "inside", "open")
+
+
+def _selected(rows: DataFrame, wide: DataFrame, probs: Sequence[float], accuracy: int, max_inside: int) -> DataFrame:
+    """Of large groups: brackets narrowed until at most ``max_inside`` rows lie between their ends."""
+    n = F.col("n")
+    todo = wide.select("g", F.explode(_targets(probs)).alias("t"), "low", "high", F.lit(0).cast("bigint").alias("below"), n.alias("inside"), n.alias("open"))
+    todo = todo.select("g", "t.*", "low", "high", "below", "inside", "open")
+    done = None
+    while True:
+        todo = materialise(_narrowed(rows, todo, accuracy), "brackets")
+        wrong = todo.filter((F.col("first") < F.col("below")) | (F.col("second") >= F.col("below") + F.col("inside")))
+        if not wrong.isEmpty():
             raise ArithmeticError("rank fell outside its bracket; raise the accuracy")
-
-
-def _pick(rows: DataFrame, targets: list[_Target]) -> list[tuple]:
-    """Order the distinct values inside each bracket by running count and read off the ranks."""
-    cells = [F.struct(F.lit(i).alias("i"), F.lit(t.group).alias("g"), F.lit(t.low).alias("low"), F.lit(t.high).alias("high"),
-                      F.lit(t.first - t.below).alias("r0"), F.lit(t.second - t.below).alias("r1")) for i, t in enumerate(targets)]
-    inside = (rows.select("g", "v", F.explode(F.array(*cells)).alias("c"))
-              .filter((F.col("g") == F.col("c.g")) & F.col("v").between(F.col("c.low"), F.col("c.high")))
-              .groupBy("c", "v").agg(F.count("*").alias("m")))
-    upto = F.sum("m").over(W.partitionBy("c").orderBy("v"))
-    hit = lambda r: F.max(F.when((F.col(r) >= F.col("upto") - F.col("m")) & (F.col(r) < F.col("upto")), F.col("v")))
-    ordered = inside.select("c.i", "c.r0", "c.r1", "v", "m", upto.alias("upto"))
-    found = {r["i"]: (r["v0"], r["v1"]) for r in ordered.groupBy("i").agg(hit("r0").alias("v0"), hit("r1").alias("v1")).collect()}
-    return [(t.group, t.prob, found[i][0] + (found[i][1] - found[i][0]) * t.part) for i, t in enumerate(targets)]
+        ready = todo.filter(F.col("open") <= max_inside)
+        done = ready if done is None else done.union(ready)
+        todo = todo.filter(F.col("open") > max_inside)
+        if todo.isEmpty():
+            break
+    counts = _inside(rows, done, "low", "high").groupBy("g", "b", "v").agg(F.count("*").alias("m"))
+    placed = counts.withColumn("upto", F.col("b.below") + F.sum("m").over(W.partitionBy("g", "b.prob").orderBy("v").rowsBetween(W.unboundedPreceding, 0)))
+    return _read_off(placed, ["g"], *[F.col(f"b.{c}") for c in ("prob", "first", "second", "part")])

@@ -6,7 +6,7 @@ row per example; everything after that is row-local array maths (``functions.sco
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,10 +19,19 @@ from tutelage.operators.joins import join_lookup
 VARIANTS = (" ", "")
 
 
-def expand_candidates(df: DataFrame, labels: Sequence[str] = LABELS, variants: Sequence[str] = VARIANTS) -> DataFrame:
-    """Every example once per label and variant (variant 0 has a leading space): a generator, no join."""
-    cells = [F.struct(F.lit(lab).alias("label"), F.lit(v).alias("variant"), F.lit(lead + lab).alias("candidate"))
-             for lab in labels for v, lead in enumerate(variants)]
+#: Names of each label by which it may be asked for; the label itself is one only if it is listed.
+Synonyms = Mapping[str, Sequence[str]]
+ACROSS = ("max", "mean", "logsum")
+
+
+def expand_candidates(df: DataFrame, labels: Sequence[str] = LABELS, variants: Sequence[str] = VARIANTS, synonyms: Synonyms | None = None) -> DataFrame:
+    """Every example once per label and variant (variant 0 has a leading space): a generator, no join.
+
+    With ``synonyms`` once per label, synonym and variant; ``synonym`` names it.
+    """
+    named = {lab: (lab,) for lab in labels} if synonyms is None else synonyms
+    cells = [F.struct(F.lit(lab).alias("label"), *([] if synonyms is None else [F.lit(name).alias("synonym")]), F.lit(v).alias("variant"), F.lit(lead + name).alias("candidate"))
+             for lab in labels for name in named[lab] for v, lead in enumerate(variants)]
     return df.select("*", F.inline(F.array(*cells)))
 
 
@@ -79,6 +88,50 @@ def raw_scores(token_scores: DataFrame, how: str = "max", labels: Sequence[str]
     return wide.select(*keys, F.array(*[label_score(i) for i in range(len(labels))]).alias("raw"))
 
 
+def across_synonyms(scores: Column, across: str = "max") -> Column:
+    """One score of a label from the scores of its synonyms (nulls are none): the best, their mean, or the log of their summed likelihoods."""
+    if across not in ACROSS:
+        raise ValueError(across)
+    found = F.filter(scores, lambda x: x.isNotNull() & (x > S.NEG_INF))
+    top, n = F.array_max(found), F.size(found)
+    total = lambda f: F.aggregate(found, F.lit(0.0), lambda acc, x: acc + f(x))
+    out = {"max": top, "mean": total(lambda x: x) / n, "logsum": top + F.log(total(lambda x: F.exp(x - top)))}[across]
+    return F.when(n > 0, out).otherwise(F.lit(S.NEG_INF))
+
+
+def _by_cell(df: DataFrame, labels: Sequence[str], synonyms: Synonyms, across: str, keys: Sequence[str], cell: Callable[[int, int, Column], Sequence[Column]],
+             score: Callable[[int, int], Column]) -> DataFrame:
+    """``raw`` in one shuffle: ``cell`` gives the aggregates of a (label, synonym), ``score`` the score they make."""
+    names = [(i, j, name) for i, lab in enumerate(labels) for j, name in enumerate(synonyms[lab])]
+    aggs = [a for i, j, name in names for a in cell(i, j, (F.col("label") == labels[i]) & (F.col("synonym") == name))]
+    wide = df.groupBy(*keys).agg(*aggs)
+    raw = [across_synonyms(F.array(*[score(i, j) for i2, j, _ in names if i2 == i]), across) for i in range(len(labels))]
+    return wide.select(*keys, F.array(*raw).alias("raw"))
+
+
+def synonym_raw(token_scores: DataFrame, synonyms: Synonyms, across: str = "max", labels: Sequence[str] = LABELS, variants: Sequence[int] = (0, 1),
+                keys: Sequence[str] = ("example_id",)) -> DataFrame:
+    """``raw`` from token scores of labels' synonyms, ``(label, synonym, variant, pos, logprob)``, in two levels and one shuffle.
+
+    A synonym scores as a label alone would: the best of its variants' mean token log-probabilities. ``across`` then makes one
+    score of a label's synonyms. Null prompts go the same way, so that scores and priors are reduced alike.
+    """
+    lp = F.col("logprob")
+
+    def cell(i: int, j: int, here: Column) -> list[Column]:
+        return [f(F.when(here & (F.col("variant") == v), lp)).alias(f"{n}{i}_{j}_{v}") for v in variants for n, f in (("s", F.sum), ("n", F.count))]
+
+    def score(i: int, j: int) -> Column:
+        return F.array_max(F.array(*[F.when(F.col(f"n{i}_{j}_{v}") > 0, F.col(f"s{i}_{j}_{v}") / F.col(f"n{i}_{j}_{v}")) for v in variants]))
+
+    return _by_cell(token_scores, labels, synonyms, across, keys, cell, score)
+
+
+def best_synonym(sequence_scores: DataFrame, synonyms: Synonyms, across: str = "max", labels: Sequence[str] = LABELS, keys: Sequence[str] = ("example_id",)) -> DataFrame:
+    """The same from scores of whole candidates, ``(label, synonym, variant, score)``."""
+    return _by_cell(sequence_scores, labels, synonyms, across, keys, lambda i, j, here: [F.max(F.when(here, F.col("score"))).alias(f"b{i}_{j}")], lambda i, j: F.col(f"b{i}_{j}"))
+
+
 def null_prior(null_raw: DataFrame, labels: Sequence[str] = LABELS, by: Sequence[str] = ()) -> DataFrame:
     """``prior``: mean raw score per label over the null prompts, per model. One row per model."""
     return null_raw.groupBy(*by).agg(

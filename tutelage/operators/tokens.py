@@ -55,9 +55,9 @@ def mask_prompt(df: DataFrame, prompt_col: str = "prompt", target_col: str = "ta
 
 
 def pad(df: DataFrame, max_len: int, pad_id: int = 0) -> DataFrame:
-    """``input_ids`` filled up to ``max_len``, with the mask that says which are real."""
+    """``input_ids`` cut or filled up to ``max_len``, with the mask that says which are real."""
     missing = F.lit(max_len) - F.size("input_ids")
-    return (df.withColumn("attention_mask", F.concat(F.array_repeat(F.lit(1), F.size("input_ids")),
+    return (df.withColumn("input_ids", F.slice("input_ids", 1, max_len)).withColumn("attention_mask", F.concat(F.array_repeat(F.lit(1), F.size("input_ids")),
                                                      F.array_repeat(F.lit(0), missing)))
             .withColumn("input_ids", F.concat("input_ids", F.array_repeat(F.lit(pad_id), missing))))
 

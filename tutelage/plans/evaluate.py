@@ -16,7 +16,7 @@ from tutelage.plans.prepare import STRIPPED_ANSWER, sql_tokens
 from tutelage.plans.rank import CAL, rounded, scored, sql_full_report, sql_report, LABEL_VALUES
 from tutelage.plans.registry import query, sql_render
 from tutelage.session import fresh_path, materialise
-from tutelage.sources import sinks
+from tutelage.sources import readers, sinks
 
 # --- classification metrics --------------------------------------------------------------------
 
@@ -113,6 +113,16 @@ def f14_margin_distribution(spark: SparkSession, d: str) -> DataFrame:
     return rounded(M.margin_distribution(margins(spark, d), by="prediction"), "value")
 
 
+_BY_DAY = " UNION ALL ".join(f"SELECT day, CAST({p} AS DOUBLE) AS prob, round(quantile_cont(top2_margin, {p}), 6) AS value FROM by_day WHERE top2_margin IS NOT NULL GROUP BY day" for p in (0.05, 0.5, 0.95))
+
+
+@query("f14_margin_by_many", f"WITH {MARGINS}, by_day AS (SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, top2_margin FROM margins JOIN orders ON o_orderkey = example_id) {_BY_DAY}")
+def f14_margin_by_many(spark: SparkSession, d: str) -> DataFrame:
+    """A group for each day of orders, thousands of them."""
+    days = T.table(spark, d, "orders").select(F.col("o_orderkey").alias("example_id"), F.col("o_orderdate").cast("date").cast("string").alias("day"))
+    return rounded(M.margin_distribution(margins(spark, d).join(days, "example_id"), by="day"), "value")
+
+
 @query("f14_margin_histogram", f"""WITH {MARGINS} SELECT prediction, CASE WHEN top2_margin < 0 THEN 0 WHEN top2_margin >= 2 THEN 21 ELSE CAST(floor(top2_margin / 2 * 20) AS BIGINT) + 1 END AS bucket, count(*) AS n
 FROM margins WHERE top2_margin IS NOT NULL GROUP BY ALL""")
 def f14_margin_histogram(spark: SparkSession, d: str) -> DataFrame:
@@ -203,6 +213,20 @@ def f11_eval_metrics(spark: SparkSession, d: str) -> DataFrame:
     return rounded(out, "valid_json_ratio", "avg_field_match").withColumn("avg_perplexity", F.round("avg_perplexity", 3))
 
 
+@query("f11_eval_from_file", f"""WITH {SFT_RESULTS} SELECT count(*) AS num_examples, round(avg(perplexity), 3) AS avg_perplexity, round(avg(CASE WHEN valid_json THEN 1.0 ELSE 0.0 END), 6) AS valid_json_ratio,
+round(coalesce(avg(field_match) FILTER (valid_json), 0), 6) AS avg_field_match, count(*) AS n_ids, count(*) - 1 AS last_id FROM ppl JOIN je USING (id)""")
+def f11_eval_from_file(spark: SparkSession, d: str) -> DataFrame:
+    """From a file of examples to metrics: the rows' ids are their line numbers."""
+    inv = materialise(T.invoice_answers(spark, d), "answers")
+    path = fresh_path(spark, "examples")
+    inv.select(F.col("text").alias("input"), F.col("reference").alias("output"), F.concat("text", F.lit("\n"), "answer").alias("generated")).write.json(path)
+    examples = readers.read_set(spark, path, f"{readers.SFT}, generated string", numbered=True)
+    rows = materialise(E.eval_rows(examples, "sft", lm=countlm.fit_count_lm(inv, "reference", None)), "results")
+    ids = rows.agg(F.count_distinct("id").alias("n_ids"), F.max("id").alias("last_id"))
+    found = E.eval_metrics(rows, "sft").select("*", ids.select("n_ids").scalar().alias("n_ids"), ids.select("last_id").scalar().alias("last_id"))
+    return rounded(found, "valid_json_ratio", "avg_field_match").withColumn("avg_perplexity", F.round("avg_perplexity", 3))
+
+
 _KD_PROMPT = sql_render(K.KD_CODE_PROMPT, "input")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tutelage.functions import constants as K
@@ -10,14 +10,17 @@ from tutelage.functions.text import norm_date
 from tutelage.operators import datasets as D
 from tutelage.operators import extraction as X
 from tutelage.operators import student
+from tutelage.operators.joins import join_lookup
+from tutelage.operators.steps import StepStudent, fit_steps
 from tutelage.plans import tables as T
-from tutelage.plans.prepare import NULLS_SQL, sql_chat
-from tutelage.plans.rank import LABEL_VALUES, rounded, sql_lm, sql_score
+from tutelage.plans.prepare import NULLS_SQL, sql_chat, sql_tokens
+from tutelage.plans.rank import LABEL_VALUES, rounded, sql_lm, sql_report, sql_score
 from tutelage.plans.registry import query, sql_render
 from tutelage.plans.scorer import CountScorer
+from tutelage.plans.store import load_scorer, save_scorer
 from tutelage.session import fresh_path
-from tutelage.streaming.kpi import current_kpis, kpis, write_partials
-from tutelage.streaming.scoring import score_stream
+from tutelage.streaming.kpi import compact_partials, current_from, current_kpis, kpis, partials, rank_error, write_partials
+from tutelage.streaming.scoring import score_stream, stored_score
 
 # --- structured extraction ---------------------------------------------------------------------
 
@@ -153,9 +156,50 @@ def h3_train_student(spark: SparkSession, d: str) -> DataFrame:
     return student_rows(spark, d)
 
 
-@query("h4_student_report")
+STEPS, STEP_FEATURES, STEP_RATE, STEP_PENALTY = 6, 256, 5.0, 1e-3
+
+
+def sql_steps(rounds: int, n: int = STEP_FEATURES, rate: float = STEP_RATE, penalty: float = STEP_PENALTY) -> str:
+    """CTEs ending in ``w{rounds}(f, label, w)`` and ``b{rounds}(label, b)``: the weights after so many steps."""
+    parts = [f"""lab(label, place) AS (VALUES ('Good', 1), ('Standard', 2), ('Bad', 3)),
+x AS MATERIALIZED (SELECT id, f, count(*) / sum(count(*)) OVER (PARTITION BY id) AS tf FROM
+  (SELECT id, CAST('0x' || substr(md5(t), 1, 7) AS BIGINT) % {n} AS f FROM (SELECT id, unnest({sql_tokens('question')}) AS t FROM held)) GROUP BY id, f),
+tr AS (SELECT id, teacher_label AS y FROM held WHERE split = 'train'),
+w0 AS (SELECT f, label, CAST(0 AS DOUBLE) AS w FROM range({n}) r(f), lab), b0 AS (SELECT label, CAST(0 AS DOUBLE) AS b FROM lab)"""]
+    for i in range(rounds):
+        parts.append(f"""e{i} AS MATERIALIZED (SELECT id, label, p / sum(p) OVER (PARTITION BY id) - CAST(y = label AS INT) AS e FROM (SELECT id, y, label, exp(z - max(z) OVER (PARTITION BY id)) AS p FROM
+  (SELECT id, any_value(y) AS y, w.label, sum(tf * w) + any_value(b) AS z FROM tr JOIN x USING (id) JOIN w{i} w USING (f) JOIN b{i} USING (label) GROUP BY id, w.label)))""")
+        parts.append(f"""w{i + 1} AS MATERIALIZED (SELECT w.f, w.label, w - {rate} * (coalesce(g, 0) / (SELECT count(*) FROM tr) + {penalty} * w) AS w
+  FROM w{i} w LEFT JOIN (SELECT f, label, sum(tf * e) AS g FROM e{i} JOIN x USING (id) GROUP BY f, label) g ON g.f = w.f AND g.label = w.label)""")
+        parts.append(f"b{i + 1} AS MATERIALIZED (SELECT label, b - {rate} * avg(e) AS b FROM b{i} JOIN e{i} USING (label) GROUP BY label, b)")
+    return ",\n".join(parts)
+
+
+def step_student(spark: SparkSession, d: str) -> tuple[StepStudent, DataFrame]:
+    return fit_steps(taught_docs(spark, d), rounds=STEPS, rate=STEP_RATE, penalty=STEP_PENALTY, n_features=STEP_FEATURES)
+
+
+@query("h3_student_steps", f"""WITH {_HELD_OUT}, {sql_steps(STEPS)} SELECT CAST(f AS INT) AS feature, label, round(w, 6) AS weight FROM w{STEPS}
+UNION ALL SELECT -1, label, round(b, 6) FROM b{STEPS}""")
+def h3_student_steps(spark: SparkSession, d: str) -> DataFrame:
+    return step_student(spark, d)[0].frame(spark).withColumn("weight", F.round("weight", 6))
+
+
+_STUDENT_ROWS = f"""{_HELD_OUT}, {sql_steps(STEPS)},
+z AS (SELECT id, w.label, place, sum(tf * w) + any_value(b) AS z FROM held JOIN x USING (id) JOIN w{STEPS} w USING (f) JOIN b{STEPS} USING (label) JOIN lab USING (label) WHERE split = 'test' GROUP BY id, w.label, place),
+s AS (SELECT id, answer, teacher_label, arg_max(label, (z, -place)) AS student FROM z JOIN held USING (id) GROUP BY ALL)"""
+
+
+def _sql_compared(name: str, truth: str, predicted: str) -> str:
+    rows = f"(SELECT {truth} AS answer, {predicted} AS prediction FROM s)"
+    return f"""SELECT '{name}' AS compared, (SELECT round(avg(CAST(answer = prediction AS INT)), 6) FROM {rows}) AS accuracy, (SELECT count(*) FROM s) AS n, round(avg(f1), 6) AS macro_f1 FROM {sql_report(rows)}"""
+
+
+@query("h4_student_report", f"""WITH {_STUDENT_ROWS} {_sql_compared('student vs teacher', 'teacher_label', 'student')} UNION ALL
+{_sql_compared('student vs gold', 'answer', 'student')} UNION ALL {_sql_compared('teacher vs gold', 'answer', 'teacher_label')}""")
 def h4_student_report(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(student.student_report(student_rows(spark, d)), "accuracy", "macro_f1")
+    student_model, held_out = step_student(spark, d)
+    return rounded(student.student_report(student_model.predict(held_out).select("answer", "teacher_label", "prediction")), "accuracy", "macro_f1")
 
 
 # --- streams -----------------------------------------------------------------------------------
@@ -187,6 +231,32 @@ def i1_score_stream(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(scored_stream(spark, d)).select("event_id", "prediction", F.round("top2_margin", 6).alias("top2_margin"), "latency_ms")
 
 
+@query("i1_replayed_stream", f"WITH {SCORED} SELECT event_id, prediction, round(top2_margin, 6) AS top2_margin, latency_ms FROM scored JOIN requests USING (event_id)")
+def i1_replayed_stream(spark: SparkSession, d: str) -> DataFrame:
+    """All requests sent twice, the second time in later micro-batches, and each answered once by the stored scorer."""
+    scorer, root = CountScorer.fit(T.credit_orders(spark, d)), fresh_path(spark, "store")
+    save_scorer(scorer, root, "credit", "v1")
+    scorer.lm.unpersist()
+    folder, requests = fresh_path(spark, "requests"), T.requests(spark, d).select(*REQUEST_KEYS, "features")
+    for _ in range(2):
+        requests.write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(requests.schema).parquet(folder)
+    out, state = fresh_path(spark, "scored"), fresh_path(spark, "scored-state")
+    score_stream(stream, stored_score(root, "credit", "features", REQUEST_KEYS), out, state, id_cols=("event_id",), within="3650 days").awaitTermination()
+    return spark.read.parquet(out).select("event_id", "prediction", F.round("top2_margin", 6).alias("top2_margin"), "latency_ms")
+
+
+@query("e10_from_store", f"""WITH {SCORED} SELECT event_id, prediction, round(top2_margin, 6) AS top2_margin, 'v1' AS version, sha256(features) AS input_sha256
+FROM scored JOIN requests USING (event_id)""")
+def e10_from_store(spark: SparkSession, d: str) -> DataFrame:
+    """Requests answered by a scorer that was stored and loaded, as audit rows."""
+    scorer, root = CountScorer.fit(T.credit_orders(spark, d)), fresh_path(spark, "store")
+    save_scorer(scorer, root, "credit", "v1")
+    scorer.lm.unpersist()
+    answers = load_scorer(spark, root, "credit", labels=K.LABELS).audit(T.requests(spark, d), "features", ("event_id",))
+    return answers.select("event_id", "prediction", F.round("top2_margin", 6).alias("top2_margin"), "version", "input_sha256")
+
+
 KPIS = f"""WITH {SCORED} SELECT CAST(epoch(time_bucket(INTERVAL '6 hours', ts)) AS BIGINT) AS window_start, prediction, count(*) AS n, round(avg(top2_margin), 6) AS mean_margin,
 quantile_disc(latency_ms, 0.5) AS latency_p50, quantile_disc(latency_ms, 0.95) AS latency_p95 FROM scored JOIN requests USING (event_id) GROUP BY ALL"""
 
@@ -203,9 +273,29 @@ def i2_kpi_stream(spark: SparkSession, d: str) -> DataFrame:
     answers = spark.readStream.schema(spark.read.parquet(folder).schema).option("maxFilesPerTrigger", 1).parquet(folder)
     out, state = fresh_path(spark, "kpis"), fresh_path(spark, "kpis-state")
     write_partials(answers, out, state, window="6 hours").awaitTermination()
+    compact_partials(spark, out)
     return _kpi_columns(current_kpis(spark, out))
 
 
+@query("i2_kpi_sketched", f"""WITH {SCORED} SELECT CAST(epoch(time_bucket(INTERVAL '5 days', ts, TIMESTAMP '1970-01-01')) AS BIGINT) AS window_start, prediction, count(*) AS n,
+round(avg(top2_margin), 6) AS mean_margin, true AS p50_within, true AS p95_within FROM scored JOIN requests USING (event_id) GROUP BY ALL""")
+def i2_kpi_sketched(spark: SparkSession, d: str) -> DataFrame:
+    """Percentiles of small merged sketches, held against the ranks they really have: within twice the stated error."""
+    k, window = 64, "5 days"
+    rows = spark.read.parquet(scored_stream(spark, d))
+    found = current_from(partials(rows, window, k=k), ("prediction",))
+    error = 2 * rank_error(k)
+    placed = rows.select(F.window("ts", window)["start"].alias("window_start"), "prediction", F.col("latency_ms").alias("x"))
+    met = join_lookup(placed, found, ["window_start", "prediction"], "inner")
+
+    def within(c: str, share: float) -> Column:
+        below, upto = F.count_if(F.col("x") < F.col(c)) / F.count("x"), F.count_if(F.col("x") <= F.col(c)) / F.count("x")
+        return ((below <= share + error) & (upto >= share - error)).alias(c.replace("latency_", "") + "_within")
+
+    ranks = met.groupBy("window_start", "prediction").agg(F.max("n").alias("n"), F.round(F.max("mean_margin"), 6).alias("mean_margin"), within("latency_p50", 0.5), within("latency_p95", 0.95))
+    return ranks.withColumn("window_start", F.unix_seconds("window_start"))
+
+
 @query("i2_kpi_batch", KPIS)
 def i2_kpi_batch(spark: SparkSession, d: str) -> DataFrame:
     scorer = CountScorer.fit(T.spread(T.credit_orders(spark, d), "id"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
 from tutelage.functions import constants as K
 from tutelage.functions import scores as S
+from tutelage.functions.templates import credit_chat_prompt
 from tutelage.operators import countlm, ranking as R, sampling
 from tutelage.operators.inference import infer_batch
 from tutelage.operators.metrics import full_report
@@ -149,6 +152,34 @@ def e15_verbalizers(spark: SparkSession, d: str) -> DataFrame:
     return R.by_label(best, {"raw": "raw"}).withColumn("raw", _finite("raw"))
 
 
+_REDUCED = {"max": "max(score)", "mean": "avg(score)", "logsum": "max(score) + ln(sum(exp(score - top)))"}
+
+
+def _sql_reduced(source: str, keys: str, how: str) -> str:
+    """One score per label: the best variant of each synonym, then one of ``_REDUCED`` over the synonyms."""
+    return f"""(SELECT {keys}, label, {_REDUCED[how]} AS raw FROM (SELECT *, max(score) OVER (PARTITION BY {keys}, label) AS top FROM
+  (SELECT {keys}, label, synonym, max(score) AS score FROM (SELECT {keys}, label, synonym, variant, avg(logprob) AS score FROM {source} GROUP BY ALL) GROUP BY ALL)) GROUP BY ALL)"""
+
+
+def _sql_synonyms(how: str) -> str:
+    return f"""SELECT e.example_id, lab.label, '{how}' AS across, round(r.raw, 6) AS raw, round(r.raw - p.prior, 6) AS score
+FROM (SELECT DISTINCT example_id FROM synonym_scores) e CROSS JOIN {LABEL_VALUES} LEFT JOIN {_sql_reduced('synonym_scores', 'example_id', how)} r ON r.example_id = e.example_id AND r.label = lab.label
+LEFT JOIN (SELECT model, label, avg(raw) AS prior FROM {_sql_reduced('null_synonym_scores', 'model, null_id', how)} GROUP BY ALL) p ON p.label = lab.label AND p.model = {T._sql_model('e.example_id')}"""
+
+
+@query("e15_synonyms", f"WITH {T.SQL_SYNONYM_SCORES} {' UNION ALL '.join(map(_sql_synonyms, R.ACROSS))}")
+def e15_synonyms(spark: SparkSession, d: str) -> DataFrame:
+    """Labels under two names each, reduced in three ways, in scores and priors alike."""
+    def reduced(across: str) -> DataFrame:
+        raw = with_model(R.synonym_raw(T.synonym_token_scores(spark, d), T.SYNONYMS, across))
+        prior = R.null_prior(R.synonym_raw(T.null_synonym_token_scores(spark, d), T.SYNONYMS, across, keys=("model", "null_id")), by=("model",))
+        full = R.by_label(R.calibrate(raw, prior).select("example_id", "raw", "scores"), {"raw": "raw", "scores": "score"})
+        return full.select("example_id", "label", F.lit(across).alias("across"), _finite("raw").alias("raw"), _finite("score").alias("score"))
+
+    parts = [reduced(a) for a in R.ACROSS]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 # --- count scorer ------------------------------------------------------------------------------
 
 def sql_lm(source: str, text: str = "question", name: str = "lm") -> str:
@@ -179,6 +210,37 @@ def e13_count_lm_scores(spark: SparkSession, d: str) -> DataFrame:
     return R.by_label(scorer.raw(orders, "question", ("id",)).select("id", "raw"), {"raw": "raw"}).withColumn("raw", F.round("raw", 6))
 
 
+@query("e13_scores_shuffled", f"""WITH {T.SQL_CREDIT}, {sql_lm('credit_orders')}
+SELECT id, label, round(raw, 6) AS raw FROM {sql_score('credit_orders', 'id', sql_chat('question'))}""")
+def e13_scores_shuffled(spark: SparkSession, d: str) -> DataFrame:
+    """As with a vocabulary too large to broadcast: the counts lie in buckets by token."""
+    orders = T.credit_orders(spark, d)
+    fitted = countlm.fit_count_lm(orders)
+    lm = countlm.bucketed(fitted, f"counts_{uuid.uuid4().hex}", 8)
+    fitted.unpersist()
+    prompts = orders.select("id", credit_chat_prompt("question").alias("prompt"))
+    raw = countlm.count_lm_scores(prompts, lm, keys=("id",), broadcast_bytes=0)
+    return R.by_label(raw.select("id", "raw"), {"raw": "raw"}).withColumn("raw", F.round("raw", 6))
+
+
+_COUNT_SYNONYMS = "CASE WHEN id % 2 = 0 THEN answer ELSE CASE answer WHEN 'Good' THEN 'Strong' WHEN 'Standard' THEN 'Average' ELSE 'Weak' END END"
+
+
+@query("e15_count_synonyms", f"""WITH {T.SQL_CREDIT}, named AS (SELECT id, question, {_COUNT_SYNONYMS} AS answer FROM credit_orders), {sql_lm('named')},
+label_of(name, label, place) AS (VALUES ('Good', 'Good', 1), ('Strong', 'Good', 1), ('Standard', 'Standard', 2), ('Average', 'Standard', 2), ('Bad', 'Bad', 3), ('Weak', 'Bad', 3)),
+prompts AS (SELECT id, {sql_chat('question')} AS prompt FROM credit_orders), nulls AS (SELECT null_id, {sql_chat('features')} AS prompt FROM {NULLS_SQL}),
+prior AS (SELECT label, avg(raw) AS prior FROM (SELECT null_id, l.label, avg(raw) AS raw FROM {sql_score('nulls', 'null_id', 'prompt')} s JOIN label_of l ON l.name = s.label GROUP BY ALL) GROUP BY label)
+SELECT id, label, round(raw - prior, 6) AS score FROM (SELECT id, l.label, avg(raw) AS raw FROM {sql_score('prompts', 'id', 'prompt')} s JOIN label_of l ON l.name = s.label GROUP BY ALL) JOIN prior USING (label)""")
+def e15_count_synonyms(spark: SparkSession, d: str) -> DataFrame:
+    """Counts for every name of a label; a label's score, and its prior, is the mean over its names."""
+    orders = T.credit_orders(spark, d)
+    second = F.coalesce(*[F.when(F.col("answer") == lab, names[1]) for lab, names in T.SYNONYMS.items()])
+    named = orders.withColumn("answer", F.when(F.col("id") % 2 == 0, F.col("answer")).otherwise(second))
+    scorer = CountScorer.fit(named, synonyms=T.SYNONYMS, across="mean")
+    raw = scorer.raw(orders, "question", ("id",))
+    return R.by_label(R.calibrate(raw, scorer.prior).select("id", "scores"), {"scores": "score"}).withColumn("score", F.round("score", 6))
+
+
 @query("e13_token_scores", f"""WITH {T.SQL_LABELLED}, {sql_lm('labelled_docs')}
 SELECT id AS example_id, label, 0 AS variant, round(raw, 6) AS score FROM {sql_score('labelled_docs', 'id', 'question')}""")
 def e13_token_scores(spark: SparkSession, d: str) -> DataFrame:
@@ -244,6 +306,33 @@ def e12_model_scorer(spark: SparkSession, d: str) -> DataFrame:
     return R.by_label(R.calibrate(raw, scorer.prior).select("id", "scores"), {"scores": "score"}).withColumn("score", F.round("score", 6))
 
 
+class _LengthModel:
+    """The same for grouped scoring: a token per character, the prompt's state its length."""
+
+    def tokenize(self, texts):
+        return [[ord(c) for c in t] for t in texts]
+
+    def prefix(self, batch):
+        return [len(ids) for ids in batch]
+
+    def continue_(self, state, ids):
+        return [-((p * 31 + len(ids) * 17) % 101) / 7.0 for p in state]
+
+
+_GROUPED_RAW = f"""SELECT {{key}}, label, max(-((length(prompt) * 31 + length(c) * 17) % 101) / 7.0 / length(c)) AS raw
+  FROM (SELECT {{key}}, prompt, label, CASE variant WHEN 0 THEN ' ' ELSE '' END || label AS c FROM {{source}}, {LABEL_VALUES}, (VALUES (0), (1)) AS v(variant)) GROUP BY ALL"""
+
+
+@query("e12_grouped_scorer", f"""WITH {T.SQL_CREDIT}, prompts AS (SELECT id, {sql_chat('question')} AS prompt FROM credit_orders), nulls AS (SELECT null_id, {sql_chat('features')} AS prompt FROM {NULLS_SQL}),
+prior AS (SELECT label, avg(raw) AS prior FROM ({_GROUPED_RAW.format(key='null_id', source='nulls')}) GROUP BY label)
+SELECT id, label, round(raw - prior, 6) AS score FROM ({_GROUPED_RAW.format(key='id', source='prompts')}) JOIN prior USING (label)""")
+def e12_grouped_scorer(spark: SparkSession, d: str) -> DataFrame:
+    """Each prompt is evaluated once for its six candidates, in batches of about equal length."""
+    scorer = ModelScorer.load(spark, _LengthModel, grouped=True)
+    raw = scorer.raw(T.credit_orders(spark, d), "question", ("id",))
+    return R.by_label(R.calibrate(raw, scorer.prior).select("id", "scores"), {"scores": "score"}).withColumn("score", F.round("score", 6))
+
+
 # --- flagship ----------------------------------------------------------------------------------
 
 def evaluated(spark: SparkSession, d: str) -> DataFrame:

@@ -99,6 +99,29 @@ def null_token_scores(spark: SparkSession, d: str) -> DataFrame:
                      _status_variant().alias("variant"), F.col("l_linenumber").alias("pos"), (-F.log1p("l_extendedprice")).alias("logprob"))
 
 
+#: Two names for each label.
+SYNONYMS = {"Good": ("Good", "Strong"), "Standard": ("Standard", "Average"), "Bad": ("Bad", "Weak")}
+
+
+def _synonym() -> Column:
+    """The supplier's number picks the label's name."""
+    return F.coalesce(*[F.when(_flag_label() == lab, F.when(F.col("l_suppkey") % 2 == 0, first).otherwise(second)) for lab, (first, second) in SYNONYMS.items()])
+
+
+def synonym_token_scores(spark: SparkSession, d: str) -> DataFrame:
+    """``token_scores`` of labels that go by two names."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", "l_linestatus", "l_extendedprice")
+    return li.select(F.col("l_orderkey").alias("example_id"), _flag_label().alias("label"), _synonym().alias("synonym"), _status_variant().alias("variant"),
+                     F.col("l_linenumber").alias("pos"), (-F.log1p("l_extendedprice")).alias("logprob"))
+
+
+def null_synonym_token_scores(spark: SparkSession, d: str) -> DataFrame:
+    """The same for the seven null prompts of four models."""
+    li = table(spark, d, "lineitem").select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_extendedprice")
+    return li.select(_model(F.col("l_partkey")).alias("model"), (F.col("l_orderkey") % 7).alias("null_id"), _flag_label().alias("label"), _synonym().alias("synonym"),
+                     _status_variant().alias("variant"), F.col("l_linenumber").alias("pos"), (-F.log1p("l_extendedprice")).alias("logprob"))
+
+
 def _flag_label() -> Column:
     return F.when(F.col("l_returnflag") == "A", "Good").when(F.col("l_returnflag") == "N", "Standard").otherwise("Bad")
 
@@ -114,6 +137,8 @@ def _model(key: Column) -> Column:
 
 # --- invoices and generated texts ----------------------------------------------------------
 
+# The wording of the three layouts repeats that of sample invoices: fixed values, here and in the SQL twin.
+
 def invoices(spark: SparkSession, d: str) -> DataFrame:
     """``(id, text, gold_json)``: an order as an invoice in one of three layouts.
 
@@ -260,6 +285,11 @@ SQL_NULL_TOKEN_SCORES = f"""null_token_scores AS (SELECT {_sql_model('l_partkey'
   CASE WHEN l_linestatus = 'F' THEN 0 ELSE 1 END AS variant, l_linenumber AS pos, -ln(1 + l_extendedprice) AS logprob FROM lineitem)"""
 
 
+_SQL_CELL = f"{_FLAG_LABEL} AS label, l_suppkey % 2 AS synonym, CASE WHEN l_linestatus = 'F' THEN 0 ELSE 1 END AS variant, -ln(1 + l_extendedprice) AS logprob FROM lineitem"
+SQL_SYNONYM_SCORES = f"""synonym_scores AS (SELECT l_orderkey AS example_id, {_SQL_CELL}),
+null_synonym_scores AS (SELECT {_sql_model('l_partkey')} AS model, l_orderkey % 7 AS null_id, {_SQL_CELL})"""
+
+
 def _sql_cents(e: str) -> str:
     return f"(CAST(({e}) // 100 AS VARCHAR) || '.' || lpad(CAST(({e}) % 100 AS VARCHAR), 2, '0'))"
 

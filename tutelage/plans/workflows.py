@@ -27,9 +27,6 @@ def prepare(spark: SparkSession, src: str, outdir: str, per_class: int | None =
             name: str = "", id_col: str | None = None, lines: bool = False) -> dict[str, str]:
     """Labelled file in, balanced SFT, KD and DPO sets out. Returns their paths."""
     rows = readers.read_labeled(spark, src, id_col, lines)
-    if id_col is None:
-        # Ids by file position: written down once, so that all passes see the same.
-        rows = materialise(rows, "labelled")
     return sinks.write_distill_sets(datasets.build_sets(rows, per_class, seed, written=True), outdir, name)
 
 
@@ -79,6 +76,16 @@ def evaluate_generation(df: DataFrame, training_type: str, model_dir: str, idp_m
     return stored, found
 
 
+def evaluate_file(spark: SparkSession, src: str, training_type: str, model_dir: str, limit: int = 0, generated: bool = False, **kw) -> tuple[DataFrame, DataFrame]:
+    """``evaluate_generation`` of a file of examples, one object per line; ``limit`` takes its first lines.
+
+    ``generated``: the file brings the model's text along. The results keep the line number as ``id``.
+    """
+    schema = {"sft": readers.SFT, "kd": readers.KD, "dpo": readers.DPO}[training_type]
+    examples = readers.read_set(spark, src, f"{schema}, generated string" if generated else schema, numbered=True)
+    return evaluate_generation(examples, training_type, model_dir, limit=limit, **kw)
+
+
 def answer_requests(requests: DataFrame, registry: DataFrame, make_generate_fn: Callable, text_col: str = "text") -> DataFrame:
     """Served answers of ``requests(flow, method, run_id, text, ...)``: route, prompt, generate, take the prompt off.
 

@@ -7,36 +7,50 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tutelage.sources.ranges import json_elements, numbered_lines
+
 LABELED = "question string, answer string"
 SFT = "input string, output string"
 KD = "input string, teacher_output string, teacher_logits_path string"
 DPO = "prompt string, chosen string, rejected string"
 
 
+def parsed(rows: DataFrame, schema: str) -> DataFrame:
+    """``position`` and the columns of ``schema`` from the JSON texts ``value``; a text that is not JSON gives nulls."""
+    return rows.select("position", F.explode(F.array(F.from_json("value", schema))).alias("r")).select("position", "r.*")
+
+
 def read_labeled(spark: SparkSession, path: str | list[str], id_col: str | None = None, lines: bool = False) -> DataFrame:
     """``(id, question, answer)`` from JSON array files, or from one object per line (``lines``).
 
-    An array file is parsed as a whole by one task, so a large corpus should be many files, or
-    lines. Without ``id_col`` in the data an id is numbered by file position: unique, and the same as long as the
-    files and the split settings are; write the table once when it has to last longer.
+    A file of either kind is read by as many tasks as it has splits. Without ``id_col`` in the data the id is the
+    place of the element, or the number of the line, counted over the files in name order.
     """
     schema = LABELED if id_col is None else f"{id_col} bigint, {LABELED}"
-    df = spark.read.schema(schema).option("multiLine", not lines).json(path)
-    ident = F.monotonically_increasing_id() if id_col is None else F.col(id_col)
-    return df.select(ident.alias("id"), "question", "answer")
+    if lines and id_col is not None:
+        return spark.read.schema(schema).json(path).select(F.col(id_col).alias("id"), "question", "answer")
+    rows = parsed(numbered_lines(spark, path) if lines else json_elements(spark, path), schema)
+    return rows.select(F.col("position" if id_col is None else id_col).alias("id"), "question", "answer")
+
+
+def read_set(spark: SparkSession, path: str | list[str], schema: str, numbered: bool = False) -> DataFrame:
+    """A set of one object per line; ``numbered`` adds the number of the line as ``id``, which evaluation needs for its first n."""
+    if not numbered:
+        return spark.read.schema(schema).json(path)
+    return parsed(numbered_lines(spark, path), schema).withColumnRenamed("position", "id")
 
 
-def read_sft(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.schema(SFT).json(path)
+def read_sft(spark: SparkSession, path: str | list[str], numbered: bool = False) -> DataFrame:
+    return read_set(spark, path, SFT, numbered)
 
 
-def read_kd(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_kd(spark: SparkSession, path: str | list[str], numbered: bool = False) -> DataFrame:
     """``teacher_logits_path`` may be missing; nothing uses it yet."""
-    return spark.read.schema(KD).json(path)
+    return read_set(spark, path, KD, numbered)
 
 
-def read_dpo(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.schema(DPO).json(path)
+def read_dpo(spark: SparkSession, path: str | list[str], numbered: bool = False) -> DataFrame:
+    return read_set(spark, path, DPO, numbered)
 
 
 def read_schema(spark: SparkSession, path: str) -> dict:
