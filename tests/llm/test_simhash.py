@@ -38,31 +38,6 @@ def test_positions_cover_every_choice():
     assert len(simhash.covering(4)) == 20
 
 
-def test_dealt_triples_use_all_positions_alike():
-    lists = simhash.dealt_triples(32, 96)
-    held = [sum(p in t for t in lists) for p in range(32)]
-    assert len(set(lists)) == 96 and sum(held) == 288 and max(held) <= 10
-
-
-def test_wide_links_against_brute_force(spark):
-    rng = random.Random(4)
-    nodes = []
-    for _ in range(60):
-        base = rng.getrandbits(256)
-        nodes += [base] + [base ^ sum(1 << b for b in rng.sample(range(256), n)) for n in (3, 9, 20, 30, 38, 60)]
-    signed = lambda v: v - (1 << 64) if v >> 63 else v
-    rows = [(i, *[signed(v >> 64 * k & (1 << 64) - 1) for k in range(4)]) for i, v in enumerate(nodes)]
-    frame = spark.createDataFrame(rows, "node long, l0 long, l1 long, l2 long, l3 long")
-    found = {tuple(sorted(r)) for r in simhash.near_links(frame, 40, simhash.dealt_triples(32, 96)).collect()}
-    bits = lambda a, b: bin(nodes[a] ^ nodes[b]).count("1")
-    root = {r["node"]: r["root"] for r in components(spark.createDataFrame(sorted(found), "a long, b long")).collect()}
-    near = [(a, b) for a, b in combinations(range(len(nodes)), 2) if bits(a, b) <= 40]
-    joined = [bits(a, b) for a, b in near if root.get(a, a) == root.get(b, b)]
-    missed = [bits(a, b) for a, b in near if root.get(a, a) != root.get(b, b)]
-    assert all(n > 9 for n in missed) and len(joined) >= 0.95 * len(near)
-    assert {a // 7 for a, _ in found} == {b // 7 for _, b in found} and all(a // 7 == b // 7 for a, b in found)
-
-
 def test_fingerprints_and_components_against_brute_force(spark):
     rng = random.Random(5)
     words = [f"w{i}" for i in range(400)]
@@ -138,7 +113,7 @@ def test_representatives_are_decided_by_exact_similarity(spark, monkeypatch):
     assert simhash.similarity(sets[0], sets[1]) >= 0.8 > simhash.similarity(sets[0], sets[2])
     pairs = spark.createDataFrame([(0, 1), (0, 2)], "a long, b long")
     rows = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "node long, text binary")
-    assert [tuple(r) for r in simhash.similar(pairs, rows, 5, 0.8).collect()] == [(0, 1)]
+    assert [tuple(r) for r in simhash.similar(pairs, simhash.shingle_sets(rows, 5), 0.8).collect()] == [(0, 1)]
     group = [list(base) for _ in range(40)]
     for k, words in enumerate(group):
         words[7 * k] = f"other{k}"
@@ -157,3 +132,73 @@ def test_pairs_just_above_the_bound_are_all_found(spark):
         rows += [(2 * n, " ".join(base)), (2 * n + 1, " ".join(other))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r["doc_id"] for r in simhash.representatives(docs).collect()) == list(range(0, 120, 2))
+
+
+def test_prefixes_of_similar_sets_meet_under_any_sketch():
+    rng = np.random.default_rng(11)
+    for _ in range(300):
+        n = int(rng.integers(1, 60))
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.r_[a[rng.random(len(a)) < 0.93], rng.integers(0, 1 << 63, int(rng.integers(0, 4)), dtype=np.uint64)])
+        sketch = rng.integers(0, 50, 64).astype(np.int32)
+        both = len(np.intersect1d(a, b))
+        if len(b) and both / (len(a) + len(b) - both) >= 0.8:
+            p, q = simhash.prefix(a, sketch, 0.8), simhash.prefix(b, sketch, 0.8)
+            met = [(i, j) for i, h in enumerate(p) for j, k in enumerate(q) if h == k]
+            assert met and any(simhash._possible(np.array([len(a), len(b)]), np.array([i, j]), 0, np.array([1]), 0.8)[0] for i, j in met)
+
+
+def test_sketch_counts_texts(spark):
+    texts = ["a b c d e f", "a b c d e f", "b c d e f", None, "", "a b c d e f a b c d e f"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    sketch = simhash.frequencies(docs, 5)
+    at = lambda t: sketch[int(simhash.hashes(t, 5)[0]) & simhash.COUNTERS - 1]
+    assert at(b"a b c d e") == 3 and at(b"b c d e f") == 4 and sketch.sum() == 2 + 2 + 1 + 6
+
+
+def asked(monkeypatch):
+    """Pairs handed to the exact count."""
+    seen, plain_similar = [], simhash.similar
+
+    def similar(pairs, sets, least):
+        seen.extend(tuple(sorted(r)) for r in pairs.collect())
+        return plain_similar(pairs, sets, least)
+
+    monkeypatch.setattr(simhash, "similar", similar)
+    return seen
+
+
+def test_texts_that_share_a_block_are_not_verified_in_pairs(spark, monkeypatch):
+    """300 common and 100 own words each, a similarity of 0.6: all pairs of them would be 79,800."""
+    seen, rng = asked(monkeypatch), random.Random(12)
+    block = " ".join(f"c{i}" for i in range(300))
+    docs = spark.createDataFrame([(k, f"{block} " + " ".join(f"o{rng.randint(0, 10 ** 7)}" for _ in range(100))) for k in range(400)], "doc_id long, text string")
+    assert simhash.representatives(docs).count() == 400 and len(seen) < 4000
+
+
+def test_no_pair_is_verified_twice(spark, monkeypatch):
+    """A group in which neighbours are alike and others are not, in lists long enough for rounds."""
+    seen, words = asked(monkeypatch), [f"w{i}" for i in range(800)]
+    rows = [(k, " ".join(words[8 * k:8 * k + 200])) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(simhash, "SMALL", 2)
+    kept = sorted(r["doc_id"] for r in simhash.representatives(docs).collect())
+    sets = {k: simhash.shingles(t.encode(), 5) for k, t in rows}
+    want = grouped(list(sets), lambda a, b: simhash.similarity(sets[a], sets[b]) >= 0.8)
+    assert kept == sorted(set(want.values())) and len(seen) == len(set(seen))
+
+
+def test_representatives_against_brute_force(spark):
+    rng = random.Random(13)
+    line, texts = " ".join(f"line{i}" for i in range(30)), ["", None, "one", "one two three", "ONE two three", "one two three four five six"]
+    for _ in range(30):
+        base = [rng.choice("abcdefghij") + str(rng.randint(0, 300)) for _ in range(rng.randint(5, 150))]
+        for _ in range(4):
+            other = list(base)
+            for _ in range(rng.choice([0, 1, 2, 5, 20])):
+                other[rng.randrange(len(other))] = f"n{rng.randint(0, 99)}"
+            texts.append(" ".join(other) + rng.choice(["", f" {line}", " more"]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = {k: simhash.shingles((t or "").lower().encode(), 5) for k, t in enumerate(texts)}
+    want = grouped(list(sets), lambda a, b: simhash.similarity(sets[a], sets[b]) >= 0.8)
+    assert sorted(r["doc_id"] for r in simhash.representatives(docs).collect()) == sorted(set(want.values()))

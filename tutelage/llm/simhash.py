@@ -17,7 +17,7 @@ table gives an empty result; other columns are left out.
 
 from __future__ import annotations
 
-import random
+import math
 from collections.abc import Callable, Iterator, Sequence
 from itertools import accumulate, combinations
 
@@ -40,9 +40,8 @@ HEAVY_BROADCAST = 50_000
 CHUNK = 1 << 13
 #: Of a list of at most so many fingerprints all pairs are verified at once; of a longer one, those of 1, 2, 4, ... members a round.
 SMALL = 8
-#: Candidates share all ``ROWS`` least hashes of one of ``BANDS`` groups: a pair at a similarity of s meets in none with a chance of (1 - s^3)^28, 2e-9 at 0.8.
-BANDS, ROWS = 28, 3
-_STEPS = (np.random.default_rng(SEED).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1))[:, None]
+#: Counters of shingle frequencies, and how many of them travel in a row.
+COUNTERS, SLICE = 1 << 20, 1 << 10
 #: Texts to verify are looked up by broadcast up to so many (some 40 bytes each); beyond, they are joined.
 TEXTS_BROADCAST = 200_000
 
@@ -122,18 +121,6 @@ def covering(shared: int) -> list[tuple[int, ...]]:
     return list(combinations(range(8), max(1, shared)))
 
 
-def dealt_triples(positions: int, many: int) -> list[tuple[int, ...]]:
-    """``many`` different triples of positions, cut from shuffles of all of them: every position is in about as many."""
-    rng, queue, out = random.Random(0), [], []
-    while len(out) < many:
-        if len(queue) < 3:
-            queue += rng.sample(range(positions), positions)
-        triple, queue = tuple(sorted(queue[:3])), queue[3:]
-        if len(set(triple)) == 3 and triple not in out:
-            out.append(triple)
-    return out
-
-
 def postings(nodes: DataFrame, lists: Sequence[tuple[int, ...]]) -> DataFrame:
     """``nodes`` once for each of ``lists`` of so many positions each (0 to 7 in the first lane, 8 to 15 in the second, ...)."""
     lanes = [c for c in nodes.columns if c != "node"]
@@ -148,23 +135,22 @@ def postings(nodes: DataFrame, lists: Sequence[tuple[int, ...]]) -> DataFrame:
 def _deal(lists: DataFrame, counts: DataFrame) -> DataFrame:
     """Heavy lists (by ``counts``: ``key``, ``count``) dealt into block pairs: a member of block b goes to the pair of b with every block."""
     heavy = materialise(counts.filter(F.col("count") > HEAVY), "heavy")
-    heavy = heavy.select("key", F.ceil(F.col("count") / (HEAVY // 2)).cast("int").alias("blocks"))
+    heavy = heavy.select("key", F.ceil(F.col("count") / (HEAVY // 2)).cast("bigint").alias("blocks"))
     heavy = F.broadcast(heavy) if heavy.count() <= HEAVY_BROADCAST else heavy
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.least(x, own) * 65536 + F.greatest(x, own))
-    dealt = lists.join(heavy, "key", "left").withColumn("pair", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(pair)))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    pair = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda x: F.least(x, own) * (1 << 31) + F.greatest(x, own))
+    dealt = lists.join(heavy, "key", "left").withColumn("pair", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(pair)))
     return dealt.drop("blocks")
 
 
-def near_links(nodes: DataFrame, max_bits: int = 4, lists: Sequence[tuple[int, ...]] | None = None) -> DataFrame:
-    """``(a, b)``: links that connect all pairs of ``nodes`` (``node``, lanes ``l0``, ``l1``, ...) with at most ``max_bits`` differing bits.
+def near_links(nodes: DataFrame, max_bits: int = 4) -> DataFrame:
+    """``(a, b)``: links that connect all pairs of ``nodes`` (``node``, ``l0``) with at most ``max_bits`` differing bits.
 
-    Without ``lists``, whole for every pair of one lane: all choices of the guaranteed 8 - ``max_bits`` positional bytes are
-    covered. With ``lists`` of positions, whole for the pairs that agree in all positions of one of them.
+    Whole for every pair: all choices of the guaranteed 8 - ``max_bits`` positional bytes are covered.
     """
     lanes = [c for c in nodes.columns if c != "node"]
-    shared = max(1, 8 - max_bits) if lists is None else min(map(len, lists))
-    lists = covering(shared) if lists is None else lists
+    shared = max(1, 8 - max_bits)
+    lists = covering(shared)
     dealt = _deal(postings(nodes, lists), postings(nodes, lists).groupBy("key").count())
     spread = dealt.select("key", "pair", "node", *lanes).repartition("key", "pair").sortWithinPartitions("key", "pair", "node")
 
@@ -228,103 +214,160 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataF
     return marks.join(named, "node").select("doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def bands(own: np.ndarray) -> np.ndarray:
-    """``BANDS`` keys of a set of hashes: of each group of ``ROWS`` permutations the least values, mixed; none of an empty set."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(own), 512):
-        z = own[at:at + 512] * _STEPS
-        z ^= z >> np.uint64(32)
-        z *= np.uint64(0xD6E8FEB86659FD93)
-        np.minimum(least, z.min(axis=1), out=least)
-    key = np.arange(BANDS if len(own) else 0, dtype=np.uint64)
-    for row in least.reshape(BANDS, ROWS).T[:, :len(key)]:
-        key = _mix(key ^ row, 1)
-    return key
+# --- near copies by shingles -------------------------------------------------------------------
+
+def frequencies(docs: DataFrame, width: int, counters: int = COUNTERS) -> np.ndarray:
+    """How many texts have a shingle of each hash modulo ``counters``: a sketch of fixed size, never less than the true number.
+
+    Every task counts its own texts; the counts are summed in slices, so that no task sees them all, and ``counters`` numbers reach the driver.
+    """
+    slices = counters // SLICE
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(counters, np.int64)
+        for batch in batches:
+            for text in batch.column(0):
+                np.add.at(total, (np.unique(hashes(text.as_py(), width)) & np.uint64(counters - 1)).astype(np.int64), 1)
+        own = np.flatnonzero(total.reshape(slices, SLICE).any(axis=1))
+        yield _sliced(own, total.reshape(slices, SLICE)[own])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = np.frombuffer(blob.as_py(), np.int64)
+                held[at] = held[at] + own if at in held else own.copy()
+        keys = sorted(held)
+        yield _sliced(np.array(keys, np.int64), np.array([held[k] for k in keys], np.int64).reshape(-1, SLICE))
+
+    kind = "at bigint, counts binary"
+    summed = docs.select(utf8("text").alias("text")).mapInArrow(count, kind).repartition("at").mapInArrow(add, kind)
+    out = np.zeros((slices, SLICE), np.int64)
+    for r in summed.collect():  # counters / SLICE rows
+        out[r["at"]] = np.frombuffer(r["counts"], np.int64)
+    return np.minimum(out.reshape(-1), np.iinfo(np.int32).max).astype(np.int32)
+
+
+def _sliced(at: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array([c.tobytes() for c in counts], pa.binary())], names=["at", "counts"])
 
 
-def distinct_marks(docs: DataFrame, width: int, lanes: int, keep: Sequence[str]) -> DataFrame:
-    """``keep``, ``_node`` (a hash of the set of distinct shingles), ``_l0``, ``_l1``, ... (the fingerprint, to which each distinct shingle counts once) and ``_bands``."""
-    names = ["_node", *[f"_l{i}" for i in range(lanes)]]
-    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(n, T.LongType()) for n in names] + [T.StructField("_bands", T.ArrayType(T.LongType()))])
+def prefix(own: np.ndarray, sketch: np.ndarray, least: float) -> np.ndarray:
+    """Of the distinct hashes of a text the rarest (by ``sketch``, then by hash), as many as any set at a similarity of ``least`` must share one of."""
+    many = len(own) - math.ceil(least * len(own) - 1e-9) + 1
+    order = np.lexsort((own, sketch[(own & np.uint64(len(sketch) - 1)).astype(np.int64)]))
+    return own[order[:many]] if len(own) else own
+
+
+def distinct_marks(docs: DataFrame, width: int, lanes: int, keep: Sequence[str], sketch: np.ndarray, least: float) -> DataFrame:
+    """``keep``, ``_node`` (a hash of the set of distinct shingles), ``_size`` (their number), ``_l0``, ``_l1``, ... (the fingerprint, to which each counts once), ``_prefix`` and how much of it is surely in no heavy list (``_light``)."""
+    names = ["_node", "_size", "_light", *[f"_l{i}" for i in range(lanes)]]
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(n, T.LongType()) for n in names] + [T.StructField("_prefix", T.ArrayType(T.LongType()))])
+    sent, heavy = docs.sparkSession.sparkContext.broadcast(sketch), HEAVY
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows, keys = [], []
         for t in batch.column("_text").to_pylist():
             own = np.unique(hashes(t, width))
-            rows.append(np.r_[np.uint64(xxhash.xxh64_intdigest(own.tobytes(), SEED)), majority(own, lanes)])
-            keys.append(bands(own).view(np.int64))
+            first = prefix(own, sent.value, least)
+            light = np.count_nonzero(sent.value[(first & np.uint64(len(sent.value) - 1)).astype(np.int64)] <= heavy)
+            rows.append(np.r_[np.uint64(xxhash.xxh64_intdigest(own.tobytes(), SEED)), np.uint64(len(own)), np.uint64(light), majority(own, lanes)])
+            keys.append(first.view(np.int64))
         marks = np.array(rows, dtype=np.uint64).reshape(-1, len(names)).view(np.int64)
         return pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *[pa.array(np.ascontiguousarray(marks[:, i])) for i in range(len(names))], pa.array(keys, pa.list_(pa.int64()))], names=schema.fieldNames())
 
     return batched(docs.select(*[F.col(f"`{c}`") for c in keep], utf8("text").alias("_text")), run, schema)
 
 
-def _pairs(key: np.ndarray, node: np.ndarray, root: np.ndarray, marks: np.ndarray, max_bits: int, done: int, upto: int) -> pa.RecordBatch:
-    """Pairs of different roots within ``max_bits``: of small lists all, of others those of the members from ``done`` to ``upto``; and the keys of lists with pairs beyond."""
+def _possible(size: np.ndarray, place: np.ndarray, i: int | np.ndarray, j: np.ndarray, least: float) -> np.ndarray:
+    """Can the sets that first meet at these places of their orders reach ``least``? By their sizes, and by what is left behind the places."""
+    a, b = size[i], size[j]
+    left = 1 + np.minimum(a - place[i], b - place[j]) - 1
+    need = np.ceil(least / (1 + least) * (a + b) - 1e-9)
+    return (np.minimum(a, b) >= least * np.maximum(a, b) - 1e-9) & (left >= need)
+
+
+def _pairs(key: np.ndarray, node: np.ndarray, root: np.ndarray, size: np.ndarray, place: np.ndarray, least: float, done: int, upto: int) -> pa.RecordBatch:
+    """Possible pairs of different roots: of small lists all, of others those of the members from ``done`` to ``upto``; and the keys of lists with pairs beyond."""
     starts = _starts(key) if len(key) else np.empty(0, np.int64)
     sizes = np.diff(np.r_[starts, len(key)])
     two = starts[sizes == 2]
-    two = two[(np.bitwise_count(marks[two] ^ marks[two + 1]).sum(axis=1) <= max_bits) & (root[two] != root[two + 1])]
+    two = two[_possible(size, place, two, two + 1, least) & (root[two] != root[two + 1])]
     a, b, left = [node[two]], [node[two + 1]], []
-    for s, n in zip(starts[sizes > 2], sizes[sizes > 2], strict=True):
-        own, ids, roots = marks[s:s + n], node[s:s + n], root[s:s + n]
+    for s, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
+        rest = np.arange(s, s + n)
         for i in range(0 if n <= SMALL else done, n - 1):
-            near = np.flatnonzero((np.bitwise_count(own[i + 1:] ^ own[i]).sum(axis=1) <= max_bits) & (roots[i + 1:] != roots[i]))
+            others = rest[i + 1:]
+            near = others[(root[others] != root[s + i]) & _possible(size, place, s + i, others, least)]
             if len(near) and n > SMALL and i >= upto:
                 left.append(key[s])
                 break
-            a.append(np.full(len(near), ids[i])), b.append(ids[i + 1:][near])
-    a, b, left = np.concatenate(a), np.concatenate(b), np.array(left, np.int64).reshape(-1, 2)
+            a.append(np.full(len(near), node[s + i])), b.append(node[near])
+    pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)  # a pair meets in most of its tokens
+    left = np.array(left, np.int64).reshape(-1, 2)
     none = [None] * len(left)
-    return pa.RecordBatch.from_arrays([pa.array([*[None] * len(a), *left[:, 0].tolist()], pa.int64()), pa.array([*[None] * len(a), *left[:, 1].tolist()], pa.int64()),
-                                       pa.array([*a.tolist(), *none], pa.int64()), pa.array([*b.tolist(), *none], pa.int64())], names=["key", "pair", "a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array([*[None] * len(pairs), *left[:, 0].tolist()], pa.int64()), pa.array([*[None] * len(pairs), *left[:, 1].tolist()], pa.int64()),
+                                       pa.array([*pairs[:, 0].tolist(), *none], pa.int64()), pa.array([*pairs[:, 1].tolist(), *none], pa.int64())], names=["key", "pair", "a", "b"])
 
 
-def near_pairs(lists: DataFrame, max_bits: int, done: int, upto: int) -> DataFrame:
-    """``(a, b)`` as ``_pairs`` finds them in ``lists`` (``key``, ``pair``, ``node``, ``root``, lanes), or ``(key, pair)`` of a list with more of them."""
-    lanes = [c for c in lists.columns if c not in ("key", "pair", "node", "root")]
-    spread = lists.select("key", F.col("pair").cast("bigint").alias("pair"), "node", "root", *lanes).repartition("key", "pair").sortWithinPartitions("key", "pair", "node")
+def near_pairs(lists: DataFrame, least: float, done: int, upto: int) -> DataFrame:
+    """``(a, b)`` as ``_pairs`` finds them in ``lists`` (``key``, ``pair``, ``node``, ``root``, ``size``, ``place``), or ``(key, pair)`` of a list with more of them."""
+    spread = lists.select("key", "pair", "node", "root", "size", "place").repartition("key", "pair").sortWithinPartitions("key", "pair", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None
         for batch in batches:
-            columns = [np.stack([batch.column(c).to_numpy() for c in ("key", "pair")], axis=1), batch.column("node").to_numpy(), batch.column("root").to_numpy(),
-                       np.stack([batch.column(c).to_numpy() for c in lanes], axis=1).view(np.uint64)]
+            columns = [np.stack([batch.column(c).to_numpy() for c in ("key", "pair")], axis=1), *[batch.column(c).to_numpy() for c in ("node", "root", "size", "place")]]
             columns = columns if kept is None else [np.concatenate(x) for x in zip(kept, columns, strict=True)]
             cut = int(_starts(columns[0])[-1]) if len(columns[0]) else 0
             kept = [x[cut:] for x in columns]
-            yield _pairs(*[x[:cut] for x in columns], max_bits, done, upto)
+            yield _pairs(*[x[:cut] for x in columns], least, done, upto)
         if kept is not None:
-            yield _pairs(*kept, max_bits, done, upto)
+            yield _pairs(*kept, least, done, upto)
 
     return spread.mapInArrow(run, "key bigint, pair bigint, a bigint, b bigint")
 
 
-def similar(pairs: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
-    """Of ``pairs`` (``a``, ``b``) those whose ``texts`` (``node``, ``text``) have a similarity of ``least`` or more."""
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-
+def shingle_sets(texts: DataFrame, width: int) -> DataFrame:
+    """``(node, own)``: the hashes of the distinct shingles of each of ``texts`` (``node``, ``text``)."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ok = [similarity(shingles(x, width), shingles(y, width)) >= least for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        own = [np.unique(hashes(t, width)).view(np.int64) for t in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int64()))], names=["node", "own"])
 
-    return batched(both.select("a", "b", "ta", "tb"), run, "a bigint, b bigint")
+    return batched(texts.select("node", "text"), run, "node bigint, own array<bigint>")
 
 
-def verified_links(lists: DataFrame, texts: Callable[[DataFrame], DataFrame], width: int, max_bits: int, least: float) -> DataFrame:
-    """``(a, b)``: links of a similarity of ``least`` or more that connect all such pairs which meet in one of ``lists`` within ``max_bits``.
+def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Of ``pairs`` (``a``, ``b``) those whose ``sets`` (``node``, ``own``) have a similarity of ``least`` or more; a row at a time, so that no batch of long sets is held."""
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("own").alias(f"own_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    shared = F.size(F.array_intersect("own_a", "own_b"))
+    counted = both.select("a", "b", shared.alias("shared"), (F.size("own_a") + F.size("own_b")).alias("total"))
+    return counted.filter(F.col("shared") >= F.lit(least) * (F.col("total") - F.col("shared")) - 1e-9).select("a", "b")
 
-    ``texts`` gives ``(node, text)`` for a table of nodes. A long list is taken in rounds: a few members against all others, and
-    then only pairs that the links so far leave apart, so that a large group of near copies costs about one link for each of them.
+
+def within(pairs: DataFrame, nodes: DataFrame, lanes: Sequence[str], max_bits: int) -> DataFrame:
+    """Of ``pairs`` those whose fingerprints differ in at most ``max_bits`` bits."""
+    side = lambda c: nodes.select(F.col("node").alias(c), *[F.col(x).alias(f"{c}_{x}") for x in lanes])
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    bits = sum((F.bit_count(F.col(f"a_{x}").bitwiseXOR(F.col(f"b_{x}"))) for x in lanes[1:]), F.bit_count(F.col(f"a_{lanes[0]}").bitwiseXOR(F.col(f"b_{lanes[0]}"))))
+    return both.filter(bits <= max_bits).select("a", "b")
+
+
+def verified_links(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], least: float) -> DataFrame:
+    """``(a, b)``: links that connect all pairs of a similarity of ``least`` or more which share one of ``lists``; ``verify`` keeps the similar ones of pairs.
+
+    A long list is taken in rounds: a few members against all others, and then only pairs that the links so far leave apart, so that a large group
+    of near copies costs about one link for each of them. No pair is verified twice, whether it was linked or refuted.
     """
-    state, links, done, step = lists.withColumn("root", F.col("node")), None, 0, 1
+    state, links, checked, done, step = lists.withColumn("root", F.col("node")), None, None, 0, 1
     while True:
-        found = materialise(near_pairs(state, max_bits, done, done + step), "near-pairs")
-        pairs = materialise(found.filter(F.col("a").isNotNull()).select("a", "b").distinct(), "pairs")
-        own = texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
-        new = materialise(similar(pairs, own, width, least), "similar")
-        links = new if links is None else links.union(new)
-        left = found.filter(F.col("a").isNull()).select("key", F.col("pair").cast("int").alias("pair")).distinct()
+        found = materialise(near_pairs(state, least, done, done + step), "near-pairs")
+        pairs = found.filter(F.col("a").isNotNull()).select("a", "b").distinct()
+        pairs = materialise(pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
+        new = materialise(verify(pairs), "similar")
+        links, checked = (new, pairs) if links is None else (links.union(new), checked.union(pairs))
+        left = found.filter(F.col("a").isNull()).select("key", "pair").distinct()
         if left.isEmpty():
             return links
         lists = materialise(lists.join(left, ["key", "pair"], "left_semi"), "lists")
@@ -335,34 +378,38 @@ def verified_links(lists: DataFrame, texts: Callable[[DataFrame], DataFrame], wi
 def representatives(docs: DataFrame, width: int = 5, lanes: int = 4, max_bits: int = 90, least: float = 0.8) -> DataFrame:
     """``docs`` with one row of each group of near copies: that of the least id (null last), once if the row is repeated.
 
-    Near copies have a similarity of ``least`` or more between their sets of shingles of ``width`` words, counted on the texts;
-    a group is what such pairs connect. Candidates share a key of least hashes (``bands``) and differ in at most ``max_bits`` of
-    256 bits of fingerprints over the distinct shingles. Both only find pairs and decide nothing: at 0.8 some 39 bits differ with a deviation of 6, of sets
-    of a few shingles up to 48, and unrelated texts differ in 128 with a deviation of 8. All columns pass.
+    Near copies have a similarity of ``least`` or more between their sets of shingles of ``width`` words; a group is what such pairs connect.
+    Two sets at ``least`` share one of the rarest shingles of each (``prefix``), whatever order of rarity is taken, so candidates meet in a list of
+    such a shingle and none is missed; lines and passages that many texts share are at the far end of the order and make no list. Candidates
+    that sizes, places and at most ``max_bits`` of 256 bits of the fingerprints over distinct shingles do not rule out (at 0.8 some 39 bits differ with a deviation
+    of 6) are counted on the hashes of all shingles of both texts. All columns pass.
 
-    Only ids, hashes and fingerprints are written and shuffled, but for the texts of candidates and the one join that brings the rows that stay;
+    Only ids, hashes and fingerprints are written and shuffled, but for the one join that brings the rows that stay;
     ``docs`` is read several times and must give the same rows each time.
     """
     row = "_row"
     while any(c.lower().startswith(row) for c in docs.columns):
         row += "_"
     own = {row: F.xxhash64("doc_id", "text"), f"{row}2": F.xxhash64("text", "doc_id")}  # 128 bits tell rows apart
-    names = [f"_l{i}" for i in range(lanes)]
-    marks = distinct_marks(docs.select("doc_id", "text", own[row].alias("_own"), own[f"{row}2"].alias("_own2")), width, lanes, keep=("doc_id", "_own", "_own2"))
-    marks = materialise(marks, "marked")
+    names = [f"l{i}" for i in range(lanes)]
+    known = docs.select("doc_id", "text", own[row].alias("_own"), own[f"{row}2"].alias("_own2"))
+    marks = materialise(distinct_marks(known, width, lanes, ("doc_id", "_own", "_own2"), frequencies(docs.select("text"), width), least), "marked")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_own", "_own2")).alias("least")
-    nodes = materialise(marks.groupBy("_node").agg(first, F.first("_bands").alias("bands"), *[F.first(c).alias(c.removeprefix("_")) for c in names]).withColumnRenamed("_node", "node"), "nodes")
+    nodes = marks.groupBy("_node").agg(first, *[F.first(c).alias(c.removeprefix("_")) for c in ("_size", "_light", *[f"_{x}" for x in names], "_prefix")])
+    nodes = materialise(nodes.withColumnRenamed("_node", "node"), "nodes")
 
-    def texts(wanted: DataFrame) -> DataFrame:
-        rows = materialise(nodes.join(wanted, "node", "left_semi").select("node", F.col("least._own").alias("_own"), F.col("least._own2").alias("_own2")), "wanted")
+    def verify(pairs: DataFrame) -> DataFrame:
+        pairs = materialise(within(pairs, nodes, names, max_bits), "close-pairs")
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        rows = materialise(nodes.select("node", F.col("least._own").alias("_own"), F.col("least._own2").alias("_own2")).join(wanted, "node", "left_semi"), "wanted")
         rows = F.broadcast(rows) if rows.count() <= TEXTS_BROADCAST else rows
-        found = docs.select(own[row].alias("_own"), own[f"{row}2"].alias("_own2"), utf8("text").alias("text")).join(rows, ["_own", "_own2"])
-        return materialise(found.select("node", "text").dropDuplicates(["node"]), "texts")
+        texts = known.select("_own", "_own2", utf8("text").alias("text")).join(rows, ["_own", "_own2"]).select("node", "text")
+        return similar(pairs, materialise(shingle_sets(texts, width).dropDuplicates(["node"]), "sets"), least)
 
-    keyed = nodes.select("node", *[c.removeprefix("_") for c in names], F.explode("bands").alias("key"))
-    shared = materialise(keyed.groupBy("key").count().filter("count > 1"), "shared")
-    dealt = _deal(keyed.join(shared.select("key"), "key", "left_semi"), shared)
-    roots = components(verified_links(dealt, texts, width, max_bits, least))
+    listed = nodes.select("node", "size", "light", F.posexplode("prefix").alias("place", "key"))
+    counts = listed.filter(F.col("place") >= F.col("light")).groupBy("key").count()
+    lists = _deal(listed.select("node", "size", F.col("place").cast("bigint").alias("place"), "key"), counts)
+    roots = components(verified_links(lists, verify, least))
     rooted = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = rooted.groupBy("root").agg(F.min("least").alias("w")).select(F.col("w._own").alias(row), F.col("w._own2").alias(f"{row}2"))
     kept = docs.withColumns(own).join(first, list(own))
