@@ -6,8 +6,8 @@ necessary shingle is enough as prefix: the one that is rarest over all documents
 joined on that shingle alone; its place in the window fixes where the window must start, the document's length
 bounds that start, and the words from there are compared one by one.
 
-The benchmark is the small side. It is taken in blocks of at most ``BLOCK_WORDS`` words, each sent to all tasks;
-a larger benchmark means more blocks and no other limit.
+The benchmark is the small side. It is dealt by hash into blocks of about ``BLOCK_WORDS`` words, which are written and then sent to all tasks one after the
+other; the driver holds one of them. A larger benchmark means more blocks and no other limit.
 
 Defined cases: a null or empty text has no words; items without words or without id match nothing; repeated items
 count once by id; repeated documents are each reported; an empty table on either side works; a column named as the
@@ -16,6 +16,7 @@ result is replaced, all other columns that are asked for pass.
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 
@@ -25,10 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tutelage.llm.frames import batched, materialise, utf8
+from tutelage.llm.frames import batched, free, materialise, utf8
+from tutelage.session import fresh_path
 
-#: Words of one block of the benchmark: about 200 MB as an index in a task.
-BLOCK_WORDS = 500_000
+#: Words of one block of the benchmark: about 200 MB as an index in a task; a longer item is cut into parts of so many words.
+BLOCK_WORDS, PART_WORDS = 500_000, 100_000
 
 _TABLE = bytes(b if b > 127 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 _STEP = 0x9E3779B97F4A7C15 | 1
@@ -124,19 +126,29 @@ def _matches(ids: np.ndarray, width: int, keys: np.ndarray) -> tuple[np.ndarray,
     return at[ok], key[ok]
 
 
-def _blocks(items: DataFrame) -> Iterator[list[tuple[str, list[bytes]]]]:
-    block, size = [], 0
+def _parts(items: DataFrame, window: int) -> DataFrame:
+    """``(item, n, text)``: the words of each item, a long one in parts of ``PART_WORDS`` that overlap so that each window is whole in one of them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found = words(text.as_py())
+                own = [found[at:at + PART_WORDS + window - 1] for at in range(0, max(1, len(found) - window + 1), PART_WORDS)] if found else []
+                yield pa.RecordBatch.from_arrays([pa.array([item] * len(own), pa.string()), pa.array([len(w) for w in own], pa.int64()), pa.array([b" ".join(w) for w in own], pa.binary())],
+                                                 names=["item", "n", "text"])
+
     rows = items.filter(F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("item"), utf8("text").alias("text"))
-    for row in rows.toLocalIterator():
-        text = words(bytes(row["text"]))
-        if text:
-            block.append((row["item"], text))
-            size += len(text)
-        if size >= BLOCK_WORDS:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+    return rows.mapInArrow(run, "item string, n bigint, text binary")
+
+
+def _blocks(items: DataFrame, window: int) -> Iterator[list[tuple[str, list[bytes]]]]:
+    """The benchmark in blocks of about ``BLOCK_WORDS`` words, dealt and written by Spark; the driver fetches one at a time."""
+    spark, parts = items.sparkSession, materialise(_parts(items, window), "items")
+    many = max(1, math.ceil((parts.agg(F.sum("n")).first()[0] or 0) / BLOCK_WORDS))
+    path = fresh_path(spark, "item-blocks")
+    parts.select("item", "text", F.pmod(F.xxhash64("item", "text"), F.lit(many)).cast("int").alias("block")).write.partitionBy("block").parquet(path)
+    dealt = spark.read.schema("item string, text binary, block int").parquet(path)
+    for k in range(many):
+        yield [(r["item"], bytes(r["text"]).split(b" ")) for r in dealt.filter(F.col("block") == k).select("item", "text").collect()]
 
 
 def _count(docs: DataFrame, sent) -> dict[tuple[int, int], int]:
@@ -162,25 +174,26 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, shingle:
     """``docs`` (columns ``keep``, by default all) with a struct: ``n_words``, ``n_hit`` words inside an occurring window, their ``spans``, and the ``items``."""
     keep = [c for c in (docs.columns if keep is None else keep) if c != out]
     empty = F.struct(F.lit(None).cast("bigint").alias("n_words"), F.lit(0).cast("bigint").alias("n_hit"), F.array().cast("array<array<int>>").alias("spans"), F.array().cast("array<string>").alias("items"))
-    state = docs.select(*[F.col(f"`{c}`") for c in keep], utf8("text").alias("_text"), empty.cast(RESULT).alias("_found"))
-    blocks, first = list(_blocks(items)) or [[]], True
-    for block in blocks:
-        if not first:
+    text, found = free(keep, "_text"), free(keep, "_found")
+    state = docs.select(*[F.col(f"`{c}`") for c in keep], utf8("text").alias(text), empty.cast(RESULT).alias(found))
+    for k, block in enumerate(_blocks(items, window)):
+        if k:
             state = materialise(state, "hits")
         index = Windows(block, window, shingle)
         spark = docs.sparkSession
         if block:
             index.order(_count(docs, spark.sparkContext.broadcast(index)))
-        state, first = _mark(state, spark.sparkContext.broadcast(index), keep), False
-    return state.select(*[F.col(f"`{c}`") for c in keep], F.col("_found").alias(out))
+        state = _mark(state, spark.sparkContext.broadcast(index), [*keep, text], found)
+    return state.select(*[F.col(f"`{c}`") for c in keep], F.col(found).alias(out))
 
 
-def _mark(state: DataFrame, sent, keep: list[str]) -> DataFrame:
+def _mark(state: DataFrame, sent, keep: list[str], out: str) -> DataFrame:
+    """``state``, of the columns ``keep`` (the text last) and ``out``, with the hits of one block added to ``out``."""
     kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("spans", pa.list_(pa.list_(pa.int32()))), ("items", pa.list_(pa.string()))])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         index, rows = sent.value, []
-        for text, before in zip(batch.column("_text").to_pylist(), batch.column("_found").to_pylist(), strict=True):
+        for text, before in zip(batch.column(keep[-1]).to_pylist(), batch.column(out).to_pylist(), strict=True):
             ids = index.numbers(text)
             hit, owners = np.zeros(len(ids) + 1, np.int64), set(before["items"])
             for a, b in before["spans"]:
@@ -195,7 +208,6 @@ def _mark(state: DataFrame, sent, keep: list[str]) -> DataFrame:
             edges = np.flatnonzero(np.diff(inside))
             spans = edges.reshape(-1, 2).tolist()
             rows.append({"n_words": len(ids), "n_hit": sum(b - a for a, b in spans), "spans": spans, "items": sorted(owners)})
-        arrays = [batch.column(c) for c in [*keep, "_text"]] + [pa.array(rows, kind)]
-        return pa.RecordBatch.from_arrays(arrays, names=[*keep, "_text", "_found"])
+        return pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(rows, kind)], names=[*keep, out])
 
     return batched(state, run, state.schema)

@@ -11,13 +11,21 @@ from pyspark.sql import types as T
 
 from tutelage.session import materialise
 
-__all__ = ["batched", "materialise", "table", "utf8"]
+__all__ = ["batched", "free", "materialise", "table", "utf8"]
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def free(columns: Iterable[str], name: str) -> str:
+    """``name``, with underscores behind it until no column is called so in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def utf8(name: str) -> Column:
     """A text as its UTF-8 bytes, null as none: Python tasks then need no decoding."""
     return F.coalesce(F.col(name).cast("string").cast("binary"), F.lit(b""))

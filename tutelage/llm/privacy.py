@@ -19,17 +19,18 @@ without a listed alphabet become others of their kind from the same 128 code poi
 from __future__ import annotations
 
 import hashlib
+import logging
 import re
 import unicodedata
 from collections.abc import Callable
 from functools import cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tutelage.llm.frames import batched
+from tutelage.llm.frames import batched, free
 
 #: The registered queries' key; a job brings a secret of its own.
 SECRET = b"a key for tests"
@@ -220,16 +221,26 @@ def detect(text: str, surrogates: Surrogates) -> list[tuple[str, int, int, str,
     return sorted(taken, key=lambda x: x[1])
 
 
+def secret(spark: SparkSession) -> bytes:
+    """The key of the surrogates: the setting ``spark.tutelage.privacy.secret``. Without it the key is one that all can read, which is said as a warning: fit for tests and synthetic tables alone."""
+    named = spark.conf.get("spark.tutelage.privacy.secret", None)
+    if named:
+        return named.encode()
+    logging.getLogger(__name__).warning("spark.tutelage.privacy.secret is not set: the surrogates' key is public, so anybody can undo them")
+    return SECRET
+
+
 def replace(docs: DataFrame, secret: bytes, text: str = "text", out: str = "entities") -> DataFrame:
     """``docs`` with the entities of ``text`` replaced, and ``out``: what was found where, and what stands there now."""
     kept = [c for c in docs.columns if c not in (text, out)]
+    read = free(kept, "_text")
     fields = [f for f in docs.schema.fields if f.name != out]
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] + [T.StructField(out, T._parse_datatype_string(ENTITIES))])
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("canonical", pa.string()), ("surrogate", pa.string())]))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keyed, texts, found = Surrogates(secret), [], []
-        for t in batch.column("_text").to_pylist():
+        for t in batch.column(read).to_pylist():
             if t is None:
                 texts.append(None), found.append([])
                 continue
@@ -242,7 +253,7 @@ def replace(docs: DataFrame, secret: bytes, text: str = "text", out: str = "enti
         columns = {c: batch.column(c) for c in kept} | {text: pa.array(texts, pa.string()), out: pa.array(found, kind)}
         return pa.RecordBatch.from_arrays([columns[f] for f in schema.fieldNames()], names=schema.fieldNames())
 
-    return batched(docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias("_text")), run, schema)
+    return batched(docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias(read)), run, schema)
 
 
 def collisions(replaced: DataFrame, out: str = "entities") -> DataFrame:

@@ -39,6 +39,9 @@ class Rule:
         return f"{self.kind}@{self.version}"
 
 
+#: Matches placed in one run: of n matches, n times this and the square of n / RUN steps are made.
+RUN = 128
+
 # The three base rules. A run of a class and a least length may be written into the pattern where no shorter
 # match could hide a longer one behind it; the assignment keeps its short values, which do.
 BASE = (
@@ -56,19 +59,31 @@ RULES = BASE + MORE
 
 
 def found(text: Column, rule: Rule, rank: int) -> Column:
-    """The spans of one rule, by code points."""
+    """The spans of one rule, by code points.
+
+    Matches and the text between them are taken in runs of ``RUN``, each placed from its own start and then moved to its place, so
+    that the cost of a text with many matches does not grow with their square.
+    """
     whole, gaps = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), F.split(text, rule.pattern, -1)
     size = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else whole
     each = F.transform(F.arrays_zip(whole.alias("m"), F.slice(gaps, F.lit(1), F.size(whole)).alias("g"), size.alias("v")),
                        lambda x: F.struct(F.length(x["m"]).alias("m"), F.length(x["g"]).alias("g"), F.length(x["v"]).alias("v")))
+    span = lambda start, end: F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(rule.kind).alias("kind"))
     none = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["g"]
-        one = F.struct(start.alias("start"), F.lit(rank).alias("rank"), (start + x["m"]).alias("end"), F.lit(rule.kind).alias("kind"))
-        return F.struct((start + x["m"]).alias("at"), F.when(x["v"] >= rule.least, F.concat(acc["spans"], F.array(one))).otherwise(acc["spans"]).alias("spans"))
+        one = F.array(span(start, start + x["m"]))
+        return F.struct((start + x["m"]).alias("at"), F.when(x["v"] >= rule.least, F.concat(acc["spans"], one)).otherwise(acc["spans"]).alias("spans"))
+
+    def placed(each: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(each), F.lit(1)), F.lit(RUN)), lambda at: F.aggregate(F.slice(each, at, F.lit(RUN)), none, step))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<struct<at: int, spans: {SPANS}>>").alias("runs"))
+        moved = F.aggregate(runs, start, lambda acc, x: F.struct((acc["at"] + x["at"]).alias("at"), F.concat(acc["runs"], F.array(F.struct(acc["at"].alias("at"), x["spans"].alias("spans")))).alias("runs")),
+                            lambda acc: acc["runs"])
+        return F.flatten(F.transform(moved, lambda r: F.transform(r["spans"], lambda s: span(r["at"] + s["start"], r["at"] + s["end"]))))
 
-    spans = F.aggregate(each, none, step, lambda acc: acc["spans"])
+    spans = F.transform(F.array(each), placed)[0]  # the array is made once and then named
     hinted = F.contains(text, F.lit(rule.hint)) if rule.hint.replace("-", "").replace(" ", "").isalnum() else text.rlike(rule.hint)
     return F.when(hinted, spans).otherwise(F.array().cast(SPANS))
 

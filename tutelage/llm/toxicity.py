@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tutelage.llm.frames import batched, materialise, utf8
+from tutelage.llm.frames import batched, free, materialise, utf8
 
 BUCKETS, DIM = 1 << 22, 8
 #: Standard errors by which a row's share of documents must differ between the classes to be trained: the first, or what does best over ``FOLDS`` of the sample.
@@ -253,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     got = batched(sample, vector, "x array<float>, y int, fold int").toArrow()
     x = got.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(rows))
     y, folds = got.column("y").to_numpy().astype(np.int64), got.column("fold").to_numpy()
-    order = np.lexsort((*x.T[:8], folds, y))  # the same order however the rows came
+    order = sorted(range(len(y)), key=lambda i: (y[i], folds[i], x[i].tobytes()))  # the same order however the rows came: what ties is equal
     return chosen_model(x[order], y[order], folds[order], rows, sets)
 
 
@@ -261,9 +261,10 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), ou
     """``keep`` of every row and its toxicity from 0 to 1."""
     keep = tuple(c for c in keep if c != out)
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(out, T.DoubleType())])
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent, read = docs.sparkSession.sparkContext.broadcast(model), free(keep, "_text")
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scores = [sent.value.score(t) for t in batch.column("_text").to_pylist()]
+        scores = [sent.value.score(t) for t in batch.column(read).to_pylist()]
         return pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(scores, pa.float64())], names=[*keep, out])
 
-    return batched(docs.select(*[F.col(f"`{c}`") for c in keep], utf8("text").alias("_text")), run, schema)
+    return batched(docs.select(*[F.col(f"`{c}`") for c in keep], utf8("text").alias(read)), run, schema)
