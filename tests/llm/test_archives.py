@@ -102,3 +102,38 @@ def test_threshold_splits_two_clusters():
     assert 5 < html.threshold(np.array([1, 2, 1.5, 80, 100.0])) < 70
     assert html.threshold(np.array([50, 51.0])) == 0.0
     assert np.allclose(html.smoothed(np.ones(7)), 1)
+
+
+def test_hadoop_names_of_s3_are_known(monkeypatch):
+    """Only the address is looked at: the store itself would ask the network."""
+    class Store:
+        from_uri = staticmethod(lambda address: (None, address))
+
+    monkeypatch.setattr(warc.pafs, "FileSystem", Store)
+    for scheme in ("s3", "s3a", "s3n"):
+        assert warc.store_of(f"{scheme}://bucket/folder/a.warc.zst")[1] == "s3://bucket/folder/a.warc.zst"
+    assert warc.store_of("hdfs://host/s3a://x")[1] == "hdfs://host/s3a://x"
+
+
+ARTICLE = "<html><body><nav><a href=x>Menu</a></nav><article>%s</article><footer>Foot</footer></body></html>"
+
+
+@pytest.mark.parametrize("inside, want", [
+    ('<p>One long first paragraph of text.<p class="advert">Buy now<p>Another paragraph stays here.', ["One long first paragraph of text.", "Another paragraph stays here."]),
+    ('<ul><li>First item of the list<li class="share">Share it<li>Third item of the list</ul><p>After the list.', ["First item of the list", "Third item of the list", "After the list."]),
+    ('<p>Before.</p><ul><li>Outer item<ul><li class="share">inner<li>Inner item</ul><li>Outer again</ul>', ["Before.", "Outer item", "Inner item", "Outer again"]),
+    ('<dl><dt>Term one<dd class="ad">gone<dt>Term two<dd>Meaning two</dl>', ["Term one", "Term two", "Meaning two"]),
+    ('<table><tr><td>Cell one<td class="promo">gone<tr><td>Cell two</table>', ["Cell one", "Cell two"]),
+    ('<p class="advert">Gone <b>too<div>A block of text that stays.</div>', ["A block of text that stays."]),
+])
+def test_end_tags_may_be_left_out(inside, want):
+    assert html.main_text(ARTICLE % inside).split("\n\n") == want
+
+
+def test_many_tags_take_time_in_proportion():
+    import time
+
+    for page in ("<p>word <i>x</i>" * 50_000, "<div>" * 30_000 + "x" + "</b></i>" * 30_000, "<ul><li>a" * 30_000, "<p>a</span>" * 100_000):
+        start = time.perf_counter()
+        html.main_text(page)
+        assert time.perf_counter() - start < 20

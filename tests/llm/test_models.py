@@ -114,3 +114,17 @@ def test_contrast_is_chosen_on_folds():
     assert set(sets) == {(f, c) for f in (-1, 0, 1, 2) for c in toxicity.CONTRASTS}
     model = toxicity.train_texts(texts, labels)
     assert set(model.weight) in [set(sets[-1, c].tolist()) for c in toxicity.CONTRASTS]
+
+
+def test_scores_do_not_depend_on_the_order_of_rows(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(500):
+        words = [f"plain{rng.randrange(200)}" for _ in range(20)] + [rng.choice(["scumbag", "w0rthless", "vile"])] * (i % 3 == 0)
+        rows.append((i, " ".join(words), int(i % 3 == 0)))
+    scores = []
+    for order in (rows, rows[::-1], rng.sample(rows, len(rows))):
+        docs = spark.createDataFrame([r[:2] for r in order], "doc_id long, text string").repartition(3)
+        labels = spark.createDataFrame([(r[0], r[2]) for r in order], "doc_id long, toxic int")
+        scores.append({r["doc_id"]: r["score"] for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()})
+    assert scores[0] == scores[1] == scores[2] and max(scores[0].values()) > 0.7 > 0.3 > min(scores[0].values())

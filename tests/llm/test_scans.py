@@ -138,6 +138,49 @@ def test_distinct_entities_stay_distinct(spark):
     assert len({p[0] for p in pairs}) == len(pairs) == len({p[1] for p in pairs})
 
 
+CLASHING = ["_text", "_toxicity", "_contamination", "_entities", "toxicity", "contamination", "entities", "_row", "_own", "node", "n_chars", "found", "_found", "key", "size"]
+
+
+def test_pipeline_keeps_columns_of_any_name(spark):
+    import corpus_pipeline as pipeline
+
+    sf = "/root/testdata/sf0.001"
+    some = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").limit(40).collect()
+    rows = [(r["doc_id"], r["text"], *range(len(CLASHING))) for r in some] + [(None, None, *range(len(CLASHING))), (None, "", *range(len(CLASHING))), (10**6, "token " * 9, *range(len(CLASHING)))]
+    docs = pipeline.materialise(spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} int" for c in CLASHING)), "clash")
+    for name, stage in pipeline.STAGES[:-1]:
+        after = stage(spark, docs, sf)
+        assert after.columns == docs.columns, name
+        for r in after.collect():
+            assert all(r[c] == k or c == "n_chars" for k, c in enumerate(CLASHING)), name
+    assert pipeline.STAGES[-1][1](spark, docs, sf).count() >= len(rows)
+    for name, stage in pipeline.STAGES:
+        assert stage(spark, docs.limit(0), sf).count() == 0, name
+
+
+def test_many_spans_take_time_in_proportion(spark):
+    """A text of 32,000 keys, and runs that end in the middle of one."""
+    import time
+
+    keys = [hashlib.md5(str(i).encode()).hexdigest()[:16 + i % 9] for i in range(32_000)]
+    docs, ledger = spark.createDataFrame([(1, " ".join(keys)), (2, "é " + "x ".join(keys[:secrets.RUN * 2 + 1]))], "doc_id long, text string"), fresh_path(spark, "ledger")
+    start = time.perf_counter()
+    secrets.scan(docs, ledger)
+    took = time.perf_counter() - start
+    found = {r["doc_id"]: [f"{s['kind']}:{s['start']}:{s['end']}" for s in r["spans"] if s["kind"] == "hex"] for r in secrets.findings(docs, ledger, ("doc_id",)).collect()}
+    assert took < 20 and {r["doc_id"]: found[r["doc_id"]] for r in docs.collect()} == {r["doc_id"]: [x for x in brute(r["text"]) if x.startswith("hex")] for r in docs.collect()}
+
+
+def test_the_driver_holds_one_block(spark, monkeypatch):
+    items = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(300))) for i in range(20)] + [(None, "no id"), (99, None)], "item_id long, text string")
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 1000)
+    monkeypatch.setattr(decontamination, "PART_WORDS", 50)
+    blocks = list(decontamination._blocks(items, 10))
+    assert len(blocks) >= 6 and max(sum(len(w) for _, w in b) for b in blocks) < 3000
+    windows = {(item, tuple(w[a:a + 10])) for b in blocks for item, w in b for a in range(max(1, len(w) - 9))}
+    assert windows == {(str(i), tuple(f"w{i}x{k + j}".encode() for j in range(10))) for i in range(20) for k in range(291)}
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as pipeline
 
@@ -193,3 +236,45 @@ def test_private_key_spans_reach_their_end(spark):
     secrets.scan(docs, ledger)
     spans = [s for s in secrets.findings(docs, ledger, ("doc_id",)).first()["spans"] if s["kind"] == "pem"]
     assert [text[s["start"]:s["end"]] for s in spans] == [locked, plain, cut]
+
+
+def replaced(text):
+    spans, out, at = privacy.detect(text, privacy.Surrogates(b"k")), [], 0
+    for _, a, b, _, new in spans:
+        out += [text[at:a], new]
+        at = b
+    return "".join([*out, text[at:]]), spans
+
+
+def test_parts_of_names_keep_their_surrogates():
+    new, _ = replaced("Mr John Smith met Mrs Smith. JOHN SMITH left. John stayed with the smith; Smith-like John.")
+    assert "John" not in new and "JOHN" not in new and "Smith" not in new and "SMITH" not in new and "with the smith;" in new
+    first, last = re.match(r"Mr (\w+) (\w+) met Mrs (\w+)\. (\w+) (\w+) left", new).group(1, 2)
+    assert re.match(rf"Mr {first} {last} met Mrs {last}\. {first.upper()} {last.upper()} left\. {first} stayed with the smith; {last}-like {first}\.$", new)
+    assert first in privacy.GIVEN["m", "latin"] and last not in sum(privacy.GIVEN.values(), [])
+
+
+def test_ordinary_words_and_amounts_stay():
+    new, _ = replaced("Mr Mark went. Mark my words, paid 1000 2000 3000 on 2024-01-02. We saw Mark there.")
+    assert new.endswith("paid 1000 2000 3000 on 2024-01-02. We saw " + re.match(r"Mr (\w+) went", new)[1] + " there.") and ". Mark my words," in new
+
+
+def test_account_and_social_security_numbers_and_long_addresses():
+    text = "ssn 123-45-6789, iban GB82 WEST 1234 5698 7654 32 and DE89370400440532013000, host 2001:db8::ff00:42:8329 at 12:30:45, GB83 WEST 1234 5698 7654 32"
+    new, spans = replaced(text)
+    kinds = [k for k, *_ in spans]
+    assert kinds.count("ssn") == 1 and kinds.count("iban") == 2 and kinds.count("ip6") == 1 and "12:30:45" in new
+    for k, a, b, _, surrogate in spans:
+        assert surrogate != text[a:b] and len(surrogate) == b - a
+        if k == "iban":
+            compact = surrogate.replace(" ", "")
+            assert compact[:2] == text[a:a + 2] and int("".join(str(int(c, 36)) for c in compact[4:] + compact[:4])) % 97 == 1
+
+
+def test_many_entities_take_time_in_proportion():
+    import time
+
+    text = " ".join(f"a{i}@mail{i % 7}.example" for i in range(16_000)) + " Mr John Smith. " + "John Smith, " * 16_000
+    start = time.perf_counter()
+    assert len(privacy.detect(text, privacy.Surrogates(b"k"))) == 32_001
+    assert time.perf_counter() - start < 20

@@ -15,6 +15,7 @@ are left out.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -38,6 +39,11 @@ HINTS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising"
          "gdpr", "notice", "notices", "notification", "alert", "sidebar", "sidenav", "menu", "menus", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer",
          "masthead", "comment", "comments", "disqus", "reply", "replies", "respond", "share", "sharing", "social", "related", "recommended", "newsletter", "subscribe",
          "signup", "login", "popup", "modal", "widget", "pagination", "pager", "toolbar", "skip"}
+#: What a start tag closes if it is still open, and where the search for it ends: elements whose end tags may be left out.
+CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
+          "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
+#: A paragraph ends where one of these begins.
+ENDS_P = BLOCKS - {"td", "th", "tr", "html", "body", "caption", "legend", "summary"}
 _TOKENS = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -51,6 +57,7 @@ class Lines(HTMLParser):
         self.text: list[str] = []
         self.tags = self.regions = self.articles = self.linked = 0
         self.link = False
+        self.names: Counter[str] = Counter()  # open elements by name, so that an end tag without one costs nothing
 
     def updatepos(self, i: int, j: int) -> int:
         """Line numbers are not wanted."""
@@ -91,19 +98,45 @@ class Lines(HTMLParser):
                 self.push(tag, aside=True)
             return
         self.end_line()
+        self.implied(tag)
         if tag in VOID:
             return
         if tag in ("body", "article", "main"):
             while self.open and (self.open[-1][2] or self.open[-1][3]) and not self.articles:
-                self.open.pop()
+                self.cut(len(self.open) - 1)
         self.push(tag, tag in SILENT, self.aside(tag, attrs))
 
+    def implied(self, tag: str) -> None:
+        """Close what a start tag ends without an end tag: a paragraph before a block, an item before the next one."""
+        closed, within = CLOSES.get(tag, ((), ()))
+        if self.names["p"] and tag in ENDS_P:
+            self.close_last({"p"}, CONTAINERS | APART_BY_NAME)
+        if any(self.names[t] for t in closed):
+            self.close_last(closed, within)
+
+    def close_last(self, closed: set[str], within: set[str]) -> None:
+        """Close the innermost of ``closed`` and what is open in it, unless one of ``within`` is further in."""
+        for i in range(len(self.open) - 1, -1, -1):
+            if self.open[i][0] in within:
+                break
+            if self.open[i][0] in closed:
+                self.cut(i)
+                break
+
+    def cut(self, at: int) -> None:
+        """Close the elements from ``at`` on."""
+        for name, *_ in self.open[at:]:
+            self.names[name] -= 1
+            self.articles -= name in ("article", "main")
+        del self.open[at:]
+
     def push(self, tag: str, silent: bool = False, aside: bool = False) -> None:
         _, region, was_silent, was_aside = self.state()
         if tag in CONTAINERS and not self.articles:
             self.regions += 1
             region = self.regions
         self.articles += tag in ("article", "main")
+        self.names[tag] += 1
         self.open.append((tag, region, silent or was_silent, aside or was_aside))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -117,12 +150,11 @@ class Lines(HTMLParser):
             self.link = False
         if tag in BLOCKS:
             self.end_line()
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self.end_line()
-                self.articles -= sum(t[0] in ("article", "main") for t in self.open[i:])
-                del self.open[i:]
-                return
+        if not self.names[tag]:
+            return
+        at = next(i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == tag)
+        self.end_line()
+        self.cut(at)
 
     def handle_data(self, data: str) -> None:
         if not self.state()[2]:

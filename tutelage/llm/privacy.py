@@ -1,10 +1,11 @@
 """Personal data replaced by keyed surrogates that keep type, script, gender and format.
 
-Found are e-mail and internet addresses, card and telephone numbers, long hexadecimal keys, and names after a title, the latter
-wherever else they stand in the same document. A
+Found are e-mail and internet addresses, card, telephone, account (IBAN) and social security numbers, long hexadecimal keys, and names after a title. A name's
+whole and parts are replaced wherever else they stand in the same document, in capitals too; a single name after a title elsewhere only inside a sentence, as at
+its start it may be an ordinary word. A
 surrogate is a keyed permutation of the entity's canonical form within the forms of its kind: digits become
 digits, letters become letters of the same script and case, separators stay. A given name of the list becomes another of
-the same gender and script; the title stays.
+the same gender and script; the title stays. Names are replaced part by part, so that a part has one surrogate alone and in any whole name.
 
 Because every kind is a permutation of its own forms, equal entities get equal surrogates in all documents
 and different entities different ones, without a table of what was seen. The permutation walks on while
@@ -22,6 +23,7 @@ import hashlib
 import logging
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Callable
 from functools import cache
 
@@ -45,6 +47,8 @@ GIVEN = {
 }
 TITLES = {"f": "Mrs Ms Miss Frau Señora Sra Madame Mme Госпожа".split(), "m": "Mr Herr Señor Sr Monsieur Господин".split(), "": "Dr Prof".split()}
 
+_LISTED = [[n.lower() for n in names] for names in GIVEN.values()]
+
 # Alphabets by script and case, as ranges of code points.
 RANGES = [("0", "9"), ("a", "z"), ("A", "Z"), ("а", "я"), ("А", "Я"), ("α", "ω"), ("Α", "Ω"), ("ß", "ö"), ("À", "Ö"), ("ø", "ÿ"), ("Ø", "Þ"),
           ("ā", "ſ"), ("א", "ת"), ("ء", "غ"), ("ぁ", "ゖ"), ("ァ", "ヺ"), ("一", "鿿"), ("가", "힣")]
@@ -71,13 +75,22 @@ _UPPER_HEX = {c: "0123456789" for c in "0123456789"} | {c: "ABCDEF" for c in "AB
 
 _NAME = r"[^\W\d_a-zß-öø-ÿа-яё][^\W\d_]+"
 _TITLE = re.compile(rf"(?<!\w)({'|'.join(t for ts in TITLES.values() for t in ts)})\.? ({_NAME}(?:[ -]{_NAME}){{0,2}})")
-_GENDER = {t: g for g, ts in TITLES.items() for t in ts}
 _EMAIL = re.compile(r"[^\W_][\w.+-]{0,63}@[^\W_](?:[\w-]{0,62}\.)+[^\W\d_]{2,24}")
 _KEY = re.compile(r"(?<![0-9A-Za-z])(?=[a-fA-F]*[0-9])(?:[0-9a-f]{24,}|[0-9A-F]{24,})(?![0-9A-Za-z])")
 _IP = re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)")
 _CARD = re.compile(r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d-])")
 _PHONE = re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\w-])|(?<![\w.+-])\+\d{9,14}(?!\w)")
 _DIGIT = re.compile(r"\d")
+_WORD = re.compile(r"\w+")
+_SSN = re.compile(r"(?<![\w-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])")
+_IBAN = re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]){11,30}(?![0-9A-Za-z])")
+_GROUP = "[0-9a-fA-F]{1,4}"
+_IP6 = re.compile(rf"(?<![\w:.])(?:(?:{_GROUP}:){{7}}{_GROUP}|(?:{_GROUP}(?::{_GROUP}){{0,5}})::(?:{_GROUP}(?::{_GROUP}){{0,5}}))(?![\w:])")
+#: Three even groups are amounts or years more often than a telephone number, unless they begin as one.
+_AMOUNTS = re.compile(r"[1-9]\d{3}([ .])\d{4}\1\d{4}")
+#: What stands before the start of a sentence.
+_START = re.compile(r"(?:^|[.!?:;\n\u3002\uff01\uff1f][\"'\u201d\u00bb)\]]*\s*|[\"'\u201c\u00ab(\[])$")
+_HEX = {c: "0123456789abcdef" for c in "0123456789abcdef"}
 
 
 class Surrogates:
@@ -85,6 +98,7 @@ class Surrogates:
 
     def __init__(self, secret: bytes):
         self.secret = secret
+        self.known: dict[str, str] = {}  # parts of names seen lately
 
     def _number(self, label: str, *parts: int) -> int:
         text = "/".join(map(str, parts)).encode()
@@ -152,17 +166,36 @@ class Surrogates:
         """The last ten digits are replaced whatever the prefix before them, which stays."""
         return digits[:-10] + self.spell(digits[-10:], "phone")
 
-    def name(self, found: str, gender: str) -> str:
-        first, *rest = re.split(r"([ -])", found)
-        for (g, _), names in GIVEN.items():
-            if first in names and gender in ("", g):
+    def part(self, found: str) -> str:
+        """One word of a name: a listed given name becomes the next of its list under the key, any other word one that is in no list; the case stays."""
+        if found not in self.known:
+            if len(self.known) > 10_000:
+                self.known.clear()
+            self.known[found] = self._part(found)
+        return self.known[found]
+
+    def _part(self, found: str) -> str:
+        low = lowered(found)
+        for names in _LISTED:
+            if low in names:
                 ring = sorted(names, key=lambda n: self._number("given", *n.encode()))
-                first = ring[(ring.index(first) + 1) % len(ring)]
-                break
-        else:
-            listed = {n for names in GIVEN.values() for n in names}
-            first = self.spell(first, "given", allowed=lambda s: s not in listed)
-        return first + "".join(x if x in " -" else self.spell(x, "family") for x in rest)
+                new = ring[(ring.index(low) + 1) % len(ring)]
+                return new.upper() if found.isupper() and len(found) > 1 else new.capitalize()
+        new = self.spell(low, "name", allowed=lambda n: not any(n in names for names in _LISTED))
+        return "".join(n.upper() if o != o.lower() and len(n.upper()) == 1 else n for o, n in zip(found, new, strict=True))
+
+    def name(self, found: str) -> str:
+        return "".join(x if x in " -" else self.part(x) for x in re.split(r"([ -])", found))
+
+    def iban(self, compact: str) -> str:
+        """Country and form stay, and so does by how much the check digits are wrong."""
+        off = (int(compact[2:4]) - _iban_check(compact[:2], compact[4:])) % 97
+        body = self.spell(compact[4:], "iban")
+        return f"{compact[:2]}{(_iban_check(compact[:2], body) + off) % 97:02d}{body}"
+
+
+def _iban_check(country: str, body: str) -> int:
+    return 98 - int("".join(str(int(c, 36)) for c in f"{body}{country}00")) % 97
 
 
 def lowered(text: str) -> str:
@@ -186,21 +219,32 @@ def _refill(found: str, digits: str) -> str:
 
 
 def detect(text: str, surrogates: Surrogates) -> list[tuple[str, int, int, str, str]]:
-    """``(kind, start, end, canonical, surrogate)`` by start, without overlaps."""
-    taken: list[tuple[str, int, int, str, str]] = []
-    spots: list[tuple[int, int]] = []
+    """``(kind, start, end, canonical, surrogate)`` by start, without overlaps: of two that overlap the kind found first stays."""
+    starts: list[int] = []
+    taken: list[tuple[str, int, int, str, str]] = []  # by start, like ``starts``
 
     def add(kind: str, start: int, end: int, canonical: str, surrogate: str) -> None:
-        if all(end <= a or b <= start for a, b in spots):
-            spots.append((start, end))
-            taken.append((kind, start, end, canonical, surrogate))
+        at = bisect_left(starts, start)
+        if (at == 0 or taken[at - 1][2] <= start) and (at == len(starts) or end <= starts[at]):
+            starts.insert(at, start)
+            taken.insert(at, (kind, start, end, canonical, surrogate))
 
     if "@" in text:
         for m in _EMAIL.finditer(text):
             add("email", *m.span(), lowered(m[0]), surrogates.email(m[0]))
+    if ":" in text:
+        for m in _IP6.finditer(text):
+            add("ip6", *m.span(), m[0].lower(), surrogates.spell(m[0].lower(), "ip6", _HEX))
     if _DIGIT.search(text):
         for m in _KEY.finditer(text):
             add("key", *m.span(), m[0], surrogates.spell(m[0], "key", _LOWER_HEX if m[0].islower() else _UPPER_HEX))
+        for m in _IBAN.finditer(text):
+            compact = m[0].replace(" ", "")
+            if compact[2:4] == f"{_iban_check(compact[:2], compact[4:]):02d}":
+                new = iter(surrogates.iban(compact))
+                add("iban", *m.span(), compact, "".join(c if c == " " else next(new) for c in m[0]))
+        for m in _SSN.finditer(text):
+            add("ssn", *m.span(), m[0], surrogates.spell(m[0], "ssn", allowed=_SSN.fullmatch))
         for m in _IP.finditer(text):
             add("ip", *m.span(), ".".join(str(int(x)) for x in m[0].split(".")), surrogates.ip(m[0]))
         for m in _CARD.finditer(text):
@@ -208,17 +252,27 @@ def detect(text: str, surrogates: Surrogates) -> list[tuple[str, int, int, str,
             add("card", *m.span(), digits, _refill(m[0], surrogates.card(digits)))
         for m in _PHONE.finditer(text):
             digits = re.sub(r"\D", "", m[0])
-            if 7 <= len(digits) <= 15:
+            if 7 <= len(digits) <= 15 and not _AMOUNTS.fullmatch(m[0]):
                 add("phone", *m.span(), digits, _refill(m[0], surrogates.phone(digits)))
-    named: dict[str, str] = {}
+    named: dict[str, bool] = {}  # names and their parts in lower case: may they be replaced at the start of a sentence?
     for m in _TITLE.finditer(text):
-        new = surrogates.name(m[2], _GENDER[m[1]])
-        named.setdefault(m[2], new)
-        add("name", *m.span(2), m[2], new)
-    if named:  # later and earlier mentions without the title, longer names first
-        for m in re.finditer(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(named, key=lambda n: (-len(n), n))))})(?!\w)", text):
-            add("name", *m.span(), m[0], named[m[0]])
-    return sorted(taken, key=lambda x: x[1])
+        parts = re.split("[ -]", m[2])
+        for n in {m[2], *parts}:
+            named[lowered(n)] = named.get(lowered(n), False) or len(parts) > 1
+        add("name", *m.span(2), lowered(m[2]), surrogates.name(m[2]))
+    if named:  # later and earlier mentions without the title, longer names first, each word with a capital
+        words, i = [m.span() for m in _WORD.finditer(text)], 0
+        while i < len(words):
+            start = words[i][0]
+            for _, end in reversed(words[i:i + 3]):
+                found = text[start:end]
+                if (anywhere := named.get(lowered(found))) is not None:
+                    capital = all(w[0] == w[0].upper() for w in re.split("[ -]", found))
+                    if capital and (anywhere or not _START.search(text, max(0, start - 8), start)):
+                        add("name", start, end, lowered(found), surrogates.name(found))
+                    break
+            i += 1
+    return taken
 
 
 def secret(spark: SparkSession) -> bytes:

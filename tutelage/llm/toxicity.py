@@ -12,6 +12,7 @@ scored; with labels of one class or none, every score is one half; other columns
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -242,6 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
         return Model({}, 0.0)
     found = sample.mapInArrow(count, "fold int, y int, row int, n bigint").groupBy("fold", "y", "row").agg(F.sum("n").alias("n")).toArrow()
     sets = candidates(*table_of(*[found.column(c).to_numpy() for c in ("fold", "y", "row", "n")]), many)
+    del found  # the driver holds either the counts or the vectors
     rows = np.unique(np.concatenate(list(sets.values())))
     if not len(rows):
         return Model({}, 0.0)
@@ -253,8 +255,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     got = batched(sample, vector, "x array<float>, y int, fold int").toArrow()
     x = got.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(rows))
     y, folds = got.column("y").to_numpy().astype(np.int64), got.column("fold").to_numpy()
-    order = sorted(range(len(y)), key=lambda i: (y[i], folds[i], x[i].tobytes()))  # the same order however the rows came: what ties is equal
-    return chosen_model(x[order], y[order], folds[order], rows, sets)
+    marks = [hashlib.blake2b(v).digest() for v in x]
+    order = sorted(range(len(y)), key=lambda i: (y[i], folds[i], marks[i]))  # the same order however the rows came: what ties is equal
+    x, got = x[order], None
+    return chosen_model(x, y[order], folds[order], rows, sets)
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), out: str = "score") -> DataFrame:

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -43,6 +44,11 @@ INDEX = "record_id string, page_id bigint, archive string, frame int, frame_star
 RECORD = "record_id string, page_id bigint, url string, record_type string, payload_digest string, payload_bytes bigint, refers_to bigint, payload binary"
 
 
+def store_of(address: str) -> tuple[pafs.FileSystem, str]:
+    """The store of an address and the path in it. Hadoop's names of the S3 scheme are read as the one name it has here."""
+    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", address))
+
+
 def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
@@ -116,7 +122,7 @@ class Bundle:
 
     def __init__(self, folder: str):
         self.path = f"{folder}/{uuid.uuid4().hex}.warc.zst"
-        store, where = pafs.FileSystem.from_uri(self.path)
+        store, where = store_of(self.path)
         store.create_dir(where.rsplit("/", 1)[0], recursive=True)
         self.out, self.zstd = store.open_output_stream(where, compression=None), zstandard.ZstdCompressor(level=3)
         self.frames: list[tuple[int, int]] = []
@@ -191,7 +197,7 @@ def read(index: DataFrame) -> DataFrame:
         zstd = zstandard.ZstdDecompressor()
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                store, where = pafs.FileSystem.from_uri(path)
+                store, where = store_of(path)
                 with store.open_input_file(where) as source:
                     for start, packed, plain in read_seek_table(source, source.size()):
                         source.seek(start)
@@ -209,7 +215,7 @@ def fetch(index: DataFrame) -> DataFrame:
         zstd = zstandard.ZstdDecompressor()
         for batch in batches:
             for row in batch.to_pylist():
-                store, where = pafs.FileSystem.from_uri(row["archive"])
+                store, where = store_of(row["archive"])
                 with store.open_input_file(where) as source:
                     source.seek(row["frame_start"])
                     data = zstd.decompress(source.read(row["frame_bytes"]))
