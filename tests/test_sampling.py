@@ -118,3 +118,27 @@ def test_few_shot(df):
     assert labels == ["Good", "Good", "Bad", "Bad", "Standard", "Standard"]
     with pytest.raises(ValueError, match="Standard"):
         S.few_shot_sample(df.filter("answer <> 'Standard'"))
+
+
+def test_small_classes_need_one_scan(spark, tmp_path, monkeypatch):
+    """Counts and cut-offs come from one look at the rows; only a cut inside a fuller slice needs another."""
+    path, rows = str(tmp_path / "rows"), [(i, "Good" if i % 3 else "Bad") for i in range(900)]
+    spark.createDataFrame(rows, "id long, answer string").write.parquet(path)
+    df, asked = spark.read.parquet(path), []
+    plain = S._keyed
+
+    def keyed(*args):
+        out = plain(*args)
+        watched = out.filter
+        asked.append(out)
+        out.filter = lambda *a: (asked.append("again"), watched(*a))[1]
+        return out
+
+    monkeypatch.setattr(S, "_keyed", keyed)
+    got = S.lowest(df, lambda sizes: {"Good": 70, "Bad": 30}, 7, "answer")
+    assert ids(got) == sorted(brute(rows, {"Good": 70, "Bad": 30}, 7)) and "again" not in asked
+    asked.clear()
+    got = S.lowest(df, lambda sizes: {"Good": 300, "Bad": 100}, 7, "answer", prefix=1)
+    assert ids(got) == sorted(brute(rows, {"Good": 300, "Bad": 100}, 7)) and "again" in asked
+    assert ids(S.lowest_n(df, 40, 7, "answer")) == ids(S.lowest_n(df, 40, 7, "answer", prefix=1)) == sorted(brute(rows, 40, 7))
+    assert ids(S.lowest_n(df, 10**6, 7, "answer")) == list(range(900))

@@ -135,7 +135,8 @@ def count_lm_scores(df: DataFrame, lm: CountLM, text_col: str = "prompt", keys:
     if lm.size <= broadcast_bytes:
         rows = df.select(*keys, F.explode_outer(toks).alias("token")).withColumn("m", F.when(F.col("token").isNotNull(), 1))
     else:
-        rows = df.select(*keys, F.explode_outer(_counted(toks)).alias("t")).select(*keys, F.col("t.token").alias("token"), F.col("t.m").alias("m"))
+        ordered = df.select(*keys, F.explode(F.array(F.array_sort(toks))).alias("__o"))  # sorted once, then named
+        rows = ordered.select(*keys, F.explode_outer(_counted(F.col("__o"))).alias("t")).select(*keys, F.col("t.token").alias("token"), F.col("t.m").alias("m"))
     scored = _with_counts(rows, lm, broadcast_bytes, keys).withColumn("lp", lm.logprobs(F.col("c")))
     sums = [F.sum(F.element_at("lp", i + 1) * F.col("m")).alias(f"s{i}") for i in range(len(lm.labels))]
     agg = scored.groupBy(*keys).agg(F.coalesce(F.sum("m"), F.lit(0)).cast("bigint").alias("n_tokens"), *sums)
@@ -143,9 +144,8 @@ def count_lm_scores(df: DataFrame, lm: CountLM, text_col: str = "prompt", keys:
     return agg.select(*keys, "n_tokens", F.when(F.col("n_tokens") > 0, raw).alias("raw"))
 
 
-def _counted(toks: Column) -> Column:
-    """The distinct tokens of an array with their numbers, from the sorted array: a token's number is where its run ends less where it starts."""
-    ordered = F.array_sort(toks)
+def _counted(ordered: Column) -> Column:
+    """The distinct tokens of a sorted array with their numbers: a token's number is where its run ends less where it starts."""
     starts = F.filter(F.sequence(F.lit(1), F.size(ordered)), lambda i: (i == 1) | (F.try_element_at(ordered, i) != F.try_element_at(ordered, i - 1)))
     ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))), F.array(F.size(ordered) + 1))
     runs = F.zip_with(starts, ends, lambda a, b: F.struct(F.element_at(ordered, a).alias("token"), (b - a).alias("m")))

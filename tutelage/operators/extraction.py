@@ -232,10 +232,12 @@ def why_coverage(df: DataFrame, col: str = "output", fields: Sequence[str] = tup
 
 
 def pair_quality(df: DataFrame, schema: Mapping[str, Any] = INVOICE_SCHEMA) -> DataFrame:
-    """Adds, for a preference pair, whether the sides differ, which of them conform, and the verdict."""
-    checked = validate_json(validate_json(df, "chosen", schema, "__c"), "rejected", schema, "__r").drop("__json")
+    """Adds, for a preference pair, whether the sides differ, which of them conform, and the verdict. Where both are the same text it is parsed once."""
     differ = ~F.col("chosen").eqNullSafe(F.col("rejected"))
-    good_c, good_r = F.size("__c") == 0, F.size("__r") == 0
+    other = df.withColumn("__other", F.when(differ, F.col("rejected")))
+    checked = validate_json(validate_json(other, "chosen", schema, "__c"), "__other", schema, "__r").drop("__json", "__other")
+    good_c = F.size("__c") == 0
+    good_r = F.when(differ, F.size("__r") == 0).otherwise(good_c)
     verdict = (F.when(~differ, "same").when(good_c & ~good_r, "clear").when(good_c & good_r, "both conform")
                .when(~good_c & good_r, "inverted").otherwise("neither conforms"))
     return (checked.withColumn("differ", differ).withColumn("chosen_conforms", good_c)

@@ -5,8 +5,9 @@ ties by id, so a sample depends on nothing but seed and ids. Ranking a whole cla
 would put a third of all rows into one task. Instead the key space is cut into ``16**PREFIX``
 slices of the md5 prefix:
 
-1. count rows per (class, slice): a partial aggregate with at most ``classes * 16**PREFIX`` rows;
-2. find the one slice per class in which the n-th row falls, and rank only that slice;
+1. one scan sums up every (class, slice): its rows, its lowest and its highest key, a partial aggregate with at most ``classes * 16**PREFIX`` rows;
+2. find the one slice per class in which the n-th row falls; if it is the lowest or the highest of its slice the key is known, as
+   it is for all classes of up to about ``16**PREFIX`` rows. Only for what is left are the rows of that slice read again and ranked;
 3. the n-th key is now a literal, and the sample a plain filter on the scan. Nothing is shuffled.
 
 Ids must be unique. For a few known classes the cut-offs are literals; for classes found in the data they are a table, joined
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tutelage.functions.constants import BALANCE_SEED, FEW_SHOT_ORDER, LABELS, SAMPLE_SEED
 from tutelage.functions.text import py_strip
+from tutelage.session import materialise
 
 PREFIX = 4
 
@@ -47,20 +49,32 @@ def class_distribution(df: DataFrame, label_col: str = "answer", labels: Sequenc
     return counts.select(F.inline(F.array(*cells)))
 
 
-def _cuts(keyed: DataFrame, wanted: DataFrame, prefix: int) -> DataFrame:
-    """``(cls, quota, cut_draw, cut_id)`` per class wanted: the ``quota``-th lowest draw, null where the whole class is.
+def _slices(keyed: DataFrame, prefix: int) -> DataFrame:
+    """``(cls, slice, n, low, high)``: rows, lowest and highest ``(draw, id)`` of every slice."""
+    key = F.struct("draw", "id")
+    return keyed.groupBy("cls", F.substring("draw", 1, prefix).alias("slice")).agg(F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high"))
+
+
+def _edges(slices: DataFrame, quota: Column) -> DataFrame:
+    """``(cls, slice, nth, key)``: per class the slice of the ``quota``-th row, its place there, and its key if the slice's ends tell it."""
+    upto = F.sum("n").over(W.partitionBy("cls").orderBy("slice"))
+    at = slices.withColumn("upto", upto).withColumn("nth", quota - F.col("upto") + F.col("n")).filter((F.col("upto") >= quota) & (F.col("nth") > 0))
+    return at.select("cls", "slice", "nth", F.when(F.col("nth") == 1, F.col("low")).when(F.col("nth") == F.col("n"), F.col("high")).alias("key"))
+
+
+def _cuts(keyed: DataFrame, quota: int, prefix: int) -> DataFrame:
+    """``(cls, cut_draw, cut_id)`` of every class: the ``quota``-th lowest draw, null where the class is no larger.
 
     ``keyed`` has ``cls``, ``draw`` and ``id``. All classes go together, as rows: nothing here grows with their number but tables.
     """
-    slice_of = F.substring("draw", 1, prefix)
-    hist = keyed.groupBy("cls", slice_of.alias("slice")).agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(W.partitionBy("cls").orderBy("slice"))
-    edges = (hist.withColumn("upto", upto).join(wanted, "cls")
-             .filter((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("n") < F.col("quota")))
-             .select("cls", "slice", (F.col("quota") - F.col("upto") + F.col("n")).alias("nth")))
-    ranked = keyed.withColumn("slice", slice_of).join(edges, ["cls", "slice"])
-    nth = ranked.withColumn("rn", F.row_number().over(W.partitionBy("cls").orderBy("draw", "id"))).filter(F.col("rn") == F.col("nth"))
-    return wanted.join(nth.select("cls", F.col("draw").alias("cut_draw"), F.col("id").alias("cut_id")), "cls", "left")
+    slices = materialise(_slices(keyed, prefix), "slices")
+    edges = materialise(_edges(slices, F.lit(quota)), "edges")
+    cuts, far = edges.filter(F.col("key").isNotNull()).select("cls", "key.draw", "key.id"), edges.filter(F.col("key").isNull())
+    if not far.isEmpty():
+        ranked = keyed.withColumn("slice", F.substring("draw", 1, prefix)).join(far.drop("key"), ["cls", "slice"])
+        nth = ranked.withColumn("rn", F.row_number().over(W.partitionBy("cls").orderBy("draw", "id"))).filter(F.col("rn") == F.col("nth"))
+        cuts = cuts.union(nth.select("cls", "draw", "id"))
+    return slices.select("cls").distinct().join(cuts.select("cls", F.col("draw").alias("cut_draw"), F.col("id").alias("cut_id")), "cls", "left")
 
 
 def _inside(draw: Column, ident: Column) -> Column:
@@ -81,31 +95,29 @@ def drawn(df: DataFrame, quotas: Callable[[dict[str, int]], Mapping[str, int]],
     keyed = _keyed(df, seed, class_col, id_col)
     if classes is not None:
         keyed = keyed.filter(F.col("cls").isin(*classes))
-    hist = keyed.groupBy("cls", F.substring("draw", 1, prefix).alias("slice")).agg(F.count("*").alias("n")).persist()
+    slices = _slices(keyed, prefix).persist()
     try:
-        sizes = {r["cls"]: r["n"] for r in hist.groupBy("cls").agg(F.sum("n").alias("n")).collect()}
+        sizes = {r["cls"]: r["n"] for r in slices.groupBy("cls").agg(F.sum("n").alias("n")).collect()}
         wanted = dict(quotas(sizes))
         partial = {c: n for c, n in wanted.items() if 0 < n < sizes.get(c, 0)}
-        edges = {}
+        edges = []
         if partial:
             quota = F.coalesce(*[F.when(F.col("cls") == c, F.lit(n)) for c, n in partial.items()])
-            upto = F.sum("n").over(W.partitionBy("cls").orderBy("slice"))
-            rows = (hist.withColumn("upto", upto).withColumn("quota", quota)
-                    .filter((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("n") < F.col("quota"))).collect())
-            edges = {r["cls"]: (r["slice"], r["quota"] - (r["upto"] - r["n"])) for r in rows}
+            edges = _edges(slices.filter(F.col("cls").isin(*partial)), quota).collect()
     finally:
-        hist.unpersist()
+        slices.unpersist()
 
-    cuts = {}
-    if edges:
+    cuts = {r["cls"]: tuple(r["key"]) for r in edges if r["key"] is not None}
+    far = [r for r in edges if r["key"] is None]
+    if far:
         slice_of = F.substring("draw", 1, prefix)
         at_edge = F.lit(False)
         nth = F.lit(None).cast("long")
-        for c, (s, k) in edges.items():
-            at_edge = at_edge | ((F.col("cls") == c) & (slice_of == s))
-            nth = F.when(F.col("cls") == c, F.lit(k)).otherwise(nth)
+        for r in far:
+            at_edge = at_edge | ((F.col("cls") == r["cls"]) & (slice_of == r["slice"]))
+            nth = F.when(F.col("cls") == r["cls"], F.lit(r["nth"])).otherwise(nth)
         ranked = keyed.filter(at_edge).withColumn("rn", F.row_number().over(W.partitionBy("cls").orderBy("draw", "id")))
-        cuts = {r["cls"]: (r["draw"], r["id"]) for r in ranked.filter(F.col("rn") == nth).collect()}
+        cuts |= {r["cls"]: (r["draw"], r["id"]) for r in ranked.filter(F.col("rn") == nth).collect()}
 
     cls = F.lit("all") if class_col is None else F.col(class_col)
     draw = draw_key(id_col, seed)
@@ -133,7 +145,7 @@ def lowest_n(df: DataFrame, n: int, seed: int | str, class_col: str, id_col: str
     The cut-offs are a table joined to ``df`` on the class.
     """
     keyed = _keyed(df, seed, class_col, id_col)
-    cuts = _cuts(keyed, keyed.select("cls").distinct().withColumn("quota", F.lit(n).cast("long")), prefix)
+    cuts = _cuts(keyed, n, prefix)
     return (df.join(cuts, F.col(class_col) == F.col("cls")).filter(_inside(draw_key(id_col, seed), F.col(id_col)))
             .select(*[df[c] for c in df.columns]))
 
