@@ -88,3 +88,26 @@ def test_join_skewed_keeps_every_row(spark, how):
         assert sorted(map(tuple, join_skewed(left, right, ["k"], how, n).select("id", "k", "v").collect())) == want
     for limit in (0, 100):
         assert sorted(map(tuple, join_lookup(left, right, "k", how, limit).select("id", "k", "v").collect())) == want
+
+
+def test_only_open_tokens_leave_their_text(spark, monkeypatch):
+    """Words of a template, known or not, stay with their text; only rare words that the counts may hold go through the shuffle."""
+    monkeypatch.setattr(C.frequent, "__defaults__", (2,))
+    fitted = C.fit_count_lm(spark.createDataFrame([(i, f"the own{i}") for i in range(300)], "id long, text string"), "text", None)
+    rows = [(i, "never seen words of a template the " + f"own{i} new{i} " * (i % 2)) for i in range(200)] + [(7, None), (None, ""), (None, " \t")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    settled = C._settled(df, fitted, "text", ("id",), slice(0, None), False).collect()
+    open_ = [r["__w"] for r in settled if r["__w"] is not None]
+    assert {f"own{i}" for i in range(1, 200, 2)} <= set(open_) and len(open_) <= 110 and len(settled) <= 215
+    assert sum(r["__n"] for r in settled) == 200 * 7 + 100 * 2
+    score = lambda b: sorted((repr(r["id"]), r["n_tokens"], round(r["raw"][0], 9) if r["raw"] else None) for r in C.count_lm_scores(df, fitted, "text", ("id",), broadcast_bytes=b).collect())
+    assert score(0) == score(10**6)
+    assert C.frequent(fitted).count() == 1 and C.frequent(C.fit_count_lm(df.filter("id = 1"), "text", None)).count() == 2
+
+
+def test_files_of_bucketed_counts_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(C, "BUCKET_BYTES", 4096)
+    fitted = C.fit_count_lm(spark.createDataFrame([(i, f"word{i}") for i in range(300)], "id long, text string"), "text", None)
+    stored = C.bucketed(fitted, "bounded_counts", 2)
+    assert -(-fitted.size // 4096) > 2 and stored.counts.count() == 300
+    assert spark.sql("describe extended bounded_counts").filter("col_name = 'Num Buckets'").first()["data_type"] == str(-(-fitted.size // 4096))

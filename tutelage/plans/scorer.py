@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tutelage.functions.constants import LABELS
-from tutelage.functions.templates import credit_chat_prompt
+from tutelage.functions.templates import credit_chat_prompt, credit_chat_words
 from tutelage.operators import ranking as R
 from tutelage.operators.countlm import CountLM, count_lm_scores, fit_count_lm
 from tutelage.operators.inference import score_candidates, score_grouped
@@ -68,7 +68,7 @@ class CountScorer(Scorer):
 
     def raw(self, df: DataFrame, features_col: str, keys: Sequence[str]) -> DataFrame:
         prompts = df.select(*keys, credit_chat_prompt(features_col).alias("prompt"))
-        scored = count_lm_scores(prompts, self.lm, keys=keys)
+        scored = count_lm_scores(prompts, self.lm, keys=keys, common=credit_chat_words())
         if self.synonyms is None:
             return scored
         place = {n: i for i, n in enumerate(self.lm.labels)}
