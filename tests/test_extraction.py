@@ -126,3 +126,28 @@ def test_each_text_is_searched_and_parsed_once(spark):
     covered = X.why_coverage(text, "text").filter("size(unexplained) > 0 and size(explained) > 0")
     assert planned(covered, r"from_json\(") == 2
     assert planned(valid_annotations(text, "text"), r"from_json\(") == 1
+
+
+def test_a_text_that_surely_conforms_is_not_checked_again(spark, monkeypatch):
+    import random
+
+    from tutelage.functions import jsontext
+
+    rng = random.Random(4)
+    odd = [None, True, 7, 7.5, 1e300, float("nan"), 10**40, "x", "\ud800", [], {}, [[1]], [{"description": "d", "qty": 1, "unit_price": 2, "amount": True}]]
+    good = {"invoice_number": "1", "invoice_date": "d", "vendor_name": "v", "total_amount": 1.5, "currency": "EUR", "line_items": [{"description": "a", "qty": 1, "unit_price": 2.5, "amount": 2.5}], "why": {"a": ["b"]}}
+    values = [good, {**good, "more": {"a": [1, {"b": None}]}}]
+    for key in [*good, "more"]:
+        values += [{**good, key: v} for v in odd] + [{k: v for k, v in good.items() if k != key}]
+        values += [{**good, "line_items": [{**good["line_items"][0], rng.choice(["qty", "description", "extra"]): v}]} for v in odd]
+    rows = [(i, json.dumps(v)) for i, v in enumerate([*values, *odd])] + [(-1, None), (-2, "{"), (-3, '{"a": 1} {"a": 2}'), (-4, json.dumps({**good, "why": "w" * 50_000}))]
+    df = spark.createDataFrame(rows, "id int, t string").coalesce(1)
+    schemas = [INVOICE_SCHEMA, {"type": ["object", "null"], "additionalProperties": False, "properties": {"total_amount": {"minimum": 2}}}, {"type": "object", "properties": {"why": {}, "total_amount": {"type": "integer"}}}]
+    for schema in schemas:
+        check = lambda: sorted((r["id"], r["violations"]) for r in X.validate_json(df, "t", schema).collect())  # noqa: B023, E731
+        quick = check()
+        sure = [r["s"]["sure"] for r in df.select(jsontext.standard_and_sure(schema)("t").alias("s")).collect()]
+        monkeypatch.setattr(jsontext, "PLAIN_CHARS", -1)
+        assert quick == check()
+        monkeypatch.undo()
+        assert any(sure) != ("additionalProperties" in schema)

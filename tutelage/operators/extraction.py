@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tutelage.functions.constants import INVOICE_SCHEMA
-from tutelage.functions.jsontext import standard_json
+from tutelage.functions.jsontext import standard_and_sure
 from tutelage.functions.text import norm_date, py_strip
 
 _NUMBER = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)"
@@ -112,13 +112,14 @@ def _checked(df: DataFrame, col: str, schema: Mapping[str, Any], out: str) -> Da
     """``validate_json`` that leaves the parsed text in ``__json``.
 
     Text and variant come out of a generator, behind which no filter or projection can write their expressions again: each text is
-    parsed once, however often the checks look at it.
+    parsed once, however often the checks look at it. A text that conforms for certain, as the Python pass that reads it sees, is not looked at again.
     """
-    parsed = df.withColumn("__json", F.explode(F.array(standard_json(F.col(col)))))
-    parsed = parsed.select("*", F.explode(F.array(F.try_parse_json("__json"))).alias("__v"))
+    parsed = df.select("*", F.explode(F.array(standard_and_sure(schema)(F.col(col)))).alias("__p"))
+    parsed = parsed.withColumn("__json", F.col("__p.json")).withColumn("__sure", F.col("__p.sure")).drop("__p")
+    parsed = parsed.select("*", F.explode(F.array(F.when(~F.col("__sure"), F.try_parse_json("__json")))).alias("__v"))
     value = F.col("__v")
-    checked = F.when(value.isNull(), F.array(F.lit("$: not JSON"))).otherwise(violations(value, schema))
-    return parsed.select("*", F.explode(F.array(checked)).alias(out)).drop("__v")
+    checked = F.when(F.col("__sure"), F.array().cast("array<string>")).when(value.isNull(), F.array(F.lit("$: not JSON"))).otherwise(violations(value, schema))
+    return parsed.select("*", F.explode(F.array(checked)).alias(out)).drop("__v", "__sure")
 
 
 def schema_type(schema: Mapping[str, Any]) -> T.DataType:
