@@ -202,3 +202,23 @@ def test_representatives_against_brute_force(spark):
     sets = {k: simhash.shingles((t or "").lower().encode(), 5) for k, t in enumerate(texts)}
     want = grouped(list(sets), lambda a, b: simhash.similarity(sets[a], sets[b]) >= 0.8)
     assert sorted(r["doc_id"] for r in simhash.representatives(docs).collect()) == sorted(set(want.values()))
+
+
+def test_representatives_take_the_index_first(spark, monkeypatch):
+    """Near copies come out of the fingerprint index, decided by their texts; pairs that it leaves apart come from the lists."""
+    rng = random.Random(12)
+    base = [f"w{rng.randint(0, 10 ** 6)}" for _ in range(600)]
+    close, far = [*base[:-1], "other"], [*base[:-60], *[f"x{rng.randint(0, 10 ** 6)}" for _ in range(60)]]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate((base, close, far, [f"y{i}" for i in range(600)]))], "doc_id long, text string")
+    seen, verified = [], simhash.verified_links
+
+    def watched(lists, verify, least, indexed):
+        seen.extend(tuple(r) for r in indexed.distinct().collect())
+        return verified(lists, verify, least, indexed)
+
+    monkeypatch.setattr(simhash, "verified_links", watched)
+    assert sorted(r["doc_id"] for r in simhash.representatives(docs).collect()) == [0, 3]
+    marks = {r["_node"]: r["doc_id"] for r in simhash.distinct_marks(docs, 5, 4, ("doc_id",), simhash.frequencies(docs.select("text"), 5), 0.8).collect()}
+    assert {frozenset(marks[x] for x in pair) for pair in seen} == {frozenset((0, 1))}
+    monkeypatch.setattr(simhash, "near_pairs", lambda lists, *a: spark.createDataFrame([], "key long, pair long, a long, b long"))
+    assert sorted(r["doc_id"] for r in simhash.representatives(docs).collect()) == [0, 2, 3]

@@ -7,8 +7,7 @@ of one positional byte alone would hold every 256th fingerprint. In a list the s
 tallied, pairs below the guaranteed count are left out, and the rest are verified by their differing bits.
 
 Only distinct fingerprints are indexed, so copies cost nothing. A list longer than ``HEAVY`` is cut into blocks
-whose pairs are compared in separate tasks. A list yields links from each connected set's first member to the others,
-never all pairs.
+whose pairs are compared in separate tasks. A list yields the links of a tree over each connected set, never all pairs.
 
 Defined cases: null and empty texts, and texts without words, have fingerprint zero and link like any other;
 repeated rows keep their own rows; a component's id is its least id (null only where all ids are null); an empty
@@ -195,12 +194,13 @@ def _links(key: np.ndarray, node: np.ndarray, marks: np.ndarray, max_bits: int,
         own, ids = marks[s:s + n], node[s:s + n]
         left = np.arange(n)
         while len(left) > 1:
-            root, queue, left = left[0], [left[0]], left[1:]
+            queue, left = [left[0]], left[1:]
             while queue and len(left):
-                ok = _near(own[left] ^ own[queue.pop()], max_bits, shared)
+                at = queue.pop()
+                ok = _near(own[left] ^ own[at], max_bits, shared)
                 found, left = left[ok], left[~ok]
                 queue.extend(found)
-                a.append(np.full(len(found), ids[root])), b.append(ids[found])
+                a.append(np.full(len(found), ids[at])), b.append(ids[found])  # each link is a pair that is near itself
     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
 
@@ -354,19 +354,23 @@ def within(pairs: DataFrame, nodes: DataFrame, lanes: Sequence[str], max_bits: i
     return both.filter(bits <= max_bits).select("a", "b")
 
 
-def verified_links(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], least: float) -> DataFrame:
+def verified_links(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], least: float, indexed: DataFrame) -> DataFrame:
     """``(a, b)``: links that connect all pairs of a similarity of ``least`` or more which share one of ``lists``; ``verify`` keeps the similar ones of pairs.
 
+    First come the pairs of the fingerprint index (``indexed``); the lists are then for pairs that its links leave apart.
+
     A long list is taken in rounds: a few members against all others, and then only pairs that the links so far leave apart, so that a large group
     of near copies costs about one link for each of them. No pair is verified twice, whether it was linked or refuted.
     """
-    state, links, checked, done, step = lists.withColumn("root", F.col("node")), None, None, 0, 1
+    checked, done, step = materialise(indexed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "indexed"), 0, 1
+    links = materialise(verify(checked), "similar")
+    state = lists.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     while True:
         found = materialise(near_pairs(state, least, done, done + step), "near-pairs")
         pairs = found.filter(F.col("a").isNotNull()).select("a", "b").distinct()
-        pairs = materialise(pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
+        pairs = materialise(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
         new = materialise(verify(pairs), "similar")
-        links, checked = (new, pairs) if links is None else (links.union(new), checked.union(pairs))
+        links, checked = links.union(new), checked.union(pairs)
         left = found.filter(F.col("a").isNull()).select("key", "pair").distinct()
         if left.isEmpty():
             return links
@@ -375,11 +379,13 @@ def verified_links(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], l
         done, step = done + step, 2 * step
 
 
-def representatives(docs: DataFrame, width: int = 5, lanes: int = 4, max_bits: int = 90, least: float = 0.8) -> DataFrame:
+def representatives(docs: DataFrame, width: int = 5, lanes: int = 4, max_bits: int = 90, least: float = 0.8, index_bits: int = 4) -> DataFrame:
     """``docs`` with one row of each group of near copies: that of the least id (null last), once if the row is repeated.
 
     Near copies have a similarity of ``least`` or more between their sets of shingles of ``width`` words; a group is what such pairs connect.
-    Two sets at ``least`` share one of the rarest shingles of each (``prefix``), whatever order of rarity is taken, so candidates meet in a list of
+    The fingerprints' first lane goes through the index over positional bytes (``near_links``): all pairs within ``index_bits`` are candidates, and those that are similar
+    are joined before anything else. At ``least`` some 10 bits of a lane differ, which no index of guaranteed equal bytes covers, so for the pairs it leaves apart
+    an exact way follows. Two sets at ``least`` share one of the rarest shingles of each (``prefix``), whatever order of rarity is taken, so candidates meet in a list of
     such a shingle and none is missed; lines and passages that many texts share are at the far end of the order and make no list. Candidates
     that sizes, places and at most ``max_bits`` of 256 bits of the fingerprints over distinct shingles do not rule out (at 0.8 some 39 bits differ with a deviation
     of 6) are counted on the hashes of all shingles of both texts. All columns pass.
@@ -409,7 +415,8 @@ def representatives(docs: DataFrame, width: int = 5, lanes: int = 4, max_bits: i
     listed = nodes.select("node", "size", "light", F.posexplode("prefix").alias("place", "key"))
     counts = listed.filter(F.col("place") >= F.col("light")).groupBy("key").count()
     lists = _deal(listed.select("node", "size", F.col("place").cast("bigint").alias("place"), "key"), counts)
-    roots = components(verified_links(lists, verify, least))
+    indexed = near_links(nodes.select("node", "l0"), index_bits)
+    roots = components(verified_links(lists, verify, least, indexed))
     rooted = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = rooted.groupBy("root").agg(F.min("least").alias("w")).select(F.col("w._own").alias(row), F.col("w._own2").alias(f"{row}2"))
     kept = docs.withColumns(own).join(first, list(own))
