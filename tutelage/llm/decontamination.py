@@ -156,8 +156,8 @@ def _count(docs: DataFrame, sent) -> dict[tuple[int, int], int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, totals = sent.value, {}
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                ids = index.numbers(text)
+            for text in batch.column(0):
+                ids = index.numbers(text.as_py())
                 for s, keys in index.shingles.items():
                     _, key = _matches(ids, s, keys)
                     if len(key):

@@ -292,8 +292,10 @@ def replace(docs: DataFrame, secret: bytes, text: str = "text", out: str = "enti
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] + [T.StructField(out, T._parse_datatype_string(ENTITIES))])
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("canonical", pa.string()), ("surrogate", pa.string())]))
 
+    keyed = Surrogates(secret)
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keyed, texts, found = Surrogates(secret), [], []
+        texts, found = [], []
         for t in batch.column(read).to_pylist():
             if t is None:
                 texts.append(None), found.append([])
