@@ -128,3 +128,12 @@ def test_scores_do_not_depend_on_the_order_of_rows(spark):
         labels = spark.createDataFrame([(r[0], r[2]) for r in order], "doc_id long, toxic int")
         scores.append({r["doc_id"]: r["score"] for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()})
     assert scores[0] == scores[1] == scores[2] and max(scores[0].values()) > 0.7 > 0.3 > min(scores[0].values())
+
+
+def test_words_met_long_ago_are_let_go(monkeypatch):
+    monkeypatch.setattr(toxicity, "CACHE_WORDS", 20)
+    weight = {row: 0.5 for w in (b"often", b"w7", b"w199") for row in toxicity.subwords(w)}
+    texts = [b"often w%d x%d" % (i, i) for i in range(200)] + [b"often w7", b""]
+    model = toxicity.Model(weight, 0.1)
+    assert [model.score(t) for t in texts] == [toxicity.Model(weight, 0.1).score(t) for t in texts]
+    assert b"often" in model.known | model.before and len(model.known) + len(model.before) < 50

@@ -21,6 +21,16 @@ def test_chunks_give_the_tokenizer_s_ids():
     assert got == [encoded(t) for t in texts]
 
 
+def test_chunks_met_long_ago_are_let_go(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_ENTRIES", 50)
+    texts = [f"often w{i} x{i}y don't" for i in range(300)] + TEXTS[3:4]
+    encode = packing.ChunkEncoder(PATH)
+    got = [np.frombuffer(b, "<u4").tolist() + [1] for b in encode(texts)]
+    assert got == [encoded(t) for t in texts]
+    assert "often" in encode.known | encode.known_before
+    assert len(encode.known) + len(encode.known_before) < 150 and len(encode.parts) + len(encode.parts_before) <= 100
+
+
 def test_pieces_cover_each_text_and_fit(spark):
     docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(TEXTS)] + [(0, TEXTS[0], "again")], "doc_id long, text string, length string")
     packed = packing.pack(packing.tokenise(docs, PATH, max_len=64, crc=True), max_len=64)

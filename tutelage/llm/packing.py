@@ -33,8 +33,8 @@ from tutelage.llm.frames import batched, materialise, utf8
 
 #: A block is packed by one task: 4,096 full sequences of 4,096 tokens, or so many pieces.
 BLOCK_TOKENS, BLOCK_ROWS = 1 << 24, 1 << 18
-#: Chunks of text, and parts of chunks, whose ids a Python worker remembers before it starts afresh.
-CACHE_ENTRIES = 1_000_000
+#: Chunks of text, and as many parts of chunks, that a Python worker takes up before it lets go those not met since as many before.
+CACHE_ENTRIES = 1 << 17
 #: Characters on which lower case and character classes are the same in every Unicode version.
 PLAIN = re.compile("[!-~¡-ÿ]+")
 
@@ -42,7 +42,7 @@ _encoders: dict[str, "ChunkEncoder"] = {}
 
 
 class ChunkEncoder:
-    """Ids of whole texts, chunk by chunk between spaces, remembering chunks.
+    """Ids of whole texts, chunk by chunk between spaces, remembering chunks met lately.
 
     Right for tokenizers that never join characters over a space, as those are that drop white space. One that
     lower-cases, splits by a pattern and maps bytes is asked for the parts of a plain chunk only; every other
@@ -55,6 +55,8 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {}
+        self.known_before: dict[str, bytes] = {}
+        self.parts_before: dict[str, bytes] = {}
         self.split = self._splitter(path)
         bytes_level = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
         self.alphabet = {b: 256 + i for i, b in enumerate(bytes_level)}
@@ -70,10 +72,16 @@ class ChunkEncoder:
         return None
 
     def _part(self, part: str) -> bytes:
-        if part not in self.parts:
-            mapped = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
-            self.parts[part] = array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
-        return self.parts[part]
+        ids = self.parts.get(part)
+        if ids is None:
+            if len(self.parts) >= CACHE_ENTRIES:
+                self.parts_before, self.parts = self.parts, {}
+            ids = self.parts_before.get(part)
+            if ids is None:
+                mapped = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
+                ids = array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
+            self.parts[part] = ids
+        return ids
 
     def _chunk(self, chunk: str) -> bytes:
         if self.split and PLAIN.fullmatch(chunk) and "<|" not in chunk:
@@ -82,19 +90,18 @@ class ChunkEncoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        known = self.known
-        if len(known) > CACHE_ENTRIES or len(self.parts) > CACHE_ENTRIES:
-            known.clear(), self.parts.clear()
-            known[""] = b""
         out = []
         for text in texts:
+            if len(self.known) >= CACHE_ENTRIES:
+                self.known_before, self.known = self.known, {"": b""}
+            known, before = self.known, self.known_before
             words = text.replace("\n", " ").split(" ")
             got = [known.get(w) for w in words]
             if None in got:
                 for i, ids in enumerate(got):
                     if ids is None:
                         w = words[i]
-                        got[i] = known[w] = known.get(w) or self._chunk(w)
+                        got[i] = known[w] = known.get(w) or before.get(w) or self._chunk(w)
             out.append(b"".join(got))
         return out
 

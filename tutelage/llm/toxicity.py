@@ -34,7 +34,8 @@ FOLDS = 3
 LEAST_TO_CHOOSE = 150
 #: The sample trained on has at most so many documents of each class.
 TRAIN_PER_CLASS = 2500
-CACHE_WORDS = 1_000_000
+#: Words that a worker takes up before it lets go those not met since as many before.
+CACHE_WORDS = 1 << 17
 #: Rows of the embedding table trained at most.
 MOST_ROWS = 4096
 _TABLE = bytes(b if b > 127 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -57,22 +58,26 @@ class Model:
     weight: dict[int, float]
     bias: float
     known: dict[bytes, float] = field(default_factory=dict, repr=False)
+    before: dict[bytes, float] = field(default_factory=dict, repr=False)
 
     def score(self, text: bytes) -> float:
-        known, found = self.known, words(text)
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        total = 0.0
+        found = words(text)
+        if len(self.known) >= CACHE_WORDS:
+            self.before, self.known = self.known, {}
+        known, total = self.known, 0.0
         for w in found:
             s = known.get(w)
             if s is None:
-                rows = subwords(w)
-                s = known[w] = sum(self.weight.get(r, 0.0) for r in rows) / len(rows)
+                s = self.before.get(w)
+                if s is None:
+                    rows = subwords(w)
+                    s = sum(self.weight.get(r, 0.0) for r in rows) / len(rows)
+                known[w] = s
             total += s
         return 1.0 / (1.0 + np.exp(-np.clip(self.bias + total / max(1, len(found)), -30.0, 30.0)))
 
     def __getstate__(self):
-        return {"weight": self.weight, "bias": self.bias, "known": {}}
+        return {"weight": self.weight, "bias": self.bias, "known": {}, "before": {}}
 
 
 def bag(text: bytes) -> dict[int, float]:
