@@ -137,3 +137,18 @@ def test_words_met_long_ago_are_let_go(monkeypatch):
     model = toxicity.Model(weight, 0.1)
     assert [model.score(t) for t in texts] == [toxicity.Model(weight, 0.1).score(t) for t in texts]
     assert b"often" in model.known | model.before and len(model.known) + len(model.before) < 50
+
+
+def test_the_driver_gets_only_rows_that_can_be_trained(spark, monkeypatch):
+    seen = []
+    plain = toxicity.candidates
+    monkeypatch.setattr(toxicity, "candidates", lambda rows, counts, many: seen.append((rows, counts)) or plain(rows, counts, many))
+    texts = [f"{'vile rotten' if i % 2 else 'kind gentle'} once{i}x{i * i}" for i in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, toxic int")
+    got = toxicity.fit(docs, labels)
+    used = [i for i in range(120) if zlib.crc32(str(i).encode()) % 3 != 1]
+    want = toxicity.train_texts(sorted((texts[i].encode() for i in used), key=lambda t: b"vile" in t), np.array(sorted(i % 2 for i in used)))
+    assert set(got.weight) == set(want.weight) and len(got.weight) > 0
+    (rows, counts), all_rows = seen[0], {r for i in used for r in toxicity.bag(texts[i].encode())}
+    assert counts.sum(axis=(0, 1)).min() >= toxicity.LEAST_HELD and len(rows) < len(all_rows) and (np.diff(rows) > 0).all()

@@ -15,7 +15,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -36,6 +36,8 @@ LEAST_TO_CHOOSE = 150
 TRAIN_PER_CLASS = 2500
 #: Words that a worker takes up before it lets go those not met since as many before.
 CACHE_WORDS = 1 << 17
+#: Documents that must have a row before it is trained.
+LEAST_HELD = 3
 #: Rows of the embedding table trained at most.
 MOST_ROWS = 4096
 _TABLE = bytes(b if b > 127 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -121,7 +123,7 @@ def contrasting(counts: np.ndarray, many: np.ndarray, least: float = CONTRASTS[0
     share = counts.sum(axis=0) / many.sum()
     error = np.sqrt(share * (1 - share) * (1 / many).sum()) + 1e-12
     clear = np.abs(counts[1] / many[1] - counts[0] / many[0]) / error
-    clear[counts.sum(axis=0) < 3] = 0
+    clear[counts.sum(axis=0) < LEAST_HELD] = 0
     chosen = np.argsort(-clear, kind="stable")[:most]
     return np.sort(chosen[clear[chosen] >= least])
 
@@ -134,6 +136,11 @@ def candidates(rows: np.ndarray, counts: np.ndarray, many: np.ndarray) -> dict[t
     return out | {(f, c): rows[contrasting(whole - counts[f], sizes - many[f], c)] for f in range(FOLDS) for c in some if len(some) > 1}
 
 
+def _part(x: np.ndarray, inside: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The columns ``at`` of the rows ``inside``, without a copy of whole rows."""
+    return x.T[np.ix_(at, np.flatnonzero(inside))].T
+
+
 def chosen_model(x: np.ndarray, labels: np.ndarray, folds: np.ndarray, rows: np.ndarray, sets: dict[tuple[int, float], np.ndarray]) -> Model:
     """Trained on the whole sample under the contrast of the least loss, classes weighing the same, on folds not trained on. ``x``: the shares of ``rows``."""
     losses = {}
@@ -142,8 +149,8 @@ def chosen_model(x: np.ndarray, labels: np.ndarray, folds: np.ndarray, rows: np.
         for f in range(FOLDS):
             inside, own = folds != f, sets[f, c]
             at = np.searchsorted(rows, own)
-            model = train(x[inside][:, at], labels[inside], own)
-            odds = x[~inside][:, at] @ np.array([model.weight[r] for r in own.tolist()], np.float32) + model.bias if len(own) else np.full((~inside).sum(), model.bias)
+            model = train(_part(x, inside, at), labels[inside], own)
+            odds = _part(x, ~inside, at) @ np.array([model.weight[r] for r in own.tolist()], np.float32) + model.bias if len(own) else np.full((~inside).sum(), model.bias)
             loss[~inside] = np.logaddexp(0, np.where(labels[~inside] == 1, -odds, odds))
         losses[c] = loss[labels == 1].mean() + loss[labels == 0].mean()
     best = min(losses, key=lambda c: (losses[c], -c)) if losses else CONTRASTS[0]
@@ -151,26 +158,32 @@ def chosen_model(x: np.ndarray, labels: np.ndarray, folds: np.ndarray, rows: np.
     return train(x[:, np.searchsorted(rows, own)], labels, own)
 
 
-def vectors(texts: list[bytes], chosen: np.ndarray) -> np.ndarray:
-    """The shares of the chosen rows in each text."""
+def shares(texts: list[bytes], chosen: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each text the places in ``chosen`` of the rows that it has, and their shares."""
     place = {row: k for k, row in enumerate(chosen.tolist())}
-    out = np.zeros((len(texts), len(chosen)), np.float32)
-    for i, text in enumerate(texts):
+    for text in texts:
         own = bag(text)
-        for row in own.keys() & place.keys():
-            out[i, place[row]] = own[row]
+        some = list(own.keys() & place.keys())
+        yield np.array([place[row] for row in some], np.int32), np.array([own[row] for row in some], np.float32)
+
+
+def vectors(found: Iterable[tuple[np.ndarray, np.ndarray]], many: int, wide: int) -> np.ndarray:
+    """``shares`` of ``many`` texts as rows of ``wide`` numbers."""
+    out = np.zeros((many, wide), np.float32)
+    for row, (at, share) in zip(out, found, strict=True):
+        row[at] = share
     return out
 
 
 def train(x: np.ndarray, labels: np.ndarray, chosen: np.ndarray, epochs: int = 12, batch: int = 128, rate: float = 0.01, decay: float = 0.01, seed: int = 1) -> Model:
     """Embeddings of the chosen rows and softmax fitted jointly by Adam; classes weigh the same.
 
-    The other rows stay at zero: with more n-grams than documents, they would only be learnt by heart.
+    The other rows stay at zero: with more n-grams than documents, they would only be learnt by heart. ``x`` is changed.
     """
     if not len(chosen):
         return Model({}, 0.0)
     unit = np.float32(500.0 / np.sqrt(len(chosen)))  # brings the shares of a document to about one
-    x = x * unit
+    x *= unit
     rng = np.random.default_rng(seed)
     params = [rng.normal(0, 0.1, (len(chosen), DIM)).astype(np.float32), rng.normal(0, 0.5, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)]
     table, soft, bias = params
@@ -219,13 +232,13 @@ def train_texts(texts: list[bytes], labels: np.ndarray) -> Model:
     np.add.at(many, (folds, labels), 1)
     sets = candidates(*table_of(*keys.T, np.fromiter(found.values(), np.int64)), many)
     rows = np.unique(np.concatenate(list(sets.values())))
-    return chosen_model(vectors(texts, rows), labels, folds, rows, sets)
+    return chosen_model(vectors(shares(texts, rows), len(texts), len(rows)), labels, folds, rows, sets)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = TRAIN_PER_CLASS) -> Model:
     """Train on the ``per_class`` documents of each class whose hashed ids are lowest.
 
-    Their bags are made in tasks; the driver gets a count for each row and class, then a vector of the chosen rows for each document.
+    Their bags are made in tasks; the driver gets the counts of each row that enough documents have, then the shares of the chosen rows for each document.
     """
     known = learnable(labels, label)
     def lowest(y: int) -> DataFrame:
@@ -246,23 +259,32 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
         many[r["fold"], r["y"]] = r["count"]
     if not many.sum(axis=0).all():
         return Model({}, 0.0)
-    found = sample.mapInArrow(count, "fold int, y int, row int, n bigint").groupBy("fold", "y", "row").agg(F.sum("n").alias("n")).toArrow()
-    sets = candidates(*table_of(*[found.column(c).to_numpy() for c in ("fold", "y", "row", "n")]), many)
-    del found  # the driver holds either the counts or the vectors
+    cells = [(f, y) for f in range(FOLDS) for y in (0, 1)]
+    sums = [F.sum(F.when((F.col("fold") == f) & (F.col("y") == y), F.col("n")).otherwise(0)).cast("int").alias(f"n{f}{y}") for f, y in cells]
+    counted = sample.mapInArrow(count, "fold int, y int, row int, n bigint").groupBy("row").agg(*sums, F.sum("n").alias("n"))
+    found = counted.filter(F.col("n") >= LEAST_HELD).drop("n").toArrow().sort_by("row")
+    counts = np.stack([found.column(f"n{f}{y}").to_numpy() for f, y in cells]).astype(np.int64).reshape(FOLDS, 2, -1)
+    sets = candidates(found.column("row").to_numpy(), counts, many)
+    del found, counts  # the driver holds either the counts or the vectors
     rows = np.unique(np.concatenate(list(sets.values())))
     if not len(rows):
         return Model({}, 0.0)
 
     def vector(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(0).to_pylist()
-        return pa.RecordBatch.from_arrays([pa.array(list(vectors(texts, rows)), pa.list_(pa.float32())), batch.column(1), pa.array([fold(t) for t in texts], pa.int32())], names=["x", "y", "fold"])
+        at, share = zip(*shares(texts, rows), strict=True) if texts else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(at, pa.list_(pa.int32())), pa.array(share, pa.list_(pa.float32())), batch.column(1), pa.array([fold(t) for t in texts], pa.int32())],
+                                          names=["at", "share", "y", "fold"])
 
-    got = batched(sample, vector, "x array<float>, y int, fold int").toArrow()
-    x = got.column("x").combine_chunks().flatten().to_numpy().reshape(-1, len(rows))
+    got = batched(sample, vector, "at array<int>, share array<float>, y int, fold int").toArrow()
     y, folds = got.column("y").to_numpy().astype(np.int64), got.column("fold").to_numpy()
-    marks = [hashlib.blake2b(v).digest() for v in x]
+    at, share = got.column("at").combine_chunks(), got.column("share").combine_chunks()
+    ends, at, share = at.offsets.to_numpy(), at.values.to_numpy(), share.values.to_numpy()
+    found = [(at[a:b], share[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+    marks = [hashlib.blake2b(vectors([v], 1, len(rows))).digest() for v in found]
     order = sorted(range(len(y)), key=lambda i: (y[i], folds[i], marks[i]))  # the same order however the rows came: what ties is equal
-    x, got = x[order], None
+    x = vectors([found[i] for i in order], len(order), len(rows))
+    del got, at, share, found
     return chosen_model(x, y[order], folds[order], rows, sets)
 
 
