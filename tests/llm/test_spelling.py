@@ -100,3 +100,18 @@ def test_empty_null_long_and_repeated(spark):
     long = "ab" * 50_000
     rows = [(i, f"{long} {long}c", "", 0, 0) for i in range(5)] + [(7, "Straße " * 3, "", 0, 0)] * 2
     assert got(spark, rows, every=10**12) == [(long, None, long, 5, 1, None), (f"{long}c", None, f"{long}c", 5, 1, None), ("straße", None, "straße", 6, 0, None)]
+
+
+def test_words_are_never_broadcast(spark, monkeypatch):
+    plans, write = [], spelling.materialise
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(spelling, "materialise", seen)
+    docs = [(i, "kitten " * 6 + ("kitte" if i % 5 else "mitten") + " sitting sittinq") for i in range(10)]
+    out = spelling.group(spark.createDataFrame(docs, "doc_id long, text string"), least_count=1)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) >= 3 and not any("Broadcast" in p for p in plans)  # tables as small as these, and files that Spark sizes too low
+    assert {r["word"]: r["root"] for r in out.collect()}["mitten"] == "kitten"

@@ -8,6 +8,7 @@ at one edit all parts but two are equal, of two whose lengths differ by one all
 verified by their edit distance in the join itself: no unverified pair is written.
 
 Only the vocabulary is joined. It is counted with partial sums in the map tasks, so that a frequent word is one row of each.
+Every join is told to merge: Spark sizes a table by its compressed file, and does not see that a word becomes 27 signatures, so it would broadcast far more than the driver holds.
 
 Defined cases: null and empty texts, and texts without runs, have no words; a null id reads as the empty text in the
 key that damages a run; repeated rows count each; ties in the choice of a form go to the smallest in code-point order; an empty
@@ -118,7 +119,7 @@ def near(vocab: DataFrame) -> DataFrame:
     a, b = sigs.filter("role < 2").alias("a"), sigs.filter("role <> 1").alias("b")
     meet = F.when(F.col("a.role") == 0, (F.col("b.role") == 0) & (F.col("a.word") < F.col("b.word"))).otherwise(F.col("b.role") == 2)
     close = F.levenshtein("a.word", "b.word", 1) == 1
-    found = a.join(b, (F.col("a.sig") == F.col("b.sig")) & meet & close).select(*[F.col(c).alias(n) for c, n in (("a.word", "word"), ("a.n", "n"), ("b.word", "other"), ("b.n", "other_n"))])
+    found = a.join(b.hint("merge"), (F.col("a.sig") == F.col("b.sig")) & meet & close).select(*[F.col(c).alias(n) for c, n in (("a.word", "word"), ("a.n", "n"), ("b.word", "other"), ("b.n", "other_n"))])
     once = materialise(found.distinct(), "near-words")
     return once.union(once.select("other", "other_n", "word", "n"))
 
@@ -128,7 +129,7 @@ def roots(forms: DataFrame) -> DataFrame:
     state = materialise(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         further = state.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        moved = materialise(state.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
+        moved = materialise(state.join(further.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
         if moved.filter("moved").isEmpty():
             return moved.drop("moved")
         state = moved.drop("moved")
@@ -144,7 +145,7 @@ def variants(vocab: DataFrame, ratio: int = 5) -> DataFrame:
     strong = -F.col("best.less") >= ratio * F.col("n")
     linked = materialise(linked.select("word", "n_near", F.when(strong, F.col("best.other")).alias("form"), F.when(strong, -F.col("best.less")).alias("form_n")), "forms")
     ends = roots(linked.filter(F.col("form").isNotNull()))
-    whole = vocab.join(linked, "word", "left").join(ends, "word", "left")
+    whole = vocab.join(linked.hint("merge"), "word", "left").join(ends.hint("merge"), "word", "left")
     return whole.select("word", "form", F.coalesce("root", "word").alias("root"), "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"), "form_n")
 
 
