@@ -2,6 +2,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from tutelage.plans import extract
 from tutelage.plans.scorer import CountScorer
 from tutelage.plans.store import save_scorer
 from tutelage.streaming.kpi import (compact_partials, current_from, current_kpis, kpi_stream, kpis, late_rows, latest_kpis, open_partials, partials, rank_error, write_kpis,
@@ -123,6 +124,20 @@ def test_requests_sent_again_are_answered_once_and_models_swap(spark, tmp_path):
     assert len(after) == 12 and after[0] == ("Good", "v1") and after[21] == ("Bad", "v2")
 
 
+def test_the_second_sending_comes_in_later_micro_batches(spark, tmp_path, monkeypatch):
+    tables = {"customer": ([(1, 10.0, "HOUSEHOLD"), (2, -5.0, "BUILDING")], "c_custkey long, c_acctbal double, c_mktsegment string"),
+              "orders": ([(i, 1 + i % 2, "FOP"[i % 3], 100.0 + i, "1-URGENT") for i in range(9)], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"),
+              "events": ([(i, None if i % 10 == 3 else at(1, i), 1 + i % 2, "click", float(i)) for i in range(40)], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    queries, start = [], extract.score_stream
+    monkeypatch.setattr(extract, "score_stream", lambda *a, **kw: queries.append(start(*a, **kw)) or queries[-1])
+    answered = [r["event_id"] for r in extract.i1_replayed_stream(spark, str(tmp_path)).collect()]
+    again = [sum(int(op["customMetrics"]["numDroppedDuplicateRows"]) for op in p["stateOperators"]) for q in queries for p in q.recentProgress]
+    assert again[0] == 0 and sum(again) == 40  # no request comes twice in the first micro-batch
+    assert sorted(answered) == list(range(40))  # those without a time too are answered once
+
+
 def test_kpi_state_is_bounded(spark, tmp_path):
     spark.createDataFrame([(at(1), "Good", 1.0, 1.0)], KPI).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(KPI).parquet(str(tmp_path / "in"))

@@ -238,9 +238,11 @@ def i1_replayed_stream(spark: SparkSession, d: str) -> DataFrame:
     save_scorer(scorer, root, "credit", "v1")
     scorer.lm.unpersist()
     folder, requests = fresh_path(spark, "requests"), T.requests(spark, d).select(*REQUEST_KEYS, "features")
-    for _ in range(2):
-        requests.write.mode("append").parquet(folder)
-    stream = spark.readStream.schema(requests.schema).parquet(folder)
+    requests.write.parquet(folder)
+    first = spark.read.schema(requests.schema).parquet(folder).inputFiles()
+    requests.write.mode("append").parquet(folder)
+    # Without a limit all files are one micro-batch; the earliest come first, so with that of the first sending the second comes after it.
+    stream = spark.readStream.schema(requests.schema).option("maxFilesPerTrigger", len(first)).parquet(folder)
     out, state = fresh_path(spark, "scored"), fresh_path(spark, "scored-state")
     score_stream(stream, stored_score(root, "credit", "features", REQUEST_KEYS), out, state, id_cols=("event_id",), within="3650 days").awaitTermination()
     return spark.read.parquet(out).select("event_id", "prediction", F.round("top2_margin", 6).alias("top2_margin"), "latency_ms")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tutelage.plans.scorer import Scorer
@@ -14,9 +15,11 @@ from tutelage.plans.store import latest_version, load_scorer
 def once(requests: DataFrame, id_cols: Sequence[str], ts_col: str = "ts", within: str = "1 hour") -> DataFrame:
     """Requests without those whose id came before, as streaming state that forgets ids ``within`` after the latest time seen.
 
-    A request later than that is let go by the state, as it cannot be told from a repeated one (``kpi.late_rows`` counts them); one without a time too.
+    A request later than that is let go by the state, as it cannot be told from a repeated one (``kpi.late_rows`` counts them). Ids of requests
+    without a time have no moment to be forgotten at: they are kept apart, for good.
     """
-    return requests.withWatermark(ts_col, within).dropDuplicatesWithinWatermark(list(id_cols))
+    timed, untimed = requests.filter(F.col(ts_col).isNotNull()), requests.filter(F.col(ts_col).isNull())
+    return timed.withWatermark(ts_col, within).dropDuplicatesWithinWatermark(list(id_cols)).union(untimed.dropDuplicates(list(id_cols)))
 
 
 def score_stream(requests: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, checkpoint: str,
