@@ -105,6 +105,14 @@ def test_only_open_tokens_leave_their_text(spark, monkeypatch):
     assert C.frequent(fitted).count() == 1 and C.frequent(C.fit_count_lm(df.filter("id = 1"), "text", None)).count() == 2
 
 
+def test_a_full_filter_lets_few_unknown_tokens_through(spark, monkeypatch):
+    monkeypatch.setattr(C, "SLICES", 1)  # 4 bits for each of 32,768 tokens
+    fitted = C.fit_count_lm(spark.range(32768).select(F.concat(F.lit("word"), "id").alias("text")), "text", None)
+    known = C._filter(fitted)
+    assert C._possible([f"word{i}" for i in range(0, 32768, 7)], known).all()
+    assert C._possible([f"other{i}" for i in range(20000)], known).mean() < 0.2
+
+
 def test_files_of_bucketed_counts_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(C, "BUCKET_BYTES", 4096)
     fitted = C.fit_count_lm(spark.createDataFrame([(i, f"word{i}") for i in range(300)], "id long, text string"), "text", None)
