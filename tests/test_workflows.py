@@ -1,6 +1,14 @@
 import json
+import re
+from datetime import datetime
 
+from pyspark.sql import functions as F
+
+from tutelage import session
 from tutelage.operators import countlm
+from tutelage.operators import evaluation as E
+from tutelage.plans import evaluate
+from tutelage.plans import tables as T
 from tutelage.plans import workflows as W
 from tutelage.plans.scorer import CountScorer, ModelScorer
 from tutelage.sources import readers, sinks
@@ -121,3 +129,45 @@ def test_extract_documents(spark, tmp_path):
     df = spark.createDataFrame([(1, "good"), (2, "bad")], "id int, text string")
     got = {r["id"]: (r["json"], r["violations"]) for r in W.extract_documents(df, schema, load).collect()}
     assert got == {1: ('{"n": 1}', []), 2: ('{"n": "x"}', ["$.n: not number"])}
+
+
+def invoice_tables(spark, folder, n=40):
+    """Orders of one to four lines; those of every tenth id come twice."""
+    twice = [i for i in range(n) for _ in range(2 if i % 10 == 0 else 1)]
+    tables = {"customer": ([(i, f"Customer {i}") for i in range(5)], "c_custkey long, c_name string"),
+              "orders": ([(i, i % 5, datetime(2024, 1, 1 + i % 28)) for i in twice], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz"),
+              "lineitem": ([(i, k, 100 * i + k, 1.0 + k, 10.25 * (i + 1) + k) for i in range(n) for k in range(1 + i % 4)],
+                           "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_extendedprice double")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_results_with_and_without_their_facts_agree(spark, tmp_path, monkeypatch):
+    d = invoice_tables(spark, tmp_path)
+    answers = T.invoice_answers(spark, d)
+    lm = countlm.fit_count_lm(answers, "reference", None)
+    examples = answers.select("id", F.col("text").alias("input"), F.col("reference").alias("output"), F.concat("text", F.lit("\n"), "answer").alias("generated"))
+    rows = lambda df: sorted((r["id"], r["input"], r["reference"], r["generated"], round(r["perplexity"], 9), tuple(r["json_eval"])) for r in df.collect())
+    expected = rows(E.eval_rows(examples, "sft", lm=lm))
+    assert len(expected) == 44
+    for limit in (countlm.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(countlm.count_lm_scores, "__defaults__", tuple(limit if x == countlm.BROADCAST_BYTES else x for x in countlm.count_lm_scores.__defaults__))
+        monkeypatch.setattr(countlm.count_perplexity, "__defaults__", tuple(limit if x == countlm.BROADCAST_BYTES else x for x in countlm.count_perplexity.__defaults__))
+        assert rows(evaluate.sft_results(spark, d)) == expected
+
+
+def test_no_text_is_written_or_shuffled_for_results(spark, tmp_path, monkeypatch):
+    """What is written on the way holds the facts of an invoice or figures, and exchanges only these; files of texts are compressed."""
+    d, kept = invoice_tables(spark, tmp_path / "in"), tmp_path / "kept"
+    monkeypatch.setattr(evaluate, "fresh_path", lambda spark, name: f"{kept}/{name}")
+    monkeypatch.setattr(evaluate, "materialise", lambda df, name, *a: seen.update({name: df.columns}) or session.materialise(df, name, *a))
+    seen = {}
+    plan = evaluate.f11_eval_sft(spark, d)._jdf.queryExecution().executedPlan().toString()
+    hashed = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert any(h.startswith("row#") for h in hashed) and not any("__text" in h or "__key" in h for h in hashed)
+    found = evaluate.f11_eval_from_file(spark, d).first()
+    assert found["num_examples"] == found["n_ids"] == found["last_id"] + 1 == 44
+    assert seen == {"invoices": ["id", "vendor", "day", "lines", "row"], "results": ["id", "perplexity", "json_eval"]}
+    texts = [p.name for p in kept.rglob("part-*")]
+    assert len(texts) >= 1 and all(t.endswith(".json.gz") for t in texts)
