@@ -166,8 +166,9 @@ def test_no_text_is_written_or_shuffled_for_results(spark, tmp_path, monkeypatch
     plan = evaluate.f11_eval_sft(spark, d)._jdf.queryExecution().executedPlan().toString()
     hashed = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     assert any(h.startswith("row#") for h in hashed) and not any("__text" in h or "__key" in h for h in hashed)
+    assert evaluate.a6_write_results(spark, d).count() == 44
     found = evaluate.f11_eval_from_file(spark, d).first()
     assert found["num_examples"] == found["n_ids"] == found["last_id"] + 1 == 44
     assert seen == {"invoices": ["id", "vendor", "day", "lines", "row"], "results": ["id", "perplexity", "json_eval"]}
     texts = [p.name for p in kept.rglob("part-*")]
-    assert len(texts) >= 1 and all(t.endswith(".json.gz") for t in texts)
+    assert len(texts) >= 2 and all(t.endswith(".json.gz") for t in texts)

@@ -268,7 +268,7 @@ def f11_eval_dpo(spark: SparkSession, d: str) -> DataFrame:
 FROM answers a JOIN ppl USING (id) JOIN je USING (id)""")
 def a6_write_results(spark: SparkSession, d: str) -> DataFrame:
     rows = sft_results(spark, d)
-    path = sinks.write_results(rows, fresh_path(spark, "model"), "sft")
+    path = sinks.write_results(rows, fresh_path(spark, "model"), "sft", compression="gzip")
     back = spark.read.schema(rows.schema).json(path)
     return back.select("id", F.md5("generated").alias("generated_md5"), F.round("perplexity", 3).alias("perplexity"), "json_eval.valid_json",
                        F.col("json_eval.num_fields").cast("long").alias("num_fields"), F.col("json_eval.num_matched_fields").cast("long").alias("num_matched_fields"))

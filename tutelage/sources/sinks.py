@@ -40,10 +40,10 @@ def results_path(model_dir: str, training_type: str) -> str:
     return f"{model_dir}/{training_type}_eval_results.jsonl"
 
 
-def write_results(df: DataFrame, model_dir: str, training_type: str, mode: str = "errorifexists") -> str:
-    """Per-example evaluation results, next to the model unless told otherwise."""
+def write_results(df: DataFrame, model_dir: str, training_type: str, mode: str = "errorifexists", compression: str | None = None) -> str:
+    """Per-example evaluation results, next to the model unless told otherwise; ``compression`` (say, ``gzip``) is that of the files, which readers know by their names."""
     path = results_path(model_dir, training_type)
-    df.write.mode(mode).json(path)
+    df.write.mode(mode).json(path, compression=compression)
     return path
 
 
